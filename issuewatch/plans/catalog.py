@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import issues
 from . import fixtures as fx
@@ -46,4 +47,55 @@ def q_keyword_frequency(spark, root):
 @query("keyword_frequency_log")
 def q_keyword_frequency_log(spark, root):
     return round_doubles(issues.total_frequency(_current_issue(spark, root)))
-FLAGSHIP = "dense_keyword_issue"
+
+
+# --- similarity, views, alert -------------------------------------------------------
+
+from ..operators import alerts, similarity, views  # noqa: E402
+
+
+@query("series_per_keyword")
+def q_series_per_keyword(spark, root):
+    cur = _current_issue(spark, root)
+    pts = similarity.series_points(cur, "current_keyword", "created_at", "current_issueization")
+    return round_doubles(pts.withColumn("n_points", F.col("n_points").cast("bigint")))
+
+
+def _similarity(spark, root, exact=False):
+    posts = fx.kw_posts(spark, root)
+    snap = fx.snapshot_time(posts)
+    cur = issues.current_issue(posts, fx.current_batch(posts, snap), snap)
+    past = fx.past_issue(spark, root)
+    cp = similarity.series_points(cur, "current_keyword", "created_at", "current_issueization")
+    pp = similarity.series_points(past, "past_issue_name", "created_at", "past_issueization")
+    return cur, similarity.series_similarity(cp, pp, exact=exact)
+
+
+@query("series_similarity")
+def q_series_similarity(spark, root):
+    return _similarity(spark, root)[1]
+
+
+@query("series_similarity_exact")
+def q_series_similarity_exact(spark, root):
+    return _similarity(spark, root, exact=True)[1]
+
+
+@query("issue_graph")
+def q_issue_graph(spark, root):
+    posts = fx.kw_posts(spark, root)
+    snap = fx.snapshot_time(posts)
+    cur = issues.current_issue(posts, fx.current_batch(posts, snap), snap)
+    g = views.issue_graph(fx.past_issue(spark, root), cur, snap, origin_issue=fx.PAST_ISSUE_TYPES[0])
+    return round_doubles(g)
+
+
+@query("top_alert")
+def q_top_alert(spark, root):
+    cur, sim = _similarity(spark, root)
+    freq = issues.total_frequency(cur)
+    top = alerts.top_alerts(alerts.alert_table(freq, sim), 1)
+    return alerts.alert_message(top)
+
+
+FLAGSHIP = "top_alert"

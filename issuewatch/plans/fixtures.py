@@ -50,3 +50,32 @@ def snapshot_time(posts: DataFrame) -> F.Column:
 def current_batch(posts: DataFrame, snapshot: F.Column, lookback_days: int = 2) -> DataFrame:
     """Posts of the current crawl: each run re-crawls the last `lookback_days` days."""
     return posts.filter(F.col("created_at") >= snapshot - F.make_interval(days=F.lit(lookback_days)))
+
+
+# Fixed values for the past-issue fixture: which event types are past issues, and
+# how many days from the first hour of data they cover.
+PAST_ISSUE_TYPES = ["error", "purchase"]
+PAST_ISSUE_DAYS = 7
+
+
+def past_issue(spark: SparkSession, root: str) -> DataFrame:
+    """Past issue curves: for each name in PAST_ISSUE_TYPES, one row per hour of the
+    first PAST_ISSUE_DAYS days (dense, zeros where no post) with its issue score."""
+    from ..functions.scoring import issue_score
+
+    posts = kw_posts(spark, root)
+    t0 = posts.select(F.min("file_create_time")).scalar()
+    t1 = t0 + F.make_interval(days=F.lit(PAST_ISSUE_DAYS)) - F.expr("INTERVAL 1 HOUR")
+    sel = posts.filter(F.col("event_type").isin(PAST_ISSUE_TYPES) & (F.col("file_create_time") <= t1))
+    facts = sel.groupBy(F.col("event_type").alias("past_issue_name"), F.col("file_create_time").alias("created_at")).agg(
+        F.sum("viewed").alias("viewed"), F.sum("liked").alias("liked"), F.sum("num_of_comments").alias("c"), F.sum("sentiment").alias("s")
+    )
+    names = facts.select("past_issue_name").distinct()
+    grid = names.select("past_issue_name", F.explode(F.sequence(t0, t1, F.expr("INTERVAL 1 HOUR"))).alias("created_at"))
+    d = grid.join(facts, ["past_issue_name", "created_at"], "left").fillna(0, ["viewed", "liked", "c", "s"])
+    return d.select(
+        "past_issue_name",
+        "created_at",
+        issue_score("viewed", "liked", "c").alias("past_issueization"),
+        F.col("s").cast("double").alias("past_sentiment"),
+    )

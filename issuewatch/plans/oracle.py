@@ -95,3 +95,53 @@ FROM current_issue GROUP BY current_keyword"""
 SQL["keyword_frequency_log"] = with_(*ISSUE_CTES) + """
 SELECT current_keyword, round(ln(sum(current_issueization) + 1), 6) AS total_frequency
 FROM current_issue GROUP BY current_keyword"""
+
+PAST_ISSUE = """
+past_issue AS (
+  WITH t AS (SELECT min(file_create_time) AS t0,
+                    min(file_create_time) + INTERVAL 7 DAY - INTERVAL 1 HOUR AS t1 FROM kw_posts),
+  pf AS (SELECT event_type AS past_issue_name, file_create_time AS created_at,
+                sum(viewed) AS v, sum(liked) AS l, sum(num_of_comments) AS c, sum(sentiment) AS s
+         FROM kw_posts, t WHERE event_type IN ('error', 'purchase') AND file_create_time <= t1 GROUP BY ALL),
+  g AS (SELECT n.past_issue_name, unnest(generate_series(t0, t1, INTERVAL 1 HOUR)) AS created_at
+        FROM (SELECT DISTINCT past_issue_name FROM pf) n, t)
+  SELECT g.past_issue_name, g.created_at,
+         CAST(coalesce(v, 0) AS DOUBLE) + ln(1 + coalesce(l, 0)) + ln(1 + coalesce(c, 0)) AS past_issueization,
+         CAST(coalesce(s, 0) AS DOUBLE) AS past_sentiment
+  FROM g LEFT JOIN pf USING (past_issue_name, created_at)
+)"""
+
+SQL["series_per_keyword"] = with_(*ISSUE_CTES) + """,
+stats AS (
+  SELECT current_keyword, min(created_at) AS t0,
+         avg(current_issueization) FILTER (WHERE current_issueization != 0) AS mu,
+         stddev_pop(current_issueization) FILTER (WHERE current_issueization != 0) AS sd
+  FROM current_issue GROUP BY current_keyword
+)
+SELECT c.current_keyword,
+       count(*) FILTER (WHERE current_issueization != 0) AS n_points,
+       coalesce(list(CAST(date_diff('hour', s.t0, c.created_at) AS INTEGER) ORDER BY c.created_at)
+                FILTER (WHERE current_issueization != 0), []) AS idx,
+       coalesce(list(round(CASE WHEN sd > 0 THEN (current_issueization - mu) / sd ELSE 0.0 END, 6) ORDER BY c.created_at)
+                FILTER (WHERE current_issueization != 0), []) AS z
+FROM current_issue c JOIN stats s USING (current_keyword)
+GROUP BY c.current_keyword"""
+
+SQL["issue_graph"] = with_(*ISSUE_CTES, PAST_ISSUE) + """,
+anchor AS (SELECT date_trunc('hour', end_ts - INTERVAL 2 MONTH) AS a FROM snap),
+p AS (
+  SELECT created_at + to_seconds(date_diff('second',
+             (SELECT min(created_at) FROM past_issue WHERE past_issue_name = 'error'), a)) AS created_at,
+         past_issue_name, past_issueization, past_sentiment
+  FROM past_issue, anchor
+),
+c AS (
+  SELECT created_at + to_seconds(date_diff('second', (SELECT min(created_at) FROM current_issue), a)) AS created_at,
+         current_keyword, current_issueization, num_of_comments, viewed, liked, sentiment
+  FROM current_issue, anchor
+)
+SELECT created_at, past_issue_name, round(past_issueization, 6) AS past_issueization,
+       round(past_sentiment, 6) AS past_sentiment, current_keyword,
+       round(current_issueization, 6) AS current_issueization, num_of_comments, viewed, liked,
+       round(sentiment, 6) AS sentiment
+FROM p JOIN c USING (created_at)"""
