@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from ..functions import dtw
 from ..functions.scoring import DTW_RADIUS, SIMILARITY_SCALE
@@ -66,7 +67,7 @@ def pair_series(cur: DataFrame, past: DataFrame, cur_key: str, past_key: str, bl
 
 
 def _distance_udf(radius: int, exact: bool):
-    @pandas_udf("double")
+    @pandas_udf(DoubleType())
     def distance(a_idx: pd.Series, a_z: pd.Series, b_idx: pd.Series, b_z: pd.Series) -> pd.Series:
         out = [dtw.series_distance(ai, az, bi, bz, radius=radius, exact=exact) for ai, az, bi, bz in zip(a_idx, a_z, b_idx, b_z)]
         return pd.Series(out, dtype="float64")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import issues
+from ..sources.tables import read_table
 from . import fixtures as fx
 from .common import round_doubles
 
@@ -99,3 +100,79 @@ def q_top_alert(spark, root):
 
 
 FLAGSHIP = "top_alert"
+
+
+# --- text, numbers, dates -------------------------------------------------------------
+
+from ..functions import dates, numbers, text  # noqa: E402
+from ..operators import normalise  # noqa: E402
+
+
+@query("clean_text")
+def q_clean_text(spark, root):
+    d = fx.raw_docs(spark, root)
+    return d.select("doc_id", text.clean_content("content", "naver", unescape=False, normalise=False).alias("content"))
+
+
+@query("clean_text_dc")
+def q_clean_text_dc(spark, root):
+    d = fx.raw_docs(spark, root)
+    return d.select("doc_id", text.clean_content("content", "dc", unescape=False, normalise=False).alias("content"))
+
+
+@query("clean_text_full")
+def q_clean_text_full(spark, root):
+    return normalise.clean_by_source(fx.raw_docs(spark, root), "content").select("doc_id", "data_source", "content")
+
+
+@query("clean_titles")
+def q_clean_titles(spark, root):
+    p = fx.raw_pages(spark, root).select("page_id", "data_source", F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"))
+    return normalise.clean_titles(p).select("page_id", "data_source", "title")
+
+
+@query("parse_counts")
+def q_parse_counts(spark, root):
+    c = fx.site_counts(spark, root)
+    return c.select("p_partkey", "count_text", numbers.korean_number(text.strip_view_prefix("count_text")).alias("n"))
+
+
+@query("parse_dates")
+def q_parse_dates(spark, root):
+    d = fx.site_dates(spark, root)
+    snap = d.select(F.max("o_orderdate")).scalar().cast("timestamp")
+    t = dates.parse_post_date("date_text", F.col("data_source"), snap)
+    return d.select("o_orderkey", "data_source", "date_text", t.alias("created_at"), dates.format_ts(t).alias("created_text"))
+
+
+@query("split_modified")
+def q_split_modified(spark, root):
+    o = read_orders(spark, root)
+    k = F.col("o_orderkey")
+    base = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    raw = F.when(k % 3 == 0, F.concat(base, F.lit(" 수정일 : "), F.date_format(F.date_add("o_orderdate", 1), "yyyy-MM-dd HH:mm:ss"))).otherwise(base)
+    c, m = text.split_created_modified(raw)
+    return o.select("o_orderkey", c.alias("created_at"), m.alias("modified_at"))
+
+
+@query("label_value")
+def q_label_value(spark, root):
+    o = read_orders(spark, root)
+    lab = F.concat(F.lit("조회 "), F.col("o_custkey").cast("string"))
+    return o.select("o_orderkey", lab.alias("label_text"), text.second_token(lab).alias("value"))
+
+
+@query("shift_zone")
+def q_shift_zone(spark, root):
+    e = read_table(spark, root, "events")
+    return e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), dates.to_local(F.col("ts").cast("timestamp")).alias("local_ts"))
+
+
+@query("text_concat")
+def q_text_concat(spark, root):
+    c = read_table(spark, root, "conversations")
+    return c.select("conv_id", "turn", text.newlines_to_blank(text.concat_title_content("role", "text")).alias("scoring_text"))
+
+
+def read_orders(spark, root):
+    return read_table(spark, root, "orders")

@@ -79,3 +79,45 @@ def past_issue(spark: SparkSession, root: str) -> DataFrame:
         issue_score("viewed", "liked", "c").alias("past_issueization"),
         F.col("s").cast("double").alias("past_sentiment"),
     )
+
+
+def raw_docs(spark: SparkSession, root: str) -> DataFrame:
+    """documents as post content; site by doc_id % 4 (per-source cleaning chain)."""
+    d = read_table(spark, root, "documents")
+    return d.select("doc_id", source_by("doc_id").alias("data_source"), F.col("text").alias("content"), "lang")
+
+
+def raw_pages(spark: SparkSession, root: str) -> DataFrame:
+    """pages with their site (page_id % 4)."""
+    p = read_table(spark, root, "pages")
+    return p.select("page_id", "url", "html", source_by("page_id").alias("data_source"))
+
+
+def site_counts(spark: SparkSession, root: str) -> DataFrame:
+    """part -> counts rendered as site text, by p_partkey % 4:
+    `조회 <size>,345`, `<size>.<key % 10>천`, `<size>백만`, `<size>`."""
+    p = read_table(spark, root, "part")
+    k, s = F.col("p_partkey"), F.col("p_size").cast("string")
+    txt = (
+        F.when(k % 4 == 0, F.concat(F.lit("조회 "), s, F.lit(",345")))
+        .when(k % 4 == 1, F.concat(s, F.lit("."), (k % 10).cast("string"), F.lit("천")))
+        .when(k % 4 == 2, F.concat(s, F.lit("백만")))
+        .otherwise(s)
+    )
+    return p.select("p_partkey", txt.alias("count_text"))
+
+
+def site_dates(spark: SparkSession, root: str) -> DataFrame:
+    """orders -> o_orderdate rendered in the four site layouts (source by o_orderkey % 4);
+    dc and naver drop the year on every other row (o_orderkey % 8 in (0, 1))."""
+    o = read_table(spark, root, "orders")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    txt = (
+        F.when(k % 8 == 0, F.date_format(d, "MM.dd HH:mm:ss"))
+        .when(k % 8 == 1, F.date_format(d, "MM.dd. HH:mm"))
+        .when(k % 4 == 0, F.date_format(d, "yyyy.MM.dd HH:mm:ss"))
+        .when(k % 4 == 1, F.date_format(d, "yyyy.MM.dd. HH:mm"))
+        .when(k % 4 == 2, F.date_format(d, "yy.MM.dd  HH:mm"))
+        .otherwise(F.date_format(d, "yyyy-MM-dd  HH:mm:ss"))
+    )
+    return o.select("o_orderkey", source_by("o_orderkey").alias("data_source"), txt.alias("date_text"), d.alias("o_orderdate"))

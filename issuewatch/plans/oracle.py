@@ -145,3 +145,174 @@ SELECT created_at, past_issue_name, round(past_issueization, 6) AS past_issueiza
        round(current_issueization, 6) AS current_issueization, num_of_comments, viewed, liked,
        round(sentiment, 6) AS sentiment
 FROM p JOIN c USING (created_at)"""
+
+# --- text cleaning in DuckDB SQL ------------------------------------------------------
+
+from ..functions import text as T  # noqa: E402
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def s_urls(x):
+    return f"regexp_replace({x}, {q(T.URL_PATTERN)}, '', 'g')"
+
+
+def s_emails(x):
+    return f"regexp_replace({x}, {q(T.EMAIL_PATTERN)}, '', 'g')"
+
+
+# F3 in SQL covers the entities present in the driver tables plus the XML five and
+# &nbsp;; '&amp;' goes last so that one pass of unescaping is modelled.
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+                 ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
+
+def s_unescape(x):
+    for a, b in HTML_ENTITIES:
+        x = f"replace({x}, {q(a)}, {q(b)})"
+    return x
+
+
+def s_allowed(x):
+    return f"regexp_replace({x}, {q(T.DISALLOWED_CHARS)}, ' ', 'g')"
+
+
+def s_spaces(x):
+    return f"regexp_replace({x}, '\\s+', ' ', 'g')"
+
+
+def s_phrases(x, phrases):
+    for p in phrases:
+        x = f"replace({x}, {q(p)}, '')"
+    return x
+
+
+def s_imgnum(x):
+    return f"regexp_replace({x}, {q(T.IMAGE_NUMBER_PATTERN)}, '', 'g')"
+
+
+def s_only_text(x):
+    return f"trim(regexp_replace(regexp_replace({x}, {q(T.ONLY_TEXT_DROP)}, ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def s_jamo_runs(x):
+    """Runs of 3+ equal jamo -> 2, without back-references (RE2 has none): a jamo is
+    dropped when the two characters before it are the same jamo."""
+    return (
+        f"(SELECT CASE WHEN regexp_matches(_s, '[ㄱ-ㅎㅏ-ㅣ]') THEN array_to_string(list_transform(range(1, length(_s) + 1), "
+        f"lambda i: CASE WHEN i > 2 AND substr(_s, i, 1) = substr(_s, i - 1, 1) AND substr(_s, i, 1) = substr(_s, i - 2, 1) "
+        f"AND regexp_matches(substr(_s, i, 1), '[ㄱ-ㅎㅏ-ㅣ]') THEN '' ELSE substr(_s, i, 1) END), '') ELSE _s END "
+        f"FROM (SELECT {x} AS _s))"
+    )
+
+
+def s_normalise(x):
+    return s_jamo_runs(s_only_text(x))
+
+
+def s_chain(x, source, unescape=True, normalise=True):
+    y = s_emails(s_urls(x))
+    if unescape:
+        y = s_unescape(y)
+    y = s_allowed(y)
+    if source == "dc":
+        y = s_phrases(s_imgnum(s_spaces(s_phrases(y, T.DC_IMAGE_PHRASES))), T.DC_APP_SIGNATURES)
+    else:
+        y = s_spaces(y)
+    return s_normalise(y) if normalise else y
+
+
+RAW_DOCS = """
+raw_docs AS (SELECT doc_id, ['dc','naver','bobae','clien'][CAST(doc_id % 4 AS INTEGER) + 1] AS data_source,
+                    text AS content, lang FROM documents)"""
+
+RAW_PAGES = """
+raw_pages AS (SELECT page_id, url, html, ['dc','naver','bobae','clien'][CAST(page_id % 4 AS INTEGER) + 1] AS data_source FROM pages)"""
+
+SQL["clean_text"] = with_(RAW_DOCS) + f"SELECT doc_id, {s_chain('content', 'naver', False, False)} AS content FROM raw_docs"
+SQL["clean_text_dc"] = with_(RAW_DOCS) + f"SELECT doc_id, {s_chain('content', 'dc', False, False)} AS content FROM raw_docs"
+SQL["clean_text_full"] = with_(RAW_DOCS) + (
+    "SELECT doc_id, data_source, CASE WHEN data_source IN ('dc', 'dcinside') "
+    f"THEN {s_chain('content', 'dc')} ELSE {s_chain('content', 'naver')} END AS content FROM raw_docs"
+)
+_TITLE_B = f"{s_spaces('regexp_replace(' + s_normalise('title') + ', ' + q(T.BOBAE_TITLE_SUFFIX) + ", '')")}"
+_TITLE_C = f"{s_spaces('regexp_replace(' + s_normalise('title') + ', ' + q(T.CLIEN_TITLE_SUFFIX) + ", '')")}"
+SQL["clean_titles"] = with_(RAW_PAGES) + f"""
+SELECT page_id, data_source,
+       CASE WHEN data_source = 'bobae' THEN {_TITLE_B} WHEN data_source = 'clien' THEN {_TITLE_C} ELSE title END AS title
+FROM (SELECT page_id, data_source, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM raw_pages)"""
+
+SITE_COUNTS = """
+site_counts AS (
+  SELECT p_partkey,
+         CASE WHEN p_partkey % 4 = 0 THEN '조회 ' || p_size || ',345'
+              WHEN p_partkey % 4 = 1 THEN p_size || '.' || (p_partkey % 10) || '천'
+              WHEN p_partkey % 4 = 2 THEN p_size || '백만'
+              ELSE CAST(p_size AS VARCHAR) END AS count_text
+  FROM part)"""
+
+SQL["parse_counts"] = with_(SITE_COUNTS) + """
+SELECT p_partkey, count_text,
+       CAST(trunc(TRY_CAST(trim(regexp_replace(x, '[십백천]만|[십백천만]', '', 'g')) AS DOUBLE)
+            * (CASE WHEN contains(tok, '십') THEN 10 ELSE 1 END) * (CASE WHEN contains(tok, '백') THEN 100 ELSE 1 END)
+            * (CASE WHEN contains(tok, '천') THEN 1000 ELSE 1 END) * (CASE WHEN contains(tok, '만') THEN 10000 ELSE 1 END)) AS BIGINT) AS n
+FROM (SELECT *, regexp_extract(x, '[십백천]만|[십백천만]') AS tok
+      FROM (SELECT *, trim(replace(replace(count_text, '조회', ''), ',', '')) AS x FROM site_counts))"""
+
+SITE_DATES = """
+site_dates AS (
+  SELECT o_orderkey, ['dc','naver','bobae','clien'][CAST(o_orderkey % 4 AS INTEGER) + 1] AS data_source,
+         CASE WHEN o_orderkey % 8 = 0 THEN strftime(o_orderdate, '%m.%d %H:%M:%S')
+              WHEN o_orderkey % 8 = 1 THEN strftime(o_orderdate, '%m.%d. %H:%M')
+              WHEN o_orderkey % 4 = 0 THEN strftime(o_orderdate, '%Y.%m.%d %H:%M:%S')
+              WHEN o_orderkey % 4 = 1 THEN strftime(o_orderdate, '%Y.%m.%d. %H:%M')
+              WHEN o_orderkey % 4 = 2 THEN strftime(o_orderdate, '%y.%m.%d  %H:%M')
+              ELSE strftime(o_orderdate, '%Y-%m-%d  %H:%M:%S') END AS date_text,
+         o_orderdate
+  FROM orders)"""
+
+
+def _yearless(layout):
+    cur = f"try_strptime(CAST(year(s) AS VARCHAR) || '.' || x, '{layout}')"
+    prev = f"try_strptime(CAST(year(s) - 1 AS VARCHAR) || '.' || x, '{layout}')"
+    return f"coalesce(try_strptime(x, '{layout}'), CASE WHEN {cur} > s THEN {prev} ELSE {cur} END)"
+
+
+SQL["parse_dates"] = with_(SITE_DATES) + f"""
+SELECT o_orderkey, data_source, date_text, created_at, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_text
+FROM (
+  SELECT *, CASE data_source
+      WHEN 'dc' THEN {_yearless('%Y.%m.%d %H:%M:%S')}
+      WHEN 'naver' THEN {_yearless('%Y.%m.%d. %H:%M')}
+      WHEN 'bobae' THEN make_timestamp(
+          CASE WHEN CAST(split_part(x, '.', 1) AS INTEGER) >= 69 THEN 1900 ELSE 2000 END + CAST(split_part(x, '.', 1) AS INTEGER),
+          CAST(split_part(x, '.', 2) AS INTEGER), CAST(split_part(split_part(x, '.', 3), ' ', 1) AS INTEGER),
+          CAST(split_part(split_part(x, ' ', 2), ':', 1) AS INTEGER), CAST(split_part(split_part(x, ' ', 2), ':', 2) AS INTEGER), 0)
+      WHEN 'clien' THEN try_strptime(x, '%Y-%m-%d %H:%M:%S')
+    END AS created_at
+  FROM (SELECT *, trim(regexp_replace(date_text, '\\s+', ' ', 'g')) AS x FROM site_dates),
+       (SELECT CAST(max(o_orderdate) AS TIMESTAMP) AS s FROM orders)
+)"""
+
+SQL["split_modified"] = """
+SELECT o_orderkey, trim(string_split(raw, '수정일 :')[1]) AS created_at,
+       CASE WHEN len(string_split(raw, '수정일 :')) > 1 THEN trim(string_split(raw, '수정일 :')[2])
+            ELSE trim(string_split(raw, '수정일 :')[1]) END AS modified_at
+FROM (SELECT o_orderkey,
+             CASE WHEN o_orderkey % 3 = 0
+                  THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ' 수정일 : ' || strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')
+                  ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS raw
+      FROM orders)"""
+
+SQL["label_value"] = """
+SELECT o_orderkey, label_text, TRY_CAST(split_part(label_text, ' ', 2) AS INTEGER) AS value
+FROM (SELECT o_orderkey, '조회 ' || CAST(o_custkey AS VARCHAR) AS label_text FROM orders)"""
+
+SQL["shift_zone"] = """
+SELECT event_id, ts, timezone('Asia/Seoul', CAST(ts AS TIMESTAMPTZ)) AS local_ts FROM events"""
+
+SQL["text_concat"] = """
+SELECT conv_id, turn, replace(coalesce(role, '') || ' ' || coalesce(text, ''), chr(10), ' ') AS scoring_text
+FROM conversations"""
