@@ -176,3 +176,52 @@ def q_text_concat(spark, root):
 
 def read_orders(spark, root):
     return read_table(spark, root, "orders")
+
+
+# --- comments and threads ---------------------------------------------------------------
+
+from ..operators import comments as cm  # noqa: E402
+
+
+@query("comment_threads")
+def q_comment_threads(spark, root):
+    t = cm.assemble_threads(fx.thread_items(spark, root))
+    r = cm.thread_reply_counts(t.select("post", "pos", "role", "is_reply", "thread_pos", "is_parent"))
+    return r.select(F.col("post").alias("conv_id"), "thread_pos", "role", F.col("reply_count").cast("bigint").alias("reply_count"))
+
+
+@query("threads_by_count")
+def q_threads_by_count(spark, root):
+    it = fx.thread_items(spark, root).withColumn("num_of_comments", F.when(F.col("role") == "user", F.length("text") % 3).otherwise(0))
+    w = cm.replies_from_next(it, "post", "pos", "num_of_comments", "text")
+    return w.filter(~F.col("is_reply")).select(F.col("post").alias("conv_id"), F.col("pos").alias("turn"), "role", "num_of_comments", "reply_pos", "replies")
+
+
+def _parsed_posts(spark, root):
+    rt = fx.raw_threads(spark, root)
+    src = F.col("data_source")
+    snap = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    posts = rt.select("doc_id", "data_source", "content", "created_at", "viewed", "liked", cm.normalise_comments(F.col("comments_json")).alias("comments"))
+    return posts, (lambda c: dates.parse_post_date(c, src, snap))
+
+
+@query("post_comment_rows")
+def q_post_comment_rows(spark, root):
+    posts, parse = _parsed_posts(spark, root)
+    return round_doubles(cm.post_comment_rows(posts, "doc_id", parse))
+
+
+@query("seconds_per_comment")
+def q_seconds_per_comment(spark, root):
+    posts, parse = _parsed_posts(spark, root)
+    posts = posts.withColumn("comments", cm.rewrite_comment_times(F.col("comments"), parse))
+    n = cm.comment_count(F.col("comments"))
+    last = F.to_timestamp(cm.last_valid_comment_time(F.col("comments")))
+    return round_doubles(
+        posts.select(
+            "doc_id",
+            n.cast("int").alias("num_of_comments"),
+            last.alias("last_comment_at"),
+            cm.seconds_per_comment(F.col("created_at"), last, n).alias("seconds_per_comment"),
+        )
+    )

@@ -121,3 +121,59 @@ def site_dates(spark: SparkSession, root: str) -> DataFrame:
         .otherwise(F.date_format(d, "yyyy-MM-dd  HH:mm:ss"))
     )
     return o.select("o_orderkey", source_by("o_orderkey").alias("data_source"), txt.alias("date_text"), d.alias("o_orderdate"))
+
+
+def thread_items(spark: SparkSession, root: str) -> DataFrame:
+    """conversations as flat comment items: post = conv_id, pos = turn (list index),
+    is_reply = assistant turn; system and user turns are parents."""
+    c = read_table(spark, root, "conversations")
+    return c.select(F.col("conv_id").alias("post"), F.col("turn").alias("pos"), "role", (F.col("role") == "assistant").alias("is_reply"), "text")
+
+
+# Fixed values for the nested-comment fixture: comment k of a post is written k * 97
+# minutes after the post; lines shorter than 20 characters stand for deleted comments.
+COMMENT_STEP_MINUTES = 97
+DELETED_BELOW_CHARS = 20
+SITE_LAYOUTS = {"dc": "yyyy.MM.dd HH:mm:ss", "naver": "yyyy.MM.dd. HH:mm", "bobae": "yy.MM.dd  HH:mm", "clien": "yyyy-MM-dd  HH:mm:ss"}
+
+
+def raw_threads(spark: SparkSession, root: str) -> DataFrame:
+    """documents -> raw posts with nested comments as the crawlers write them.
+
+    First line = post content, each further line = one comment (author `a<k>`, time in
+    the site's layout, blank time for a deleted comment). bobae posts use the wrapped
+    `{comment, children}` shape, the others the flat shape; single-line documents have
+    `comments: null`. `comments_json` is the raw JSON text (input of C1). Per-row
+    transformation only: no grouping is involved."""
+    d = read_table(spark, root, "documents")
+    src = source_by("doc_id")
+    base = F.timestamp_add("HOUR", F.col("doc_id"), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    lines = F.split(F.col("text"), "\n", -1)
+
+    def fmt(t):
+        return (
+            F.when(src == "dc", F.date_format(t, SITE_LAYOUTS["dc"]))
+            .when(src == "naver", F.date_format(t, SITE_LAYOUTS["naver"]))
+            .when(src == "bobae", F.date_format(t, SITE_LAYOUTS["bobae"]))
+            .otherwise(F.date_format(t, SITE_LAYOUTS["clien"]))
+        )
+
+    def one(line, i):
+        k = i + 1
+        t = F.timestamp_add("MINUTE", k * COMMENT_STEP_MINUTES, base)
+        created = F.when(F.length(line) < DELETED_BELOW_CHARS, F.lit(" ")).otherwise(fmt(t))
+        return F.struct(F.concat(F.lit("a"), k.cast("string")).alias("author"), line.alias("content"), created.alias("created_at"))
+
+    flat = F.transform(F.slice(lines, 2, F.size(lines)), one)
+    flat_json = F.to_json(F.transform(flat, lambda c: c.withField("num_of_comments", F.lit("0")).withField("children", F.array().cast("array<struct<author:string,content:string,created_at:string>>"))))
+    wrapped_json = F.to_json(F.transform(flat, lambda c: F.struct(c.alias("comment"), F.array().cast("array<struct<author:string,content:string,created_at:string>>").alias("children"))))
+    cj = F.when(F.size(lines) <= 1, F.lit("null")).when(src == "bobae", wrapped_json).otherwise(flat_json)
+    return d.select(
+        "doc_id",
+        src.alias("data_source"),
+        F.element_at(lines, 1).alias("content"),
+        base.alias("created_at"),
+        (F.col("n_chars") % 1000).alias("viewed"),
+        (F.col("doc_id") % 17).alias("liked"),
+        cj.alias("comments_json"),
+    )

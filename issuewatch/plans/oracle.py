@@ -316,3 +316,62 @@ SELECT event_id, ts, timezone('Asia/Seoul', CAST(ts AS TIMESTAMPTZ)) AS local_ts
 SQL["text_concat"] = """
 SELECT conv_id, turn, replace(coalesce(role, '') || ' ' || coalesce(text, ''), chr(10), ' ') AS scoring_text
 FROM conversations"""
+
+# --- comments and threads ------------------------------------------------------------
+
+SQL["comment_threads"] = """
+WITH it AS (
+  SELECT conv_id, turn, role, role = 'assistant' AS is_reply,
+         max(CASE WHEN role <> 'assistant' OR turn = 0 THEN turn END)
+           OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS thread_pos
+  FROM conversations
+)
+SELECT p.conv_id, p.turn AS thread_pos, p.role,
+       (SELECT count(*) FROM it r WHERE r.conv_id = p.conv_id AND r.thread_pos = p.turn AND r.turn <> p.turn) AS reply_count
+FROM it p WHERE p.thread_pos = p.turn"""
+
+SQL["threads_by_count"] = """
+WITH it AS (
+  SELECT conv_id, turn, role, text,
+         CASE WHEN role = 'user' THEN length(text) % 3 ELSE 0 END AS num_of_comments,
+         lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt_turn,
+         lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt_text
+  FROM conversations
+)
+SELECT conv_id, turn, role, num_of_comments,
+       CASE WHEN num_of_comments > 0 THEN nxt_turn END AS reply_pos,
+       CASE WHEN num_of_comments > 0 THEN nxt_text END AS replies
+FROM it WHERE role <> 'assistant'"""
+
+RAW_THREADS = """
+rt AS (
+  SELECT doc_id, string_split(text, chr(10)) AS lines, n_chars,
+         TIMESTAMP '2024-01-01 00:00:00' + to_hours(doc_id) AS created_at
+  FROM documents
+),
+cmt AS (
+  SELECT doc_id, k, lines[k + 1] AS content, length(lines[k + 1]) >= 20 AS valid,
+         created_at + to_minutes(k * 97) AS t
+  FROM (SELECT doc_id, lines, created_at, unnest(range(1, len(lines))) AS k FROM rt)
+),
+posts AS (
+  SELECT rt.doc_id, lines[1] AS content, rt.created_at, n_chars % 1000 AS viewed, doc_id % 17 AS liked,
+         len(lines) - 1 AS n, (SELECT max(k) FROM cmt WHERE cmt.doc_id = rt.doc_id AND valid) AS k_last
+  FROM rt
+)"""
+
+SQL["post_comment_rows"] = with_(RAW_THREADS) + """
+SELECT doc_id, CAST(k - 1 AS INTEGER) AS item_order, content, t AS created_at, 0 AS viewed, 0 AS liked,
+       1 AS post_type, 0 AS num_of_comments, 0.0 AS seconds_per_comment
+FROM cmt WHERE valid
+UNION ALL
+SELECT doc_id, 2147483647 AS item_order, content, created_at, CAST(viewed AS INTEGER), CAST(liked AS INTEGER), 0 AS post_type,
+       CAST(n AS INTEGER) AS num_of_comments,
+       CASE WHEN n = 0 THEN 0.0 ELSE round(CAST(((k_last * 97 * 60) % 86400) AS DOUBLE) / n, 6) END AS seconds_per_comment
+FROM posts"""
+
+SQL["seconds_per_comment"] = with_(RAW_THREADS) + """
+SELECT doc_id, CAST(n AS INTEGER) AS num_of_comments,
+       CASE WHEN k_last IS NOT NULL THEN created_at + to_minutes(k_last * 97) END AS last_comment_at,
+       CASE WHEN n = 0 THEN 0.0 ELSE round(CAST(((k_last * 97 * 60) % 86400) AS DOUBLE) / n, 6) END AS seconds_per_comment
+FROM posts"""
