@@ -44,3 +44,40 @@ def clean_titles(df: DataFrame, col: str = "title", source_col: str = "data_sour
     src = F.col(source_col)
     t = F.when(src == "bobae", text.clean_title_bobae(col)).when(src == "clien", text.clean_title_clien(col)).otherwise(F.col(col))
     return df.withColumn(col, t)
+
+
+RAW_DATA_COLUMNS = [
+    "title", "content", "author", "created_at", "viewed", "liked", "num_of_comments",
+    "comments", "model", "data_source", "keywords", "file_create_time", "sentiment", "url",
+]
+
+
+def to_raw_data(df: DataFrame, snapshot) -> DataFrame:
+    """P1 (+C4, C5): stamp the snapshot, cast with try_cast (bad values -> NULL, not a
+    failed job under ANSI), comments as JSON text, keywords kept as an array (SURVEY D1),
+    14 columns in the warehouse order."""
+    comments = F.col("comments")
+    is_text = dict(df.dtypes).get("comments") == "string"
+    return df.select(
+        F.col("title").cast("string").alias("title"),
+        F.col("content").cast("string").alias("content"),
+        F.col("author").cast("string").alias("author"),
+        F.col("created_at").try_cast("timestamp").alias("created_at"),
+        F.col("viewed").try_cast("int").alias("viewed"),
+        F.col("liked").try_cast("int").alias("liked"),
+        F.col("num_of_comments").try_cast("int").alias("num_of_comments"),
+        (comments if is_text else F.to_json(comments)).alias("comments"),
+        F.col("model").cast("string").alias("model"),
+        F.col("data_source").cast("string").alias("data_source"),
+        F.col("keywords").alias("keywords"),
+        snapshot.try_cast("timestamp").alias("file_create_time"),
+        F.col("sentiment").try_cast("float").alias("sentiment"),
+        F.col("url").cast("string").alias("url"),
+    )
+
+
+def raw_data_view(raw: DataFrame, width: int = 255) -> DataFrame:
+    """P2 + C3: one row per keyword, content and comments cut to `width` characters."""
+    cols = [c for c in raw.columns if c != "keywords"]
+    v = raw.select(F.explode("keywords").alias("current_keyword"), *cols)
+    return v.withColumn("content", F.substring("content", 1, width)).withColumn("comments", F.substring("comments", 1, width))

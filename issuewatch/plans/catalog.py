@@ -225,3 +225,119 @@ def q_seconds_per_comment(spark, root):
             cm.seconds_per_comment(F.col("created_at"), last, n).alias("seconds_per_comment"),
         )
     )
+
+
+# --- sources, sinks, projections ------------------------------------------------------
+
+from ..sources import files as fl  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+
+def _parsed_files(spark, root):
+    f = fx.file_list(spark, root)
+    m = fl.parse_file_meta(F.col("key"))
+    return f.select("key", "file_mtime", *[v.alias(k) for k, v in m.items()])
+
+
+@query("file_meta")
+def q_file_meta(spark, root):
+    return _parsed_files(spark, root).select("key", "file_name", "data_source", "model", "snapshot")
+
+
+@query("newest_files")
+def q_newest_files(spark, root):
+    return fl.newest_files(_parsed_files(spark, root), 4).select("snapshot", "file_name", "file_mtime")
+
+
+@query("latest_complete_snapshot")
+def q_latest_complete_snapshot(spark, root):
+    files = _parsed_files(spark, root)
+    latest = fl.latest_snapshot(files)
+    c = fl.complete_snapshots(files, 4)
+    return c.select("snapshot", F.col("n_sources").cast("bigint").alias("n_sources"), "is_complete", (F.col("snapshot") == latest).alias("is_latest"))
+
+
+@query("dedupe_snapshot")
+def q_dedupe_snapshot(spark, root):
+    p = fx.kw_posts(spark, root).select("file_create_time", "data_source", "url", "event_id", "viewed")
+    return fl.dedupe_by_url(p, ["file_create_time", "data_source"], ["viewed", "event_id"])
+
+
+@query("union_sources")
+def q_union_sources(spark, root):
+    p = fx.kw_posts(spark, root)
+    cols = ["event_id", "url", "created_at", "data_source", "keywords", "viewed", "liked", "num_of_comments", "sentiment"]
+    parts = []
+    for i, s in enumerate(fx.SOURCES):
+        part = p.filter(F.col("data_source") == s).select(*(cols[i:] + cols[:i]))  # column order differs per source
+        if s == "clien":
+            part = part.withColumn("modified_at", F.col("created_at").cast("string"))
+        parts.append(part)
+    u = parts[0]
+    for part in parts[1:]:
+        u = u.unionByName(part, allowMissingColumns=True)
+    return u.drop("modified_at").select(*cols)
+
+
+def _raw_posts(spark, root):
+    rt = fx.raw_threads(spark, root)
+    comments = cm.normalise_comments(F.col("comments_json"))
+    return rt.select(
+        F.concat_ws(" ", "data_source", F.col("doc_id").cast("string")).alias("title"),
+        "content",
+        F.col("data_source").alias("author"),
+        "created_at",
+        "viewed",
+        "liked",
+        cm.comment_count(comments).alias("num_of_comments"),
+        comments.alias("comments"),
+        F.lit("doc").alias("model"),
+        "data_source",
+        F.array(F.col("data_source"), F.concat(F.lit("k"), (F.col("doc_id") % 7).cast("string"))).alias("keywords"),
+        ((F.col("doc_id") % 100) / F.lit(100.0)).alias("sentiment"),
+        F.concat(F.lit("d/"), F.col("doc_id").cast("string")).alias("url"),
+    )
+
+
+@query("raw_data_projection")
+def q_raw_data_projection(spark, root):
+    return round_doubles(normalise.to_raw_data(_raw_posts(spark, root), F.lit("2024-02-01 00:00:00")))
+
+
+@query("raw_data_view")
+def q_raw_data_view(spark, root):
+    raw = normalise.to_raw_data(_raw_posts(spark, root), F.lit("2024-02-01 00:00:00"))
+    return round_doubles(normalise.raw_data_view(raw).select("url", "current_keyword", "content", "comments", "sentiment"))
+
+
+@query("failed_post_filter")
+def q_failed_post_filter(spark, root):
+    d = fx.site_dates(spark, root)
+    k = F.col("o_orderkey")
+    d = d.withColumn("date_text", F.when(k % 13 == 0, F.lit(" ")).when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("date_text")))
+    return fl.drop_failed_posts(d, "date_text").select("o_orderkey", "data_source", "date_text")
+
+
+@query("listing_window")
+def q_listing_window(spark, root):
+    o = read_orders(spark, root)
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    src = F.element_at(F.array(F.lit("bobae"), F.lit("clien"), F.lit("naver")), (k % 3 + 1).cast("int"))
+    txt = (
+        F.when(k % 3 == 0, F.date_format(d, "yy. MM. dd"))
+        .when(k % 3 == 1, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+        .when(k % 5 == 0, F.lit("15:40"))
+        .otherwise(F.date_format(d, "yyyy.MM.dd."))
+    )
+    start = o.select(F.max("o_orderdate")).scalar().cast("timestamp")
+    items = o.select("o_orderkey", src.alias("data_source"), txt.alias("listing_text"))
+    posted = dates.parse_listing_date(F.col("listing_text"), F.col("data_source"), start)
+    items = items.withColumn("posted_date", posted)
+    return items.filter(dates.in_listing_window(F.col("posted_date"), start, 30)).withColumn("look_back", dates.look_back_date(start, 30))
+
+
+@query("keywords_json_roundtrip")
+def q_keywords_json_roundtrip(spark, root):
+    p = fx.kw_posts(spark, root)
+    j = F.to_json("keywords")
+    return p.select("event_id", j.alias("keywords_json"), F.from_json(j, "array<string>").alias("keywords"))

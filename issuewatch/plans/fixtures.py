@@ -177,3 +177,13 @@ def raw_threads(spark: SparkSession, root: str) -> DataFrame:
         (F.col("doc_id") % 17).alias("liked"),
         cj.alias("comments_json"),
     )
+
+
+def file_list(spark: SparkSession, root: str) -> DataFrame:
+    """kw_posts as an object listing: one file per (source, first keyword, hour), named
+    `keywords/<iso hour>/<source>_<keyword>_<iso hour>.jsonl` with ':' url-encoded;
+    modification time = newest post in it."""
+    p = kw_posts(spark, root)
+    iso = F.date_format("file_create_time", "yyyy-MM-dd'T'HH:mm:ss")
+    key = F.concat(F.lit("keywords/"), iso, F.lit("/"), F.col("data_source"), F.lit("_"), F.col("keywords")[0], F.lit("_"), iso, F.lit(".jsonl"))
+    return p.groupBy(F.replace(key, F.lit(":"), F.lit("%3A")).alias("key")).agg(F.max("created_at").cast("timestamp").alias("file_mtime"))

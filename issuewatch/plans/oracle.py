@@ -375,3 +375,105 @@ SELECT doc_id, CAST(n AS INTEGER) AS num_of_comments,
        CASE WHEN k_last IS NOT NULL THEN created_at + to_minutes(k_last * 97) END AS last_comment_at,
        CASE WHEN n = 0 THEN 0.0 ELSE round(CAST(((k_last * 97 * 60) % 86400) AS DOUBLE) / n, 6) END AS seconds_per_comment
 FROM posts"""
+
+# --- sources, sinks, projections -------------------------------------------------------
+
+FILE_LIST = """
+file_list AS (
+  SELECT replace('keywords/' || strftime(file_create_time, '%Y-%m-%dT%H:%M:%S') || '/' || data_source || '_' || keywords[1]
+                 || '_' || strftime(file_create_time, '%Y-%m-%dT%H:%M:%S') || '.jsonl', ':', '%3A') AS key,
+         CAST(max(created_at) AS TIMESTAMP) AS file_mtime
+  FROM kw_posts GROUP BY 1
+),
+files AS (
+  SELECT key, file_mtime, regexp_extract(url_decode(key), '([^/]+)$', 1) AS file_name,
+         split_part(regexp_extract(url_decode(key), '([^/]+)$', 1), '_', 1) AS data_source,
+         split_part(regexp_extract(url_decode(key), '([^/]+)$', 1), '_', 2) AS model,
+         strptime(regexp_extract(url_decode(key), '(\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2})\\.jsonl$', 1), '%Y-%m-%dT%H:%M:%S') AS snapshot
+  FROM file_list
+)"""
+
+SQL["file_meta"] = with_(KW_POSTS, FILE_LIST) + "SELECT key, file_name, data_source, model, snapshot FROM files"
+
+SQL["newest_files"] = with_(KW_POSTS, FILE_LIST) + """
+SELECT snapshot, file_name, file_mtime FROM files
+QUALIFY row_number() OVER (PARTITION BY snapshot ORDER BY file_mtime DESC, file_name ASC) <= 4"""
+
+SQL["latest_complete_snapshot"] = with_(KW_POSTS, FILE_LIST) + """
+SELECT snapshot, count(DISTINCT data_source) AS n_sources, count(DISTINCT data_source) >= 4 AS is_complete,
+       snapshot = (SELECT snapshot FROM files ORDER BY file_mtime DESC, snapshot DESC LIMIT 1) AS is_latest
+FROM files GROUP BY snapshot"""
+
+SQL["dedupe_snapshot"] = with_(KW_POSTS) + """
+SELECT file_create_time, data_source, url, event_id, viewed FROM kw_posts
+QUALIFY row_number() OVER (PARTITION BY file_create_time, data_source, url ORDER BY viewed DESC, event_id DESC) = 1"""
+
+SQL["union_sources"] = with_(KW_POSTS) + """
+SELECT event_id, url, created_at, data_source, keywords, viewed, liked, num_of_comments, sentiment FROM kw_posts"""
+
+RAW_POSTS = """
+rp AS (
+  SELECT doc_id, data_source, lines, created_at, n_chars,
+         list_transform(lines[2:], lambda line, i: struct_pack(
+             author := 'a' || CAST(i AS VARCHAR), content := line,
+             created_at := CASE WHEN length(line) < 20 THEN ' '
+                 WHEN data_source = 'dc' THEN strftime(created_at + to_minutes(i * 97), '%Y.%m.%d %H:%M:%S')
+                 WHEN data_source = 'naver' THEN strftime(created_at + to_minutes(i * 97), '%Y.%m.%d. %H:%M')
+                 WHEN data_source = 'bobae' THEN strftime(created_at + to_minutes(i * 97), '%y.%m.%d  %H:%M')
+                 ELSE strftime(created_at + to_minutes(i * 97), '%Y-%m-%d  %H:%M:%S') END,
+             num_of_comments := '0',
+             children := CAST([] AS STRUCT(author VARCHAR, content VARCHAR, created_at VARCHAR)[]))) AS comments
+  FROM (SELECT doc_id, ['dc','naver','bobae','clien'][CAST(doc_id % 4 AS INTEGER) + 1] AS data_source,
+               string_split(text, chr(10)) AS lines, n_chars,
+               TIMESTAMP '2024-01-01 00:00:00' + to_hours(doc_id) AS created_at FROM documents)
+),
+raw AS (
+  SELECT data_source || ' ' || CAST(doc_id AS VARCHAR) AS title, lines[1] AS content, data_source AS author,
+         created_at, CAST(n_chars % 1000 AS INTEGER) AS viewed, CAST(doc_id % 17 AS INTEGER) AS liked,
+         CAST(len(comments) AS INTEGER) AS num_of_comments, CAST(to_json(comments) AS VARCHAR) AS comments,
+         'doc' AS model, data_source, [data_source, 'k' || CAST(doc_id % 7 AS VARCHAR)] AS keywords,
+         TIMESTAMP '2024-02-01 00:00:00' AS file_create_time,
+         round(CAST(CAST((doc_id % 100) / 100.0 AS FLOAT) AS DOUBLE), 6) AS sentiment,
+         'd/' || CAST(doc_id AS VARCHAR) AS url
+  FROM rp
+)"""
+
+SQL["raw_data_projection"] = with_(RAW_POSTS) + "SELECT * FROM raw"
+
+SQL["raw_data_view"] = with_(RAW_POSTS) + """
+SELECT url, unnest(keywords) AS current_keyword, substring(content, 1, 255) AS content,
+       substring(comments, 1, 255) AS comments, sentiment
+FROM raw"""
+
+SQL["failed_post_filter"] = with_(SITE_DATES) + """
+SELECT o_orderkey, data_source, date_text FROM (
+  SELECT o_orderkey, data_source,
+         CASE WHEN o_orderkey % 13 = 0 THEN ' ' WHEN o_orderkey % 17 = 0 THEN NULL ELSE date_text END AS date_text
+  FROM site_dates)
+WHERE length(trim(date_text)) > 0"""
+
+SQL["listing_window"] = """
+WITH s AS (SELECT CAST(max(o_orderdate) AS DATE) AS d FROM orders),
+items AS (
+  SELECT o_orderkey, ['bobae','clien','naver'][CAST(o_orderkey % 3 AS INTEGER) + 1] AS data_source,
+         CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%y. %m. %d')
+              WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+              WHEN o_orderkey % 5 = 0 THEN '15:40'
+              ELSE strftime(o_orderdate, '%Y.%m.%d.') END AS listing_text
+  FROM orders
+),
+parsed AS (
+  SELECT items.*, CASE data_source
+      WHEN 'bobae' THEN make_date(CASE WHEN CAST(split_part(listing_text, '.', 1) AS INTEGER) >= 69 THEN 1900 ELSE 2000 END
+                                  + CAST(split_part(listing_text, '.', 1) AS INTEGER),
+                                  CAST(trim(split_part(listing_text, '.', 2)) AS INTEGER), CAST(trim(split_part(listing_text, '.', 3)) AS INTEGER))
+      WHEN 'clien' THEN CAST(strptime(listing_text, '%Y-%m-%d %H:%M:%S') AS DATE)
+      ELSE CASE WHEN regexp_matches(listing_text, '^\\d{4}.\\d{2}.\\d{2}.$') THEN CAST(strptime(listing_text, '%Y.%m.%d.') AS DATE) ELSE s.d END
+    END AS posted_date, s.d AS d
+  FROM items, s
+)
+SELECT o_orderkey, data_source, listing_text, posted_date, CAST(d - 30 AS DATE) AS look_back
+FROM parsed WHERE posted_date >= d - 31 AND posted_date <= d"""
+
+SQL["keywords_json_roundtrip"] = with_(KW_POSTS) + """
+SELECT event_id, CAST(to_json(keywords) AS VARCHAR) AS keywords_json, keywords FROM kw_posts"""
