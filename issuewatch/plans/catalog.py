@@ -341,3 +341,70 @@ def q_keywords_json_roundtrip(spark, root):
     p = fx.kw_posts(spark, root)
     j = F.to_json("keywords")
     return p.select("event_id", j.alias("keywords_json"), F.from_json(j, "array<string>").alias("keywords"))
+
+
+CONV_SCHEMA = "conv_id bigint, turn bigint, role string, text string, _corrupt_record string"
+
+
+@query("tolerant_json")
+def q_tolerant_json(spark, root):
+    """S3: conversations written as JSON lines where some lines are cut in half (broken)
+    and some are `{}`; the tolerant read keeps every intact row, quarantines the broken
+    ones and drops the empty records (P4)."""
+    from pyspark.sql import types as T
+
+    c = read_table(spark, root, "conversations")
+    j = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    line = F.when(F.col("turn") % 9 == 4, F.substring(j, 1, (F.length(j) / 2).cast("int"))).when(F.col("turn") % 11 == 7, F.lit("{}")).otherwise(j)
+    out = scratch_path(spark, "tolerant-json")
+    c.select(line.alias("value")).write.mode("overwrite").text(out)
+    schema = T._parse_datatype_string(CONV_SCHEMA)
+    good, _bad = fl.read_jsonl_tolerant(spark, out, schema)
+    return fl.drop_failed_posts(good.withColumn("_k", F.col("conv_id").cast("string")), "_k").select("conv_id", "turn", "role", "text")
+
+
+def _raw_post_lines(spark, root):
+    p = fx.kw_posts(spark, root)
+    return p.select(
+        F.col("event_type").alias("title"),
+        F.concat(F.lit("value "), F.col("value").cast("string")).alias("content"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("author"),
+        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("created_at"),
+        F.when(F.col("data_source") == "clien", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")).alias("modified_at"),
+        F.col("viewed").cast("string").alias("viewed"),
+        F.col("liked").cast("string").alias("liked"),
+        F.col("num_of_comments").cast("string").alias("num_of_comments"),
+        "url",
+        "keywords",
+        "sentiment",
+        F.date_format("file_create_time", "yyyy-MM-dd'T'HH-mm-ss").alias("snapshot_key"),
+        "data_source",
+    )
+
+
+@query("snapshot_read")
+def q_snapshot_read(spark, root):
+    """S5 -> S1: posts written as JSON lines per (snapshot, source) folder, then the
+    newest snapshot read back (newest 4 sources, failed rows dropped, url dedupe)."""
+    out = scratch_path(spark, "posts-jsonl")
+    fl.write_posts_jsonl(_raw_post_lines(spark, root), out)
+    r = fl.read_snapshot(spark, out)
+    return r.select("snapshot_key", "data_source", "url", "created_at", F.col("viewed").try_cast("bigint").alias("viewed"), "title")
+
+
+@query("roundtrip_tables")
+def q_roundtrip_tables(spark, root):
+    """Posts appended to a Parquet table partitioned by snapshot date twice
+    (a replayed batch), read back (no duplicates: dynamic partition overwrite), and
+    written / read as CSV with a header."""
+    p = fx.kw_posts(spark, root).select("event_id", "url", "data_source", "viewed", F.to_date("file_create_time").alias("snapshot_date"))
+    tbl = scratch_path(spark, "raw-data")
+    fl.write_table(p, tbl, "append")
+    fl.write_table(p, tbl, "append")
+    back = spark.read.parquet(tbl)
+    csv = scratch_path(spark, "raw-data-csv")
+    fl.write_csv(p, csv)
+    cback = spark.read.option("header", True).csv(csv)
+    a = back.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("viewed").alias("sum_viewed"))
+    b = cback.groupBy(F.to_date("snapshot_date").alias("snapshot_date")).agg(F.count(F.lit(1)).alias("n_csv_rows"))
+    return a.join(b, "snapshot_date", "full")

@@ -477,3 +477,18 @@ FROM parsed WHERE posted_date >= d - 31 AND posted_date <= d"""
 
 SQL["keywords_json_roundtrip"] = with_(KW_POSTS) + """
 SELECT event_id, CAST(to_json(keywords) AS VARCHAR) AS keywords_json, keywords FROM kw_posts"""
+
+SQL["tolerant_json"] = """
+SELECT conv_id, turn, role, text FROM conversations WHERE NOT (turn % 9 = 4) AND NOT (turn % 11 = 7)"""
+
+SQL["snapshot_read"] = with_(KW_POSTS) + """
+SELECT strftime(file_create_time, '%Y-%m-%dT%H-%M-%S') AS snapshot_key, data_source, url,
+       strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, viewed, event_type AS title
+FROM kw_posts
+WHERE file_create_time = (SELECT max(file_create_time) FROM kw_posts)
+QUALIFY row_number() OVER (PARTITION BY data_source, url ORDER BY created_at DESC) = 1"""
+
+SQL["roundtrip_tables"] = with_(KW_POSTS) + """
+SELECT CAST(file_create_time AS DATE) AS snapshot_date, count(*) AS n_rows, sum(viewed) AS sum_viewed,
+       count(*) AS n_csv_rows
+FROM kw_posts GROUP BY 1"""

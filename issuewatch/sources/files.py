@@ -106,11 +106,17 @@ def read_snapshot(spark: SparkSession, root: str, snapshot: str | None = None, k
     dedupes by url within each source file set (A6). Broken lines are skipped (S3)."""
     schema = T.StructType(RAW_POST.fields + [T.StructField("snapshot_key", T.StringType()), T.StructField("data_source", T.StringType())])
     good, _ = read_jsonl_tolerant(spark, root.rstrip("/"), schema)
-    if snapshot is not None:
-        good = good.filter(F.col("snapshot_key") == snapshot)
+    # file listing from folder names and file metadata only (no JSON parsing needed)
+    plain = T.StructType([f for f in schema.fields if f.name != "_corrupt_record"])
+    listing = spark.read.schema(plain).json(root.rstrip("/")).select(
+        "snapshot_key", "data_source", F.col("_metadata.file_modification_time").alias("file_mtime")
+    )
+    if snapshot is None:
+        snapshot = listing.select(F.max("snapshot_key")).scalar()
     else:
-        good = good.filter(F.col("snapshot_key") == good.select(F.max("snapshot_key")).scalar())
-    per_source = good.groupBy("snapshot_key", "data_source").agg(F.max("file_mtime").alias("file_mtime"))
+        snapshot = F.lit(snapshot)
+    good = good.filter(F.col("snapshot_key") == snapshot)
+    per_source = listing.filter(F.col("snapshot_key") == snapshot).groupBy("snapshot_key", "data_source").agg(F.max("file_mtime").alias("file_mtime"))
     w = Window.partitionBy("snapshot_key").orderBy(F.desc("file_mtime"), F.asc("data_source"))
     chosen = per_source.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).select("snapshot_key", "data_source")
     rows = drop_failed_posts(good).join(chosen, ["snapshot_key", "data_source"], "left_semi")
@@ -127,15 +133,26 @@ def dedupe_by_url(df: DataFrame, scope: list[str], order: list[str], url: str =
     return g.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def write_posts_jsonl(df: DataFrame, out: str, partition_cols=("snapshot_key", "data_source")) -> None:
-    """UTF-8 JSON lines (non-ASCII kept), one folder per snapshot and source."""
-    df.write.mode("overwrite").partitionBy(*partition_cols).json(out)
+def write_posts_jsonl(df: DataFrame, out: str, partition_cols=("snapshot_key", "data_source"), spread: int = 1) -> None:
+    """UTF-8 JSON lines (non-ASCII kept), one folder per snapshot and source.
+
+    Rows are hash-partitioned on the folder columns so each folder is written by one
+    task (one file, like the crawler's one file per source and snapshot) and folders are
+    written in parallel. `spread` > 1 adds a salt so that a folder holding a large share
+    of the rows is written by `spread` tasks (and files) instead of one."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in partition_cols]
+    if spread > 1:
+        keys.append(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)))
+    df.repartition(n, *keys).write.mode("overwrite").partitionBy(*partition_cols).json(out)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: str | None = "snapshot_date") -> None:
     """Append / overwrite a Parquet table. Appends are idempotent per snapshot:
     dynamic partition overwrite replaces only the snapshot partitions being written, so
     a replayed batch does not duplicate rows."""
+    if partition_by:
+        df = df.hint("rebalance", partition_by)
     w = df.write.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(partition_by)
