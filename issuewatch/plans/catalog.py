@@ -408,3 +408,33 @@ def q_roundtrip_tables(spark, root):
     a = back.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("viewed").alias("sum_viewed"))
     b = cback.groupBy(F.to_date("snapshot_date").alias("snapshot_date")).agg(F.count(F.lit(1)).alias("n_csv_rows"))
     return a.join(b, "snapshot_date", "full")
+
+
+# --- page extraction ------------------------------------------------------------------
+
+from ..operators import pages as pg  # noqa: E402
+
+
+@query("page_posts")
+def q_page_posts(spark, root):
+    p = pg.extract_posts(fx.raw_pages(spark, root))
+    return p.select("page_id", "data_source", "title", "content", "author", "ok")
+
+
+@query("page_links")
+def q_page_links(spark, root):
+    return pg.extract_links(fx.raw_pages(spark, root))
+
+
+@query("comment_defaults")
+def q_comment_defaults(spark, root):
+    c = read_table(spark, root, "conversations")
+    items = c.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("turn") % 10 == 3, F.lit("ub-content blocked")).when(F.col("role") == "system", F.lit("notice")).otherwise(F.lit("ub-content")).alias("class"),
+        F.when(F.col("turn") % 7 != 5, F.concat(F.lit("n"), F.col("conv_id").cast("string"))).alias("author"),
+        F.when(F.length("text") >= 40, F.col("text")).alias("content"),
+        F.date_format(F.timestamp_add("MINUTE", F.col("conv_id") * 60 + F.col("turn"), F.lit("2024-01-01 00:00:00").cast("timestamp")), "yyyy.MM.dd HH:mm:ss").alias("created_at"),
+    )
+    return pg.comment_defaults(items).select("conv_id", "turn", "author", "content", "created_at")

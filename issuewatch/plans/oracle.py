@@ -492,3 +492,41 @@ SQL["roundtrip_tables"] = with_(KW_POSTS) + """
 SELECT CAST(file_create_time AS DATE) AS snapshot_date, count(*) AS n_rows, sum(viewed) AS sum_viewed,
        count(*) AS n_csv_rows
 FROM kw_posts GROUP BY 1"""
+
+# --- page extraction -------------------------------------------------------------------
+
+
+def s_strip_tags(x):
+    return ("trim(regexp_replace(regexp_replace(regexp_replace(" + x + ", '(?s)<h1>.*?</h1>', ' ', 'g'), "
+            "'<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))")
+
+
+SQL["page_posts"] = with_(RAW_PAGES) + f"""
+SELECT page_id, data_source, title, content, author,
+       length(title) > 0 AND length(content) > 0 AND length(author) > 0 AS ok
+FROM (
+  SELECT page_id, data_source,
+         {s_unescape("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title,
+         {s_unescape(s_strip_tags("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"))} AS content,
+         regexp_extract(html, '<footer>&copy; ([^ <]+)', 1) AS author
+  FROM raw_pages)"""
+
+SQL["page_links"] = """
+SELECT page_id, CAST(i - 1 AS INTEGER) AS link_pos, hrefs[i] AS href,
+       CASE WHEN starts_with(hrefs[i], '/') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || hrefs[i] ELSE hrefs[i] END AS link_url
+FROM (SELECT page_id, url, hrefs, unnest(range(1, len(hrefs) + 1)) AS i
+      FROM (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs FROM pages))"""
+
+SQL["comment_defaults"] = """
+SELECT conv_id, turn,
+       CASE WHEN author IS NULL OR created_at IS NULL THEN ' ' ELSE author END AS author,
+       CASE WHEN author IS NULL OR created_at IS NULL THEN '해당 댓글은 삭제되었습니다.' ELSE coalesce(content, ' ') END AS content,
+       CASE WHEN author IS NULL OR created_at IS NULL THEN ' ' ELSE created_at END AS created_at
+FROM (
+  SELECT conv_id, turn,
+         CASE WHEN turn % 10 = 3 THEN 'ub-content blocked' WHEN role = 'system' THEN 'notice' ELSE 'ub-content' END AS class,
+         CASE WHEN turn % 7 <> 5 THEN 'n' || CAST(conv_id AS VARCHAR) END AS author,
+         CASE WHEN length(text) >= 40 THEN text END AS content,
+         strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id * 60 + turn), '%Y.%m.%d %H:%M:%S') AS created_at
+  FROM conversations)
+WHERE contains(class, 'ub-content') AND NOT contains(class, 'blocked')"""
