@@ -438,3 +438,23 @@ def q_comment_defaults(spark, root):
         F.date_format(F.timestamp_add("MINUTE", F.col("conv_id") * 60 + F.col("turn"), F.lit("2024-01-01 00:00:00").cast("timestamp")), "yyyy.MM.dd HH:mm:ss").alias("created_at"),
     )
     return pg.comment_defaults(items).select("conv_id", "turn", "author", "content", "created_at")
+
+
+# --- keywords ---------------------------------------------------------------------------
+
+from ..operators import keywords as kw  # noqa: E402
+
+
+@query("mmr_keywords")
+def q_mmr_keywords(spark, root):
+    """U3a on stored embeddings: label = document, vec_id = candidate, document vector =
+    mean of its candidates' vectors."""
+    e = read_table(spark, root, "embeddings").select(F.col("label").alias("doc"), "vec_id", "embedding")
+    dv = kw.mean_vectors(e, "doc", "embedding")
+    return kw.mmr(e, dv, "doc", "vec_id", "embedding").select("doc", F.col("rank").cast("int").alias("rank"), "vec_id")
+
+
+@query("document_keywords")
+def q_document_keywords(spark, root):
+    d = read_table(spark, root, "documents")
+    return kw.extract_keywords(d, "doc_id", "text").select("doc_id", F.col("rank").cast("int").alias("rank"), "keyword")

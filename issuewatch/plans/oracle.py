@@ -530,3 +530,72 @@ FROM (
          strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id * 60 + turn), '%Y.%m.%d %H:%M:%S') AS created_at
   FROM conversations)
 WHERE contains(class, 'ub-content') AND NOT contains(class, 'blocked')"""
+
+# --- keywords (MMR unrolled in SQL) -------------------------------------------------------
+
+
+def _cos(a, b):
+    return f"(list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b}))))"
+
+
+def mmr_sql(cands_cte: str, top_n: int = 5, d: float = 0.2) -> str:
+    """cands_cte defines c(doc, item, v DOUBLE[], sd DOUBLE). Returns CTE text + final SELECT."""
+    parts = [cands_cte]
+    prev_state = "c"
+    parts.append("s1 AS (SELECT doc, item, v, sd, CAST(NULL AS DOUBLE) AS m, true AS lft FROM c)")
+    selects = []
+    for k in range(1, top_n + 1):
+        st = f"s{k}"
+        score = "sd" if k == 1 else f"({1.0 - d!r} * sd - {d!r} * m)"
+        parts.append(
+            f"p{k} AS (SELECT doc, item AS pick, v AS pv FROM {st} WHERE lft "
+            f"QUALIFY row_number() OVER (PARTITION BY doc ORDER BY {score} DESC, item ASC) = 1)"
+        )
+        selects.append(f"SELECT doc, {k} AS rank, pick AS item FROM p{k}")
+        if k < top_n:
+            parts.append(
+                f"s{k + 1} AS (SELECT s.doc, s.item, s.v, s.sd, "
+                f"CASE WHEN p.pick IS NULL THEN s.m ELSE greatest(coalesce(s.m, -2.0), {_cos('s.v', 'p.pv')}) END AS m, "
+                f"s.lft AND (p.pick IS NULL OR s.item <> p.pick) AS lft "
+                f"FROM {st} s LEFT JOIN p{k} p USING (doc))"
+            )
+        prev_state = st
+    return "WITH " + ",\n".join(parts) + "\n" + "\nUNION ALL\n".join(selects)
+
+
+_MMR_EMB = """
+e AS (SELECT label AS doc, vec_id AS item, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+dv AS (SELECT doc, list(m ORDER BY pos) AS dvec
+       FROM (SELECT doc, pos, avg(x) AS m
+             FROM (SELECT doc, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS pos FROM e) GROUP BY doc, pos)
+       GROUP BY doc),
+c AS (SELECT e.doc, e.item, e.v, """ + _cos("e.v", "dv.dvec") + """ AS sd FROM e JOIN dv USING (doc))"""
+
+SQL["mmr_keywords"] = "SELECT doc, CAST(rank AS INTEGER) AS rank, item AS vec_id FROM (" + mmr_sql(_MMR_EMB) + ")"
+
+
+def _hashed(src: str, key: str, text: str) -> str:
+    """Signed hashed character-trigram counts (64 buckets) per key, as DOUBLE[64]."""
+    return f"""(
+  SELECT {key}, list(coalesce(val, 0.0) ORDER BY b) AS vec
+  FROM (SELECT k.{key}, r.b, cnt.val
+        FROM (SELECT DISTINCT {key} FROM {src}) k CROSS JOIN (SELECT unnest(range(0, 64)) AS b) r
+        LEFT JOIN (
+          SELECT {key}, (961 * cd[i] + 31 * cd[i + 1] + cd[i + 2]) % 64 AS b,
+                 sum(CASE WHEN (cd[i] + 7 * cd[i + 1] + 13 * cd[i + 2]) % 2 = 0 THEN 1.0 ELSE -1.0 END) AS val
+          FROM (SELECT {key}, cd, unnest(range(1, len(cd) - 1)) AS i
+                FROM (SELECT {key}, list_transform(regexp_extract_all(' ' || {text} || ' ', '(?s).'), lambda ch: CAST(unicode(ch) AS BIGINT)) AS cd
+                      FROM {src}))
+          GROUP BY ALL) cnt USING ({key}, b))
+  GROUP BY {key})"""
+
+
+_DOC_KW = f"""
+w AS (SELECT DISTINCT doc_id AS doc, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{2,}}')) AS item FROM documents),
+vocab AS (SELECT DISTINCT item FROM w),
+wv AS {_hashed('vocab', 'item', 'item')},
+ld AS (SELECT doc_id AS doc, lower(text) AS t FROM documents),
+dv AS {_hashed('ld', 'doc', 't')},
+c AS (SELECT w.doc, w.item, wv.vec AS v, {_cos('wv.vec', 'dv.vec')} AS sd FROM w JOIN wv USING (item) JOIN dv USING (doc))"""
+
+SQL["document_keywords"] = "SELECT doc AS doc_id, CAST(rank AS INTEGER) AS rank, item AS keyword FROM (" + mmr_sql(_DOC_KW) + ")"
