@@ -458,3 +458,26 @@ def q_mmr_keywords(spark, root):
 def q_document_keywords(spark, root):
     d = read_table(spark, root, "documents")
     return kw.extract_keywords(d, "doc_id", "text").select("doc_id", F.col("rank").cast("int").alias("rank"), "keyword")
+
+
+# --- sentiment ---------------------------------------------------------------------------
+
+from ..operators import sentiment as st  # noqa: E402
+
+
+def _sentiment(spark, root):
+    d = read_table(spark, root, "documents").select("doc_id", "text", "source")
+    train = d.join(read_table(spark, root, "labels").select("doc_id", "toxic"), "doc_id")
+    return d, st.score_sentiment(d, "doc_id", "text", train, "toxic")
+
+
+@query("sentiment_score")
+def q_sentiment_score(spark, root):
+    return round_doubles(_sentiment(spark, root)[1])
+
+
+@query("keyword_sentiment")
+def q_keyword_sentiment(spark, root):
+    d, s = _sentiment(spark, root)
+    g = d.select("doc_id", F.col("source").alias("current_keyword")).join(s, "doc_id")
+    return round_doubles(g.groupBy("current_keyword").agg(F.sum("sentiment").alias("sentiment"), F.count(F.lit(1)).alias("n_docs")))

@@ -599,3 +599,23 @@ dv AS {_hashed('ld', 'doc', 't')},
 c AS (SELECT w.doc, w.item, wv.vec AS v, {_cos('wv.vec', 'dv.vec')} AS sd FROM w JOIN wv USING (item) JOIN dv USING (doc))"""
 
 SQL["document_keywords"] = "SELECT doc AS doc_id, CAST(rank AS INTEGER) AS rank, item AS keyword FROM (" + mmr_sql(_DOC_KW) + ")"
+
+# --- sentiment (naive-Bayes lexicon) -----------------------------------------------------
+
+_NB = """
+tok AS (SELECT doc_id, token, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS token FROM documents) GROUP BY ALL),
+tr AS (SELECT t.*, l.toxic FROM tok t JOIN labels l USING (doc_id)),
+pt AS (SELECT token, sum(CASE WHEN toxic = 1 THEN n ELSE 0 END) AS n1, sum(CASE WHEN toxic = 0 THEN n ELSE 0 END) AS n0
+       FROM tr GROUP BY token),
+tot AS (SELECT sum(n1) AS tot1, sum(n0) AS tot0, count(*) AS V FROM pt),
+wt AS (SELECT token, ln((n1 + 1) / (tot1 + V)) - ln((n0 + 1) / (tot0 + V)) AS weight FROM pt, tot),
+pr AS (SELECT ln(CAST(sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS DOUBLE)) - ln(CAST(sum(CASE WHEN toxic = 0 THEN 1 ELSE 0 END) AS DOUBLE)) AS prior
+       FROM documents d JOIN labels l USING (doc_id)),
+sc AS (SELECT d.doc_id, d.source, 1.0 / (1.0 + exp(prior + coalesce(s, 0.0))) AS p_clean
+       FROM documents d LEFT JOIN (SELECT doc_id, sum(n * weight) AS s FROM tok JOIN wt USING (token) GROUP BY doc_id) x USING (doc_id), pr)"""
+
+SQL["sentiment_score"] = with_(_NB) + "SELECT doc_id, round(p_clean, 6) AS p_clean, round(1.0 - p_clean, 6) AS sentiment FROM sc"
+
+SQL["keyword_sentiment"] = with_(_NB) + """
+SELECT source AS current_keyword, round(sum(1.0 - p_clean), 6) AS sentiment, count(*) AS n_docs FROM sc GROUP BY source"""
