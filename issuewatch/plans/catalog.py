@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import issues
+from ..functions.scoring import issue_score
 from ..sources.tables import read_table
 from . import fixtures as fx
 from .common import round_doubles
@@ -481,3 +482,51 @@ def q_keyword_sentiment(spark, root):
     d, s = _sentiment(spark, root)
     g = d.select("doc_id", F.col("source").alias("current_keyword")).join(s, "doc_id")
     return round_doubles(g.groupBy("current_keyword").agg(F.sum("sentiment").alias("sentiment"), F.count(F.lit(1)).alias("n_docs")))
+
+
+# --- streaming ----------------------------------------------------------------------------
+
+from ..streaming import streams as sm  # noqa: E402
+
+
+def _event_files(spark, root):
+    """events written as one parquet file per day into the shared scratch folder (the
+    landing folder a crawler would fill)."""
+    e = read_table(spark, root, "events")
+    out = scratch_path(spark, "events-landing")
+    e.withColumn("_day", F.to_date("ts")).repartition("_day").write.partitionBy("_day").parquet(out)
+    return out, e.schema
+
+
+@query("stream_hour_issue")
+def q_stream_hour_issue(spark, root):
+    """R1 + R5: streaming closed-hour sums equal the batch sums of those hours."""
+    src, schema = _event_files(spark, root)
+    out = sm.hourly_issue_stream(spark, sm.file_stream(spark, src, schema), fx.posts_from_events, scratch_path(spark, "hourly"))
+    return round_doubles(spark.read.parquet(out).drop("batch_id"))
+
+
+@query("stream_snapshot_gate")
+def q_stream_snapshot_gate(spark, root):
+    """R3 + S6 + S11 + R6: complete snapshots recorded once by the gate stream."""
+    src, schema = _event_files(spark, root)
+    posts = fx.posts_from_events(sm.file_stream(spark, src, schema), keep=("src_file_id",))
+    processed = sm.snapshot_gate_stream(spark, posts, scratch_path(spark, "raw"), scratch_path(spark, "processed"))
+    return spark.read.parquet(processed).select(F.col("file_create_time").alias("snapshot"), F.col("n_sources").cast("bigint").alias("n_sources"))
+
+
+def _stage(df):
+    ex = df.select("src_file_id", "event_id", F.explode("keywords").alias("current_keyword"), "file_create_time", "viewed", "liked", "num_of_comments")
+    return ex.select("src_file_id", "event_id", "current_keyword", "file_create_time", issue_score("viewed", "liked", "num_of_comments").alias("current_issueization"))
+
+
+@query("stream_stages")
+def q_stream_stages(spark, root):
+    """R2 + R4: the same landing files streamed twice (fresh checkpoints = a replay);
+    the idempotent sink holds each row once."""
+    src, schema = _event_files(spark, root)
+    table = scratch_path(spark, "stage")
+    for _ in range(2):
+        posts = fx.posts_from_events(sm.file_stream(spark, src, schema), keep=("src_file_id",))
+        sm.replayable_stage_stream(spark, posts, _stage, table)
+    return round_doubles(spark.read.parquet(table).drop("src_file_id"))

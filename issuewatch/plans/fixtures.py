@@ -24,12 +24,17 @@ def source_by(key_col) -> F.Column:
 
 def kw_posts(spark: SparkSession, root: str) -> DataFrame:
     """events -> keyworded post rows (one row per event, snapshot = hour of ts)."""
-    e = read_table(spark, root, "events")
+    return posts_from_events(read_table(spark, root, "events"))
+
+
+def posts_from_events(e: DataFrame, keep=()) -> DataFrame:
+    """The kw_posts projection of an events DataFrame (batch or streaming)."""
     return e.select(
+        *keep,
         F.col("event_id"),
         F.concat(F.lit("u/"), (F.col("event_id") % 500).cast("string")).alias("url"),
         F.date_trunc("hour", "ts").alias("file_create_time"),
-        F.col("ts").alias("created_at"),
+        F.col("ts").cast("timestamp").alias("created_at"),
         source_by("event_id").alias("data_source"),
         F.array(F.col("event_type"), F.concat(F.lit("u"), (F.col("user_id") % 20).cast("string"))).alias("keywords"),
         F.floor("value").cast("bigint").alias("viewed"),

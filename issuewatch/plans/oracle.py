@@ -619,3 +619,28 @@ SQL["sentiment_score"] = with_(_NB) + "SELECT doc_id, round(p_clean, 6) AS p_cle
 
 SQL["keyword_sentiment"] = with_(_NB) + """
 SELECT source AS current_keyword, round(sum(1.0 - p_clean), 6) AS sentiment, count(*) AS n_docs FROM sc GROUP BY source"""
+
+# --- streaming (compared with the batch definitions) -------------------------------------
+
+SQL["stream_hour_issue"] = with_(KW_POSTS) + """
+SELECT created_at, current_keyword,
+       round(CAST(viewed AS DOUBLE) + ln(1 + liked) + ln(1 + num_of_comments), 6) AS current_issueization,
+       num_of_comments, viewed, liked, round(sentiment, 6) AS sentiment
+FROM (
+  SELECT file_create_time AS created_at, current_keyword,
+         CAST(sum(num_of_comments) AS BIGINT) AS num_of_comments,
+         CAST(sum(viewed) AS BIGINT) AS viewed, CAST(sum(liked) AS BIGINT) AS liked,
+         CAST(sum(sentiment) AS DOUBLE) AS sentiment
+  FROM (SELECT unnest(keywords) AS current_keyword, * FROM kw_posts)
+  GROUP BY ALL
+)
+WHERE created_at + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM kw_posts) - INTERVAL 1 HOUR"""
+
+SQL["stream_snapshot_gate"] = with_(KW_POSTS) + """
+SELECT file_create_time AS snapshot, count(DISTINCT data_source) AS n_sources
+FROM kw_posts GROUP BY file_create_time HAVING count(DISTINCT data_source) >= 4"""
+
+SQL["stream_stages"] = with_(KW_POSTS) + """
+SELECT event_id, unnest(keywords) AS current_keyword, file_create_time,
+       round(CAST(viewed AS DOUBLE) + ln(1 + liked) + ln(1 + num_of_comments), 6) AS current_issueization
+FROM kw_posts"""
