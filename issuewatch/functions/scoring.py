@@ -52,3 +52,17 @@ def cosine(a: Column, b: Column) -> Column:
 def negativity(p_clean: Column) -> Column:
     """M6: 1 - P(clean)."""
     return F.lit(1.0) - p_clean
+
+
+def dot_fixed(a: Column, b: Column, dim: int) -> Column:
+    """Inner product of two arrays of known length `dim`, unrolled into plain element
+    products so it compiles with whole-stage codegen (array HOFs are interpreted).
+    Summation order is left to right, the same as `dot`."""
+    acc = a[0].cast("double") * b[0].cast("double")
+    for i in range(1, dim):
+        acc = acc + a[i].cast("double") * b[i].cast("double")
+    return acc
+
+
+def norm_fixed(a: Column, dim: int) -> Column:
+    return F.sqrt(dot_fixed(a, a, dim))

@@ -19,10 +19,14 @@ pluggable defaults here are a letter tokenizer and a hashed character-trigram en
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
-from ..functions.scoring import cosine
+from ..functions.scoring import dot_fixed, norm_fixed
 
 TOP_N = 5  # fixed value: keywords per document
 DIVERSITY = 0.2  # fixed value: MMR diversity
@@ -39,48 +43,68 @@ def mean_vectors(items: DataFrame, key: str, vec: str, dim_col: str = "_pos") ->
     return g.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(dim_col, "_m"))), lambda s: s["_m"]).alias("doc_vec"))
 
 
-def mmr(cands: DataFrame, doc_vecs: DataFrame, doc: str, item: str, emb: str, top_n: int = TOP_N, diversity: float = DIVERSITY) -> DataFrame:
+def mmr(
+    cands: DataFrame,
+    doc_vecs: DataFrame,
+    doc: str,
+    item: str,
+    emb: str,
+    top_n: int = TOP_N,
+    diversity: float = DIVERSITY,
+    dim: int | None = None,
+) -> DataFrame:
     """MMR selection. cands: (doc, item, emb); doc_vecs: (doc, doc_vec).
     Returns (doc, rank, item) for the picked items, rank 1..top_n.
 
-    Each step reads the previous step's state twice (pick, then update), so the state
-    is checkpointed per step into the shared checkpoint folder: the plan stays linear
-    in `top_n` and a lost executor recomputes one step, not the whole chain."""
+    The scored candidate table is checkpointed once and only read afterwards. The state
+    carried between steps is one small row per document (picked ids, vectors and
+    norms, at most top_n), checkpointed per step so the plan stays linear. Each step
+    joins the candidates with that row (a shuffle join: AQE can split a document with a
+    huge candidate list) and reduces with a partial `min_by` per document.
+    With `dim` given, dot products are unrolled (codegen) instead of array HOFs."""
     d = float(diversity)
-    c = cands.join(doc_vecs, doc).select(doc, item, emb, cosine(F.col(emb), F.col("doc_vec")).alias("_sim_doc"))
-    state = c.withColumn("_maxsim", F.lit(None).cast("double")).withColumn("_left", F.lit(True)).checkpoint()
-    picks = []
+
+    def dot(a, b):
+        return dot_fixed(a, b, dim) if dim else _dot_hof(a, b)
+
+    def nrm(a):
+        return norm_fixed(a, dim) if dim else F.sqrt(_dot_hof(a, a))
+
+    j0 = cands.join(doc_vecs, doc).select(doc, item, emb, nrm(F.col(emb)).alias("_n"), F.col("doc_vec"), nrm(F.col("doc_vec")).alias("_dn"))
+    base = j0.select(doc, item, emb, "_n", (dot(F.col(emb), F.col("doc_vec")) / (F.col("_n") * F.col("_dn"))).alias("_sim_doc")).checkpoint()
+    picked = None  # doc, _items, _embs, _norms
     for rank in range(1, top_n + 1):
-        score = F.col("_sim_doc") if rank == 1 else F.lit(1.0 - d) * F.col("_sim_doc") - F.lit(d) * F.col("_maxsim")
-        pick = (
-            state.filter("_left")
-            .groupBy(doc)
-            .agg(F.min_by(F.struct(F.col(item).alias("_pick"), F.col(emb).alias("_pick_emb")), F.struct(-score, F.col(item))).alias("_p"))
-            .select(doc, "_p._pick", "_p._pick_emb")
+        if picked is None:
+            cand, score = base, F.col("_sim_doc")
+        else:
+            cand = base.join(picked, doc).filter(~F.array_contains(F.col("_items"), F.col(item)))
+            sims = [
+                dot(F.col(emb), F.col("_embs")[j]) / (F.col("_n") * F.col("_norms")[j])
+                for j in range(rank - 1)
+            ]
+            maxsim = F.greatest(*sims) if len(sims) > 1 else sims[0]
+            score = F.lit(1.0 - d) * F.col("_sim_doc") - F.lit(d) * maxsim
+        pick = cand.groupBy(doc).agg(
+            F.min_by(F.struct(F.col(item).alias("_pick"), F.col(emb).alias("_pick_emb"), F.col("_n").alias("_pick_n")), F.struct(-score, F.col(item))).alias("_p")
         )
-        if rank < top_n:
-            j = state.join(pick, doc, "left")
-            nxt = j.select(
+        if picked is None:
+            nxt = pick.select(doc, F.array(F.col("_p._pick")).alias("_items"), F.array(F.col("_p._pick_emb")).alias("_embs"), F.array(F.col("_p._pick_n")).alias("_norms"))
+        else:
+            jn = picked.join(pick, doc, "left")
+            add = F.col("_p").isNotNull()
+            nxt = jn.select(
                 doc,
-                item,
-                emb,
-                "_sim_doc",
-                F.when(F.col("_pick").isNull(), F.col("_maxsim"))
-                .otherwise(F.greatest(F.coalesce(F.col("_maxsim"), F.lit(-2.0)), cosine(F.col(emb), F.col("_pick_emb"))))
-                .alias("_maxsim"),
-                (F.col("_left") & (F.col("_pick").isNull() | (F.col(item) != F.col("_pick")))).alias("_left"),
-                F.when(F.col(item) == F.col("_pick"), F.lit(rank)).alias("_rank"),
+                *[
+                    F.when(add, F.concat(c, F.array(F.col(f"_p.{f}")))).otherwise(F.col(c)).alias(c)
+                    for c, f in (("_items", "_pick"), ("_embs", "_pick_emb"), ("_norms", "_pick_n"))
+                ],
             )
-            # picked rows carry their rank; everything else keeps competing
-            nxt = nxt.checkpoint()
-            picks.append(nxt.filter(F.col("_rank").isNotNull()).select(doc, F.col("_rank").alias("rank"), item))
-            state = nxt.drop("_rank")
-        else:
-            picks.append(pick.select(doc, F.lit(rank).alias("rank"), F.col("_pick").alias(item)))
-    out = picks[0]
-    for p in picks[1:]:
-        out = out.unionByName(p)
-    return out
+        picked = nxt.checkpoint()
+    return picked.select(doc, F.posexplode("_items").alias("rank", item)).withColumn("rank", F.col("rank") + 1)
+
+
+def _dot_hof(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
 
 
 # --- pluggable stand-ins for tagger and encoder ------------------------------------------
@@ -91,33 +115,32 @@ def letter_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{%d,}" % MIN_WORD_CHARS), 0)
 
 
-def char_codes(text: Column) -> Column:
-    """Code points of ' text ' (one linear pass over the string)."""
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
-    return F.transform(F.regexp_extract_all(padded, F.lit("(?s)."), 0), lambda ch: F.ascii(ch).cast("bigint"))
+def _hashed_counts(text: str, dim: int) -> np.ndarray:
+    cp = np.frombuffer((" " + text + " ").encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    if len(cp) < 3:
+        return np.zeros(dim)
+    a, b, c = cp[:-2], cp[1:-1], cp[2:]
+    bucket = (a * 961 + b * 31 + c) % dim
+    sign = np.where((a + b * 7 + c * 13) % 2 == 0, 1.0, -1.0)
+    return np.bincount(bucket, weights=sign, minlength=dim)
+
+
+def hashed_encoder(dim: int = ENCODER_DIM):
+    """Encoder stand-in (the 'model'): text -> array<double>(dim) of signed hashed
+    character-trigram counts of ' text '. Bucket = (961 a + 31 b + c) mod dim, sign = +1
+    when a + 7 b + 13 c is even, for the code points a b c of each trigram. Runs as an
+    Arrow-batched pandas UDF (numpy bincount), like any model inference in Spark."""
 
+    @pandas_udf(T.ArrayType(T.DoubleType()))
+    def encode(texts: pd.Series) -> pd.Series:
+        return pd.Series([_hashed_counts(t, dim) if isinstance(t, str) else None for t in texts])
 
-def ngram_codes(codes: Column, n: int = NGRAM) -> Column:
-    """Character n-grams as structs of n code points: n-gram k is the k-th entry of n
-    shifted slices of the code array."""
-    m = F.greatest(F.size(codes) - n + 1, F.lit(1))
-    return F.arrays_zip(*[F.slice(codes, i + 1, m) for i in range(n)])
+    return encode
 
 
-def hashed_vectors(df: DataFrame, key: str, text: str, n: int = NGRAM, dim: int = ENCODER_DIM) -> DataFrame:
-    """Encoder stand-in: key -> array<double>(dim) of signed hashed character n-gram
-    counts. Bucket = (961 a + 31 b + c) mod dim, sign = +1 when a + 7 b + 13 c is even,
-    for the code points a b c of a trigram. Counting is an exploded group-by (partial
-    aggregation, so one huge text is pre-summed map-side)."""
-    codes = df.select(key, char_codes(F.col(text)).alias("_codes"))
-    g = codes.select(key, F.explode(ngram_codes(F.col("_codes"), n)).alias("_g"))
-    a, b, c = (F.coalesce(F.col("_g")[str(i)], F.lit(0)) for i in range(n))
-    bucket = F.pmod(a * 961 + b * 31 + c, F.lit(dim)).cast("int")
-    sign = F.when(F.pmod(a + b * 7 + c * 13, F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-    counts = g.groupBy(key, bucket.alias("_b")).agg(F.sum(sign).alias("_v"))
-    full = counts.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_b", "_v"))).alias("_m"))
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    return full.select(key, vec.alias("vec"))
+def hashed_vectors(df: DataFrame, key: str, text: str, dim: int = ENCODER_DIM) -> DataFrame:
+    """key -> vec with the hashed encoder."""
+    return df.select(key, hashed_encoder(dim)(F.col(text)).alias("vec"))
 
 
 def extract_keywords(docs: DataFrame, key: str, text: str, top_n: int = TOP_N, diversity: float = DIVERSITY) -> DataFrame:
@@ -128,4 +151,4 @@ def extract_keywords(docs: DataFrame, key: str, text: str, top_n: int = TOP_N, d
     word_vecs = hashed_vectors(vocab, "word", "word")
     doc_vecs = hashed_vectors(docs.select(key, F.lower(F.col(text)).alias("_t")), key, "_t").withColumnRenamed("vec", "doc_vec")
     cands = words.join(word_vecs, "word")
-    return mmr(cands, doc_vecs, key, "word", "vec", top_n, diversity).withColumnRenamed("word", "keyword")
+    return mmr(cands, doc_vecs, key, "word", "vec", top_n, diversity, dim=ENCODER_DIM).withColumnRenamed("word", "keyword")
