@@ -128,17 +128,28 @@ def clean_title_clien(c) -> Column:
     return collapse_spaces(F.regexp_replace(normalise_text(c), CLIEN_TITLE_SUFFIX, ""))
 
 
+def normalise_clean(c) -> Column:
+    """F9 on text that already went through F4 and F6: every character F4 keeps is in
+    F9's keep set and blanks are already single, so F9 reduces to trim + jamo runs."""
+    return emoticon_normalize(F.trim(_c(c)))
+
+
+def after_allowed(x: Column, source: str, normalise: bool = True) -> Column:
+    """F4 onward of the 2.8.1 chain for `source` (x: url/email-stripped text)."""
+    x = keep_allowed_chars(x)
+    if source in ("dc", "dcinside"):
+        x = drop_app_signature(drop_image_numbering(collapse_spaces(drop_image_phrases(x))))
+    else:
+        x = collapse_spaces(x)
+    return normalise_clean(x) if normalise else x
+
+
 def clean_content(c, source: str, unescape: bool = True, normalise: bool = True) -> Column:
     """2.8.1 chains. dc: F1 F2 F3 F4 F5 F6 F7 F8 F9; others: F1 F2 F3 F4 F6 F9."""
     x = strip_emails(strip_urls(c))
     if unescape:
         x = html_unescape(x)
-    x = keep_allowed_chars(x)
-    if source == "dc":
-        x = drop_app_signature(drop_image_numbering(collapse_spaces(drop_image_phrases(x))))
-    else:
-        x = collapse_spaces(x)
-    return normalise_text(x) if normalise else x
+    return after_allowed(x, source, normalise)
 
 
 def strip_view_prefix(c) -> Column:

@@ -31,12 +31,7 @@ def clean_by_source(df: DataFrame, col: str = "content", source_col: str = "data
 
 def _clean_native_from(x, source: str):
     """F4 onward of the chain for `source` on an already url/email-stripped column."""
-    y = text.keep_allowed_chars(x)
-    if source == "dc":
-        y = text.drop_app_signature(text.drop_image_numbering(text.collapse_spaces(text.drop_image_phrases(y))))
-    else:
-        y = text.collapse_spaces(y)
-    return text.normalise_text(y)
+    return text.after_allowed(x, source)
 
 
 def clean_titles(df: DataFrame, col: str = "title", source_col: str = "data_source") -> DataFrame:

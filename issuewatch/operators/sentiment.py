@@ -30,9 +30,10 @@ def token_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.explode(tokens(F.col(text))).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fit_naive_bayes(train: DataFrame, key: str, text: str, label: str) -> tuple[DataFrame, Column]:
-    """(token weights, prior log-odds) from rows with a 0/1 `label` (1 = toxic)."""
-    tc = token_counts(train, key, text).join(train.select(key, label), key)
+def fit_naive_bayes(counts: DataFrame, labels: DataFrame, key: str, label: str) -> tuple[DataFrame, Column]:
+    """(token weights, prior log-odds) from per-(doc, token) counts and 0/1 labels
+    (1 = toxic) of the labelled documents."""
+    tc = counts.join(labels.select(key, label), key)
     per_token = tc.groupBy("token").agg(
         F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).alias("n1"),
         F.sum(F.when(F.col(label) == 0, F.col("n")).otherwise(0)).alias("n0"),
@@ -41,23 +42,27 @@ def fit_naive_bayes(train: DataFrame, key: str, text: str, label: str) -> tuple[
     n1, n0, v = (totals.select(c).scalar() for c in ("N1", "N0", "V"))
     w = F.log((F.col("n1") + 1) / (n1 + v)) - F.log((F.col("n0") + 1) / (n0 + v))
     weights = per_token.select("token", w.alias("weight"))
-    docs1 = train.select(F.sum(F.when(F.col(label) == 1, 1).otherwise(0))).scalar()
-    docs0 = train.select(F.sum(F.when(F.col(label) == 0, 1).otherwise(0))).scalar()
+    docs1 = labels.select(F.sum(F.when(F.col(label) == 1, 1).otherwise(0))).scalar()
+    docs0 = labels.select(F.sum(F.when(F.col(label) == 0, 1).otherwise(0))).scalar()
     prior = F.log(docs1.cast("double")) - F.log(docs0.cast("double"))
     return weights, prior
 
 
-def score_naive_bayes(docs: DataFrame, weights: DataFrame, prior: Column, key: str, text: str) -> DataFrame:
+def score_naive_bayes(docs: DataFrame, counts: DataFrame, weights: DataFrame, prior: Column, key: str) -> DataFrame:
     """key, p_clean, sentiment (= 1 - p_clean). Documents without known tokens get the prior."""
-    tc = token_counts(docs, key, text).join(weights, "token")
-    s = tc.groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("_s"))
+    s = counts.join(weights, "token").groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("_s"))
     out = docs.select(key).join(s, key, "left")
     logit = prior + F.coalesce(F.col("_s"), F.lit(0.0))
     p_clean = F.lit(1.0) / (F.lit(1.0) + F.exp(logit))
     return out.select(key, p_clean.alias("p_clean"), negativity(p_clean).alias("sentiment"))
 
 
-def score_sentiment(docs: DataFrame, key: str, text: str, train: DataFrame, label: str = "toxic") -> DataFrame:
-    """U4 with the default scorer fitted on `train`."""
-    weights, prior = fit_naive_bayes(train, key, text, label)
-    return score_naive_bayes(docs, weights, prior, key, text)
+def score_sentiment(docs: DataFrame, key: str, text: str, labels: DataFrame, label: str = "toxic") -> DataFrame:
+    """U4 with the default scorer: tokens are counted once per document and the same
+    counts feed the fit (labelled documents), its totals and the scoring (all
+    documents). The counts are checkpointed (shared checkpoint folder) because four
+    plan branches read them; they are much smaller than the texts."""
+    labelled = labels.join(docs.select(key), key, "left_semi")
+    counts = token_counts(docs, key, text).checkpoint()
+    weights, prior = fit_naive_bayes(counts, labelled, key, label)
+    return score_naive_bayes(docs, counts, weights, prior, key)

@@ -468,8 +468,8 @@ from ..operators import sentiment as st  # noqa: E402
 
 def _sentiment(spark, root):
     d = read_table(spark, root, "documents").select("doc_id", "text", "source")
-    train = d.join(read_table(spark, root, "labels").select("doc_id", "toxic"), "doc_id")
-    return d, st.score_sentiment(d, "doc_id", "text", train, "toxic")
+    labels = read_table(spark, root, "labels").select("doc_id", "toxic")
+    return d, st.score_sentiment(d, "doc_id", "text", labels, "toxic")
 
 
 @query("sentiment_score")
