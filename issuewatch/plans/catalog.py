@@ -530,3 +530,33 @@ def q_stream_stages(spark, root):
         posts = fx.posts_from_events(sm.file_stream(spark, src, schema), keep=("src_file_id",))
         sm.replayable_stage_stream(spark, posts, _stage, table)
     return round_doubles(spark.read.parquet(table).drop("src_file_id"))
+
+
+@query("stream_compact")
+def q_stream_compact(spark, root):
+    """One message file per post (as the crawler's queue delivers them), compacted
+    by a stream into one JSON-lines file per (snapshot, source); read back whole."""
+    from pyspark.sql import types as T
+
+    msgs = scratch_path(spark, "messages")
+    lines = _raw_post_lines(spark, root)
+    # many small message files: spread rows over many files (one folder, text lines)
+    lines.select(F.to_json(F.struct(*lines.columns)).alias("value")).repartition(64).write.text(msgs)
+    schema = T.StructType([f for f in fl.RAW_POST.fields if f.name != "_corrupt_record"] + [T.StructField("snapshot_key", T.StringType()), T.StructField("data_source", T.StringType())])
+    out = sm.compact_messages_stream(spark, msgs, schema, scratch_path(spark, "compacted"))
+    back = spark.read.schema(schema).json(out)
+    return back.select("snapshot_key", "data_source", "url", "created_at", F.col("viewed").try_cast("bigint").alias("viewed"), "title")
+
+
+@query("issue_pipeline")
+def q_issue_pipeline(spark, root):
+    """The whole hourly job on the newest snapshot (writes raw_data, current_issue,
+    frequency, similarity and the alert); returns the written current_issue table."""
+    from . import pipeline
+
+    posts = fx.kw_posts(spark, root)
+    snap = fx.snapshot_time(posts)
+    batch = fx.current_batch(posts, snap)
+    history = posts.join(batch.select("event_id"), "event_id", "left_anti")
+    paths = pipeline.run_snapshot(spark, batch, history, fx.past_issue(spark, root), snap, scratch_path(spark, "warehouse"))
+    return round_doubles(spark.read.parquet(paths["current_issue"]))

@@ -192,3 +192,15 @@ def file_list(spark: SparkSession, root: str) -> DataFrame:
     iso = F.date_format("file_create_time", "yyyy-MM-dd'T'HH:mm:ss")
     key = F.concat(F.lit("keywords/"), iso, F.lit("/"), F.col("data_source"), F.lit("_"), F.col("keywords")[0], F.lit("_"), iso, F.lit(".jsonl"))
     return p.groupBy(F.replace(key, F.lit(":"), F.lit("%3A")).alias("key")).agg(F.max("created_at").cast("timestamp").alias("file_mtime"))
+
+
+def sparse_series(spark: SparkSession, n_series: int, length: int, zero_fraction: float = 0.7, seed: int = 7) -> DataFrame:
+    """U5 (test fixture only): sine curves plus noise with `zero_fraction` of the points
+    zeroed, as (name, created_at, value) rows."""
+    r = spark.range(n_series * length)
+    name = (F.col("id") / length).cast("long")
+    pos = F.col("id") % length
+    v = F.sin(pos / F.lit(10.0) + name) * 10 + 10 + F.rand(seed) * 2
+    v = F.when(F.rand(seed + 1) < zero_fraction, F.lit(0.0)).otherwise(v)
+    t = F.timestamp_add("HOUR", pos, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return r.select(F.concat(F.lit("s"), name.cast("string")).alias("name"), t.alias("created_at"), v.alias("value"))

@@ -644,3 +644,10 @@ SQL["stream_stages"] = with_(KW_POSTS) + """
 SELECT event_id, unnest(keywords) AS current_keyword, file_create_time,
        round(CAST(viewed AS DOUBLE) + ln(1 + liked) + ln(1 + num_of_comments), 6) AS current_issueization
 FROM kw_posts"""
+
+SQL["stream_compact"] = with_(KW_POSTS) + """
+SELECT strftime(file_create_time, '%Y-%m-%dT%H-%M-%S') AS snapshot_key, data_source, url,
+       strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, viewed, event_type AS title
+FROM kw_posts"""
+
+SQL["issue_pipeline"] = SQL["dense_keyword_issue"]

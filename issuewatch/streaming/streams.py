@@ -138,3 +138,36 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path).withColumn("src_file_id", F.xxhash64(F.col("_metadata.file_path")))
+
+
+def compact_messages_stream(
+    spark: SparkSession,
+    messages: str,
+    schema: T.StructType,
+    out: str,
+    partition_cols=("snapshot_key", "data_source"),
+    checkpoint: str | None = None,
+) -> str:
+    """Drain message files (one JSON post per message) into one JSON-lines file per
+    (snapshot, source) folder. A micro-batch without messages writes nothing; a
+    replayed batch overwrites exactly the folders it wrote (dynamic partition
+    overwrite), and each folder is written by one task (hash partitioning on the folder
+    columns), so a folder is one file."""
+    raw = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())])).text(messages)
+    posts = raw.select(F.from_json("value", schema).alias("m")).select("m.*")
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        if df.isEmpty():
+            return
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (
+            df.repartition(n, *[F.col(c) for c in partition_cols])
+            .write.option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .partitionBy(*partition_cols)
+            .json(out)
+        )
+
+    cp = checkpoint or scratch_path(spark, "cp-compact")
+    _run(posts.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
+    return out
