@@ -6,15 +6,15 @@ per-document Python loop:
   step 1: pick = argmax_c sim(c, doc)
   step k: pick = argmax_c (1 - d) * sim(c, doc) - d * max_{p picked} sim(c, p)
 
-Each step is a `min_by` aggregate per document (key: -score, then candidate id) (partial aggregation, so a document
-with a huge candidate list is reduced map-side) and a join of the one picked row per
-document back to the candidates, which updates each candidate's running max
-similarity to the picked set. Ties go to the lowest candidate id (the reference's
-candidates are sorted and numpy's argmax takes the first maximum).
+Each step is a `min_by` aggregate per document (key: -score, then candidate id), a
+partial aggregation, so a document with a huge candidate list is reduced map-side. The
+candidates are joined with one small row per document holding the picks so far.
+Ties go to the lowest candidate id (the reference's candidates are sorted and
+numpy's argmax takes the first maximum).
 
 The tagger and sentence encoder of the reference are not available offline; the
-pluggable defaults here are a letter tokenizer and a hashed character-trigram encoder
-(documented stand-ins, see README), both plain column expressions.
+pluggable defaults here are a letter tokenizer (a column expression) and a hashed
+character-trigram encoder (an Arrow pandas UDF), documented stand-ins, see README.
 """
 
 from __future__ import annotations
@@ -27,12 +27,13 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..functions.scoring import dot_fixed, norm_fixed
+from ..session import scratch_path
 
 TOP_N = 5  # fixed value: keywords per document
 DIVERSITY = 0.2  # fixed value: MMR diversity
 ENCODER_DIM = 64
-NGRAM = 3
 MIN_WORD_CHARS = 2  # candidates are words of 2+ letters, lower-cased
+SALTS = 4  # buckets per document for the MMR candidate table
 
 
 def mean_vectors(items: DataFrame, key: str, vec: str, dim_col: str = "_pos") -> DataFrame:
@@ -52,17 +53,23 @@ def mmr(
     top_n: int = TOP_N,
     diversity: float = DIVERSITY,
     dim: int | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """MMR selection. cands: (doc, item, emb); doc_vecs: (doc, doc_vec).
     Returns (doc, rank, item) for the picked items, rank 1..top_n.
 
-    The scored candidate table is checkpointed once and only read afterwards. The state
-    carried between steps is one small row per document (picked ids, vectors and
-    norms, at most top_n), checkpointed per step so the plan stays linear. Each step
-    joins the candidates with that row (a shuffle join: AQE can split a document with a
-    huge candidate list) and reduces with a partial `min_by` per document.
-    With `dim` given, dot products are unrolled (codegen) instead of array HOFs."""
+    The scored candidates are written once as a table bucketed on (doc, salt), with
+    salt = hash(item) mod `salts`, in the shared checkpoint folder. A document with a
+    huge candidate list is thus spread over `salts` buckets, and the big table is never
+    shuffled again: bucketing is kept for joins on the bucket keys. The state between
+    steps is one small row per document (picked ids, vectors, norms; at most top_n),
+    replicated over the salts and shuffled into the buckets, and checkpointed per step
+    so the plan stays linear. Each step reduces per (doc, salt) inside the buckets with
+    `min_by`, then per doc over the small partial results. With `dim` given, dot
+    products are unrolled (codegen) instead of array HOFs."""
     d = float(diversity)
+    spark = cands.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def dot(a, b):
         return dot_fixed(a, b, dim) if dim else _dot_hof(a, b)
@@ -71,22 +78,33 @@ def mmr(
         return norm_fixed(a, dim) if dim else F.sqrt(_dot_hof(a, a))
 
     j0 = cands.join(doc_vecs, doc).select(doc, item, emb, nrm(F.col(emb)).alias("_n"), F.col("doc_vec"), nrm(F.col("doc_vec")).alias("_dn"))
-    base = j0.select(doc, item, emb, "_n", (dot(F.col(emb), F.col("doc_vec")) / (F.col("_n") * F.col("_dn"))).alias("_sim_doc")).checkpoint()
+    scored = j0.select(
+        doc,
+        item,
+        emb,
+        "_n",
+        (dot(F.col(emb), F.col("doc_vec")) / (F.col("_n") * F.col("_dn"))).alias("_sim_doc"),
+        F.pmod(F.xxhash64(F.col(item)), F.lit(salts)).cast("int").alias("_salt"),
+    )
+    path = scratch_path(spark, "mmr-candidates")
+    name = "mmr_candidates_" + path.rsplit("-", 1)[-1]
+    scored.write.bucketBy(n, doc, "_salt").mode("overwrite").option("path", path).saveAsTable(name)
+    base = spark.table(name)
+    salt_ids = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     picked = None  # doc, _items, _embs, _norms
     for rank in range(1, top_n + 1):
         if picked is None:
             cand, score = base, F.col("_sim_doc")
         else:
-            cand = base.join(picked, doc).filter(~F.array_contains(F.col("_items"), F.col(item)))
-            sims = [
-                dot(F.col(emb), F.col("_embs")[j]) / (F.col("_n") * F.col("_norms")[j])
-                for j in range(rank - 1)
-            ]
+            rep = picked.select("*", salt_ids)
+            cand = base.join(rep, [doc, "_salt"]).filter(~F.array_contains(F.col("_items"), F.col(item)))
+            sims = [dot(F.col(emb), F.col("_embs")[j]) / (F.col("_n") * F.col("_norms")[j]) for j in range(rank - 1)]
             maxsim = F.greatest(*sims) if len(sims) > 1 else sims[0]
             score = F.lit(1.0 - d) * F.col("_sim_doc") - F.lit(d) * maxsim
-        pick = cand.groupBy(doc).agg(
-            F.min_by(F.struct(F.col(item).alias("_pick"), F.col(emb).alias("_pick_emb"), F.col("_n").alias("_pick_n")), F.struct(-score, F.col(item))).alias("_p")
-        )
+        key = F.struct((-score).alias("k1"), F.col(item).alias("k2"))
+        val = F.struct(F.col(item).alias("_pick"), F.col(emb).alias("_pick_emb"), F.col("_n").alias("_pick_n"))
+        partial = cand.groupBy(doc, "_salt").agg(F.min_by(F.struct(key.alias("k"), val.alias("v")), key).alias("_c"))
+        pick = partial.groupBy(doc).agg(F.min_by(F.col("_c.v"), F.col("_c.k")).alias("_p"))
         if picked is None:
             nxt = pick.select(doc, F.array(F.col("_p._pick")).alias("_items"), F.array(F.col("_p._pick_emb")).alias("_embs"), F.array(F.col("_p._pick_n")).alias("_norms"))
         else:
@@ -118,20 +136,20 @@ def letter_words(text: Column) -> Column:
 def _hashed_counts(text: str, dim: int) -> np.ndarray:
     cp = np.frombuffer((" " + text + " ").encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
     if len(cp) < 3:
-        return np.zeros(dim)
+        return np.zeros(dim, dtype=np.int32)
     a, b, c = cp[:-2], cp[1:-1], cp[2:]
     bucket = (a * 961 + b * 31 + c) % dim
     sign = np.where((a + b * 7 + c * 13) % 2 == 0, 1.0, -1.0)
-    return np.bincount(bucket, weights=sign, minlength=dim)
+    return np.bincount(bucket, weights=sign, minlength=dim).astype(np.int32)
 
 
 def hashed_encoder(dim: int = ENCODER_DIM):
-    """Encoder stand-in (the 'model'): text -> array<double>(dim) of signed hashed
+    """Encoder stand-in (the 'model'): text -> array<int>(dim) of signed hashed
     character-trigram counts of ' text '. Bucket = (961 a + 31 b + c) mod dim, sign = +1
     when a + 7 b + 13 c is even, for the code points a b c of each trigram. Runs as an
     Arrow-batched pandas UDF (numpy bincount), like any model inference in Spark."""
 
-    @pandas_udf(T.ArrayType(T.DoubleType()))
+    @pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pd.Series) -> pd.Series:
         return pd.Series([_hashed_counts(t, dim) if isinstance(t, str) else None for t in texts])
 
@@ -145,8 +163,11 @@ def hashed_vectors(df: DataFrame, key: str, text: str, dim: int = ENCODER_DIM) -
 
 def extract_keywords(docs: DataFrame, key: str, text: str, top_n: int = TOP_N, diversity: float = DIVERSITY) -> DataFrame:
     """(key, rank, keyword). Candidates = distinct words of the whole text; the
-    document vector and each candidate's vector come from the encoder; MMR picks."""
-    words = docs.select(key, F.explode(letter_words(F.col(text))).alias("word")).distinct()
+    document vector and each candidate's vector come from the encoder; MMR picks.
+    Words are de-duplicated inside each row first (`array_distinct`, fewer rows to
+    shuffle), then by a distinct over (key, word), whose shuffle output feeds both the
+    vocabulary and the candidates."""
+    words = docs.select(key, F.explode(F.array_distinct(letter_words(F.col(text)))).alias("word")).distinct()
     vocab = words.select("word").distinct()
     word_vecs = hashed_vectors(vocab, "word", "word")
     doc_vecs = hashed_vectors(docs.select(key, F.lower(F.col(text)).alias("_t")), key, "_t").withColumnRenamed("vec", "doc_vec")

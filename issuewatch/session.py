@@ -13,6 +13,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Stages whose whole-stage generated method exceeds HotSpot's JIT limit (8000 bytes)
+# fall back to split expression code, which the JIT compiles; a larger method would run
+# interpreted. Matters for the unrolled 64-wide dot products (keywords.mmr).
+JIT_METHOD_LIMIT = 8000
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "issuewatch") -> SparkSession:
     """A local[*] session configured like the cluster profile (AQE on, UTC, Arrow)."""
     spark = (
@@ -24,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", str(JIT_METHOD_LIMIT))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
@@ -37,6 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def configure(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(JIT_METHOD_LIMIT))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark

@@ -1,10 +1,12 @@
 """Snapshot files in, tables out.
 
-File names follow `<source>_<model>_<ISO time>.jsonl` under `<root>/<stage>/<time>/`.
-Everything is one DataFrame plan: the file listing comes from the reader's hidden
-`_metadata` column (no driver-side listing loop), per-file dedupe is one
-`dropDuplicates` keyed by the file, and the union of sources is a single multi-file
-read with a declared schema (so missing columns are NULL, not misaligned).
+Crawler files are named `<source>_<model>_<ISO time>.jsonl` (parsed by
+`parse_file_meta`); files written by this engine live in
+`<root>/snapshot_key=<time>/data_source=<source>/`. Everything is one DataFrame plan:
+the file listing comes from the reader's hidden `_metadata` column (no driver-side
+listing loop), the url dedupe is one partial `max_by` aggregate keyed by the file's
+folder, and the union of sources is a single multi-file read with a declared schema
+(so missing columns are NULL, not misaligned).
 """
 
 from __future__ import annotations
