@@ -133,25 +133,71 @@ def letter_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{%d,}" % MIN_WORD_CHARS), 0)
 
 
+ENCODE_CHUNK_CHARS = 1 << 20  # characters encoded per vectorised numpy pass
+LONG_TEXT_CHARS = 2048  # longer texts are encoded one by one
+
+
+def _hashed_counts_batch(texts: list[str], dim: int) -> np.ndarray:
+    """Signed hashed trigram counts of ' text ' for several texts at once: code points
+    of all texts are concatenated, every trigram gets (row, bucket), one bincount."""
+    padded = [" " + t + " " for t in texts]
+    lens = np.fromiter((len(p) for p in padded), dtype=np.int64, count=len(padded))
+    cp = np.frombuffer("".join(padded).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    starts = np.cumsum(lens) - lens
+    ntri = np.maximum(lens - 2, 0)
+    total = int(ntri.sum())
+    out = np.zeros((len(texts), dim), dtype=np.int64)
+    if total == 0:
+        return out.astype(np.int32)
+    row = np.repeat(np.arange(len(texts)), ntri)
+    pos = np.arange(total) - np.repeat(np.cumsum(ntri) - ntri, ntri) + np.repeat(starts, ntri)
+    a, b, c = cp[pos], cp[pos + 1], cp[pos + 2]
+    bucket = (a * 961 + b * 31 + c) % dim
+    sign = np.where((a + b * 7 + c * 13) % 2 == 0, 1, -1)
+    out = np.bincount(row * dim + bucket, weights=sign, minlength=len(texts) * dim).reshape(len(texts), dim)
+    return np.rint(out).astype(np.int32)
+
+
 def _hashed_counts(text: str, dim: int) -> np.ndarray:
+    """The same counts for one (long) text, by direct slicing."""
     cp = np.frombuffer((" " + text + " ").encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
     if len(cp) < 3:
         return np.zeros(dim, dtype=np.int32)
     a, b, c = cp[:-2], cp[1:-1], cp[2:]
     bucket = (a * 961 + b * 31 + c) % dim
     sign = np.where((a + b * 7 + c * 13) % 2 == 0, 1.0, -1.0)
-    return np.bincount(bucket, weights=sign, minlength=dim).astype(np.int32)
+    return np.rint(np.bincount(bucket, weights=sign, minlength=dim)).astype(np.int32)
 
 
 def hashed_encoder(dim: int = ENCODER_DIM):
     """Encoder stand-in (the 'model'): text -> array<int>(dim) of signed hashed
     character-trigram counts of ' text '. Bucket = (961 a + 31 b + c) mod dim, sign = +1
     when a + 7 b + 13 c is even, for the code points a b c of each trigram. Runs as an
-    Arrow-batched pandas UDF (numpy bincount), like any model inference in Spark."""
+    Arrow-batched pandas UDF: short texts are vectorised together in chunks of about
+    ENCODE_CHUNK_CHARS characters, long texts are encoded one by one."""
 
     @pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pd.Series) -> pd.Series:
-        return pd.Series([_hashed_counts(t, dim) if isinstance(t, str) else None for t in texts])
+        vals = texts.tolist()
+        out: list = [None] * len(vals)
+        chunk, idx, size = [], [], 0
+        for i, t in enumerate(vals):
+            if not isinstance(t, str):
+                continue
+            if len(t) > LONG_TEXT_CHARS:
+                out[i] = _hashed_counts(t, dim)
+                continue
+            chunk.append(t)
+            idx.append(i)
+            size += len(t)
+            if size >= ENCODE_CHUNK_CHARS:
+                for j, v in zip(idx, _hashed_counts_batch(chunk, dim)):
+                    out[j] = v
+                chunk, idx, size = [], [], 0
+        if chunk:
+            for j, v in zip(idx, _hashed_counts_batch(chunk, dim)):
+                out[j] = v
+        return pd.Series(out, dtype=object)
 
     return encode
 
