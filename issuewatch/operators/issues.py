@@ -4,9 +4,8 @@ Plan shape (see `.explain`): the history scan carries the snapshot-window filter
 (pushed to parquet), keywords are exploded, sums are partially aggregated map-side
 (so a hot keyword never lands whole in one task), shuffled on (hour, keyword) and
 left-joined from a per-keyword hour grid. The grid is generated per keyword with
-`explode(sequence(...))` instead of a cross join; its left join also restricts the
-history to the active keywords (J1), so no separate join on the exploded history
-is needed.
+`explode(sequence(...))` instead of a cross join. The active-keyword filter (J1) is a
+semi join on the aggregated facts, never on the exploded history.
 """
 
 from __future__ import annotations
@@ -51,6 +50,13 @@ def keyword_hour_sums(history: DataFrame, start: Column | None = None, end: Colu
     )
 
 
+def join_active_keywords(facts: DataFrame, keywords: DataFrame, key: str = "current_keyword") -> DataFrame:
+    """Keep only rows of the active keywords. Applied to the aggregated (hour,
+    keyword) facts, not the exploded history, so both sides are small; a semi join
+    (the keyword list is distinct), broadcast by AQE when its measured size allows."""
+    return facts.join(keywords.select(key), key, "left_semi")
+
+
 def hour_grid(keywords: DataFrame, start: Column, end: Column, key: str = "current_keyword") -> DataFrame:
     """DT8 + J3: every hour in [start, end] for every keyword, generated per keyword
     row (a generator, not a cross join; rows per keyword are bounded by the window)."""
@@ -75,7 +81,7 @@ def current_issue(history: DataFrame, batch: DataFrame, snapshot: Column, days:
     """The dense keyword x hour fact table `current_issue` for one snapshot."""
     start, end = window_bounds(snapshot, days)
     kw = distinct_keywords(batch)
-    facts = keyword_hour_sums(history, start, end)
+    facts = join_active_keywords(keyword_hour_sums(history, start, end), kw)
     return densify(hour_grid(kw, start, end), facts)
 
 
