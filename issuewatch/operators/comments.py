@@ -84,39 +84,34 @@ def seconds_per_comment(post_time: Column, last_time: Column, n: Column) -> Colu
 
 
 def post_comment_rows(posts: DataFrame, key: str, parse) -> DataFrame:
-    """X3 (+C7, A7, A9, W3, P5): posts and their comments as one flat table.
+    """X3 (+C7, A7, A9, W3, P5): posts and their comments as one flat table, in one pass.
 
     posts: key, content, created_at (timestamp), viewed, liked, comments (array<COMMENT>).
-    Comment rows carry zeros; post rows carry counts and seconds_per_comment.
-    `item_order` sorts each post's comments before the post (row order of the CSV).
+    Each post row becomes an array of items - its valid comments (zeros for the
+    counts) followed by the post itself (counts and seconds_per_comment) - exploded
+    once. `item_order` sorts each post's comments before the post (row order of the CSV).
     """
     n = comment_count(F.col("comments"))
     last = parse(last_valid_comment_time(F.col("comments")))
-    post_rows = posts.select(
-        F.col(key),
-        F.lit(2147483647).alias("item_order"),
-        F.col("content"),
-        F.col("created_at"),
-        F.col("viewed").cast("int").alias("viewed"),
-        F.col("liked").cast("int").alias("liked"),
-        F.lit(0).alias("post_type"),
-        n.cast("int").alias("num_of_comments"),
-        seconds_per_comment(F.col("created_at"), last, n).alias("seconds_per_comment"),
-    )
-    keep = [c for c in posts.columns if c not in ("comments", "content", "created_at", "viewed", "liked")]
-    ex = posts.select(*keep, F.posexplode("comments").alias("pos", "c")).filter(is_valid_time(F.col("c.created_at")))
-    comment_rows = ex.select(
-        F.col(key),
-        F.col("pos").cast("int").alias("item_order"),
-        F.col("c.content").alias("content"),
-        parse(F.col("c.created_at")).alias("created_at"),
-        F.lit(0).alias("viewed"),
-        F.lit(0).alias("liked"),
-        F.lit(1).alias("post_type"),
-        F.lit(0).alias("num_of_comments"),
-        F.lit(0.0).alias("seconds_per_comment"),
-    )
-    return comment_rows.unionByName(post_rows)
+
+    def item(order, content, created, viewed, liked, post_type, n_comments, spc):
+        return F.struct(
+            order.cast("int").alias("item_order"),
+            content.alias("content"),
+            created.alias("created_at"),
+            viewed.cast("int").alias("viewed"),
+            liked.cast("int").alias("liked"),
+            F.lit(post_type).alias("post_type"),
+            n_comments.cast("int").alias("num_of_comments"),
+            spc.cast("double").alias("seconds_per_comment"),
+        )
+
+    zero = F.lit(0)
+    valid = F.filter(F.transform(F.col("comments"), lambda c, i: F.struct(c.alias("c"), i.alias("i"))), lambda x: is_valid_time(x["c"]["created_at"]))
+    comment_items = F.transform(valid, lambda x: item(x["i"], x["c"]["content"], parse(x["c"]["created_at"]), zero, zero, 1, zero, F.lit(0.0)))
+    post_item = item(F.lit(2147483647), F.col("content"), F.col("created_at"), F.col("viewed"), F.col("liked"), 0, n, seconds_per_comment(F.col("created_at"), last, n))
+    items = F.concat(comment_items, F.array(post_item))
+    return posts.select(F.col(key), F.explode(items).alias("_it")).select(key, "_it.*")
 
 
 def last_flag_position(items: DataFrame, key: str, pos: str, flag: Column, block: int = POSITION_BLOCK) -> DataFrame:
