@@ -1,7 +1,7 @@
 """Text cleaning column functions.
 
-All native Catalyst expressions except `html_unescape` (F3), which is an Arrow UDF
-applied only to rows that contain '&' (see `clean_chain`).
+All native Catalyst expressions except the full F3 (`html_unescape`, an Arrow UDF),
+which `html_unescape_mixed` uses only for rows with entities outside a native set.
 
 Regex dialect note: the reference is Python `re`, where \\w is Unicode. Java's \\w is
 ASCII unless (?U), RE2's (DuckDB) is always ASCII, and (?U) means "ungreedy" in RE2.
@@ -72,6 +72,28 @@ def html_unescape(c) -> Column:
     return _unescape(_c(c))
 
 
+# Entities unescaped natively, in replacement order ('&amp;' last, so one
+# pass of html.unescape is reproduced: '&amp;lt;' -> '&lt;').
+NATIVE_ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"),
+]
+# an '&' that does not start one of the entities above needs the full unescape
+NEEDS_FULL_UNESCAPE = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);)"
+
+
+def html_unescape_mixed(c) -> Column:
+    """F3 in one scan: rows whose every '&' starts a known entity are unescaped with
+    native replaces; only the other rows carry their text to the Arrow UDF (the UDF's
+    input is NULL for the rest, so almost nothing crosses to Python)."""
+    x = _c(c)
+    full = x.rlike(NEEDS_FULL_UNESCAPE)
+    native = x
+    for a, b in NATIVE_ENTITIES:
+        native = F.replace(native, F.lit(a), F.lit(b))
+    return F.when(full, _unescape(F.when(full, x))).otherwise(native)
+
+
 def keep_allowed_chars(c) -> Column:
     """characters outside the allowed set -> ' '."""
     return F.regexp_replace(_c(c), DISALLOWED_CHARS, " ")

@@ -1,8 +1,8 @@
 """Turning already fetched HTML into post / link / comment rows.
 
 Fetching and browser driving are not part of the engine (see README); the
-extraction that follows it is a per-row regex job, native in Catalyst, with F3
-(entity unescaping) only on rows that contain '&'.
+extraction that follows it is a per-row regex job, native in Catalyst; F3 (entity
+unescaping) is native for the common entities and uses Python only for other rows.
 """
 
 from __future__ import annotations
@@ -53,10 +53,11 @@ def extract_posts(pages: DataFrame, html: str = "html", source: str = "data_sour
         strip_tags(_field(h, s, "content")).alias("_content"),
         _field(h, s, "author").alias("author"),
     )
-    amp = F.contains(F.concat_ws("", "_title", "_content"), F.lit("&"))
-    plain = out.filter(~amp).withColumn("title", F.col("_title")).withColumn("content", F.col("_content"))
-    ent = out.filter(amp).withColumn("title", text.html_unescape(F.col("_title"))).withColumn("content", text.html_unescape(F.col("_content")))
-    res = plain.unionByName(ent).drop("_title", "_content")
+    res = (
+        out.withColumn("title", text.html_unescape_mixed(F.col("_title")))
+        .withColumn("content", text.html_unescape_mixed(F.col("_content")))
+        .drop("_title", "_content")
+    )
     ok = (F.length("title") > 0) & (F.length("content") > 0) & (F.length("author") > 0)
     return res.withColumn("ok", ok)
 

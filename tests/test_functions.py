@@ -89,3 +89,19 @@ def test_listing_window(spark):
     d = dates.parse_listing_date(F.col("x"), F.col("s"), start)
     got = [r[0] for r in df.select(dates.in_listing_window(d, start, 2)).collect()]
     assert got == [True, False, True, True, False]
+
+
+def test_mixed_unescape_equals_python(spark):
+    import html as _html
+
+    cases = [
+        "plain text",
+        "a &amp; b &lt;c&gt; &quot;q&quot; &#39;s&#39; &apos;t&apos;",
+        "&amp;lt; stays one level: &amp;amp;",
+        "&copy; 2024 &middot; x&nbsp;y",
+        "unknown &hellip; and numeric &#233; and hex &#x41;",
+        "no semicolon &amp here &copy and & alone",
+        None,
+    ]
+    got = col1(spark, cases, text.html_unescape_mixed)
+    assert got == [None if c is None else _html.unescape(c) for c in cases]
