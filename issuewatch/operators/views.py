@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def anchor_time(now: Column, months: int = 2) -> Column:
@@ -29,8 +28,10 @@ def issue_graph(past_issue: DataFrame, current_issue: DataFrame, now: Column, or
     each past issue's own first hour."""
     anchor = anchor_time(now)
     if origin_issue is None:
-        w_origin = F.min("created_at").over(Window.partitionBy("past_issue_name"))
-        past = past_issue.withColumn("_o", w_origin)
+        # per-issue origin: a partial min per issue joined back (one row per issue), so
+        # no issue's curve has to sit in one task
+        origins = past_issue.groupBy("past_issue_name").agg(F.min("created_at").alias("_o"))
+        past = past_issue.join(origins, "past_issue_name")
         past = past.withColumn("created_at", F.timestamp_add("SECOND", F.timestamp_diff("SECOND", F.col("_o"), anchor), F.col("created_at"))).drop("_o")
     else:
         p_origin = past_issue.filter(F.col("past_issue_name") == origin_issue).select(F.min("created_at")).scalar()

@@ -121,3 +121,23 @@ def test_dense_grid_counts(spark):
     assert len(rows) == 24 + 6  # midnight of the day before .. 05:00 inclusive
     hit = [r for r in rows if r["viewed"] == 10]
     assert len(hit) == 1 and abs(hit[0]["current_issueization"] - (10 + np.log(2) + np.log(3))) < 1e-12
+
+
+def test_issue_graph_per_issue_origin(spark):
+    from issuewatch.operators import views
+
+    past = spark.createDataFrame(
+        [("a", dt.datetime(2024, 1, 1, h), float(h), 0.0) for h in range(3)] + [("b", dt.datetime(2024, 1, 5, h), float(h), 0.0) for h in range(2)],
+        "past_issue_name string, created_at timestamp, past_issueization double, past_sentiment double",
+    )
+    cur = spark.createDataFrame(
+        [(dt.datetime(2024, 3, 1, h), "k", 1.0, 0, 0, 0, 0.0) for h in range(4)],
+        "created_at timestamp, current_keyword string, current_issueization double, num_of_comments long, viewed long, liked long, sentiment double",
+    )
+    now = F.lit("2024-03-10 05:30:00").cast("timestamp")
+    rows = views.issue_graph(past, cur, now).collect()
+    anchor = dt.datetime(2024, 1, 10, 5)
+    # both past issues start at the anchor; 3 + 2 past hours meet the 4 current hours
+    assert len(rows) == 5
+    assert min(r["created_at"] for r in rows if r["past_issue_name"] == "b") == anchor
+    assert min(r["created_at"] for r in rows if r["past_issue_name"] == "a") == anchor
