@@ -8,15 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from issuewatch.llm import language, simhash, tokens
+from issuewatch.llm import decontaminate, language, mixing, simhash, tokens
 from issuewatch.llm.common import materialise, read
-from issuewatch.llm.queries import vocabulary
+from issuewatch.llm.params import MIX_SEED, MIX_WEIGHTS
+from issuewatch.llm.queries import domain_of_source, vocabulary
 from issuewatch.session import scratch_path
 
 #: Shingle length and maximum bit distance of the near-dedup stage.
 SHINGLE, MAX_BITS = 4, 4
 #: Documents whose best language has a lower posterior are rejected.
 MIN_LANGUAGE_SCORE = 0.5
+#: The mix's budget in percent of the tokens that reach it, and how often it may hold a document.
+MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS = 80, 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,6 +32,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=SHINGLE, max_bits=MAX_BITS)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that overlap with a benchmark item."""
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each document as often as the mix holds it; a second epoch repeats its rows."""
+    mixed = mixing.mix(docs, domain_of_source(), MIX_WEIGHTS, MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED)
+    return mixing.take_mix(docs, mixed)
+
+
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token files and returns their digest, read back from them."""
     path = scratch_path(spark, "pipeline-tokens")
@@ -39,6 +53,8 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("language ID", language_id),
     ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("source mixing", source_mixing),
     ("token-ID output", token_output),
 ]
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import language, simhash, tokens
+from . import decontaminate, language, mixing, quality, simhash, tokens
 from .common import read
+from .params import MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED, MIX_WEIGHTS
+from .sql import SQL
 
 #: Folder of the public vocabulary files.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -33,10 +36,31 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def domain_of_source() -> Column:
+    """The domain of a source: its number's range (web to 9, reference to 14, forum beyond)."""
+    number = F.expr("try_cast(substr(source, 4) as int)")
+    return F.when(number <= 9, "web").when(number <= 14, "reference").when(number.isNotNull(), "forum").otherwise("other")
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return mixing.mix(docs, domain_of_source(), MIX_WEIGHTS, MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_token_output": op2_token_output,
     "op4_language_id": op4_language_id,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_quality_rules": op6_quality_rules,
+    "op10_decontaminate": op10_decontaminate,
 }
-
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
