@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, language, mixing, quality, simhash, tokens
+from . import decontaminate, language, lines, mixing, quality, simhash, tokens
 from .common import read
 from .params import MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED, MIX_WEIGHTS
 from .sql import SQL
@@ -32,6 +32,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(tokens.read_tokens(spark, path))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(read(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_token_output": op2_token_output,
+    "op3_line_dedup": op3_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,
