@@ -133,11 +133,12 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     null text, one without a letter, or a model without languages. Ties go to the language
     that sorts first.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: a broadcast class would have to be installed on the executors
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.log_prob))
     rows = docs.select(F.col(id_col).alias("id"), F.when(has_letter(F.col(text_col)), F.col(text_col)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = LanguageModel(*shared.value)
         for batch in batches:
             langs, scores = [], []
             for text in batch.column("text"):
@@ -175,11 +176,12 @@ def keep_known(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id",
     under `min_score`. The columns stay as they are.
     """
     model = fit(docs, id_col, text_col, lang_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: a broadcast class would have to be installed on the executors
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.log_prob))
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = LanguageModel(*shared.value)
         for batch in batches:
             keep, langs = [], []
             for text in batch.column(text_col):
