@@ -22,6 +22,7 @@ LISTING_BOBAE = "yy. M. d"  # 24. 08. 20
 LISTING_CLIEN = "yyyy-M-d H:m:s"
 LISTING_NAVER = "yyyy.M.d."
 LISTING_NAVER_GATE = r"^\d{4}.\d{2}.\d{2}.$"
+TIME_OF_DAY = r"^([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d)?$"
 TWO_DIGIT_PIVOT = 69
 SEOUL = "Asia/Seoul"
 
@@ -34,11 +35,19 @@ def _squash(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
+LEAP_DAY = r"^0?2\.29\b"
+
+
 def _with_snapshot_year(x: Column, layout: str, snapshot: Column) -> Column:
-    y = F.year(snapshot)
-    t = F.try_to_timestamp(F.concat(y.cast("string"), F.lit("."), x), F.lit(layout))
-    t_prev = F.try_to_timestamp(F.concat((y - 1).cast("string"), F.lit("."), x), F.lit(layout))
-    return F.when(t > snapshot, t_prev).otherwise(t)
+    """`x` with the newest year that puts it at or before the snapshot: the snapshot's year,
+    the one before, and for a Feb 29 the last leap year (8 years back at most)."""
+
+    def in_year(back: int) -> Column:
+        t = F.try_to_timestamp(F.concat((F.year(snapshot) - back).cast("string"), F.lit("."), x), F.lit(layout))
+        return F.when(t <= snapshot, t)
+
+    leap = F.when(x.rlike(LEAP_DAY), F.coalesce(*[in_year(k) for k in range(2, 9)]))
+    return F.coalesce(in_year(0), in_year(1), leap)
 
 
 def parse_dc(c, snapshot: Column) -> Column:
@@ -96,11 +105,11 @@ def look_back_date(start, period_days: int) -> Column:
 
 
 def parse_listing_date(c, source: Column, snapshot: Column) -> Column:
-    """DT11: listing dates; naver values must pass the gate regex, undated items
-    (time only, posted today) take the snapshot date (SURVEY D24)."""
+    """DT11: listing dates; naver values must pass the gate regex, or be a time of day
+    (posted today), which takes the snapshot date (SURVEY D24). Anything else is NULL."""
     x = F.trim(_c(c))
     bobae = F.to_date(pivot_two_digit_year(F.try_to_timestamp(x, F.lit(LISTING_BOBAE)), F.regexp_extract(x, r"^(\d{2})\.", 1).try_cast("int")))
-    naver = F.when(x.rlike(LISTING_NAVER_GATE), F.to_date(F.try_to_timestamp(x, F.lit(LISTING_NAVER)))).otherwise(F.to_date(snapshot))
+    naver = F.when(x.rlike(LISTING_NAVER_GATE), F.to_date(F.try_to_timestamp(x, F.lit(LISTING_NAVER)))).when(x.rlike(TIME_OF_DAY), F.to_date(snapshot))
     clien = F.to_date(F.try_to_timestamp(x, F.lit(LISTING_CLIEN)))
     return F.when(source == "bobae", bobae).when(source == "naver", naver).when(source == "clien", clien)
 

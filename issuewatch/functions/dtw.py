@@ -81,7 +81,17 @@ def dtw_banded(x: np.ndarray, y: np.ndarray, lo: np.ndarray, hi: np.ndarray, wan
 
 def dtw_exact(x: np.ndarray, y: np.ndarray, want_path: bool = False):
     n, m = len(x), len(y)
-    return dtw_banded(x, y, np.zeros(n, dtype=np.int64), np.full(n, m - 1, dtype=np.int64), want_path)
+    if want_path:
+        return dtw_banded(x, y, np.zeros(n, dtype=np.int64), np.full(n, m - 1, dtype=np.int64), True)
+    # a whole row at once: D(i, j) = S(j) + min over k <= j of (from_above(k) - S(k - 1)),
+    # S the row's running cost
+    prev = np.full(m, INF)
+    for i in range(n):
+        d = y - x[i]
+        total = np.cumsum(np.sqrt((d * d).sum(axis=1)))
+        above = np.minimum(prev, np.concatenate(([0.0 if i == 0 else INF], prev[:-1])))
+        prev = total + np.minimum.accumulate(above - np.concatenate(([0.0], total[:-1])))
+    return float(prev[-1]), []
 
 
 def _coarsen(x: np.ndarray) -> np.ndarray:
@@ -112,10 +122,10 @@ def _project_band(path, n: int, m: int, radius: int):
 def fast_dtw(x: np.ndarray, y: np.ndarray, radius: int = 1, want_path: bool = False):
     min_size = radius + 2
     if len(x) < min_size or len(y) < min_size:
-        return dtw_exact(x, y, want_path=True)
+        return dtw_exact(x, y, want_path)
     _, coarse_path = fast_dtw(_coarsen(x), _coarsen(y), radius, want_path=True)
     lo, hi = _project_band(coarse_path, len(x), len(y), radius)
-    return dtw_banded(x, y, lo, hi, want_path=True)
+    return dtw_banded(x, y, lo, hi, want_path)
 
 
 def points(idx, z) -> np.ndarray:

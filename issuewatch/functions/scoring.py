@@ -22,12 +22,6 @@ def log_frequency(total) -> Column:
     return F.log1p(t.cast("double"))
 
 
-def similarity_from_distance(distance, scale: float = SIMILARITY_SCALE) -> Column:
-    """M3: exp(-d / scale)."""
-    d = F.col(distance) if isinstance(distance, str) else distance
-    return F.exp(-d / F.lit(float(scale)))
-
-
 def alert_value(similarity, frequency) -> Column:
     """M4: similarity_degree * total_frequency."""
     s = F.col(similarity) if isinstance(similarity, str) else similarity
@@ -35,20 +29,6 @@ def alert_value(similarity, frequency) -> Column:
     return s * f
 
 
-def dot(a: Column, b: Column) -> Column:
-    """Inner product of two equal-length numeric arrays (HOF, stays in codegen)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """M5: cosine similarity of two vectors given as arrays."""
-    return dot(a, b) / (norm(a) * norm(b))
-
-
 def negativity(p_clean: Column) -> Column:
     """M6: 1 - P(clean)."""
     return F.lit(1.0) - p_clean

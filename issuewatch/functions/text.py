@@ -38,7 +38,6 @@ ONLY_TEXT_DROP = r"[^ㄱ-ㅎㅏ-ㅣ가-힣a-zA-Z0-9\s.,?!()]"
 JAMO_RUN = r"([ㄱ-ㅎㅏ-ㅣ])\1{2,}"
 VIEW_PREFIX = "조회"
 CLIEN_MODIFIED_SPLIT_POST = "수정일 :"
-CLIEN_MODIFIED_SPLIT_COMMENT = "/ 수정일:"
 # -------------------------------------------------------------------------------------
 
 
@@ -46,10 +45,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Java-side form of URL_PATTERN: the word-run quantifiers are made possessive. A word
-# run can never be followed by a word character, so giving back characters cannot
-# create a match; the matches are the same, without the backtracking work.
-URL_PATTERN_JAVA = URL_PATTERN.replace("-]+", "-]++")
+# Java-side form of URL_PATTERN, with the same matches. `(run.)+run` is written as
+# `run(.run)+`, and every run and repeated group is possessive: a run can never be
+# followed by one of its own characters, and all parts behind the path are optional, so
+# giving back characters cannot create a match. Java matches possessive groups in a
+# loop, not by recursion, so a token of any length needs no stack.
+URL_PATTERN_JAVA = (
+    r"(?:https?://)?(?:www\.)?[" + W + r"-]++(?:\.[" + W + r"-]++)++(?:/[" + W + r".-]*+)*+"
+    r"(?:\?[" + W + r"=&]*+)?(?:#[" + W + r"-]*+)?"
+)
 
 
 def strip_urls(c) -> Column:
@@ -115,9 +119,12 @@ def collapse_spaces(c) -> Column:
     return F.regexp_replace(_c(c), r"\s+", " ")
 
 
+IMAGE_NUMBER_PATTERN_JAVA = r"\d(?:\s\d)++"  # the same matches, without recursion
+
+
 def drop_image_numbering(c) -> Column:
     """F7 (dc): `2024 8 20 img 1 2 3` -> `2020 img `."""
-    return F.regexp_replace(_c(c), IMAGE_NUMBER_PATTERN, "")
+    return F.regexp_replace(_c(c), IMAGE_NUMBER_PATTERN_JAVA, "")
 
 
 def drop_app_signature(c) -> Column:
@@ -179,6 +186,14 @@ def strip_view_prefix(c) -> Column:
     return F.trim(F.replace(F.replace(_c(c), F.lit(VIEW_PREFIX), F.lit("")), F.lit(","), F.lit("")))
 
 
+def clien_liked(c) -> Column:
+    """F13 (clien): the crawled like text ends in one extra character, `12명` -> 12; an
+    empty text is 0."""
+    x = F.trim(_c(c))
+    digits = F.regexp_replace(x, r"[^0-9]$", "")
+    return F.when(x == "", F.lit(0)).otherwise(digits.try_cast("bigint")).cast("bigint")
+
+
 def second_token(c) -> Column:
     """second blank-separated token as int (`조회수 15` -> 15)."""
     return F.try_element_at(F.split(_c(c), " "), F.lit(2)).try_cast("int")

@@ -21,8 +21,8 @@ def top_alerts(alerts: DataFrame, k: int = 1) -> DataFrame:
 
 
 def alert_message(top: DataFrame, model: str | None = None) -> DataFrame:
-    """AlarmName / NewStateValue / NewStateReason columns (the message is a row,
-    nothing is sent)."""
+    """AlarmName / NewStateValue / NewStateReason columns and one sentence over them
+    (the message is a row, nothing is sent)."""
     name = F.col("current_keyword") if not model else F.concat_ws(" ", F.lit(model), F.col("current_keyword"))
     return top.select(
         "current_keyword",
@@ -31,4 +31,5 @@ def alert_message(top: DataFrame, model: str | None = None) -> DataFrame:
         name.alias("AlarmName"),
         F.col("alert_value").cast("string").alias("NewStateValue"),
         F.coalesce(F.col("past_issue_name"), F.lit("")).alias("NewStateReason"),
+        F.format_string("%s: alert value %.4f, similar to %s", name, F.coalesce("alert_value", F.lit(0.0)), F.coalesce("past_issue_name", F.lit("no past issue"))).alias("sentence"),
     )

@@ -83,15 +83,17 @@ def seconds_per_comment(post_time: Column, last_time: Column, n: Column) -> Colu
     return F.when(n == 0, F.lit(0.0)).otherwise(diff.cast("double") / n.cast("double"))
 
 
-def post_comment_rows(posts: DataFrame, key: str, parse) -> DataFrame:
+def post_comment_rows(posts: DataFrame, key: str, parse, count: Column | None = None) -> DataFrame:
     """X3 (+C7, A7, A9, W3, P5): posts and their comments as one flat table, in one pass.
 
     posts: key, content, created_at (timestamp), viewed, liked, comments (array<COMMENT>).
     Each post row becomes an array of items - its valid comments (zeros for the
     counts) followed by the post itself (counts and seconds_per_comment) - exploded
     once. `item_order` sorts each post's comments before the post (row order of the CSV).
+    `count` is the post's own number of comments where its site gives one (dc, naver);
+    the array's length otherwise.
     """
-    n = comment_count(F.col("comments"))
+    n = comment_count(F.col("comments")) if count is None else count
     last = parse(last_valid_comment_time(F.col("comments")))
 
     def item(order, content, created, viewed, liked, post_type, n_comments, spc):
@@ -115,24 +117,24 @@ def post_comment_rows(posts: DataFrame, key: str, parse) -> DataFrame:
 
 
 def last_flag_position(items: DataFrame, key: str, pos: str, flag: Column, block: int = POSITION_BLOCK) -> DataFrame:
-    """For each item, the largest position <= its own where `flag` holds, per key.
-    Blocked prefix scan: running max inside (key, block), plus the max of all earlier
-    blocks of the key (computed on one row per block)."""
+    """For each item, the largest position <= its own where `flag` holds, per key; items
+    before the first flag take the key's first position. Blocked prefix scan: running
+    max inside (key, block), plus the max of all earlier blocks of the key (computed on
+    one row per block)."""
     it = items.withColumn("_flag", flag).withColumn("_blk", F.floor(F.col(pos) / F.lit(block)))
     w_in = Window.partitionBy(key, "_blk").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     it = it.withColumn("_local", F.max(F.when(F.col("_flag"), F.col(pos))).over(w_in))
-    per_block = it.groupBy(key, "_blk").agg(F.max(F.when(F.col("_flag"), F.col(pos))).alias("_bmax"))
+    per_block = it.groupBy(key, "_blk").agg(F.max(F.when(F.col("_flag"), F.col(pos))).alias("_bmax"), F.min(pos).alias("_bmin"))
     w_carry = Window.partitionBy(key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_block.select(key, "_blk", F.max("_bmax").over(w_carry).alias("_carry"))
+    carry = per_block.select(key, "_blk", F.max("_bmax").over(w_carry).alias("_carry"), F.min("_bmin").over(Window.partitionBy(key)).alias("_first"))
     out = it.join(carry, [key, "_blk"], "left")
-    return out.withColumn("flag_pos", F.coalesce(F.col("_local"), F.col("_carry"))).drop("_flag", "_blk", "_local", "_carry")
+    return out.withColumn("flag_pos", F.coalesce("_local", "_carry", "_first")).drop("_flag", "_blk", "_local", "_carry", "_first")
 
 
 def assemble_threads(items: DataFrame, key: str = "post", pos: str = "pos", is_reply: str = "is_reply") -> DataFrame:
     """thread_pos = position of the parent of each item (parents are non-replies; a
-    leading reply becomes a parent itself, SURVEY D23)."""
-    parent = (~F.col(is_reply)) | (F.col(pos) == 0)
-    t = last_flag_position(items, key, pos, parent)
+    post's first item is a parent itself, whatever its position, SURVEY D23)."""
+    t = last_flag_position(items, key, pos, ~F.col(is_reply))
     return t.withColumnRenamed("flag_pos", "thread_pos").withColumn("is_parent", F.col("thread_pos") == F.col(pos))
 
 

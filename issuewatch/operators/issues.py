@@ -1,7 +1,7 @@
 """Keyword issue time series: C3, A5, A1, P6, DT7, DT8, J1-J3, M1, A2, A3.
 
 Plan shape (see `.explain`): the history scan carries the snapshot-window filter
-(pushed to parquet), keywords are exploded, sums are partially aggregated map-side
+(pushed to parquet, and to the partitions of a table partitioned by snapshot date), keywords are exploded, sums are partially aggregated map-side
 (so a hot keyword never lands whole in one task), shuffled on (hour, keyword) and
 left-joined from a per-keyword hour grid. The grid is generated per keyword with
 `explode(sequence(...))` instead of a cross join. The active-keyword filter (J1) is a
@@ -34,14 +34,20 @@ def window_bounds(snapshot: Column, days: int = WINDOW_DAYS) -> tuple[Column, Co
     return F.date_sub(snapshot, days).cast("timestamp"), snapshot
 
 
-def keyword_hour_sums(history: DataFrame, start: Column | None = None, end: Column | None = None, time_col: str = "file_create_time") -> DataFrame:
-    """A1 (+P6, P11): sums per (snapshot hour, keyword) inside [start, end]."""
+def keyword_hour_sums(
+    history: DataFrame, start: Column | None = None, end: Column | None = None, time_col: str = "file_create_time", date_col: str = "snapshot_date"
+) -> DataFrame:
+    """A1 (+P6, P11): sums per (snapshot hour, keyword) inside [start, end]. A snapshot at
+    11:07 counts for the hour 11:00, so it meets the hour grid. A history partitioned by
+    `date_col` is pruned to the window's dates."""
     h = history
-    if start is not None:
-        h = h.filter(F.col(time_col) >= start)
-    if end is not None:
-        h = h.filter(F.col(time_col) <= end)
-    ex = h.select(F.explode("keywords").alias("current_keyword"), F.col(time_col).alias("created_at"), *SUM_COLS)
+    for bound, keep in ((start, lambda c, x: c >= x), (end, lambda c, x: c <= x)):
+        if bound is not None:
+            h = h.filter(keep(F.col(time_col), bound))
+            if date_col in history.columns:  # the table's partition column: prunes folders
+                h = h.filter(keep(F.col(date_col), F.to_date(bound)))
+    hour = F.date_trunc("hour", time_col).alias("created_at")
+    ex = h.select(F.explode("keywords").alias("current_keyword"), hour, *SUM_COLS)
     return ex.groupBy("created_at", "current_keyword").agg(
         F.sum("num_of_comments").cast("bigint").alias("num_of_comments"),
         F.sum("viewed").cast("bigint").alias("viewed"),

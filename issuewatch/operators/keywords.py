@@ -6,10 +6,10 @@ per-document Python loop:
   step 1: pick = argmax_c sim(c, doc)
   step k: pick = argmax_c (1 - d) * sim(c, doc) - d * max_{p picked} sim(c, p)
 
-Each step is a `min_by` aggregate per document (key: -score, then candidate id), a
-partial aggregation, so a document with a huge candidate list is reduced map-side. The
-candidates are joined with one small row per document holding the picks so far.
-Ties go to the lowest candidate id (the reference's candidates are sorted and
+Each step of `mmr` is two hash aggregates per document (best score, then the lowest
+candidate with it), reduced map-side. The candidates are joined with one small row per
+document holding the picks so far. `extract_keywords` needs no such rows: a document
+and its candidates are one row there, and MMR runs inside an Arrow batch. Ties go to the lowest candidate id (the reference's candidates are sorted and
 numpy's argmax takes the first maximum).
 
 The tagger and sentence encoder of the reference are not available offline; the
@@ -19,12 +19,12 @@ character-trigram encoder (an Arrow pandas UDF), documented stand-ins, see READM
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 from ..functions.scoring import dot_fixed, norm_fixed
 from ..session import scratch_path
@@ -33,15 +33,19 @@ TOP_N = 5  # fixed value: keywords per document
 DIVERSITY = 0.2  # fixed value: MMR diversity
 ENCODER_DIM = 64
 MIN_WORD_CHARS = 2  # candidates are words of 2+ letters, lower-cased
-SALTS = 4  # buckets per document for the MMR candidate table
+BUCKET_ROWS = 100_000  # candidates of a document per salt of the MMR join
 
 
-def mean_vectors(items: DataFrame, key: str, vec: str, dim_col: str = "_pos") -> DataFrame:
-    """Mean of the item vectors per key (element-wise), as array<double>.
-    Element sums are partial aggregates; the final array has `dim` entries per key."""
-    ex = items.select(key, F.posexplode(vec).alias(dim_col, "_x"))
-    g = ex.groupBy(key, dim_col).agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    return g.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(dim_col, "_m"))), lambda s: s["_m"]).alias("doc_vec"))
+def mean_vectors(items: DataFrame, key: str, vec: str, dim: int | None = None) -> DataFrame:
+    """Mean of the item vectors per key (element-wise), as array<double>. With the width
+    `dim` known the elements are plain averages of one partial aggregate; otherwise each
+    element is a row of it."""
+    if dim:
+        means = [F.avg(F.col(vec)[i].cast("double")).alias(f"_m{i}") for i in range(dim)]
+        return items.groupBy(key).agg(*means).select(key, F.array(*[f"_m{i}" for i in range(dim)]).alias("doc_vec"))
+    ex = items.select(key, F.posexplode(vec).alias("_pos", "_x"))
+    g = ex.groupBy(key, "_pos").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
+    return g.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_m"))), lambda s: s["_m"]).alias("doc_vec"))
 
 
 def mmr(
@@ -53,23 +57,21 @@ def mmr(
     top_n: int = TOP_N,
     diversity: float = DIVERSITY,
     dim: int | None = None,
-    salts: int = SALTS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """MMR selection. cands: (doc, item, emb); doc_vecs: (doc, doc_vec).
-    Returns (doc, rank, item) for the picked items, rank 1..top_n.
-
-    The scored candidates are written once as a table bucketed on (doc, salt), with
-    salt = hash(item) mod `salts`, in the shared checkpoint folder. A document with a
-    huge candidate list is thus spread over `salts` buckets, and the big table is never
-    shuffled again: bucketing is kept for joins on the bucket keys. The state between
-    steps is one small row per document (picked ids, vectors, norms; at most top_n),
-    replicated over the salts and shuffled into the buckets, and checkpointed per step
-    so the plan stays linear. Each step reduces per (doc, salt) inside the buckets with
-    `min_by`, then per doc over the small partial results. With `dim` given, dot
-    products are unrolled (codegen) instead of array HOFs."""
+    """MMR selection where the candidates are rows. cands: (doc, item, emb); doc_vecs:
+    (doc, doc_vec). Returns (doc, rank, item) for the picked items, rank 1..top_n.
+
+    The scored candidates are written once to the shared scratch folder and read by every
+    step. A step needs two hash aggregates on fixed-width buffers per document: the best
+    score, and the lowest item among the candidates with that score; both are reduced
+    map-side, so a document with a huge candidate list is never whole in one task. Only
+    the winner's vector is then fetched, by a join on (document, item). The state
+    between steps is one small row per document (at most top_n picks), joined to the
+    candidates on (document, salt): the number of salts follows the largest document's
+    measured candidate count. With `dim` given, dot products are unrolled (codegen)."""
     d = float(diversity)
     spark = cands.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def dot(a, b):
         return dot_fixed(a, b, dim) if dim else _dot_hof(a, b)
@@ -77,47 +79,39 @@ def mmr(
     def nrm(a):
         return norm_fixed(a, dim) if dim else F.sqrt(_dot_hof(a, a))
 
-    j0 = cands.join(doc_vecs, doc).select(doc, item, emb, nrm(F.col(emb)).alias("_n"), F.col("doc_vec"), nrm(F.col("doc_vec")).alias("_dn"))
-    scored = j0.select(
-        doc,
-        item,
-        emb,
-        "_n",
-        (dot(F.col(emb), F.col("doc_vec")) / (F.col("_n") * F.col("_dn"))).alias("_sim_doc"),
-        F.pmod(F.xxhash64(F.col(item)), F.lit(salts)).cast("int").alias("_salt"),
-    )
-    path = scratch_path(spark, "mmr-candidates")
-    name = "mmr_candidates_" + path.rsplit("-", 1)[-1]
-    scored.write.bucketBy(n, doc, "_salt").mode("overwrite").option("path", path).saveAsTable(name)
-    base = spark.table(name)
+    def cut(df, name):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    j0 = cands.join(doc_vecs, doc).select(doc, item, emb, nrm(F.col(emb)).alias("_n"), "doc_vec", nrm(F.col("doc_vec")).alias("_dn"))
+    base = cut(j0.select(doc, item, emb, "_n", (dot(F.col(emb), F.col("doc_vec")) / (F.col("_n") * F.col("_dn"))).alias("_sim_doc")), "mmr-candidates")
+    most = base.groupBy(doc).count().agg(F.max("count")).first()[0] or 1
+    salts = max(1, -(-most // bucket_rows))
+    base = base.withColumn("_salt", F.pmod(F.xxhash64(item), F.lit(salts)).cast("int"))
     salt_ids = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     picked = None  # doc, _items, _embs, _norms
     for rank in range(1, top_n + 1):
         if picked is None:
             cand, score = base, F.col("_sim_doc")
         else:
-            rep = picked.select("*", salt_ids)
-            cand = base.join(rep, [doc, "_salt"]).filter(~F.array_contains(F.col("_items"), F.col(item)))
+            cand = base.join(picked.select("*", salt_ids), [doc, "_salt"]).filter(~F.array_contains(F.col("_items"), F.col(item)))
             sims = [dot(F.col(emb), F.col("_embs")[j]) / (F.col("_n") * F.col("_norms")[j]) for j in range(rank - 1)]
             maxsim = F.greatest(*sims) if len(sims) > 1 else sims[0]
             score = F.lit(1.0 - d) * F.col("_sim_doc") - F.lit(d) * maxsim
-        key = F.struct((-score).alias("k1"), F.col(item).alias("k2"))
-        val = F.struct(F.col(item).alias("_pick"), F.col(emb).alias("_pick_emb"), F.col("_n").alias("_pick_n"))
-        partial = cand.groupBy(doc, "_salt").agg(F.min_by(F.struct(key.alias("k"), val.alias("v")), key).alias("_c"))
-        pick = partial.groupBy(doc).agg(F.min_by(F.col("_c.v"), F.col("_c.k")).alias("_p"))
+        scored = cut(cand.select(doc, item, score.alias("_score")), "mmr-scores")
+        best = scored.groupBy(doc).agg(F.max("_score").alias("_score"))
+        pick = scored.join(best, [doc, "_score"]).groupBy(doc).agg(F.min(item).alias(item))
+        pick = base.join(pick, [doc, item], "left_semi").select(doc, F.col(item).alias("_pick"), F.col(emb).alias("_pick_emb"), F.col("_n").alias("_pick_n"))
         if picked is None:
-            nxt = pick.select(doc, F.array(F.col("_p._pick")).alias("_items"), F.array(F.col("_p._pick_emb")).alias("_embs"), F.array(F.col("_p._pick_n")).alias("_norms"))
+            nxt = pick.select(doc, F.array("_pick").alias("_items"), F.array("_pick_emb").alias("_embs"), F.array("_pick_n").alias("_norms"))
         else:
             jn = picked.join(pick, doc, "left")
-            add = F.col("_p").isNotNull()
+            add = F.col("_pick").isNotNull()
             nxt = jn.select(
-                doc,
-                *[
-                    F.when(add, F.concat(c, F.array(F.col(f"_p.{f}")))).otherwise(F.col(c)).alias(c)
-                    for c, f in (("_items", "_pick"), ("_embs", "_pick_emb"), ("_norms", "_pick_n"))
-                ],
+                doc, *[F.when(add, F.concat(c, F.array(f))).otherwise(F.col(c)).alias(c) for c, f in (("_items", "_pick"), ("_embs", "_pick_emb"), ("_norms", "_pick_n"))]
             )
-        picked = nxt.checkpoint()
+        picked = cut(nxt, "mmr-picked")
     return picked.select(doc, F.posexplode("_items").alias("rank", item)).withColumn("rank", F.col("rank") + 1)
 
 
@@ -134,88 +128,96 @@ def letter_words(text: Column) -> Column:
 
 
 ENCODE_CHUNK_CHARS = 1 << 20  # characters encoded per vectorised numpy pass
-LONG_TEXT_CHARS = 2048  # longer texts are encoded one by one
-
-
-def _hashed_counts_batch(texts: list[str], dim: int) -> np.ndarray:
-    """Signed hashed trigram counts of ' text ' for several texts at once: code points
-    of all texts are concatenated, every trigram gets (row, bucket), one bincount."""
+KEYWORD_DOCS = 256  # documents whose candidates are encoded together
+
+
+def hashed_counts(texts: list[str], dim: int = ENCODER_DIM) -> np.ndarray:
+    """Encoder stand-in (the 'model'): (len(texts), dim) signed hashed character-trigram
+    counts of ' text '. Bucket = (961 a + 31 b + c) mod dim, sign = +1 when a + 7 b + 13 c
+    is even, for the code points a b c of each trigram. The code points of many texts
+    are concatenated, every trigram gets (row, bucket), and one bincount adds them up."""
+    out, at = [], 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size + len(texts[to]) <= ENCODE_CHUNK_CHARS):
+            size += len(texts[to])
+            to += 1
+        out.append(_hashed_counts(texts[at:to], dim))
+        at = to
+    return np.concatenate(out) if out else np.zeros((0, dim))
+
+
+def _hashed_counts(texts: list[str], dim: int) -> np.ndarray:
     padded = [" " + t + " " for t in texts]
     lens = np.fromiter((len(p) for p in padded), dtype=np.int64, count=len(padded))
-    cp = np.frombuffer("".join(padded).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    cp = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     starts = np.cumsum(lens) - lens
     ntri = np.maximum(lens - 2, 0)
-    total = int(ntri.sum())
-    out = np.zeros((len(texts), dim), dtype=np.int64)
-    if total == 0:
-        return out.astype(np.int32)
     row = np.repeat(np.arange(len(texts)), ntri)
-    pos = np.arange(total) - np.repeat(np.cumsum(ntri) - ntri, ntri) + np.repeat(starts, ntri)
+    pos = np.arange(len(row)) - np.repeat(np.cumsum(ntri) - ntri, ntri) + np.repeat(starts, ntri)
     a, b, c = cp[pos], cp[pos + 1], cp[pos + 2]
     bucket = (a * 961 + b * 31 + c) % dim
-    sign = np.where((a + b * 7 + c * 13) % 2 == 0, 1, -1)
-    out = np.bincount(row * dim + bucket, weights=sign, minlength=len(texts) * dim).reshape(len(texts), dim)
-    return np.rint(out).astype(np.int32)
-
-
-def _hashed_counts(text: str, dim: int) -> np.ndarray:
-    """The same counts for one (long) text, by direct slicing."""
-    cp = np.frombuffer((" " + text + " ").encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-    if len(cp) < 3:
-        return np.zeros(dim, dtype=np.int32)
-    a, b, c = cp[:-2], cp[1:-1], cp[2:]
-    bucket = (a * 961 + b * 31 + c) % dim
     sign = np.where((a + b * 7 + c * 13) % 2 == 0, 1.0, -1.0)
-    return np.rint(np.bincount(bucket, weights=sign, minlength=dim)).astype(np.int32)
-
-
-def hashed_encoder(dim: int = ENCODER_DIM):
-    """Encoder stand-in (the 'model'): text -> array<int>(dim) of signed hashed
-    character-trigram counts of ' text '. Bucket = (961 a + 31 b + c) mod dim, sign = +1
-    when a + 7 b + 13 c is even, for the code points a b c of each trigram. Runs as an
-    Arrow-batched pandas UDF: short texts are vectorised together in chunks of about
-    ENCODE_CHUNK_CHARS characters, long texts are encoded one by one."""
-
-    @pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(texts: pd.Series) -> pd.Series:
-        vals = texts.tolist()
-        out: list = [None] * len(vals)
-        chunk, idx, size = [], [], 0
-        for i, t in enumerate(vals):
-            if not isinstance(t, str):
-                continue
-            if len(t) > LONG_TEXT_CHARS:
-                out[i] = _hashed_counts(t, dim)
-                continue
-            chunk.append(t)
-            idx.append(i)
-            size += len(t)
-            if size >= ENCODE_CHUNK_CHARS:
-                for j, v in zip(idx, _hashed_counts_batch(chunk, dim)):
-                    out[j] = v
-                chunk, idx, size = [], [], 0
-        if chunk:
-            for j, v in zip(idx, _hashed_counts_batch(chunk, dim)):
-                out[j] = v
-        return pd.Series(out, dtype=object)
-
-    return encode
-
-
-def hashed_vectors(df: DataFrame, key: str, text: str, dim: int = ENCODER_DIM) -> DataFrame:
-    """key -> vec with the hashed encoder."""
-    return df.select(key, hashed_encoder(dim)(F.col(text)).alias("vec"))
-
-
-def extract_keywords(docs: DataFrame, key: str, text: str, top_n: int = TOP_N, diversity: float = DIVERSITY) -> DataFrame:
+    return np.bincount(row * dim + bucket, weights=sign, minlength=len(texts) * dim).reshape(len(texts), dim)
+
+
+def mmr_order(vectors: np.ndarray, target: np.ndarray, top_n: int, diversity: float) -> list[int]:
+    """Greedy MMR over the rows of `vectors`; of equal scores the first row wins. A vector
+    without length has similarity 0 to everything."""
+
+    def cosine(v: np.ndarray, length: float) -> np.ndarray:
+        scale = norms * length
+        return np.divide(vectors @ v, scale, out=np.zeros(len(vectors)), where=scale > 0)
+
+    norms = np.sqrt((vectors * vectors).sum(axis=1))
+    to_doc = cosine(target, np.sqrt((target * target).sum()))
+    picked: list[int] = []
+    nearest = np.full(len(vectors), -np.inf)
+    while len(picked) < min(top_n, len(vectors)):
+        score = to_doc.copy() if not picked else (1.0 - diversity) * to_doc - diversity * nearest
+        score[picked] = -np.inf
+        best = int(np.argmax(score))
+        picked.append(best)
+        nearest = np.maximum(nearest, cosine(vectors[best], norms[best]))
+    return picked
+
+
+def extract_keywords(
+    docs: DataFrame,
+    key: str,
+    text: str | Column,
+    top_n: int = TOP_N,
+    diversity: float = DIVERSITY,
+    tokenizer: Callable[[Column], Column] = letter_words,
+    encoder: Callable[[list[str]], np.ndarray] = hashed_counts,
+) -> DataFrame:
     """(key, rank, keyword). Candidates = distinct words of the whole text; the
     document vector and each candidate's vector come from the encoder; MMR picks.
-    Words are de-duplicated inside each row first (`array_distinct`, fewer rows to
-    shuffle), then by a distinct over (key, word), whose shuffle output feeds both the
-    vocabulary and the candidates."""
-    words = docs.select(key, F.explode(F.array_distinct(letter_words(F.col(text)))).alias("word")).distinct()
-    vocab = words.select("word").distinct()
-    word_vecs = hashed_vectors(vocab, "word", "word")
-    doc_vecs = hashed_vectors(docs.select(key, F.lower(F.col(text)).alias("_t")), key, "_t").withColumnRenamed("vec", "doc_vec")
-    cands = words.join(word_vecs, "word")
-    return mmr(cands, doc_vecs, key, "word", "vec", top_n, diversity, dim=ENCODER_DIM).withColumnRenamed("word", "keyword")
+
+    A document and its candidates are one row, so the plan is one map: `tokenizer` (a
+    column expression) runs in the scan, `encoder` (texts -> one vector each) sees the
+    distinct words of a batch of rows once, and each row picks its own keywords. Nothing
+    is shuffled or written. A null text has no keywords."""
+    x = F.lower(F.col(text) if isinstance(text, str) else text)
+    rows = docs.select(F.col(key).alias("k"), F.coalesce(x, F.lit("")).alias("t")).select("k", "t", F.array_sort(F.array_distinct(tokenizer(F.col("t")))).alias("w"))
+    rows = rows.where(F.size("w") > 0)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, KEYWORD_DOCS):
+                some = batch.slice(at, KEYWORD_DOCS)
+                words = some.column("w").to_pylist()
+                distinct = {w: i for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
+                vectors = np.asarray(encoder(list(distinct)), dtype=np.float64)
+                targets = np.asarray(encoder(some.column("t").to_pylist()), dtype=np.float64)
+                places, ranks, found = [], [], []
+                for k, ws in enumerate(words):
+                    picked = mmr_order(vectors[[distinct[w] for w in ws]], targets[k], top_n, diversity)
+                    places += [k] * len(picked)
+                    ranks += range(1, len(picked) + 1)
+                    found += [ws[i] for i in picked]
+                ids = some.column("k").take(pa.array(places, pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(ranks, pa.int32()), pa.array(found, pa.string())], ["k", "rank", "keyword"])
+
+    kind = rows.schema["k"].dataType.simpleString()
+    return rows.mapInArrow(run, f"k {kind}, rank int, keyword string").withColumnRenamed("k", key)

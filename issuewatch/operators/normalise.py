@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.dates import format_ts, parse_post_date
+from ..functions.numbers import korean_number
+from .comments import comment_count, normalise_comments, rewrite_comment_times
 
-KNOWN_SOURCES = ("dc", "naver", "bobae", "clien")
+DC_SOURCES = ("dc", "dcinside")
+PLAIN_SOURCES = ("naver", "bobae", "clien")
 
 
 def clean_by_source(df: DataFrame, col: str = "content", source_col: str = "data_source") -> DataFrame:
     """F-chain per source (2.8.1) in one scan. F1 and F2 are computed once into a column,
     F3 uses native replaces except for rows with unusual entities, which go through the
-    Arrow UDF (see `text.html_unescape_mixed`), then F4 onward per source."""
+    Arrow UDF (see `text.html_unescape_mixed`), then F4 onward per source. A source that
+    is not known has no chain: its text becomes NULL."""
     src = F.col(source_col)
     stripped = df.withColumn("_f12", text.strip_emails(text.strip_urls(col)))
     unesc = stripped.withColumn("_f3", text.html_unescape_mixed(F.col("_f12")))
     x = F.col("_f3")
-    out = unesc.withColumn(col, F.when(src.isin("dc", "dcinside"), _clean_native_from(x, "dc")).otherwise(_clean_native_from(x, "naver")))
+    out = unesc.withColumn(col, F.when(src.isin(*DC_SOURCES), _clean_native_from(x, "dc")).when(src.isin(*PLAIN_SOURCES), _clean_native_from(x, "naver")))
     return out.drop("_f12", "_f3")
 
 
@@ -34,10 +39,46 @@ def clean_titles(df: DataFrame, col: str = "title", source_col: str = "data_sour
     return df.withColumn(col, t)
 
 
-RAW_DATA_COLUMNS = [
-    "title", "content", "author", "created_at", "viewed", "liked", "num_of_comments",
-    "comments", "model", "data_source", "keywords", "file_create_time", "sentiment", "url",
-]
+def normalise_posts(raw: DataFrame, snapshot: Column, source_col: str = "data_source") -> tuple[DataFrame, DataFrame]:
+    """The formatter: raw posts of all sources -> (formatted posts, quarantine).
+
+    `raw` has the text columns of `files.RAW_POST` and `source_col`; other columns pass
+    through. Per source: content cleaned (2.8.1 chains), titles of bobae and clien
+    cleaned, created_at parsed (DT1-DT4), counts as integers (dc: as they are; naver: unit
+    numbers under a view label; bobae and clien: viewed and liked as they are, an empty
+    clien `liked` is 0, comments counted), comments in one shape with their times
+    rewritten. A row goes to the quarantine with its raw values and a `reason`: unknown
+    source, failed date, or failed number. One scan, no shuffle."""
+    src = F.col(source_col)
+    comments = normalise_comments(F.col("comments"))
+    count = {
+        c: F.when(src == "naver", korean_number(text.strip_view_prefix(c)))
+        .when((src == "clien") & (F.lit(c) == "liked"), text.clien_liked(c))
+        .otherwise(F.trim(c).try_cast("bigint"))
+        for c in ("viewed", "liked", "num_of_comments")
+    }
+    own = src.isin(*DC_SOURCES) | (src == "naver")
+    count["num_of_comments"] = F.when(own, count["num_of_comments"]).otherwise(comment_count(comments).cast("bigint"))
+    parsed = {f"_n_{c}": v for c, v in count.items()} | {"_time": parse_post_date(F.col("created_at"), src, snapshot)}
+    rows = raw.withColumn("_raw", F.struct(*raw.columns)).withColumns(parsed)
+    bad_number = F.col("_n_viewed").isNull() | F.col("_n_liked").isNull() | F.col("_n_num_of_comments").isNull()
+    reason = (
+        F.when(src.isNull() | ~src.isin(*DC_SOURCES, *PLAIN_SOURCES), "unknown source")
+        .when(F.col("_time").isNull(), "failed date")
+        .when(bad_number, "failed number")
+    )
+    rows = rows.withColumn("_reason", reason)
+    quarantine = rows.where(F.col("_reason").isNotNull()).select("_raw.*", F.col("_reason").alias("reason"))
+    good = rows.where(F.col("_reason").isNull())
+    good = good.withColumns(
+        {
+            "created_at": format_ts("_time"),
+            "comments": rewrite_comment_times(comments, lambda c: parse_post_date(c, src, snapshot)),
+            **{c: F.col(f"_n_{c}") for c in count},
+        }
+    )
+    good = clean_titles(clean_by_source(good, "content", source_col), "title", source_col)
+    return good.select(*raw.columns), quarantine
 
 
 def to_raw_data(df: DataFrame, snapshot) -> DataFrame:
@@ -65,7 +106,7 @@ def to_raw_data(df: DataFrame, snapshot) -> DataFrame:
 
 
 def raw_data_view(raw: DataFrame, width: int = 255) -> DataFrame:
-    """P2 + C3: one row per keyword, content and comments cut to `width` characters."""
-    cols = [c for c in raw.columns if c != "keywords"]
-    v = raw.select(F.explode("keywords").alias("current_keyword"), *cols)
-    return v.withColumn("content", F.substring("content", 1, width)).withColumn("comments", F.substring("comments", 1, width))
+    """P2 + C3: one row per keyword; content and comments, where the rows have them, cut to
+    `width` characters."""
+    cols = [F.substring(c, 1, width).alias(c) if c in ("content", "comments") else F.col(c) for c in raw.columns if c != "keywords"]
+    return raw.select(F.explode("keywords").alias("current_keyword"), *cols)

@@ -1,5 +1,5 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a lazy DataFrame over
-the whole driver tables. Names match `oracle.SQL` where a SQL oracle exists."""
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the whole
+driver tables; queries over files, streams and iterations write those when called. Names match `oracle.SQL` where a SQL oracle exists."""
 
 from __future__ import annotations
 
@@ -41,6 +41,14 @@ def q_dense_keyword_issue(spark, root):
     return round_doubles(_current_issue(spark, root))
 
 
+@query("dense_keyword_issue_offhour")
+def q_dense_keyword_issue_offhour(spark, root):
+    """Snapshots taken off the full hour count for their hour."""
+    posts = fx.off_hour_posts(spark, root)
+    snap = fx.snapshot_time(posts)
+    return round_doubles(issues.current_issue(posts, fx.current_batch(posts, snap), snap))
+
+
 @query("keyword_frequency")
 def q_keyword_frequency(spark, root):
     return round_doubles(issues.keyword_frequency(_current_issue(spark, root)))
@@ -132,6 +140,26 @@ def q_clean_titles(spark, root):
     return normalise.clean_titles(p).select("page_id", "data_source", "title")
 
 
+def _normalised(spark, root):
+    snap = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    return normalise.normalise_posts(fx.site_posts(spark, root), snap)
+
+
+@query("normalise_posts")
+def q_normalise_posts(spark, root):
+    """The formatter over all four sources: cleaned texts, parsed dates and counts."""
+    good, _ = _normalised(spark, root)
+    last = F.to_timestamp(cm.last_valid_comment_time(F.col("comments")))
+    return good.select("doc_id", "data_source", "title", "content", "created_at", "viewed", "liked", "num_of_comments", last.alias("last_comment_at"))
+
+
+@query("normalise_quarantine")
+def q_normalise_quarantine(spark, root):
+    """The rows that the formatter refuses, raw, with the reason."""
+    _, bad = _normalised(spark, root)
+    return bad.select("doc_id", "data_source", "created_at", "viewed", "reason")
+
+
 @query("parse_counts")
 def q_parse_counts(spark, root):
     c = fx.site_counts(spark, root)
@@ -266,18 +294,21 @@ def q_dedupe_snapshot(spark, root):
 
 @query("union_sources")
 def q_union_sources(spark, root):
+    """X1 over one folder per source, as the crawlers write them: each has its own column
+    order, clien an extra column, naver one column less."""
     p = fx.kw_posts(spark, root)
     cols = ["event_id", "url", "created_at", "data_source", "keywords", "viewed", "liked", "num_of_comments", "sentiment"]
+    out = scratch_path(spark, "per-source")
+    p.select(*cols).write.partitionBy("data_source").parquet(out)
     parts = []
     for i, s in enumerate(fx.SOURCES):
-        part = p.filter(F.col("data_source") == s).select(*(cols[i:] + cols[:i]))  # column order differs per source
+        part = spark.read.parquet(f"{out}/data_source={s}").withColumn("data_source", F.lit(s)).select(*(cols[i:] + cols[:i]))
         if s == "clien":
             part = part.withColumn("modified_at", F.col("created_at").cast("string"))
+        if s == "naver":
+            part = part.drop("sentiment")
         parts.append(part)
-    u = parts[0]
-    for part in parts[1:]:
-        u = u.unionByName(part, allowMissingColumns=True)
-    return u.drop("modified_at").select(*cols)
+    return round_doubles(fl.union_sources(parts).select(*cols))
 
 
 def _raw_posts(spark, root):
@@ -349,24 +380,36 @@ CONV_SCHEMA = "conv_id bigint, turn bigint, role string, text string, _corrupt_r
 
 @query("tolerant_json")
 def q_tolerant_json(spark, root):
-    """S3: conversations written as JSON lines where some lines are cut in half (broken)
+    """S3: conversations written as JSON lines where some lines are cut short (broken)
     and some are `{}`; the tolerant read keeps every intact row, quarantines the broken
     ones and drops the empty records (P4)."""
+    good, _ = _tolerant(spark, root)
+    return fl.drop_failed_posts(good.withColumn("_k", F.col("conv_id").cast("string")), "_k").select("conv_id", "turn", "role", "text")
+
+
+@query("tolerant_json_quarantine")
+def q_tolerant_json_quarantine(spark, root):
+    """The broken lines of the same files, by their text."""
+    _, bad = _tolerant(spark, root)
+    return bad.select(F.col("_corrupt_record").alias("line"))
+
+
+def _tolerant(spark, root):
     from pyspark.sql import types as T
 
     c = read_table(spark, root, "conversations")
-    j = F.to_json(F.struct("conv_id", "turn", "role", "text"))
-    line = F.when(F.col("turn") % 9 == 4, F.substring(j, 1, (F.length(j) / 2).cast("int"))).when(F.col("turn") % 11 == 7, F.lit("{}")).otherwise(j)
+    j = F.concat(F.lit('{"conv_id":'), F.col("conv_id").cast("string"), F.lit(',"turn":'), F.col("turn").cast("string"), F.lit(',"role":"'), F.col("role"), F.lit('","n":'), F.length("text").cast("string"), F.lit("}"))
+    whole = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    line = F.when(F.col("turn") % 9 == 4, F.expr("substring(j, 1, length(j) - 3)")).when(F.col("turn") % 11 == 7, F.lit("{}")).otherwise(F.col("whole"))
     out = scratch_path(spark, "tolerant-json")
-    c.select(line.alias("value")).write.mode("overwrite").text(out)
-    schema = T._parse_datatype_string(CONV_SCHEMA)
-    good, _bad = fl.read_jsonl_tolerant(spark, out, schema)
-    return fl.drop_failed_posts(good.withColumn("_k", F.col("conv_id").cast("string")), "_k").select("conv_id", "turn", "role", "text")
+    c.select(j.alias("j"), whole.alias("whole"), "turn").select(line.alias("value")).write.mode("overwrite").text(out)
+    return fl.read_jsonl_tolerant(spark, out, T._parse_datatype_string(CONV_SCHEMA))
 
 
 def _raw_post_lines(spark, root):
     p = fx.kw_posts(spark, root)
     return p.select(
+        "event_id",
         F.col("event_type").alias("title"),
         F.concat(F.lit("value "), F.col("value").cast("string")).alias("content"),
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("author"),
@@ -386,9 +429,9 @@ def _raw_post_lines(spark, root):
 @query("snapshot_read")
 def q_snapshot_read(spark, root):
     """S5 -> S1: posts written as JSON lines per (snapshot, source) folder, then the
-    newest snapshot read back (newest 4 sources, failed rows dropped, url dedupe)."""
+    newest snapshot read back (all its sources, failed rows dropped, url dedupe)."""
     out = scratch_path(spark, "posts-jsonl")
-    fl.write_posts_jsonl(_raw_post_lines(spark, root), out)
+    fl.write_posts_jsonl(_raw_post_lines(spark, root).drop("event_id"), out)
     r = fl.read_snapshot(spark, out)
     return r.select("snapshot_key", "data_source", "url", "created_at", F.col("viewed").try_cast("bigint").alias("viewed"), "title")
 
@@ -398,10 +441,10 @@ def q_roundtrip_tables(spark, root):
     """Posts appended to a Parquet table partitioned by snapshot date twice
     (a replayed batch), read back (no duplicates: dynamic partition overwrite), and
     written / read as CSV with a header."""
-    p = fx.kw_posts(spark, root).select("event_id", "url", "data_source", "viewed", F.to_date("file_create_time").alias("snapshot_date"))
+    p = fl.with_snapshot_partitions(fx.kw_posts(spark, root).select("event_id", "url", "data_source", "viewed", "file_create_time"), F.col("file_create_time"))
     tbl = scratch_path(spark, "raw-data")
-    fl.write_table(p, tbl, "append")
-    fl.write_table(p, tbl, "append")
+    fl.write_table(p, tbl)
+    fl.write_table(p, tbl)
     back = spark.read.parquet(tbl)
     csv = scratch_path(spark, "raw-data-csv")
     fl.write_csv(p, csv)
@@ -411,6 +454,18 @@ def q_roundtrip_tables(spark, root):
     return a.join(b, "snapshot_date", "full")
 
 
+@query("raw_data_two_snapshots")
+def q_raw_data_two_snapshots(spark, root):
+    """Hourly batches of one day appended one after the other (even hours, odd hours,
+    and the even ones again as a replay): no batch erases another's rows."""
+    p = fl.with_snapshot_partitions(fx.kw_posts(spark, root).select("event_id", "url", "viewed", "file_create_time"), F.col("file_create_time"))
+    tbl = scratch_path(spark, "raw-data-hours")
+    for odd in (0, 1, 0):
+        fl.write_table(p.where(F.col("snapshot_hour") % 2 == odd), tbl)
+    back = spark.read.parquet(tbl)
+    return back.groupBy("snapshot_date", "snapshot_hour").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("viewed").alias("sum_viewed"))
+
+
 # --- page extraction ------------------------------------------------------------------
 
 from ..operators import pages as pg  # noqa: E402
@@ -446,12 +501,15 @@ def q_comment_defaults(spark, root):
 from ..operators import keywords as kw  # noqa: E402
 
 
+EMBEDDING_DIM = 64  # width of the stored vectors
+
+
 @query("mmr_keywords")
 def q_mmr_keywords(spark, root):
     """U3a on stored embeddings: label = document, vec_id = candidate, document vector =
     mean of its candidates' vectors."""
     e = read_table(spark, root, "embeddings").select(F.col("label").alias("doc"), "vec_id", "embedding")
-    dv = kw.mean_vectors(e, "doc", "embedding")
+    dv = kw.mean_vectors(e, "doc", "embedding", dim=EMBEDDING_DIM)
     return kw.mmr(e, dv, "doc", "vec_id", "embedding").select("doc", F.col("rank").cast("int").alias("rank"), "vec_id")
 
 
@@ -494,16 +552,31 @@ def _event_files(spark, root):
     landing folder a crawler would fill)."""
     e = read_table(spark, root, "events")
     out = scratch_path(spark, "events-landing")
-    e.withColumn("_day", F.to_date("ts")).repartition("_day").write.partitionBy("_day").parquet(out)
+    e.withColumn("_day", F.to_date("ts")).hint("rebalance", "_day").write.partitionBy("_day").parquet(out)
     return out, e.schema
 
 
 @query("stream_hour_issue")
 def q_stream_hour_issue(spark, root):
-    """R1 + R5: streaming closed-hour sums equal the batch sums of those hours."""
+    """R1 + R5: streaming hour sums over several micro-batches equal the batch sums, open
+    hours and late rows included; `closed` marks the hours that are final."""
+    src, schema = _event_files(spark, root)
+    out = sm.hourly_issue_stream(spark, sm.file_stream(spark, src, schema, MAX_FILES), fx.posts_from_events, scratch_path(spark, "hourly"))
+    return round_doubles(sm.read_hourly_issue(spark, out))
+
+
+MAX_FILES = 16  # landing files per micro-batch in the stream queries
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, root):
+    """The posts that the gate stream keeps, one per (snapshot, source, url)."""
     src, schema = _event_files(spark, root)
-    out = sm.hourly_issue_stream(spark, sm.file_stream(spark, src, schema), fx.posts_from_events, scratch_path(spark, "hourly"))
-    return round_doubles(spark.read.parquet(out).drop("batch_id"))
+    posts = fx.posts_from_events(sm.file_stream(spark, src, schema), keep=("src_file_id",))
+    raw = scratch_path(spark, "raw")
+    sm.snapshot_gate_stream(spark, posts, raw, scratch_path(spark, "processed"))
+    kept = spark.read.parquet(raw)
+    return kept.groupBy(F.col("file_create_time").alias("snapshot"), "data_source", "url").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("stream_snapshot_gate")
@@ -532,22 +605,35 @@ def q_stream_stages(spark, root):
     return round_doubles(spark.read.parquet(table).drop("src_file_id"))
 
 
-@query("stream_compact")
-def q_stream_compact(spark, root):
-    """One message file per post (as the crawler's queue delivers them), compacted
-    by a stream into one JSON-lines file per (snapshot, source); read back whole."""
+def _compacted(spark, root):
+    """Messages in many small files, each 17th cut short, drained in several triggers."""
     from pyspark.sql import types as T
 
-    msgs = scratch_path(spark, "messages")
+    msgs, aside = scratch_path(spark, "messages"), scratch_path(spark, "quarantine")
     lines = _raw_post_lines(spark, root)
-    # many small message files: spread rows over many files (one folder, text lines)
-    lines.select(F.to_json(F.struct(*lines.columns)).alias("value")).repartition(64).write.text(msgs)
+    whole = F.to_json(F.struct(*[c for c in lines.columns if c != "event_id"]))
+    cut = F.concat(F.lit('{"broken":"'), F.col("event_id").cast("string"))
+    lines.select(F.when(F.col("event_id") % 17 == 3, cut).otherwise(whole).alias("value")).repartition(64).write.text(msgs)
     schema = T.StructType([f for f in fl.RAW_POST.fields if f.name != "_corrupt_record"] + [T.StructField("snapshot_key", T.StringType()), T.StructField("data_source", T.StringType())])
-    out = sm.compact_messages_stream(spark, msgs, schema, scratch_path(spark, "compacted"))
-    back = spark.read.schema(schema).json(out)
+    out = sm.compact_messages_stream(spark, msgs, schema, scratch_path(spark, "compacted"), quarantine=aside, max_files=MAX_FILES)
+    return spark.read.schema(schema).json(out), spark.read.text(aside)
+
+
+@query("stream_compact")
+def q_stream_compact(spark, root):
+    """Message files compacted by a stream, in several micro-batches, into JSON-lines
+    files per (snapshot, source); read back whole."""
+    back, _ = _compacted(spark, root)
     return back.select("snapshot_key", "data_source", "url", "created_at", F.col("viewed").try_cast("bigint").alias("viewed"), "title")
 
 
+@query("stream_compact_quarantine")
+def q_stream_compact_quarantine(spark, root):
+    """S6 + R4: the messages that are no posts, by their text."""
+    _, aside = _compacted(spark, root)
+    return aside.select("value")
+
+
 @query("issue_pipeline")
 def q_issue_pipeline(spark, root):
     """The whole hourly job on the newest snapshot (writes raw_data, current_issue,

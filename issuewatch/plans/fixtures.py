@@ -47,6 +47,12 @@ def posts_from_events(e: DataFrame, keep=()) -> DataFrame:
     )
 
 
+def off_hour_posts(spark: SparkSession, root: str) -> DataFrame:
+    """kw_posts whose snapshots are taken 7 minutes past the hour."""
+    p = kw_posts(spark, root)
+    return p.withColumn("file_create_time", F.col("file_create_time") + F.expr("INTERVAL 7 MINUTES"))
+
+
 def snapshot_time(posts: DataFrame) -> F.Column:
     """The newest snapshot as a scalar subquery (the job parameter `recent_time`)."""
     return posts.select(F.max("file_create_time")).scalar()
@@ -57,26 +63,29 @@ def current_batch(posts: DataFrame, snapshot: F.Column, lookback_days: int = 2)
     return posts.filter(F.col("created_at") >= snapshot - F.make_interval(days=F.lit(lookback_days)))
 
 
-# Fixed values for the past-issue fixture: which event types are past issues, and
-# how many days from the first hour of data they cover.
+# Fixed values for the past-issue fixture: the days and the keywords that are past issues.
 PAST_ISSUE_TYPES = ["error", "purchase"]
-PAST_ISSUE_DAYS = 7
 
 
-def past_issue(spark: SparkSession, root: str) -> DataFrame:
-    """Past issue curves: for each name in PAST_ISSUE_TYPES, one row per hour of the
-    first PAST_ISSUE_DAYS days (dense, zeros where no post) with its issue score."""
-    from ..functions.scoring import issue_score
+def past_issue(spark: SparkSession, root: str, days: int = 62) -> DataFrame:
+    """Past issue curves: each event type in turn stands for an issue of the past, over the
+    same window as the current issues, one row per hour (zeros where no post)."""
+    from ..operators.issues import window_bounds
 
     posts = kw_posts(spark, root)
-    t0 = posts.select(F.min("file_create_time")).scalar()
-    t1 = t0 + F.make_interval(days=F.lit(PAST_ISSUE_DAYS)) - F.expr("INTERVAL 1 HOUR")
-    sel = posts.filter(F.col("event_type").isin(PAST_ISSUE_TYPES) & (F.col("file_create_time") <= t1))
+    start, end = window_bounds(snapshot_time(posts), days)
+    return past_issue_between(posts, start, end)
+
+
+def past_issue_between(posts: DataFrame, start: F.Column, end: F.Column) -> DataFrame:
+    from ..functions.scoring import issue_score
+
+    sel = posts.filter(F.col("event_type").isin(PAST_ISSUE_TYPES) & F.col("file_create_time").between(start, end))
     facts = sel.groupBy(F.col("event_type").alias("past_issue_name"), F.col("file_create_time").alias("created_at")).agg(
         F.sum("viewed").alias("viewed"), F.sum("liked").alias("liked"), F.sum("num_of_comments").alias("c"), F.sum("sentiment").alias("s")
     )
     names = facts.select("past_issue_name").distinct()
-    grid = names.select("past_issue_name", F.explode(F.sequence(t0, t1, F.expr("INTERVAL 1 HOUR"))).alias("created_at"))
+    grid = names.select("past_issue_name", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("created_at"))
     d = grid.join(facts, ["past_issue_name", "created_at"], "left").fillna(0, ["viewed", "liked", "c", "s"])
     return d.select(
         "past_issue_name",
@@ -184,6 +193,28 @@ def raw_threads(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def site_posts(spark: SparkSession, root: str) -> DataFrame:
+    """documents -> posts as the crawlers deliver them (all text), with some that the
+    formatter must refuse: every 23rd document comes from a source it does not know, every
+    29th has a broken date, every 31st a broken view count."""
+    rt = raw_threads(spark, root)
+    k, src, n = F.col("doc_id"), F.col("data_source"), F.col("viewed").cast("string")
+    title = F.concat(F.lit("제목 "), k.cast("string"))
+    created = F.coalesce(*[F.when(src == s, F.date_format("created_at", layout)) for s, layout in SITE_LAYOUTS.items()])
+    liked = F.col("liked").cast("string")
+    return rt.select(
+        "doc_id",
+        F.when(k % 23 == 0, F.lit("reddit")).otherwise(src).alias("data_source"),
+        F.when(src == "bobae", F.concat(title, F.lit(" (12) 이미지"))).when(src == "clien", F.concat(title, F.lit(" 12"))).otherwise(title).alias("title"),
+        "content",
+        F.when(k % 29 == 0, F.lit("garbage")).otherwise(created).alias("created_at"),
+        F.when(k % 31 == 0, F.lit("many")).when(src == "naver", F.concat(F.lit("조회 "), n)).otherwise(n).alias("viewed"),
+        F.when(src == "naver", F.concat(liked, F.lit(".5천"))).when(src == "clien", F.when(F.col("liked") == 0, F.lit("")).otherwise(F.concat(liked, F.lit("명")))).otherwise(liked).alias("liked"),
+        F.when(src.isin("dc", "naver"), (k % 11).cast("string")).alias("num_of_comments"),
+        F.col("comments_json").alias("comments"),
+    )
+
+
 def file_list(spark: SparkSession, root: str) -> DataFrame:
     """kw_posts as an object listing: one file per (source, first keyword, hour), named
     `keywords/<iso hour>/<source>_<keyword>_<iso hour>.jsonl` with ':' url-encoded;

@@ -88,6 +88,14 @@ SELECT created_at, current_keyword, round(current_issueization, 6) AS current_is
        num_of_comments, viewed, liked, round(sentiment, 6) AS sentiment
 FROM current_issue"""
 
+KW_POSTS_OFFHOUR = KW_POSTS.replace("date_trunc('hour', ts) AS file_create_time", "date_trunc('hour', ts) + INTERVAL 7 MINUTE AS file_create_time")
+FACTS_OFFHOUR = FACTS.replace("file_create_time AS created_at", "date_trunc('hour', file_create_time) AS created_at")
+
+SQL["dense_keyword_issue_offhour"] = with_(KW_POSTS_OFFHOUR, SNAP, CUR_KW, FACTS_OFFHOUR, CURRENT_ISSUE) + """
+SELECT created_at, current_keyword, round(current_issueization, 6) AS current_issueization,
+       num_of_comments, viewed, liked, round(sentiment, 6) AS sentiment
+FROM current_issue"""
+
 SQL["keyword_frequency"] = with_(*ISSUE_CTES) + """
 SELECT current_keyword, round(sum(current_issueization), 6) AS frequency
 FROM current_issue GROUP BY current_keyword"""
@@ -98,11 +106,10 @@ FROM current_issue GROUP BY current_keyword"""
 
 PAST_ISSUE = """
 past_issue AS (
-  WITH t AS (SELECT min(file_create_time) AS t0,
-                    min(file_create_time) + INTERVAL 7 DAY - INTERVAL 1 HOUR AS t1 FROM kw_posts),
+  WITH t AS (SELECT start_ts AS t0, end_ts AS t1 FROM snap),
   pf AS (SELECT event_type AS past_issue_name, file_create_time AS created_at,
                 sum(viewed) AS v, sum(liked) AS l, sum(num_of_comments) AS c, sum(sentiment) AS s
-         FROM kw_posts, t WHERE event_type IN ('error', 'purchase') AND file_create_time <= t1 GROUP BY ALL),
+         FROM kw_posts, t WHERE event_type IN ('error', 'purchase') AND file_create_time BETWEEN t0 AND t1 GROUP BY ALL),
   g AS (SELECT n.past_issue_name, unnest(generate_series(t0, t1, INTERVAL 1 HOUR)) AS created_at
         FROM (SELECT DISTINCT past_issue_name FROM pf) n, t)
   SELECT g.past_issue_name, g.created_at,
@@ -148,7 +155,20 @@ FROM p JOIN c USING (created_at)"""
 
 # --- text cleaning in DuckDB SQL ------------------------------------------------------
 
-from ..functions import text as T  # noqa: E402
+# The cleaning patterns and phrases, written out here a second time so that a
+# wrong constant in the engine cannot agree with itself.
+URL_PATTERN = (
+    r"(https?://)?(?:www\.)?(?:[\p{L}\p{N}_-]+\.)+[\p{L}\p{N}_-]+(?:/[\p{L}\p{N}_.-]*)*/?"
+    r"(?:\?[\p{L}\p{N}_=&]*)?(?:#[\p{L}\p{N}_-]*)?"
+)
+EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+DISALLOWED_CHARS = r"[^ㄱ-ㅎ가-힣a-zA-Z0-9 !?.,]"
+IMAGE_NUMBER_PATTERN = r"\d(\s\d)+"
+DC_IMAGE_PHRASES = ["이미지 순서 ON", "마우스 커서를 올리면 이미지 순서를 ON OFF 할 수 있습니다."]
+DC_APP_SIGNATURES = [" dc App", " dc official App", " dc official app"]
+BOBAE_TITLE_SUFFIX = r"\(\d+\)( 이미지)?( 휴대전화)?$"
+CLIEN_TITLE_SUFFIX = r" \d+$"
+ONLY_TEXT_DROP = r"[^ㄱ-ㅎㅏ-ㅣ가-힣a-zA-Z0-9\s.,?!()]"
 
 
 def q(s: str) -> str:
@@ -156,11 +176,11 @@ def q(s: str) -> str:
 
 
 def s_urls(x):
-    return f"regexp_replace({x}, {q(T.URL_PATTERN)}, '', 'g')"
+    return f"regexp_replace({x}, {q(URL_PATTERN)}, '', 'g')"
 
 
 def s_emails(x):
-    return f"regexp_replace({x}, {q(T.EMAIL_PATTERN)}, '', 'g')"
+    return f"regexp_replace({x}, {q(EMAIL_PATTERN)}, '', 'g')"
 
 
 # F3 in SQL covers the entities present in the driver tables plus the XML five and
@@ -176,7 +196,7 @@ def s_unescape(x):
 
 
 def s_allowed(x):
-    return f"regexp_replace({x}, {q(T.DISALLOWED_CHARS)}, ' ', 'g')"
+    return f"regexp_replace({x}, {q(DISALLOWED_CHARS)}, ' ', 'g')"
 
 
 def s_spaces(x):
@@ -190,11 +210,11 @@ def s_phrases(x, phrases):
 
 
 def s_imgnum(x):
-    return f"regexp_replace({x}, {q(T.IMAGE_NUMBER_PATTERN)}, '', 'g')"
+    return f"regexp_replace({x}, {q(IMAGE_NUMBER_PATTERN)}, '', 'g')"
 
 
 def s_only_text(x):
-    return f"trim(regexp_replace(regexp_replace({x}, {q(T.ONLY_TEXT_DROP)}, ' ', 'g'), '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace(regexp_replace({x}, {q(ONLY_TEXT_DROP)}, ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
 def s_jamo_runs(x):
@@ -218,7 +238,7 @@ def s_chain(x, source, unescape=True, normalise=True):
         y = s_unescape(y)
     y = s_allowed(y)
     if source == "dc":
-        y = s_phrases(s_imgnum(s_spaces(s_phrases(y, T.DC_IMAGE_PHRASES))), T.DC_APP_SIGNATURES)
+        y = s_phrases(s_imgnum(s_spaces(s_phrases(y, DC_IMAGE_PHRASES))), DC_APP_SIGNATURES)
     else:
         y = s_spaces(y)
     return s_normalise(y) if normalise else y
@@ -237,8 +257,8 @@ SQL["clean_text_full"] = with_(RAW_DOCS) + (
     "SELECT doc_id, data_source, CASE WHEN data_source IN ('dc', 'dcinside') "
     f"THEN {s_chain('content', 'dc')} ELSE {s_chain('content', 'naver')} END AS content FROM raw_docs"
 )
-_TITLE_B = f"{s_spaces('regexp_replace(' + s_normalise('title') + ', ' + q(T.BOBAE_TITLE_SUFFIX) + ", '')")}"
-_TITLE_C = f"{s_spaces('regexp_replace(' + s_normalise('title') + ', ' + q(T.CLIEN_TITLE_SUFFIX) + ", '')")}"
+_TITLE_B = f"{s_spaces('regexp_replace(' + s_normalise('title') + ', ' + q(BOBAE_TITLE_SUFFIX) + ", '')")}"
+_TITLE_C = f"{s_spaces('regexp_replace(' + s_normalise('title') + ', ' + q(CLIEN_TITLE_SUFFIX) + ", '')")}"
 SQL["clean_titles"] = with_(RAW_PAGES) + f"""
 SELECT page_id, data_source,
        CASE WHEN data_source = 'bobae' THEN {_TITLE_B} WHEN data_source = 'clien' THEN {_TITLE_C} ELSE title END AS title
@@ -275,9 +295,12 @@ site_dates AS (
 
 
 def _yearless(layout):
-    cur = f"try_strptime(CAST(year(s) AS VARCHAR) || '.' || x, '{layout}')"
-    prev = f"try_strptime(CAST(year(s) - 1 AS VARCHAR) || '.' || x, '{layout}')"
-    return f"coalesce(try_strptime(x, '{layout}'), CASE WHEN {cur} > s THEN {prev} ELSE {cur} END)"
+    def back(k):
+        t = f"try_strptime(CAST(year(s) - {k} AS VARCHAR) || '.' || x, '{layout}')"
+        return f"CASE WHEN {t} <= s THEN {t} END"
+
+    leap = ", ".join(back(k) for k in range(2, 9))
+    return f"coalesce(try_strptime(x, '{layout}'), {back(0)}, {back(1)}, CASE WHEN x LIKE '02.29%' THEN coalesce({leap}) END)"
 
 
 SQL["parse_dates"] = with_(SITE_DATES) + f"""
@@ -409,7 +432,8 @@ SELECT file_create_time, data_source, url, event_id, viewed FROM kw_posts
 QUALIFY row_number() OVER (PARTITION BY file_create_time, data_source, url ORDER BY viewed DESC, event_id DESC) = 1"""
 
 SQL["union_sources"] = with_(KW_POSTS) + """
-SELECT event_id, url, created_at, data_source, keywords, viewed, liked, num_of_comments, sentiment FROM kw_posts"""
+SELECT event_id, url, created_at, data_source, keywords, viewed, liked, num_of_comments,
+       CASE WHEN data_source = 'naver' THEN NULL ELSE round(sentiment, 6) END AS sentiment FROM kw_posts"""
 
 RAW_POSTS = """
 rp AS (
@@ -542,19 +566,19 @@ def mmr_sql(cands_cte: str, top_n: int = 5, d: float = 0.2) -> str:
     """cands_cte defines c(doc, item, v DOUBLE[], sd DOUBLE). Returns CTE text + final SELECT."""
     parts = [cands_cte]
     prev_state = "c"
-    parts.append("s1 AS (SELECT doc, item, v, sd, CAST(NULL AS DOUBLE) AS m, true AS lft FROM c)")
+    parts.append("s1 AS MATERIALIZED (SELECT doc, item, v, sd, CAST(NULL AS DOUBLE) AS m, true AS lft FROM c)")
     selects = []
     for k in range(1, top_n + 1):
         st = f"s{k}"
         score = "sd" if k == 1 else f"({1.0 - d!r} * sd - {d!r} * m)"
         parts.append(
-            f"p{k} AS (SELECT doc, item AS pick, v AS pv FROM {st} WHERE lft "
+            f"p{k} AS MATERIALIZED (SELECT doc, item AS pick, v AS pv FROM {st} WHERE lft "
             f"QUALIFY row_number() OVER (PARTITION BY doc ORDER BY {score} DESC, item ASC) = 1)"
         )
         selects.append(f"SELECT doc, {k} AS rank, pick AS item FROM p{k}")
         if k < top_n:
             parts.append(
-                f"s{k + 1} AS (SELECT s.doc, s.item, s.v, s.sd, "
+                f"s{k + 1} AS MATERIALIZED (SELECT s.doc, s.item, s.v, s.sd, "
                 f"CASE WHEN p.pick IS NULL THEN s.m ELSE greatest(coalesce(s.m, -2.0), {_cos('s.v', 'p.pv')}) END AS m, "
                 f"s.lft AND (p.pick IS NULL OR s.item <> p.pick) AS lft "
                 f"FROM {st} s LEFT JOIN p{k} p USING (doc))"
@@ -569,7 +593,7 @@ dv AS (SELECT doc, list(m ORDER BY pos) AS dvec
        FROM (SELECT doc, pos, avg(x) AS m
              FROM (SELECT doc, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS pos FROM e) GROUP BY doc, pos)
        GROUP BY doc),
-c AS (SELECT e.doc, e.item, e.v, """ + _cos("e.v", "dv.dvec") + """ AS sd FROM e JOIN dv USING (doc))"""
+c AS MATERIALIZED (SELECT e.doc, e.item, e.v, """ + _cos("e.v", "dv.dvec") + """ AS sd FROM e JOIN dv USING (doc))"""
 
 SQL["mmr_keywords"] = "SELECT doc, CAST(rank AS INTEGER) AS rank, item AS vec_id FROM (" + mmr_sql(_MMR_EMB) + ")"
 
@@ -593,10 +617,10 @@ def _hashed(src: str, key: str, text: str) -> str:
 _DOC_KW = f"""
 w AS (SELECT DISTINCT doc_id AS doc, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{2,}}')) AS item FROM documents),
 vocab AS (SELECT DISTINCT item FROM w),
-wv AS {_hashed('vocab', 'item', 'item')},
+wv AS MATERIALIZED {_hashed('vocab', 'item', 'item')},
 ld AS (SELECT doc_id AS doc, lower(text) AS t FROM documents),
-dv AS {_hashed('ld', 'doc', 't')},
-c AS (SELECT w.doc, w.item, wv.vec AS v, {_cos('wv.vec', 'dv.vec')} AS sd FROM w JOIN wv USING (item) JOIN dv USING (doc))"""
+dv AS MATERIALIZED {_hashed('ld', 'doc', 't')},
+c AS MATERIALIZED (SELECT w.doc, w.item, wv.vec AS v, {_cos('wv.vec', 'dv.vec')} AS sd FROM w JOIN wv USING (item) JOIN dv USING (doc))"""
 
 SQL["document_keywords"] = "SELECT doc AS doc_id, CAST(rank AS INTEGER) AS rank, item AS keyword FROM (" + mmr_sql(_DOC_KW) + ")"
 
@@ -625,7 +649,8 @@ SELECT source AS current_keyword, round(sum(1.0 - p_clean), 6) AS sentiment, cou
 SQL["stream_hour_issue"] = with_(KW_POSTS) + """
 SELECT created_at, current_keyword,
        round(CAST(viewed AS DOUBLE) + ln(1 + liked) + ln(1 + num_of_comments), 6) AS current_issueization,
-       num_of_comments, viewed, liked, round(sentiment, 6) AS sentiment
+       num_of_comments, viewed, liked, round(sentiment, 6) AS sentiment,
+       created_at + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM kw_posts) - INTERVAL 1 HOUR AS closed
 FROM (
   SELECT file_create_time AS created_at, current_keyword,
          CAST(sum(num_of_comments) AS BIGINT) AS num_of_comments,
@@ -633,8 +658,10 @@ FROM (
          CAST(sum(sentiment) AS DOUBLE) AS sentiment
   FROM (SELECT unnest(keywords) AS current_keyword, * FROM kw_posts)
   GROUP BY ALL
-)
-WHERE created_at + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM kw_posts) - INTERVAL 1 HOUR"""
+)"""
+
+SQL["stream_dedupe"] = with_(KW_POSTS) + """
+SELECT DISTINCT file_create_time AS snapshot, data_source, url, 1 AS n_rows FROM kw_posts"""
 
 SQL["stream_snapshot_gate"] = with_(KW_POSTS) + """
 SELECT file_create_time AS snapshot, count(DISTINCT data_source) AS n_sources
@@ -648,6 +675,43 @@ FROM kw_posts"""
 SQL["stream_compact"] = with_(KW_POSTS) + """
 SELECT strftime(file_create_time, '%Y-%m-%dT%H-%M-%S') AS snapshot_key, data_source, url,
        strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, viewed, event_type AS title
-FROM kw_posts"""
+FROM kw_posts WHERE event_id % 17 <> 3"""
+
+SQL["stream_compact_quarantine"] = """
+SELECT '{"broken":"' || CAST(event_id AS VARCHAR) AS value FROM events WHERE event_id % 17 = 3"""
+
+SQL["raw_data_two_snapshots"] = with_(KW_POSTS) + """
+SELECT CAST(file_create_time AS DATE) AS snapshot_date, CAST(hour(file_create_time) AS INTEGER) AS snapshot_hour,
+       count(*) AS n_rows, sum(viewed) AS sum_viewed
+FROM kw_posts GROUP BY ALL"""
+
+SQL["tolerant_json_quarantine"] = """
+SELECT substr(j, 1, length(j) - 3) AS line
+FROM (SELECT '{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":"' || role || '","n":' || length(text) || '}' AS j, turn FROM conversations)
+WHERE turn % 9 = 4"""
+
+SITE_POSTS = RAW_THREADS + """,
+site_posts AS (
+  SELECT p.doc_id, src, CASE WHEN p.doc_id % 23 = 0 THEN 'reddit' ELSE src END AS data_source, p.content, p.created_at,
+         p.viewed, p.liked, p.n, p.k_last, '제목 ' || p.doc_id AS title,
+         CASE src WHEN 'dc' THEN strftime(p.created_at, '%Y.%m.%d %H:%M:%S') WHEN 'naver' THEN strftime(p.created_at, '%Y.%m.%d. %H:%M')
+                  WHEN 'bobae' THEN strftime(p.created_at, '%y.%m.%d  %H:%M') ELSE strftime(p.created_at, '%Y-%m-%d  %H:%M:%S') END AS created_text
+  FROM (SELECT *, ['dc','naver','bobae','clien'][CAST(doc_id % 4 AS INTEGER) + 1] AS src FROM posts) p
+)"""
+
+SQL["normalise_posts"] = with_(SITE_POSTS) + f"""
+SELECT doc_id, data_source, CASE src WHEN 'bobae' THEN title || ' ' ELSE title END AS title,
+       CASE WHEN src = 'dc' THEN {s_chain('content', 'dc')} ELSE {s_chain('content', 'naver')} END AS content,
+       strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, viewed,
+       CASE WHEN src = 'naver' THEN CAST(trunc((liked + 0.5) * 1000) AS BIGINT) ELSE liked END AS liked,
+       CASE WHEN src IN ('dc', 'naver') THEN doc_id % 11 ELSE n END AS num_of_comments,
+       CASE WHEN k_last IS NOT NULL THEN created_at + to_minutes(k_last * 97) END AS last_comment_at
+FROM site_posts WHERE doc_id % 23 <> 0 AND doc_id % 29 <> 0 AND doc_id % 31 <> 0"""
+
+SQL["normalise_quarantine"] = with_(SITE_POSTS) + """
+SELECT doc_id, data_source, CASE WHEN doc_id % 29 = 0 THEN 'garbage' ELSE created_text END AS created_at,
+       CASE WHEN doc_id % 31 = 0 THEN 'many' WHEN src = 'naver' THEN '조회 ' || viewed ELSE CAST(viewed AS VARCHAR) END AS viewed,
+       CASE WHEN doc_id % 23 = 0 THEN 'unknown source' WHEN doc_id % 29 = 0 THEN 'failed date' ELSE 'failed number' END AS reason
+FROM site_posts WHERE doc_id % 23 = 0 OR doc_id % 29 = 0 OR doc_id % 31 = 0"""
 
 SQL["issue_pipeline"] = SQL["dense_keyword_issue"]

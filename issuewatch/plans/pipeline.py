@@ -1,6 +1,6 @@
 """The reference's hourly job end to end, as one Spark program.
 
-extract (newest snapshot) -> raw_data append (idempotent per snapshot date) ->
+extract (newest snapshot) -> raw_data append (idempotent per snapshot hour) ->
 current_issue (dense keyword x hour) written first and read back (lineage cut: the
 four later outputs read the written table, not a recomputation) -> frequency,
 raw_data_view, similarity -> alert. Each output is one write job; T1 ordering is a
@@ -10,7 +10,6 @@ raw_data_view, similarity -> alert. Each output is one write job; T1 ordering is
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import alerts, issues, normalise, similarity
 from ..sources import files
@@ -31,15 +30,13 @@ def run_snapshot(
     paths = {n: f"{out}/{n}" for n in ("raw_data", "raw_data_view", "current_issue", "current_issue_frequency", "similarity", "alerts")}
     # history + current batch (the reference's later reads see the appended batch)
     hist = history.unionByName(batch, allowMissingColumns=True)
-    raw = batch.withColumn("snapshot_date", F.to_date(snapshot))
-    files.write_table(raw, paths["raw_data"], "append", "snapshot_date")
+    files.write_table(files.with_snapshot_partitions(batch, snapshot), paths["raw_data"])
     cur = issues.current_issue(hist, batch, snapshot)
     cur.sortWithinPartitions("current_keyword", "created_at").write.mode("overwrite").parquet(paths["current_issue"])
     cur = spark.read.parquet(paths["current_issue"])
     freq = issues.total_frequency(cur)
     freq.write.mode("overwrite").parquet(paths["current_issue_frequency"])
-    if {"content", "comments"} <= set(hist.columns):
-        normalise.raw_data_view(hist).write.mode("overwrite").parquet(paths["raw_data_view"])
+    normalise.raw_data_view(hist).write.mode("overwrite").parquet(paths["raw_data_view"])
     cp = similarity.series_points(cur, "current_keyword", "created_at", "current_issueization")
     pp = similarity.series_points(past_issue, "past_issue_name", "created_at", "past_issueization")
     sim = similarity.series_similarity(cp, pp)

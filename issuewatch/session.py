@@ -6,9 +6,10 @@ build a local session for tests/bench and resolve the shared checkpoint folder.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -41,26 +42,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the operators rely on (idempotent)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(JIT_METHOD_LIMIT))
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    return spark
+def check_zone(spark: SparkSession) -> None:
+    """Warn if the session's zone is not UTC: stored times are UTC wall times. The caller's
+    settings are never changed."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        warnings.warn(f"spark.sql.session.timeZone is {zone}; times are read as UTC wall times", stacklevel=2)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared folder that `spark.checkpoint.dir` names.
 
-    On a cluster `spark.checkpoint.dir` points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created and registered.
+    Where it is unset, a local session (one machine) gets a scratch folder; on a cluster
+    every executor would write to its own disk, so that is an error.
     """
     cp = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not cp:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cp = tempfile.mkdtemp(prefix="issuewatch-cp-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cp)
-    spark.sparkContext.setCheckpointDir(cp)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(cp)
     return cp
 
 
@@ -68,10 +71,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub folder of the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -37,6 +37,9 @@ RAW_POST = T.StructType(
     ]
 )
 
+# Partition columns of the warehouse tables that are appended to once per snapshot.
+SNAPSHOT_PARTITIONS = ("snapshot_date", "snapshot_hour")
+
 FILE_TIME = r"(\d{4}-\d{2}-\d{2})[T_ ](\d{2})[:-](\d{2})[:-](\d{2})"
 
 
@@ -59,16 +62,20 @@ def parse_file_meta(path: Column) -> dict[str, Column]:
 
 def read_jsonl_tolerant(spark: SparkSession, paths, schema: T.StructType = RAW_POST) -> tuple[DataFrame, DataFrame]:
     """S3: read JSON lines; broken lines go to a quarantine DataFrame instead of failing
-    the job. Returns (good rows with file metadata, quarantine rows)."""
-    df = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(paths)
-        .select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.file_modification_time").alias("file_mtime"))
-    )
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("src_file", "_corrupt_record")
+    the job. Returns (good rows with file metadata, quarantine rows by their text). Columns
+    of the folder names (`key=value`) override those of the records."""
+    lines = spark.read.text(paths)
+    folders = [c for c in lines.columns if c != "value"]
+    kinds = {f.name: f.dataType for f in schema.fields if f.name != "_corrupt_record"}
+    fields = [T.StructField(n, t) for n, t in kinds.items() if n not in folders]
+    record = T.StructType([*fields, T.StructField("_corrupt_record", T.StringType())])
+    parsed = F.from_json("value", record, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    meta = [F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.file_modification_time").alias("file_mtime")]
+    df = lines.where(F.trim("value") != "").select("*", *meta).withColumn("m", parsed)
+    broken = F.col("m").isNull() | F.col("m._corrupt_record").isNotNull()
+    columns = [F.col(n).cast(t).alias(n) if n in folders else F.col(f"m.{n}") for n, t in kinds.items()]
+    good = df.where(~broken).select(*columns, "src_file", "file_mtime")
+    bad = df.where(broken).select("src_file", F.col("value").alias("_corrupt_record"))
     return good, bad
 
 
@@ -100,29 +107,47 @@ def latest_snapshot(files: DataFrame) -> Column:
     return files.select(F.max(F.struct("file_mtime", "snapshot"))["snapshot"]).scalar()
 
 
-def read_snapshot(spark: SparkSession, root: str, snapshot: str | None = None, k: int = 4) -> DataFrame:
+def snapshot_listing(spark: SparkSession, root: str, snapshot: str | None = None) -> DataFrame:
+    """(snapshot_key, data_source, file_mtime) of a stage folder, from file metadata only:
+    the `binaryFile` source without its content column opens no file. With `snapshot`
+    given only its folder is listed."""
+    folder = f"snapshot_key={snapshot}" if snapshot else "snapshot_key=*"
+    found = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{folder}/data_source=*")
+    path = F.url_decode("path")
+    return found.select(
+        F.regexp_extract(path, r"/snapshot_key=([^/]*)/", 1).alias("snapshot_key"),
+        F.regexp_extract(path, r"/data_source=([^/]*)/", 1).alias("data_source"),
+        F.col("modificationTime").alias("file_mtime"),
+    )
+
+
+def read_snapshot(spark: SparkSession, root: str, snapshot: str | None = None, k: int | None = None) -> DataFrame:
     """Read one snapshot of a stage folder laid out as
     `<root>/snapshot_key=<time>/data_source=<src>/part-*.json` (as `write_posts_jsonl`
-    writes it). Takes the newest snapshot when none is given, keeps the k most recently
-    written sources of it (S2), drops failed rows (P4) and `modified_at` (P3), and
-    dedupes by url within each source file set (A6). Broken lines are skipped (S3)."""
+    writes it). Takes the newest snapshot when none is given and all its sources, or with
+    `k` only the k most recently written ones (S2). Drops failed rows (P4) and
+    `modified_at` (P3), and dedupes by url within each source file set (A6). Broken lines
+    are left out; `read_jsonl_tolerant` gives them (S3)."""
     schema = T.StructType(RAW_POST.fields + [T.StructField("snapshot_key", T.StringType()), T.StructField("data_source", T.StringType())])
     good, _ = read_jsonl_tolerant(spark, root.rstrip("/"), schema)
-    # file listing from folder names and file metadata only (no JSON parsing needed)
-    plain = T.StructType([f for f in schema.fields if f.name != "_corrupt_record"])
-    listing = spark.read.schema(plain).json(root.rstrip("/")).select(
-        "snapshot_key", "data_source", F.col("_metadata.file_modification_time").alias("file_mtime")
-    )
-    if snapshot is None:
-        snapshot = listing.select(F.max("snapshot_key")).scalar()
-    else:
-        snapshot = F.lit(snapshot)
-    good = good.filter(F.col("snapshot_key") == snapshot)
-    per_source = listing.filter(F.col("snapshot_key") == snapshot).groupBy("snapshot_key", "data_source").agg(F.max("file_mtime").alias("file_mtime"))
-    w = Window.partitionBy("snapshot_key").orderBy(F.desc("file_mtime"), F.asc("data_source"))
-    chosen = per_source.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).select("snapshot_key", "data_source")
-    rows = drop_failed_posts(good).join(chosen, ["snapshot_key", "data_source"], "left_semi")
-    return dedupe_by_url(rows.drop("modified_at"), ["snapshot_key", "data_source"], ["created_at", "viewed", "title", "content"])
+    listing = snapshot_listing(spark, root, snapshot)
+    key = listing.select(F.max("snapshot_key")).scalar() if snapshot is None else F.lit(snapshot)
+    rows = drop_failed_posts(good.filter(F.col("snapshot_key") == key)).drop("modified_at", "src_file", "file_mtime")
+    if k is not None:
+        per_source = listing.filter(F.col("snapshot_key") == key).groupBy("snapshot_key", "data_source").agg(F.max("file_mtime").alias("file_mtime"))
+        w = Window.partitionBy("snapshot_key").orderBy(F.desc("file_mtime"), F.asc("data_source"))
+        chosen = per_source.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).select("snapshot_key", "data_source")
+        rows = rows.join(chosen, ["snapshot_key", "data_source"], "left_semi")
+    return dedupe_by_url(rows, ["snapshot_key", "data_source"], ["created_at", "viewed", "title", "content"])
+
+
+def union_sources(parts: list[DataFrame]) -> DataFrame:
+    """X1 + P3: the rows of all sources under one schema, by column name; a column that a
+    source lacks is NULL there, and `modified_at` is dropped."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.drop("modified_at")
 
 
 def dedupe_by_url(df: DataFrame, scope: list[str], order: list[str], url: str = "url") -> DataFrame:
@@ -135,33 +160,30 @@ def dedupe_by_url(df: DataFrame, scope: list[str], order: list[str], url: str =
     return g.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def write_posts_jsonl(df: DataFrame, out: str, partition_cols=("snapshot_key", "data_source"), spread: int = 1) -> None:
+def write_posts_jsonl(df: DataFrame, out: str, partition_cols=("snapshot_key", "data_source")) -> None:
     """UTF-8 JSON lines (non-ASCII kept), one folder per snapshot and source.
 
-    Rows are hash-partitioned on the folder columns so each folder is written by one
-    task (one file, like the crawler's one file per source and snapshot) and folders are
-    written in parallel. `spread` > 1 adds a salt so that a folder holding a large share
-    of the rows is written by `spread` tasks (and files) instead of one."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in partition_cols]
-    if spread > 1:
-        keys.append(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)))
-    df.repartition(n, *keys).write.mode("overwrite").partitionBy(*partition_cols).json(out)
-
-
-def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: str | None = "snapshot_date") -> None:
-    """Append / overwrite a Parquet table. Appends are idempotent per snapshot:
-    dynamic partition overwrite replaces only the snapshot partitions being written, so
-    a replayed batch does not duplicate rows."""
-    if partition_by:
-        df = df.hint("rebalance", partition_by)
-    w = df.write.option("partitionOverwriteMode", "dynamic")
+    The rows are rebalanced on the folder columns: AQE gathers small folders into one
+    task each and splits a folder that holds a large share of the rows over several
+    tasks (and files), by measured size."""
+    df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).json(out)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: tuple[str, ...] = SNAPSHOT_PARTITIONS) -> None:
+    """Append / overwrite a Parquet table. Appends are idempotent per snapshot: the
+    table is partitioned by snapshot date *and* hour, and dynamic partition overwrite
+    replaces only the pairs being written. A replayed batch does not duplicate rows, and
+    an hourly batch leaves the day's other hours alone."""
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write
     if partition_by:
-        w = w.partitionBy(partition_by)
-    if mode == "append" and partition_by:
-        w.mode("overwrite").parquet(path)
-    else:
-        w.mode(mode).parquet(path)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    w.mode("overwrite" if partition_by else mode).parquet(path)
+
+
+def with_snapshot_partitions(df: DataFrame, snapshot: Column) -> DataFrame:
+    """`df` with the partition columns of its snapshot time."""
+    date, hour = SNAPSHOT_PARTITIONS
+    return df.withColumns({date: F.to_date(snapshot), hour: F.hour(snapshot)})
 
 
 def write_csv(df: DataFrame, path: str) -> None:

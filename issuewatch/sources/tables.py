@@ -14,9 +14,3 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read one parquet table `<root>/<name>.parquet` (column pruning and filter
     pushdown happen in the scan)."""
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-def register_tables(spark: SparkSession, root: str, names=DRIVER_TABLES) -> None:
-    """Register the driver tables as temp views so `spark.sql` can use them."""
-    for n in names:
-        read_table(spark, root, n).createOrReplaceTempView(n)

@@ -1,17 +1,21 @@
 """The event-driven parts of the reference as Structured Streaming.
 
-* `hourly_issue_stream` (R1, R5): file source -> post projection -> watermark ->
-  `window(created_at, 1 hour)` sums per keyword -> append sink. Only closed hours are
-  emitted, each exactly once; the sink writes each micro-batch into its own
-  `batch_id=` folder with overwrite, so a replayed batch replaces its own output (R4).
-* `snapshot_gate_stream` (R3, S6, S11, R6): `foreachBatch` appends the micro-batch to a
-  raw table (dynamic partition overwrite per input file, idempotent), then records the
-  snapshots that became complete (>= 4 sources) in this batch, once.
+* `hourly_issue_stream` (R1, R5): file source -> post projection -> per batch partial
+  sums per (hour, keyword), one `batch_id=` folder each. `read_hourly_issue` adds the
+  partial sums up: every row counts, however late, and open hours are there too; an
+  hour is `closed` once the newest post is past its end and the allowed delay.
+* `snapshot_gate_stream` (R3, S11, R6): posts once per (snapshot, source, url), written
+  under their snapshot, then the snapshots that became complete (>= 4 sources) in this
+  batch are recorded, once.
 * `replayable_stage_stream` (R2, R4): stateless per-row stages written idempotently;
   running it again over the same files leaves the table unchanged.
+* `compact_messages_stream` (S6, R4): messages to JSON lines per snapshot and source,
+  broken ones to a quarantine.
 
-All streams use `trigger(availableNow=True)` in tests (drain what is there, stop), and
-a checkpoint folder under the session's `spark.checkpoint.dir`.
+Every micro-batch writes a folder of its own number and a replay overwrites just that
+(R4); no batch touches the rows of another. All streams use `trigger(availableNow=True)`
+in tests (drain what is there, stop), and a checkpoint folder under the session's
+`spark.checkpoint.dir`.
 """
 
 from __future__ import annotations
@@ -45,35 +49,44 @@ def batch_folder_sink(out: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+HOUR_SUMS = ("num_of_comments", "viewed", "liked", "sentiment")
+
+
 def hourly_issue_stream(
     spark: SparkSession,
     events: DataFrame,
     to_posts: Callable[[DataFrame], DataFrame],
     out: str,
-    delay: str = WATERMARK_DELAY,
     checkpoint: str | None = None,
 ) -> str:
-    """R1 + R5: closed-hour keyword sums from a streaming events DataFrame."""
-    posts = to_posts(events).withWatermark("created_at", delay)
-    ex = posts.select(F.explode("keywords").alias("current_keyword"), "created_at", "num_of_comments", "viewed", "liked", "sentiment")
-    agg = ex.groupBy(F.window("created_at", "1 hour").alias("w"), "current_keyword").agg(
-        F.sum("num_of_comments").cast("bigint").alias("num_of_comments"),
-        F.sum("viewed").cast("bigint").alias("viewed"),
-        F.sum("liked").cast("bigint").alias("liked"),
-        F.sum("sentiment").cast("double").alias("sentiment"),
-    )
-    res = agg.select(
-        F.col("w.start").alias("created_at"),
+    """R1 + R5: partial keyword sums per hour from a streaming events DataFrame. No state is
+    kept between batches, so nothing is too late to be counted."""
+    ex = to_posts(events).select(F.explode("keywords").alias("current_keyword"), "created_at", *HOUR_SUMS)
+    rows = ex.withColumn("hour", F.date_trunc("hour", "created_at"))
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        sums = [F.sum(c).alias(c) for c in HOUR_SUMS]
+        part = df.groupBy("hour", "current_keyword").agg(*sums, F.max("created_at").alias("newest"))
+        batch_folder_sink(out)(part, batch_id)
+
+    cp = checkpoint or scratch_path(spark, "cp-hourly")
+    _run(rows.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
+    return out
+
+
+def read_hourly_issue(spark: SparkSession, out: str, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """The hourly issue table over all batches so far: one row per (hour, keyword)."""
+    parts = spark.read.parquet(out)
+    sums = [F.sum(c).cast("double" if c == "sentiment" else "bigint").alias(c) for c in HOUR_SUMS]
+    total = parts.groupBy("hour", "current_keyword").agg(*sums)
+    newest = parts.select(F.max("newest")).scalar()
+    return total.select(
+        F.col("hour").alias("created_at"),
         "current_keyword",
         issue_score("viewed", "liked", "num_of_comments").alias("current_issueization"),
-        "num_of_comments",
-        "viewed",
-        "liked",
-        "sentiment",
+        *HOUR_SUMS,
+        (F.col("hour") + F.expr("INTERVAL 1 HOUR") <= newest - F.expr(f"INTERVAL {delay}")).alias("closed"),
     )
-    cp = checkpoint or scratch_path(spark, "cp-hourly")
-    _run(res.writeStream.outputMode("append").option("checkpointLocation", cp).foreachBatch(batch_folder_sink(out)))
-    return out
 
 
 def snapshot_gate_stream(
@@ -84,26 +97,33 @@ def snapshot_gate_stream(
     required: int = 4,
     delay: str = WATERMARK_DELAY,
     checkpoint: str | None = None,
+    on_complete: Callable[[DataFrame], None] | None = None,
 ) -> str:
-    """R3 + S6 + S11 + R6: append posts, then record newly complete snapshots once."""
-    deduped = posts.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["file_create_time", "data_source", "url", "created_at"])
+    """R3 + S11 + R6: append posts, then record newly complete snapshots once, and hand
+    them (file_create_time, n_sources) to `on_complete`. A url that one source delivers
+    twice for a snapshot within the watermark is one post."""
+    keys = ["file_create_time", "data_source", "url"]
+    deduped = posts.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(keys)
+    schema = "file_create_time timestamp, n_sources bigint, batch_id bigint"
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{processed_table}/batch=-1")
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        batch = df.select("file_create_time", "data_source", "url", "event_id", "src_file_id")
-        touched = batch.select("file_create_time").distinct()
-        # S6-style compaction: one writer per input file partition; replaying a file
-        # overwrites its own partition (idempotent append)
-        (batch.repartition("src_file_id").write.option("partitionOverwriteMode", "dynamic")
-         .mode("overwrite").partitionBy("src_file_id").parquet(raw_table))
-        raw = spark.read.parquet(raw_table)
-        counts = raw.join(touched, "file_create_time", "left_semi").groupBy("file_create_time").agg(F.count_distinct("data_source").alias("n_sources"))
-        complete = counts.filter(F.col("n_sources") >= required)
+        df = df.persist()
         try:
-            done = spark.read.parquet(processed_table).select("file_create_time")
-            complete = complete.join(done, "file_create_time", "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: no processed table yet
-            pass
-        complete.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(processed_table)
+            batch = df.select(*keys, "event_id", F.to_date("file_create_time").alias("snapshot_date"), F.lit(batch_id).alias("batch"))
+            write = batch.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+            write.partitionBy("snapshot_date", "batch").parquet(raw_table)
+            touched = df.select("file_create_time").distinct()
+            days = [r[0] for r in df.select(F.to_date("file_create_time").alias("d")).distinct().collect()]
+            raw = spark.read.parquet(raw_table).where(F.col("snapshot_date").isin(days))  # a batch's few days: prunes folders
+            counts = raw.join(touched, "file_create_time", "left_semi").groupBy("file_create_time").agg(F.count_distinct("data_source").alias("n_sources"))
+            done = spark.read.parquet(processed_table).where(F.col("batch") != batch_id).select("file_create_time")
+            fresh = counts.filter(F.col("n_sources") >= required).join(done, "file_create_time", "left_anti")
+            fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{processed_table}/batch={batch_id}")
+        finally:
+            df.unpersist()
+        if on_complete is not None:
+            on_complete(spark.read.parquet(f"{processed_table}/batch={batch_id}").select("file_create_time", "n_sources"))
 
     cp = checkpoint or scratch_path(spark, "cp-gate")
     _run(deduped.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
@@ -146,28 +166,46 @@ def compact_messages_stream(
     schema: T.StructType,
     out: str,
     partition_cols=("snapshot_key", "data_source"),
+    quarantine: str | None = None,
+    max_files: int | None = None,
     checkpoint: str | None = None,
 ) -> str:
-    """Drain message files (one JSON post per message) into one JSON-lines file per
-    (snapshot, source) folder. A micro-batch without messages writes nothing; a
-    replayed batch overwrites exactly the folders it wrote (dynamic partition
-    overwrite), and each folder is written by one task (hash partitioning on the folder
-    columns), so a folder is one file."""
-    raw = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())])).text(messages)
-    posts = raw.select(F.from_json("value", schema).alias("m")).select("m.*")
+    """Drain message files (one JSON post per message) into JSON lines per snapshot,
+    source and micro-batch (`<snapshot>/<source>/batch=<n>/`). A batch without messages
+    writes nothing; a replayed batch overwrites its own folders and no other's.
+
+    A message that is not a JSON object, or lacks a folder column, goes with its text to
+    `quarantine` (default `<out>-quarantine`), so no message is lost."""
+    r = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())]))
+    raw = (r.option("maxFilesPerTrigger", max_files) if max_files else r).text(messages)
+    corrupt = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    parsed = F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_bad"})
+    posts = raw.select("value", parsed.alias("m"))
+    broken = F.col("m").isNull() | F.col("m._bad").isNotNull()
+    for c in partition_cols:
+        broken = broken | (F.coalesce(F.length(F.trim(F.col(f"m.{c}"))), F.lit(0)) == 0)
+    aside = quarantine or f"{out.rstrip('/')}-quarantine"
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (
-            df.repartition(n, *[F.col(c) for c in partition_cols])
-            .write.option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .partitionBy(*partition_cols)
-            .json(out)
-        )
+        df = df.withColumn("_broken", broken).persist()
+        try:
+            good = df.where(~F.col("_broken")).select(*[f"m.{f.name}" for f in schema.fields], F.lit(batch_id).alias("batch"))
+            if not good.isEmpty():
+                write = good.hint("rebalance", *partition_cols).write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+                write.partitionBy(*partition_cols, "batch").json(out)
+            bad = df.where("_broken").select("value")
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").text(f"{aside}/batch={batch_id}")
+        finally:
+            df.unpersist()
 
     cp = checkpoint or scratch_path(spark, "cp-compact")
     _run(posts.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
     return out
+
+
+def compact_closed(spark: SparkSession, out: str, snapshot: str, target: str) -> None:
+    """The batches of one closed snapshot gathered into `target` (one file per source and
+    about 128 MB), replacing what an earlier call wrote there."""
+    rows = spark.read.text(f"{out.rstrip('/')}/snapshot_key={snapshot}")
+    rows.select("data_source", "value").hint("rebalance", "data_source").write.mode("overwrite").partitionBy("data_source").text(f"{target}/snapshot_key={snapshot}")

@@ -105,3 +105,26 @@ def test_mixed_unescape_equals_python(spark):
     ]
     got = col1(spark, cases, text.html_unescape_mixed)
     assert got == [None if c is None else _html.unescape(c) for c in cases]
+
+
+def test_url_strip_needs_no_stack(spark):
+    """One token of 200,000 dotted or slashed segments."""
+    cases = ["x " + "a." * 200_000 + "b y", "x a.b" + "/c" * 200_000 + " y", "1" + " 1" * 200_000, "www.com ok", "a.b.c. d"]
+    assert col1(spark, cases, text.strip_urls) == ["x  y", "x  y", cases[2], " ok", ". d"]
+    assert col1(spark, cases[2:3], text.drop_image_numbering) == [""]
+
+
+def test_leap_day_without_a_year(spark):
+    snap = F.lit("2025-03-01 00:00:00").cast("timestamp")
+    got = col1(spark, ["02.29 10:00:00", "02.28 10:00:00", "13.40 10:00:00"], lambda c: dates.parse_dc(c, snap))
+    assert got == [dt.datetime(2024, 2, 29, 10), dt.datetime(2025, 2, 28, 10), None]
+
+
+def test_listing_garbage_is_null(spark):
+    snap = F.lit("2024-08-20 10:00:00").cast("timestamp")
+    got = col1(spark, ["15:40", "garbage", None, "25:99", "2024.08.19."], lambda c: dates.parse_listing_date(c, F.lit("naver"), snap))
+    assert got == [dt.date(2024, 8, 20), None, None, None, dt.date(2024, 8, 19)]
+
+
+def test_clien_liked(spark):
+    assert col1(spark, ["12명", "", "7", "x1명", None], text.clien_liked) == [12, 0, 7, None, None]

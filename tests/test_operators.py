@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from issuewatch.operators import comments as cm
-from issuewatch.operators import issues, keywords, similarity
+from issuewatch.operators import issues, keywords, normalise, similarity
 from issuewatch.sources.tables import read_table
 from conftest import SF_SMALL
 
@@ -141,3 +141,53 @@ def test_issue_graph_per_issue_origin(spark):
     assert len(rows) == 5
     assert min(r["created_at"] for r in rows if r["past_issue_name"] == "b") == anchor
     assert min(r["created_at"] for r in rows if r["past_issue_name"] == "a") == anchor
+
+
+def test_threads_from_any_first_position(spark):
+    items = spark.createDataFrame([(1, 1, True), (1, 2, True), (1, 5000, False), (1, 9000, True), (2, 3, False)], "post int, pos int, is_reply boolean")
+    t = cm.assemble_threads(items)
+    assert sorted((r["post"], r["pos"], r["thread_pos"], r["is_parent"]) for r in t.collect()) == [
+        (1, 1, 1, True), (1, 2, 1, False), (1, 5000, 5000, True), (1, 9000, 5000, False), (2, 3, 3, True)
+    ]
+
+
+def test_off_hour_snapshot_counts_for_its_hour(spark):
+    t = dt.datetime(2024, 1, 3, 11, 7)
+    posts = spark.createDataFrame(
+        [(t, t, ["a"], 10, 1, 2, 0.5)],
+        "file_create_time timestamp, created_at timestamp, keywords array<string>, viewed long, liked long, num_of_comments long, sentiment double",
+    )
+    cur = issues.current_issue(posts, posts, F.lit("2024-01-03 11:07:00").cast("timestamp"), days=1).collect()
+    assert [(r["created_at"], r["viewed"]) for r in cur if r["viewed"]] == [(dt.datetime(2024, 1, 3, 11), 10)]
+
+
+def test_unknown_source_is_quarantined(spark):
+    rows = [
+        (1, "reddit", "t", "c", "2024-08-20 13:05:09", "1", "2", "3", None),
+        (2, "clien", "t 12", "hello www.a.com there", "2024-08-20  13:05:09", "5", "", None, '[{"author":"a","content":"x","created_at":"2024-08-20  13:06:09"}]'),
+        (3, "clien", "t", "c", "yesterday", "5", "1", None, None),
+        (4, "naver", "t", "c", "2024.08.20. 13:05", "조회 1.2만", "3", "1,234", None),
+        (5, "dc", "t", "c", "2024.08.20 13:05:00", "x", "3", "1", None),
+        (6, None, "t", "c", "2024.08.20 13:05:00", "1", "3", "1", None),
+    ]
+    schema = "id int, data_source string, title string, content string, created_at string, viewed string, liked string, num_of_comments string, comments string"
+    good, bad = normalise.normalise_posts(spark.createDataFrame(rows, schema), F.lit("2024-09-01 00:00:00").cast("timestamp"))
+    assert {r["id"]: r["reason"] for r in bad.collect()} == {1: "unknown source", 3: "failed date", 5: "failed number", 6: "unknown source"}
+    got = {r["id"]: r for r in good.collect()}
+    assert (got[2]["title"], got[2]["content"], got[2]["created_at"], got[2]["liked"], got[2]["num_of_comments"]) == ("t", "hello there", "2024-08-20 13:05:09", 0, 1)
+    assert got[2]["comments"][0]["created_at"] == "2024-08-20 13:06:09"
+    assert (got[4]["viewed"], got[4]["num_of_comments"]) == (12000, 1234)
+
+
+def test_extract_keywords_takes_another_tokenizer_and_encoder(spark):
+    docs = spark.createDataFrame([(1, "aa-bb-cc-bb"), (2, None)], "id int, t string")
+    got = keywords.extract_keywords(docs, "id", "t", tokenizer=lambda c: F.filter(F.split(c, "-"), lambda w: w != ""), encoder=lambda texts: np.array([[len(x), x.count("b") + 1.0] for x in texts]))
+    assert {r["keyword"] for r in got.collect()} == {"aa", "bb", "cc"}
+
+
+def test_mmr_salts_follow_the_candidates(spark):
+    e = read_table(spark, SF_SMALL, "embeddings").select(F.col("label").alias("doc"), "vec_id", "embedding")
+    dv = keywords.mean_vectors(e, "doc", "embedding", dim=64)
+    plain = keywords.mmr(e, dv, "doc", "vec_id", "embedding").collect()
+    salted = keywords.mmr(e, dv, "doc", "vec_id", "embedding", bucket_rows=3).collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, salted))

@@ -1,15 +1,18 @@
 """End-to-end job, compaction stream and the sparse-series fixture."""
 
-import glob
-import os
+import datetime as dt
+import json
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_SMALL
-from issuewatch.operators import similarity
+from issuewatch.operators import issues, similarity
 from issuewatch.plans import fixtures as fx
 from issuewatch.plans import pipeline
 from issuewatch.session import scratch_path
+from issuewatch.sources import files
+from issuewatch.streaming import streams
 
 
 def test_sparse_series_similarity(spark):
@@ -40,13 +43,51 @@ def test_pipeline_writes_all_outputs(spark):
     assert spark.read.parquet(paths["raw_data"]).count() == n1 == batch.count()
 
 
-def test_compaction_one_file_per_folder(spark):
-    from __spark_entry__ import queries
+def test_hourly_batches_of_a_day_stay(spark):
+    """Two snapshots of one day, and a replay of the first."""
+    rows = [(i, dt.datetime(2024, 1, 1, 10 + i // 10, 7)) for i in range(20)]
+    p = files.with_snapshot_partitions(spark.createDataFrame(rows, "event_id long, t timestamp"), F.col("t"))
+    out = scratch_path(spark, "hours-test")
+    for hour in (10, 11, 10):
+        files.write_table(p.where(F.col("snapshot_hour") == hour), out)
+    assert spark.read.parquet(out).count() == 20
 
-    df = queries()["stream_compact"](spark, SF_SMALL)
-    assert df.count() == fx.kw_posts(spark, SF_SMALL).count()
-    root = df.inputFiles()[0].split("/snapshot_key=")[0].replace("file://", "")
-    folders = glob.glob(os.path.join(root, "snapshot_key=*", "data_source=*"))
-    assert folders
-    for f in folders:
-        assert len(glob.glob(os.path.join(f, "*.json"))) == 1
+
+def test_history_scan_prunes_partitions(spark):
+    p = files.with_snapshot_partitions(fx.kw_posts(spark, SF_SMALL), F.col("file_create_time"))
+    out = scratch_path(spark, "prune-test")
+    files.write_table(p, out)
+    history = spark.read.parquet(out)
+    start, end = issues.window_bounds(F.lit("2024-01-05 11:07:00").cast("timestamp"), 2)
+    plan = issues.keyword_hour_sums(history, start, end)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
+def test_compaction_over_several_batches_and_replay(spark):
+    """Two triggers feed the same folders; broken messages are kept apart; a replay of the
+    whole stream with the same checkpoint adds nothing."""
+    msgs, out, cp = (scratch_path(spark, n) for n in ("msgs-test", "out-test", "cp-test"))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "snapshot_key", "data_source")])
+    for batch in range(2):
+        lines = [json.dumps({"url": f"u{batch}{i}", "snapshot_key": "s", "data_source": "dc"}) for i in range(10)]
+        lines += ["{broken", "[1]", json.dumps({"url": "x", "data_source": "dc"})]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(msgs)
+        for _ in range(2):
+            streams.compact_messages_stream(spark, msgs, schema, out, checkpoint=cp, max_files=1)
+    back = spark.read.schema(schema).json(out)
+    assert sorted(r["url"] for r in back.collect()) == sorted(f"u{b}{i}" for b in range(2) for i in range(10))
+    assert spark.read.text(f"{out}-quarantine").count() == 6
+    streams.compact_closed(spark, out, "s", f"{out}-closed")
+    assert spark.read.text(f"{out}-closed").count() == 20
+
+
+def test_gate_calls_once_per_complete_snapshot(spark):
+    rows = [(i, dt.datetime(2024, 1, 1), src, f"u{i}", dt.datetime(2024, 1, 1, 0, i)) for i, src in enumerate(["dc", "naver", "bobae", "clien", "dc"])]
+    rows += [(9, dt.datetime(2024, 1, 1), "dc", "u0", dt.datetime(2024, 1, 1, 0, 30)), (10, dt.datetime(2024, 1, 2), "dc", "u", dt.datetime(2024, 1, 2))]
+    land, raw, done = (scratch_path(spark, n) for n in ("land-test", "raw-test", "done-test"))
+    spark.createDataFrame(rows, "event_id long, file_create_time timestamp, data_source string, url string, created_at timestamp").write.parquet(land)
+    seen = []
+    posts = spark.readStream.schema(spark.read.parquet(land).schema).parquet(land)
+    streams.snapshot_gate_stream(spark, posts, raw, done, on_complete=lambda df: seen.extend(r["file_create_time"] for r in df.collect()))
+    assert seen == [dt.datetime(2024, 1, 1)]
+    assert spark.read.parquet(raw).count() == 6  # u0 of dc, delivered twice, is one post
