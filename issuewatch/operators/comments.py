@@ -83,7 +83,7 @@ def seconds_per_comment(post_time: Column, last_time: Column, n: Column) -> Colu
     return F.when(n == 0, F.lit(0.0)).otherwise(diff.cast("double") / n.cast("double"))
 
 
-def post_comment_rows(posts: DataFrame, key: str, parse, count: Column | None = None) -> DataFrame:
+def post_comment_rows(posts: DataFrame, key: str, parse, count: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """X3 (+C7, A7, A9, W3, P5): posts and their comments as one flat table, in one pass.
 
     posts: key, content, created_at (timestamp), viewed, liked, comments (array<COMMENT>).
@@ -91,7 +91,7 @@ def post_comment_rows(posts: DataFrame, key: str, parse, count: Column | None =
     counts) followed by the post itself (counts and seconds_per_comment) - exploded
     once. `item_order` sorts each post's comments before the post (row order of the CSV).
     `count` is the post's own number of comments where its site gives one (dc, naver);
-    the array's length otherwise.
+    the array's length otherwise. `keep`: columns of the post to repeat on each row.
     """
     n = comment_count(F.col("comments")) if count is None else count
     last = parse(last_valid_comment_time(F.col("comments")))
@@ -113,7 +113,7 @@ def post_comment_rows(posts: DataFrame, key: str, parse, count: Column | None =
     comment_items = F.transform(valid, lambda x: item(x["i"], x["c"]["content"], parse(x["c"]["created_at"]), zero, zero, 1, zero, F.lit(0.0)))
     post_item = item(F.lit(2147483647), F.col("content"), F.col("created_at"), F.col("viewed"), F.col("liked"), 0, n, seconds_per_comment(F.col("created_at"), last, n))
     items = F.concat(comment_items, F.array(post_item))
-    return posts.select(F.col(key), F.explode(items).alias("_it")).select(key, "_it.*")
+    return posts.select(key, *keep, F.explode(items).alias("_it")).select(key, *keep, "_it.*")
 
 
 def last_flag_position(items: DataFrame, key: str, pos: str, flag: Column, block: int = POSITION_BLOCK) -> DataFrame:

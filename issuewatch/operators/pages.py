@@ -22,10 +22,10 @@ DEFAULT_RULES = {
 SITE_RULES = {s: dict(DEFAULT_RULES) for s in ("dc", "naver", "bobae", "clien")}
 HREF = r'href="([^"]*)"'
 # Fixed values from the reference: placeholder of a deleted comment, default content of
-# an emoticon-only comment, css markers of comment / blocked rows.
+# an emoticon-only comment, css markers of listing rows and of blocked comments.
 DELETED_CONTENT = "해당 댓글은 삭제되었습니다."
 EMOTICON_CONTENT = " "
-COMMENT_CLASS = "ub-content"
+POST_ROW_CLASS = "ub-content us-post"
 BLOCKED_CLASS = "blocked"
 
 
@@ -71,14 +71,21 @@ def extract_links(pages: DataFrame, key: str = "page_id", url: str = "url", html
     return ex.select(key, F.col("link_pos").cast("int").alias("link_pos"), "href", absolute.alias("link_url"))
 
 
-def comment_defaults(items: DataFrame, cls: str = "class") -> DataFrame:
-    """H3 + P8 + P9: keep comment rows (class has the comment marker, not blocked);
-    a row with missing fields becomes the deleted placeholder; a missing content alone
-    (emoticon-only comment) becomes ' '."""
-    c = F.col(cls)
-    kept = items.filter(F.contains(c, F.lit(COMMENT_CLASS)) & ~F.contains(c, F.lit(BLOCKED_CLASS)))
+def post_rows(items: DataFrame, cls: str = "class") -> DataFrame:
+    """The listing rows that are posts, by their class (dc)."""
+    return items.filter(F.contains(F.col(cls), F.lit(POST_ROW_CLASS)))
+
+
+def unblocked_comments(items: DataFrame, cls: str = "class") -> DataFrame:
+    """Comments whose class does not mark them as blocked (clien)."""
+    return items.filter(~F.contains(F.col(cls), F.lit(BLOCKED_CLASS)))
+
+
+def comment_defaults(items: DataFrame) -> DataFrame:
+    """H3: a comment with missing fields becomes the deleted placeholder; a missing content
+    alone (emoticon-only comment) becomes ' '."""
     missing = F.col("author").isNull() | F.col("created_at").isNull()
-    return kept.select(
+    return items.select(
         "*",
         F.when(missing, F.lit(" ")).otherwise(F.col("author")).alias("_a"),
         F.when(missing, F.lit(DELETED_CONTENT)).otherwise(F.coalesce(F.col("content"), F.lit(EMOTICON_CONTENT))).alias("_c"),

@@ -234,10 +234,29 @@ def _parsed_posts(spark, root):
     return posts, (lambda c: dates.parse_post_date(c, src, snap))
 
 
+def _post_comment_rows(spark, root):
+    """Title and content joined, every text cleaned by its site's chain; dc and naver
+    posts carry their own number of comments."""
+    posts, parse = _parsed_posts(spark, root)
+    src = F.col("data_source")
+    posts = posts.withColumn("content", text.concat_title_content(F.concat(F.lit("제목 "), F.col("doc_id").cast("string")), "content"))
+    count = F.when(src.isin("dc", "naver"), F.col("doc_id") % 11).otherwise(cm.comment_count(F.col("comments")))
+    rows = cm.post_comment_rows(posts, "doc_id", parse, count, keep=("data_source",))
+    return normalise.clean_by_source(rows, "content").drop("data_source")
+
+
 @query("post_comment_rows")
 def q_post_comment_rows(spark, root):
-    posts, parse = _parsed_posts(spark, root)
-    return round_doubles(cm.post_comment_rows(posts, "doc_id", parse))
+    return round_doubles(_post_comment_rows(spark, root))
+
+
+@query("post_comment_csv")
+def q_post_comment_csv(spark, root):
+    """The 7-column file written and read back."""
+    out = scratch_path(spark, "post-comment-csv")
+    fl.write_post_comment_csv(round_doubles(_post_comment_rows(spark, root)), out)
+    kinds = "content string, created_at timestamp, viewed int, liked int, post_type int, num_of_comments int, seconds_per_comment double"
+    return spark.read.schema(kinds).option("header", True).csv(out)
 
 
 @query("seconds_per_comment")
@@ -488,12 +507,15 @@ def q_comment_defaults(spark, root):
     items = c.select(
         "conv_id",
         "turn",
-        F.when(F.col("turn") % 10 == 3, F.lit("ub-content blocked")).when(F.col("role") == "system", F.lit("notice")).otherwise(F.lit("ub-content")).alias("class"),
+        F.when(F.col("turn") % 10 == 3, F.lit("ub-content us-post blocked"))
+        .when(F.col("role") == "system", F.lit("ub-content notice"))
+        .otherwise(F.lit("ub-content us-post"))
+        .alias("class"),
         F.when(F.col("turn") % 7 != 5, F.concat(F.lit("n"), F.col("conv_id").cast("string"))).alias("author"),
         F.when(F.length("text") >= 40, F.col("text")).alias("content"),
         F.date_format(F.timestamp_add("MINUTE", F.col("conv_id") * 60 + F.col("turn"), F.lit("2024-01-01 00:00:00").cast("timestamp")), "yyyy.MM.dd HH:mm:ss").alias("created_at"),
     )
-    return pg.comment_defaults(items).select("conv_id", "turn", "author", "content", "created_at")
+    return pg.comment_defaults(pg.unblocked_comments(pg.post_rows(items))).select("conv_id", "turn", "author", "content", "created_at")
 
 
 # --- keywords ---------------------------------------------------------------------------

@@ -383,15 +383,23 @@ posts AS (
   FROM rt
 )"""
 
-SQL["post_comment_rows"] = with_(RAW_THREADS) + """
-SELECT doc_id, CAST(k - 1 AS INTEGER) AS item_order, content, t AS created_at, 0 AS viewed, 0 AS liked,
+_SRC = "['dc','naver','bobae','clien'][CAST(doc_id % 4 AS INTEGER) + 1]"
+_CHAIN = f"CASE WHEN {_SRC} = 'dc' THEN {s_chain('content', 'dc')} ELSE {s_chain('content', 'naver')} END"
+
+SQL["post_comment_rows"] = with_(RAW_THREADS) + f"""
+SELECT doc_id, CAST(k - 1 AS INTEGER) AS item_order, {_CHAIN} AS content, t AS created_at, 0 AS viewed, 0 AS liked,
        1 AS post_type, 0 AS num_of_comments, 0.0 AS seconds_per_comment
 FROM cmt WHERE valid
 UNION ALL
-SELECT doc_id, 2147483647 AS item_order, content, created_at, CAST(viewed AS INTEGER), CAST(liked AS INTEGER), 0 AS post_type,
-       CAST(n AS INTEGER) AS num_of_comments,
-       CASE WHEN n = 0 THEN 0.0 ELSE round(CAST(((k_last * 97 * 60) % 86400) AS DOUBLE) / n, 6) END AS seconds_per_comment
-FROM posts"""
+SELECT doc_id, 2147483647 AS item_order, {_CHAIN} AS content, created_at, CAST(viewed AS INTEGER), CAST(liked AS INTEGER), 0 AS post_type,
+       CAST(own AS INTEGER) AS num_of_comments,
+       CASE WHEN own = 0 THEN 0.0 ELSE round(CAST(((k_last * 97 * 60) % 86400) AS DOUBLE) / own, 6) END AS seconds_per_comment
+FROM (SELECT * REPLACE ('제목 ' || doc_id || ' ' || content AS content),
+             CASE WHEN doc_id % 4 < 2 THEN doc_id % 11 ELSE n END AS own FROM posts)"""
+
+SQL["post_comment_csv"] = f"""
+SELECT nullif(content, '') AS content, created_at, viewed, liked, post_type, num_of_comments, seconds_per_comment
+FROM ({SQL["post_comment_rows"]})"""
 
 SQL["seconds_per_comment"] = with_(RAW_THREADS) + """
 SELECT doc_id, CAST(n AS INTEGER) AS num_of_comments,
@@ -548,12 +556,12 @@ SELECT conv_id, turn,
        CASE WHEN author IS NULL OR created_at IS NULL THEN ' ' ELSE created_at END AS created_at
 FROM (
   SELECT conv_id, turn,
-         CASE WHEN turn % 10 = 3 THEN 'ub-content blocked' WHEN role = 'system' THEN 'notice' ELSE 'ub-content' END AS class,
+         CASE WHEN turn % 10 = 3 THEN 'ub-content us-post blocked' WHEN role = 'system' THEN 'ub-content notice' ELSE 'ub-content us-post' END AS class,
          CASE WHEN turn % 7 <> 5 THEN 'n' || CAST(conv_id AS VARCHAR) END AS author,
          CASE WHEN length(text) >= 40 THEN text END AS content,
          strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(conv_id * 60 + turn), '%Y.%m.%d %H:%M:%S') AS created_at
   FROM conversations)
-WHERE contains(class, 'ub-content') AND NOT contains(class, 'blocked')"""
+WHERE contains(class, 'ub-content us-post') AND NOT contains(class, 'blocked')"""
 
 # --- keywords (MMR unrolled in SQL) -------------------------------------------------------
 

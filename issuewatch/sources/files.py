@@ -186,6 +186,15 @@ def with_snapshot_partitions(df: DataFrame, snapshot: Column) -> DataFrame:
     return df.withColumns({date: F.to_date(snapshot), hour: F.hour(snapshot)})
 
 
+# Fixed value: the columns of the flat post/comment file, in their order.
+POST_COMMENT_COLUMNS = ("content", "created_at", "viewed", "liked", "post_type", "num_of_comments", "seconds_per_comment")
+
+
+def write_post_comment_csv(rows: DataFrame, path: str) -> None:
+    """The flat post/comment file, header and 7 columns."""
+    write_csv(rows.select(*POST_COMMENT_COLUMNS), path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header + columns as CSV."""
     df.write.mode("overwrite").option("header", True).csv(path)
