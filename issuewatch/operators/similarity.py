@@ -84,8 +84,14 @@ def series_similarity(
     scale: float = SIMILARITY_SCALE,
     exact: bool = False,
     blocks: tuple[int, int] | None = None,
+    min_similarity: float = 0.0,
 ) -> DataFrame:
-    """cur_key, past_key, similarity_degree = exp(-dtw / scale), 0 when a series is all zero."""
+    """cur_key, past_key, similarity_degree = exp(-dtw / scale), 0 when a series is all zero.
+
+    By default every pair is returned, as the result is defined. With `min_similarity` only
+    pairs of at least that degree are, and a pair whose end points alone are too far apart
+    never reaches the kernel: every warp path matches first to first and last to last, so
+    the sum of those two distances is a lower bound of the distance."""
     spark = cur_points.sparkSession
     if blocks is None:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -93,10 +99,25 @@ def series_similarity(
     a = cur_points.select(cur_key, F.col("idx").alias("a_idx"), F.col("z").alias("a_z"))
     b = past_points.select(past_key, F.col("idx").alias("b_idx"), F.col("z").alias("b_z"))
     pairs = pair_series(a, b, cur_key, past_key, *blocks)
+    if min_similarity > 0:
+        pairs = pairs.where(F.exp(-end_point_bound() / F.lit(float(scale))) >= min_similarity)
     dist = _distance_udf(radius, exact)("a_idx", "a_z", "b_idx", "b_z")
     with_d = pairs.select(cur_key, past_key, dist.alias("_d"))
-    return with_d.select(
+    found = with_d.select(
         cur_key,
         past_key,
         F.coalesce(F.exp(-F.col("_d") / F.lit(float(scale))), F.lit(0.0)).alias("similarity_degree"),
     )
+    return found.where(F.col("similarity_degree") >= min_similarity) if min_similarity > 0 else found
+
+
+def end_point_bound() -> Column:
+    """Distance of the first points plus that of the last ones (NULL for an empty series); a
+    pair of one-point series has a single match, which counts once."""
+
+    def gap(at: int) -> Column:
+        dx = F.try_element_at("a_idx", F.lit(at)) - F.try_element_at("b_idx", F.lit(at))
+        return F.hypot(dx.cast("double"), F.try_element_at("a_z", F.lit(at)) - F.try_element_at("b_z", F.lit(at)))
+
+    single = (F.size("a_idx") == 1) & (F.size("b_idx") == 1)
+    return gap(1) + F.when(single, 0.0).otherwise(gap(-1))

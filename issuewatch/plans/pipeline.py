@@ -10,38 +10,81 @@ raw_data_view, similarity -> alert. Each output is one write job; T1 ordering is
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import alerts, issues, normalise, similarity
+from ..functions import text
+from ..operators import alerts, issues, normalise, sentiment, similarity, views
+from ..operators.keywords import extract_keywords, hashed_counts, letter_words
 from ..sources import files
 
 
+TABLES = ("raw_data", "raw_data_view", "current_issue", "current_issue_frequency", "keyword_frequency", "issue_graph", "similarity", "alerts")
+
+
 def run_snapshot(
     spark: SparkSession,
     batch: DataFrame,
-    history: DataFrame,
+    history: DataFrame | None,
     past_issue: DataFrame,
     snapshot: Column,
     out_root: str,
     model: str | None = None,
+    graph_issue: str | None = None,
 ) -> dict[str, str]:
     """Run one snapshot. `batch`: current posts (keywords array, sums columns, url ...);
-    `history`: earlier raw_data rows; returns the written table paths."""
+    `history`: earlier raw_data rows, or None to read the raw_data table itself, which
+    then holds the batch too. `graph_issue`: the one past issue that the graph view shows.
+    Returns the written table paths."""
     out = out_root.rstrip("/")
-    paths = {n: f"{out}/{n}" for n in ("raw_data", "raw_data_view", "current_issue", "current_issue_frequency", "similarity", "alerts")}
-    # history + current batch (the reference's later reads see the appended batch)
-    hist = history.unionByName(batch, allowMissingColumns=True)
+    paths = {n: f"{out}/{n}" for n in TABLES}
     files.write_table(files.with_snapshot_partitions(batch, snapshot), paths["raw_data"])
+    if history is None:
+        hist = spark.read.parquet(paths["raw_data"])
+    else:  # the reference's later reads see the appended batch
+        hist = history.unionByName(batch, allowMissingColumns=True)
     cur = issues.current_issue(hist, batch, snapshot)
     cur.sortWithinPartitions("current_keyword", "created_at").write.mode("overwrite").parquet(paths["current_issue"])
     cur = spark.read.parquet(paths["current_issue"])
-    freq = issues.total_frequency(cur)
-    freq.write.mode("overwrite").parquet(paths["current_issue_frequency"])
+    issues.total_frequency(cur).write.mode("overwrite").parquet(paths["current_issue_frequency"])
+    issues.keyword_frequency(cur).write.mode("overwrite").parquet(paths["keyword_frequency"])
     normalise.raw_data_view(hist).write.mode("overwrite").parquet(paths["raw_data_view"])
+    shown = past_issue if graph_issue is None else past_issue.where(F.col("past_issue_name") == graph_issue)
+    views.issue_graph(shown, cur, snapshot).write.mode("overwrite").parquet(paths["issue_graph"])
     cp = similarity.series_points(cur, "current_keyword", "created_at", "current_issueization")
     pp = similarity.series_points(past_issue, "past_issue_name", "created_at", "past_issueization")
-    sim = similarity.series_similarity(cp, pp)
-    sim.write.mode("overwrite").parquet(paths["similarity"])
+    similarity.series_similarity(cp, pp).write.mode("overwrite").parquet(paths["similarity"])
     sim = spark.read.parquet(paths["similarity"])
     top = alerts.alert_message(alerts.top_alerts(alerts.alert_table(spark.read.parquet(paths["current_issue_frequency"]), sim), 1), model)
     top.write.mode("overwrite").parquet(paths["alerts"])
     return paths
+
+
+def prepare_posts(raw: DataFrame, snapshot: Column, scorer, tokenizer=letter_words, encoder=hashed_counts) -> tuple[DataFrame, DataFrame]:
+    """Raw crawled posts -> (raw_data rows, quarantine): normalised, scored, with keywords
+    of title and content. `scorer` is as in `sentiment.score_sentiment`; posts are known by
+    their url within a source."""
+    good, quarantine = normalise.normalise_posts(raw, snapshot)
+    good = good.drop("sentiment", "keywords").withColumn("_key", F.concat_ws("\n", "data_source", "url"))
+    good = good.withColumn("_text", text.newlines_to_blank(text.concat_title_content("title", "content")))
+    scored = sentiment.score_sentiment(good, "_key", "_text", scorer=scorer).select("_key", "sentiment").dropDuplicates(["_key"])
+    found = extract_keywords(good, "_key", "_text", tokenizer=tokenizer, encoder=encoder)
+    ranked = F.transform(F.array_sort(F.collect_set(F.struct("rank", "keyword"))), lambda x: x["keyword"])  # at most five
+    words = found.groupBy("_key").agg(ranked.alias("keywords"))
+    rows = good.join(scored, "_key", "left").join(words, "_key", "left")
+    return normalise.to_raw_data(rows.withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>"))), snapshot), quarantine
+
+
+def run_raw_snapshot(
+    spark: SparkSession, raw_root: str, snapshot_key: str, past_issue: DataFrame, out_root: str, scorer, model: str = "", graph_issue: str | None = None
+) -> dict[str, str]:
+    """The whole job for one snapshot folder of raw posts (`files.write_posts_jsonl`): read,
+    normalise with quarantine, score, extract keywords, then `run_snapshot` on top of the
+    raw_data table. The prepared batch is written once and read by every later step."""
+    snapshot = F.try_to_timestamp(F.lit(snapshot_key), F.lit("yyyy-MM-dd'T'HH-mm-ss"))
+    raw = files.read_snapshot(spark, raw_root, snapshot_key).withColumn("model", F.lit(model))
+    batch, quarantine = prepare_posts(raw, snapshot, scorer)
+    out = out_root.rstrip("/")
+    quarantine.write.mode("overwrite").parquet(f"{out}/quarantine/snapshot_key={snapshot_key}")
+    batch.write.mode("overwrite").parquet(f"{out}/batch/snapshot_key={snapshot_key}")
+    batch = spark.read.parquet(f"{out}/batch/snapshot_key={snapshot_key}")
+    return run_snapshot(spark, batch, None, past_issue, snapshot, out, model, graph_issue)

@@ -91,3 +91,42 @@ def test_gate_calls_once_per_complete_snapshot(spark):
     streams.snapshot_gate_stream(spark, posts, raw, done, on_complete=lambda df: seen.extend(r["file_create_time"] for r in df.collect()))
     assert seen == [dt.datetime(2024, 1, 1)]
     assert spark.read.parquet(raw).count() == 6  # u0 of dc, delivered twice, is one post
+
+
+def test_raw_files_to_alerts_for_two_hours(spark):
+    """Raw posts of two snapshots of a day through the whole job, the first one twice."""
+
+    def scorer(docs, key, text):
+        return docs.select(key, F.lit(0.25).alias("p_clean"))
+
+    posts = fx.site_posts(spark, SF_SMALL).withColumn("url", F.concat(F.lit("u"), F.col("doc_id").cast("string"))).drop("doc_id")
+    posts = posts.withColumn("snapshot_key", F.when(F.xxhash64("url") % 2 == 0, "2030-01-01T10-07-00").otherwise("2030-01-01T11-07-00"))
+    src, out = scratch_path(spark, "raw-files"), scratch_path(spark, "wh-raw")
+    files.write_posts_jsonl(posts.withColumn("author", F.lit("a")), src)
+    past = fx.past_issue(spark, SF_SMALL)
+    for key in ("2030-01-01T10-07-00", "2030-01-01T11-07-00", "2030-01-01T10-07-00"):
+        paths = pipeline.run_raw_snapshot(spark, src, key, past, out, scorer, "m", graph_issue="error")
+    total = posts.count()
+    raw = spark.read.parquet(paths["raw_data"])
+    assert raw.count() + spark.read.parquet(f"{out}/quarantine").count() == total
+    assert {r["snapshot_hour"] for r in raw.select("snapshot_hour").distinct().collect()} == {10, 11}
+    assert raw.where("abs(sentiment - 0.75) > 1e-6 or size(keywords) > 5").count() == 0
+    cur = spark.read.parquet(paths["current_issue"])
+    ten = raw.where("snapshot_hour = 10")
+    assert cur.where("viewed > 0").select("created_at").distinct().count() <= 2
+    per_keyword = ten.select(F.explode("keywords").alias("current_keyword"), "viewed").groupBy("current_keyword").agg(F.sum("viewed").alias("v"))
+    at_ten = cur.where(F.col("created_at") == F.lit("2030-01-01 10:00:00").cast("timestamp"))
+    assert at_ten.join(per_keyword, "current_keyword").where("viewed <> v").count() == 0
+    assert spark.read.parquet(paths["raw_data_view"]).count() == raw.select(F.explode("keywords")).count()
+    assert spark.read.parquet(paths["keyword_frequency"]).count() == cur.select("current_keyword").distinct().count()
+    assert spark.read.parquet(paths["alerts"]).count() == 1
+
+
+def test_similar_pairs_above_a_threshold(spark):
+    s = fx.sparse_series(spark, 5, 60)
+    pts = similarity.series_points(s, "name", "created_at", "value")
+    past = pts.withColumnRenamed("name", "past_issue_name")
+    every = {tuple(r)[:2]: r[2] for r in similarity.series_similarity(pts, past, cur_key="name", exact=True).collect()}
+    some = {tuple(r)[:2]: r[2] for r in similarity.series_similarity(pts, past, cur_key="name", exact=True, min_similarity=0.5).collect()}
+    assert some == {k: v for k, v in every.items() if v >= 0.5} and 0 < len(some)
+    assert len(set(every.values())) > 5 and min(every.values()) > 0
