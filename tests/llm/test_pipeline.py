@@ -5,15 +5,16 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import pytest
-from test_decontaminate import brute as brute_overlaps
-from test_decontaminate import words
-from test_simhash import brute_components, brute_fingerprint
-from test_tokens import encode
 from tokenizers import Tokenizer
 
 from issuewatch.llm.common import materialise
 from issuewatch.llm.queries import vocabulary
 
+from .test_decontaminate import brute as brute_overlaps
+from .test_decontaminate import words
+from .test_simhash import brute_components, brute_fingerprint
+from .test_tokens import encode
+
 SF = "/root/testdata/sf0.001"
 
 

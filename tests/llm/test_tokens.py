@@ -3,12 +3,13 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest_paths import scratch
 from tokenizers import Tokenizer
 
 from issuewatch.llm import tokens
 from issuewatch.llm.queries import QUERIES, vocabulary
 
+from .paths import scratch
+
 
 @pytest.fixture(scope="module")
 def tokenizer():
