@@ -122,9 +122,9 @@ def _dot_hof(a: Column, b: Column) -> Column:
 # --- pluggable stand-ins for tagger and encoder ------------------------------------------
 
 
-def letter_words(text: Column) -> Column:
-    """Tokenizer stand-in: lower-cased runs of 2+ letters (whole text)."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{%d,}" % MIN_WORD_CHARS), 0)
+def letter_words(text: Column, min_chars: int = MIN_WORD_CHARS) -> Column:
+    """Tokenizer stand-in: lower-cased runs of `min_chars` or more letters (whole text)."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{%d,}" % min_chars), 0)
 
 
 ENCODE_CHUNK_CHARS = 1 << 20  # characters encoded per vectorised numpy pass

@@ -140,23 +140,28 @@ def q_clean_titles(spark, root):
     return normalise.clean_titles(p).select("page_id", "data_source", "title")
 
 
-def _normalised(spark, root):
-    snap = F.lit("2030-01-01 00:00:00").cast("timestamp")
-    return normalise.normalise_posts(fx.site_posts(spark, root), snap)
+NORMALISE_SNAPSHOT = "2030-01-01 00:00:00"
+
+
+def _normalise(raw):
+    return normalise.normalise_posts(raw, F.lit(NORMALISE_SNAPSHOT).cast("timestamp"))
+
+
+def _formatted(good):
+    last = F.to_timestamp(cm.last_valid_comment_time(F.col("comments")))
+    return good.select("doc_id", "data_source", "title", "content", "created_at", "viewed", "liked", "num_of_comments", last.alias("last_comment_at"))
 
 
 @query("normalise_posts")
 def q_normalise_posts(spark, root):
     """The formatter over all four sources: cleaned texts, parsed dates and counts."""
-    good, _ = _normalised(spark, root)
-    last = F.to_timestamp(cm.last_valid_comment_time(F.col("comments")))
-    return good.select("doc_id", "data_source", "title", "content", "created_at", "viewed", "liked", "num_of_comments", last.alias("last_comment_at"))
+    return _formatted(_normalise(fx.site_posts(spark, root))[0])
 
 
 @query("normalise_quarantine")
 def q_normalise_quarantine(spark, root):
     """The rows that the formatter refuses, raw, with the reason."""
-    _, bad = _normalised(spark, root)
+    _, bad = _normalise(fx.site_posts(spark, root))
     return bad.select("doc_id", "data_source", "created_at", "viewed", "reason")
 
 
@@ -627,6 +632,17 @@ def q_stream_stages(spark, root):
     return round_doubles(spark.read.parquet(table).drop("src_file_id"))
 
 
+@query("stream_normalise")
+def q_stream_normalise(spark, root):
+    """R1 + R4: the formatter as a streamed stage over landed files, run twice (a replay)."""
+    src, table = scratch_path(spark, "posts-landing"), scratch_path(spark, "formatted")
+    raw = fx.site_posts(spark, root)
+    raw.repartition(MAX_FILES).write.parquet(src)
+    for _ in range(2):
+        sm.replayable_stage_stream(spark, sm.file_stream(spark, src, raw.schema, MAX_FILES // 4), _normalise, table)
+    return _formatted(spark.read.parquet(table))
+
+
 def _compacted(spark, root):
     """Messages in many small files, each 17th cut short, drained in several triggers."""
     from pyspark.sql import types as T

@@ -716,6 +716,8 @@ SELECT doc_id, data_source, CASE src WHEN 'bobae' THEN title || ' ' ELSE title E
        CASE WHEN k_last IS NOT NULL THEN created_at + to_minutes(k_last * 97) END AS last_comment_at
 FROM site_posts WHERE doc_id % 23 <> 0 AND doc_id % 29 <> 0 AND doc_id % 31 <> 0"""
 
+SQL["stream_normalise"] = SQL["normalise_posts"]
+
 SQL["normalise_quarantine"] = with_(SITE_POSTS) + """
 SELECT doc_id, data_source, CASE WHEN doc_id % 29 = 0 THEN 'garbage' ELSE created_text END AS created_at,
        CASE WHEN doc_id % 31 = 0 THEN 'many' WHEN src = 'naver' THEN '조회 ' || viewed ELSE CAST(viewed AS VARCHAR) END AS viewed,

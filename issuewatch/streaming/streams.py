@@ -133,18 +133,24 @@ def snapshot_gate_stream(
 def replayable_stage_stream(
     spark: SparkSession,
     posts: DataFrame,
-    stage: Callable[[DataFrame], DataFrame],
+    stage: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]],
     table: str,
     partition_col: str = "src_file_id",
     checkpoint: str | None = None,
 ) -> str:
-    """R2 + R4: stateless stages; each micro-batch overwrites exactly the partitions it
+    """R1 + R2 + R4: stateless stages; each micro-batch overwrites exactly the partitions it
     writes (dynamic partition overwrite, one partition per input file: a file is never
-    split across micro-batches), so replays do not duplicate rows."""
+    split across micro-batches), so replays do not duplicate rows. A stage that returns
+    (good rows, refused rows) has the latter written to `<table>-quarantine`."""
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        out = stage(df)
-        out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(partition_col).parquet(table)
+        df = df.persist()
+        try:
+            out = stage(df)
+            for rows, path in zip(out if isinstance(out, tuple) else (out,), (table, f"{table}-quarantine")):
+                rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(partition_col).parquet(path)
+        finally:
+            df.unpersist()
 
     cp = checkpoint or scratch_path(spark, "cp-stage")
     _run(posts.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +11,7 @@ from conftest import SF_SMALL
 from issuewatch.operators import issues, similarity
 from issuewatch.plans import fixtures as fx
 from issuewatch.plans import pipeline
-from issuewatch.session import scratch_path
+from issuewatch.session import ensure_checkpoint_dir, scratch_path
 from issuewatch.sources import files
 from issuewatch.streaming import streams
 
@@ -130,3 +131,21 @@ def test_similar_pairs_above_a_threshold(spark):
     some = {tuple(r)[:2]: r[2] for r in similarity.series_similarity(pts, past, cur_key="name", exact=True, min_similarity=0.5).collect()}
     assert some == {k: v for k, v in every.items() if v >= 0.5} and 0 < len(some)
     assert len(set(every.values())) > 5 and min(every.values()) > 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
