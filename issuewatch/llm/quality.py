@@ -31,8 +31,8 @@ REACH = 3
 RATIOS = (
     ("word_length", "word_chars", "n_words", 1000, 500, True),
     ("symbols", "n_symbols", "word_chars", 10_000, 100, False),
-    ("dup_lines", "n_dup_lines", "n_lines", 10_000, 1000, False),
-    ("repeats", "n_repeat_words", "n_words", 10_000, 500, False),
+    ("dup_lines", "n_dup_lines", "n_lines", 10_000, 2000, False),
+    ("repeats", "n_repeat_words", "n_words", 10_000, 800, False),
 )
 
 

@@ -53,8 +53,8 @@ SELECT doc_id, domain, lang, source, n_tokens, CAST(epochs + CASE WHEN upto <= r
 _RATIOS = (
     ("word_length", "word_chars", "n_words", 1000, 500),
     ("symbols", "n_symbols", "word_chars", 10000, 100),
-    ("dup_lines", "n_dup_lines", "n_lines", 10000, 1000),
-    ("repeats", "n_repeat_words", "n_words", 10000, 500),
+    ("dup_lines", "n_dup_lines", "n_lines", 10000, 2000),
+    ("repeats", "n_repeat_words", "n_words", 10000, 800),
 )
 _each = " UNION ALL ".join(
     f"SELECT lang, source, {k} AS ratio, CASE WHEN {d} = 0 THEN 0 ELSE {scale} * {n} // {d} END AS v FROM judged WHERE NOT base_failed"
