@@ -77,5 +77,5 @@ def test_exact_similarity_not_below_fast(spark):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["current_keyword", "past_issue_name", "alert_value", "AlarmName", "NewStateValue", "NewStateReason"]
+    assert df.columns == ["current_keyword", "past_issue_name", "alert_value", "AlarmName", "NewStateValue", "NewStateReason", "sentence"]
     assert df.count() >= 0
