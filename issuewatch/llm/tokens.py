@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,67 +29,66 @@ from .common import per_worker
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-#: Words, and parts of words, whose ids a worker remembers; the memory bound of its cache.
-CACHE_WORDS = 500_000
+#: Parts of words whose ids a worker remembers; the memory bound of its cache.
+CACHE_PARTS = 1_000_000
 #: Documents tokenised at a time.
 BATCH_DOCS = 256
 #: Word parts given to the tokenizer in one call.
 JOIN_PARTS = 4096
-
-#: A Latin-1 word and the signs behind it. The vocabulary's splitting rule makes one piece
-#: of each; a word of another form (digits, apostrophes, other letters) goes to the
-#: tokenizer as it is.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+#: Text of ASCII and Latin-1 letters, and the vocabulary's own splitting rule
+#: for it. Other words (and its special tokens) go to the tokenizer as they are.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+SPECIAL = "<|"
+#: Marks a whole word in the cache of parts.
+WHOLE = "\0"
 
 
 class WordEncoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, part by part.
 
-    The vocabulary's splitting rule drops white space and never joins across it, so a
-    text's ids are the ids of its words in order. Ids of words and of their parts are
+    The vocabulary cuts a text at white space and by its splitting rule, and joins nothing
+    across the cuts, so a text's ids are the ids of its parts in order. A part's ids are
     looked up once and remembered, as packed 32-bit integers. `encode_batch` equals the
     tokenizer's own result on the whole texts.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, cache_parts: int = CACHE_PARTS) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache_words = cache_words
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def learn(self, words: list[bytes]) -> None:
-        simple, parts = {}, set()
-        for word in words:
-            text = word.decode("utf-8", "surrogatepass")
-            if found := SIMPLE.fullmatch(text):
-                simple[word] = pair = (found[1].lower(), found[2])
-                parts.update(pair)
-            else:
-                self.words[word] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.parts) + len(parts) > self.cache_words:
-            self.parts = {"": b""}
-        fresh = [p for p in parts if p not in self.parts]
-        for at in range(0, len(fresh), JOIN_PARTS):
-            some = fresh[at : at + JOIN_PARTS]
+        self.cache_parts = cache_parts
+        self.known: dict[str, bytes] = {}
+
+    def parts(self, text: str) -> list[str]:
+        if PLAIN.fullmatch(text) and SPECIAL not in text:
+            return SPLIT.findall(text.lower())
+        out = []
+        for word in text.encode("utf-8", "surrogatepass").split():
+            word = word.decode("utf-8", "surrogatepass")
+            out += SPLIT.findall(word.lower()) if PLAIN.fullmatch(word) and SPECIAL not in word else [WHOLE + word]
+        return out
+
+    def learn(self, parts: set[str]) -> None:
+        whole = [p for p in parts if p[0] == WHOLE]
+        self.known.update((p, array("I", self.tokenizer.encode(p[1:], add_special_tokens=False).ids).tobytes()) for p in whole)
+        rest = list(parts.difference(whole))
+        for at in range(0, len(rest), JOIN_PARTS):
+            some = rest[at : at + JOIN_PARTS]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1)).tolist()
-            self.parts.update((p, ids[a:b].tobytes()) for p, a, b in zip(some, cuts, cuts[1:], strict=False))
-        self.words.update((word, self.parts[a] + self.parts[b]) for word, (a, b) in simple.items())
+            ids = array("I", found.ids).tobytes()
+            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))).tolist()
+            self.known.update((p, ids[a:b]) for p, a, b in zip(some, cuts, cuts[1:], strict=False))
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.words) > self.cache_words:
-            self.words = {}
-        look = self.words.get
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        found = [list(map(look, words)) for words in split]
-        gaps = [(words, ids, [i for i, x in enumerate(ids) if x is None]) for words, ids in zip(split, found, strict=True) if None in ids]
-        self.learn(list({words[i] for words, _, at in gaps for i in at}))
-        for words, ids, at in gaps:
-            for i in at:
-                ids[i] = self.words[words[i]]
-        end = np.array([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*ids, end]), "<u4").astype(np.int32) for ids in found]
+        if len(self.known) > self.cache_parts:
+            self.known = {}
+        split = [self.parts(t or "") for t in texts]
+        found = [list(map(self.known.get, parts)) for parts in split]
+        gaps = [(parts, ids) for parts, ids in zip(split, found, strict=True) if None in ids]
+        self.learn({p for parts, ids in gaps for p, x in zip(parts, ids, strict=True) if x is None})
+        for parts, ids in gaps:
+            ids[:] = [self.known[p] if x is None else x for p, x in zip(parts, ids, strict=True)]
+        end = array("I", [END_ID]).tobytes()
+        return [np.frombuffer(b"".join([*ids, end]), np.uint32).astype(np.int32) for ids in found]
 
 
 def write_tokens(
