@@ -50,6 +50,10 @@ NARROW = 60
 #: A path wins on a host if it has this share of its pages' votes, in percent.
 WIN = 20
 
+#: Hosts up to this count have their paths broadcast (some hundred bytes each), so that no
+#: page is shuffled; more are joined by a shuffle, where AQE splits a hot host.
+MAX_BROADCAST_HOSTS = 100_000
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|$)""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _NUMBERS = re.compile(r"[0-9a-f]{8,}|\d+")
@@ -244,9 +248,10 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     each vote and each give a row; an empty table gives an empty result; other columns
     are ignored.
     """
-    paths = winning_paths(pages, url_col, html_col).withColumnRenamed("host", "k")
+    paths = materialise(winning_paths(pages, url_col, html_col).withColumnRenamed("host", "k"), "paths")
+    few = paths.count() <= MAX_BROADCAST_HOSTS
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    rows = rows.join(paths, F.col("host") == F.col("k"), "left").select("id", "url", "html", "paths")
+    rows = rows.join(F.broadcast(paths) if few else paths, F.col("host") == F.col("k"), "left").select("id", "url", "html", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -36,11 +36,9 @@ RATIOS = (
 )
 
 
-def repeat_words(hashes: str) -> Column:
-    """Words of the array column `hashes` in windows that occur twice or more in it.
-
-    `s` has to be computed by `_sorted_windows` before; null where nothing repeats.
-    """
+def repeat_words() -> Column:
+    """Words in windows that occur twice or more, from the column `s` of `base_counts`: the
+    sorted (hash, position) pairs of a text's windows, null where none repeats."""
     n = F.size("s")
     at = F.transform(
         F.sequence(F.lit(0), n - 1),
@@ -81,7 +79,7 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sour
         "n_symbols",
         n_lines.alias("n_lines"),
         (n_lines - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-        repeat_words("h").alias("n_repeat_words"),
+        repeat_words().alias("n_repeat_words"),
     )
 
 
