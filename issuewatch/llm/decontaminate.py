@@ -22,9 +22,6 @@ MASKS = ("11101001101", "11010110011", "10110011101")
 SPAN = len(MASKS[0])
 #: An overlap has this many words, or the whole item if that is shorter.
 MIN_OVERLAP = 13
-#: What an unequal word costs an overlap, against 1 for an equal one: the lower cost joins
-#: stretches across a gap, the higher one keeps a dense stretch apart from a thin one.
-PENALTIES = (2, 4)
 #: Items under this many words are in nearly every text by chance and never match.
 MIN_ITEM = 5
 #: Benchmark seeds up to this count are broadcast, at about 40 bytes each; more are joined by
@@ -59,21 +56,27 @@ def seeds(rows: DataFrame, masks: list[str], whole: bool) -> DataFrame:
     return placed.select("*", F.stack(F.lit(len(masks)), *keyed).alias("seed", "span")).where("seed is not null")
 
 
-def best_segment(equal: Column, penalty: int) -> Column:
-    """(best, lo, hi): the segment of a boolean array with most score, 1 for true and
-    -penalty for false; of several the first, `hi` exclusive."""
-    names = ("i", "sum", "start", "best", "lo", "hi")
-    zero = F.struct(*[F.lit(0).alias(x) for x in names])
+def best_stretch(equal: Column, need: Column) -> Column:
+    """(best, lo, hi): of the stretches of a boolean array with at least `need` elements and
+    four of five true, the one with most true; best is 0 if there is none, `hi` exclusive.
+
+    With 4 for each element and -5 for each true one summed up to a place, a stretch fits if
+    the sum at its end is no higher than at its start. `firsts` has at k the first place
+    with a sum of k or more, which starts the longest stretch to an end with sum k.
+    """
+    start_of = lambda i, e: F.struct(i.alias("i"), e.alias("e"))
+    zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("e"), F.array(start_of(F.lit(0), F.lit(0))).alias("firsts"), *[F.lit(0).alias(x) for x in ("best", "lo", "hi")])
 
     def step(acc: Column, x: Column) -> Column:
-        fresh = acc["sum"] <= 0
-        start = F.when(fresh, acc["i"]).otherwise(acc["start"])
-        total = F.when(fresh, 0).otherwise(acc["sum"]) + F.when(x, 1).otherwise(-penalty)
-        better = total > acc["best"]
-        values = (acc["i"] + 1, total, start, F.greatest(total, acc["best"]), F.when(better, start).otherwise(acc["lo"]), F.when(better, acc["i"] + 1).otherwise(acc["hi"]))
-        return F.struct(*[v.alias(x) for x, v in zip(names, values, strict=True)])
+        i, e, firsts = acc["i"] + 1, acc["e"] + F.when(x, 1).otherwise(0), acc["firsts"]
+        total, known = 4 * i - 5 * e, F.size(firsts)
+        start = F.when(total < known, F.get(firsts, F.greatest(total, F.lit(0)))).otherwise(start_of(i, e))
+        better = (i - start["i"] >= need) & (e - start["e"] > acc["best"])
+        firsts = F.when(total < known, firsts).otherwise(F.concat(firsts, F.array_repeat(start_of(i, e), total - known + 1)))
+        best = [F.when(better, new).otherwise(acc[x]).alias(x) for x, new in (("best", e - start["e"]), ("lo", start["i"]), ("hi", i))]
+        return F.struct(i.alias("i"), e.alias("e"), firsts.alias("firsts"), *best)
 
-    return F.aggregate(equal, zero, step)
+    return F.aggregate(equal, zero, step, lambda acc: F.struct(acc["best"].alias("best"), acc["lo"].alias("lo"), acc["hi"].alias("hi")))
 
 
 def find_overlaps(
@@ -108,13 +111,16 @@ def find_overlaps(
     beside = hits.select("id", "item", cut.alias("cut"), doc_cut.alias("doc_cut"), F.slice("h", doc_cut + 1, length).alias("part")).distinct()
     equal = F.zip_with("part", F.slice("h", F.col("cut") + 1, F.size("part")), lambda a, b: a == b)
     beside = beside.join(items, "item").select("id", "item", "cut", "doc_cut", F.size("h").alias("size"), equal.alias("equal"))
-    found = beside.withColumn("s", F.explode(F.array(*[best_segment(F.col("equal"), p) for p in PENALTIES])))
-    n = F.col("s.hi") - F.col("s.lo")
-    n_equal = F.size(F.filter(F.slice("equal", F.col("s.lo") + 1, n), lambda x: x))
-    found = found.select(
-        "id", "item", (F.col("doc_cut") + F.col("s.lo")).alias("doc_pos"), (F.col("cut") + F.col("s.lo")).alias("item_pos"), n.alias("n"), n_equal.alias("n_equal"), "size"
-    )
-    found = found.where((F.col("n") >= F.least(F.lit(MIN_OVERLAP), "size")) & (5 * F.col("n_equal") >= 4 * F.col("n")))
+    need = F.least(F.lit(MIN_OVERLAP), "size")
+    found = beside.withColumn("need", need).withColumn("s", best_stretch(F.col("equal"), F.col("need"))).where("s.best > 0")
+    # unequal words at the ends do not count, down to the least length
+    found = found.withColumn("stretch", F.slice("equal", F.col("s.lo") + 1, F.col("s.hi") - F.col("s.lo")))
+    ends = lambda x: (F.array_position(x, True) - 1).cast("int")
+    found = found.withColumn("head", F.least(ends(F.col("stretch")), F.size("stretch") - F.col("need")))
+    found = found.withColumn("n", F.size("stretch") - F.col("head"))
+    found = found.withColumn("n", F.col("n") - F.least(ends(F.reverse("stretch")), F.col("n") - F.col("need")))
+    lo = F.col("s.lo") + F.col("head")
+    found = found.select("id", "item", (F.col("doc_cut") + lo).alias("doc_pos"), (F.col("cut") + lo).alias("item_pos"), "n", F.col("s.best").alias("n_equal"))
     best = F.max(F.struct("n_equal", (-F.col("doc_pos")).alias("d"), (-F.col("item_pos")).alias("i"), "n"))
     return (
         found.groupBy("id", "item")

@@ -1,5 +1,8 @@
 import random
 import re
+from itertools import combinations
+
+from pyspark.sql import functions as F
 
 from issuewatch.llm import decontaminate
 from issuewatch.llm.queries import QUERIES
@@ -78,3 +81,31 @@ def test_edge_rows(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == 7
     assert decontaminate.find_overlaps(none, items).count() == 0
     assert decontaminate.find_overlaps(docs, items.limit(0)).count() == 0
+
+
+def test_best_stretch_matches_brute_force(spark):
+    draw = random.Random(8)
+    rows = [(13, [k not in gone for k in range(13)]) for count in (1, 2) for gone in combinations(range(13), count)]
+    rows += [(13, [k not in gone for k in range(15)]) for count in (1, 2, 3) for gone in combinations(range(15), count)]
+    rows += [(draw.choice([5, 9, 13]), [draw.random() < p for _ in range(draw.randint(1, 60))]) for p in (0.5, 0.75, 0.8, 0.9) for _ in range(100)]
+    frame = spark.createDataFrame(rows, "need int, equal array<boolean>").coalesce(2)
+    got = frame.select("need", "equal", decontaminate.best_stretch(F.col("equal"), F.col("need")).alias("s")).collect()
+    assert len(got) == len(rows)
+    for need, equal, (best, lo, hi) in got:
+        fits = [(sum(equal[x:y]), x, y) for x in range(len(equal)) for y in range(x + need, len(equal) + 1) if 5 * sum(equal[x:y]) >= 4 * (y - x)]
+        assert best == max([f[0] for f in fits], default=0)
+        assert not best or (best, lo, hi) in fits
+
+
+def test_substituted_words_at_every_position_of_items(spark):
+    rows, items = [], []
+    for n, count in ((13, 1), (15, 1), (20, 1), (20, 2)):
+        for gone in combinations(range(n), count):
+            k = len(items)
+            item = [f"i{k}w{j}" for j in range(n)]
+            items.append((k, " ".join(item)))
+            rows.append((k, " ".join(["before", *("other" if j in gone else w for j, w in enumerate(item)), "after"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = decontaminate.find_overlaps(docs, spark.createDataFrame(items, "item_id long, text string").coalesce(2)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(k, k) for k, _ in rows}
+    assert all(r["n_words"] >= 13 and 5 * r["n_equal"] >= 4 * r["n_words"] for r in got)
