@@ -11,19 +11,18 @@ Words are lower-cased runs of letters, marks and digits, each a 64-bit hash.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
 
 WORD = r"[\p{L}\p{M}\p{N}]+"
-#: 1: the position counts, 0: any word may stand there. One span for all.
+#: 1: the position counts, 0: any word may stand there.
 MASKS = ("11101001101", "11010110011", "10110011101")
-SPAN = len(MASKS[0])
 #: An overlap has this many words, or the whole item if that is shorter.
 MIN_OVERLAP = 13
-#: Items under this many words are in nearly every text by chance and never match.
-MIN_ITEM = 5
 #: Benchmark seeds up to this count are broadcast, at about 40 bytes each; more are joined by
 #: a shuffle.
 MAX_BROADCAST_SEEDS = 2_000_000
@@ -35,22 +34,34 @@ def word_hashes(text: Column) -> Column:
     return F.transform(found, lambda w: F.xxhash64(w))
 
 
+def covering_masks(n: int) -> list[str]:
+    """Masks for an item of `n` words; with up to `n // 5` words changed, one agrees at least.
+
+    The words are dealt to two blocks more than may change, and each choice of blocks that
+    could hold all changes is left out once. Where none may change, one mask keeps all.
+    """
+    changes = n // 5
+    blocks = changes + 2 if changes else 1
+    block_of = [k * blocks // n for k in range(n)]
+    return ["".join("0" if b in out else "1" for b in block_of) for out in combinations(range(blocks), changes)]
+
+
 def masks_for(short_lengths: list[int]) -> list[str]:
-    """The fixed masks, and a full one for each item length under their span."""
-    return [*MASKS, *("1" * n for n in sorted(set(short_lengths)) if MIN_ITEM <= n < SPAN)]
+    """The fixed masks, then covering ones for each item length up to the least overlap."""
+    return [*MASKS, *(m for n in sorted(set(short_lengths)) for m in covering_masks(n))]
 
 
 def seeds(rows: DataFrame, masks: list[str], whole: bool) -> DataFrame:
     """`rows` (with an array `h`) exploded to (pos, seed, span) for each mask and window.
 
-    `whole`: the masks under SPAN are laid over arrays of just their length only.
+    `whole`: masks but the fixed ones are laid over arrays of just their length only.
     """
     placed = rows.select("*", F.posexplode("h").alias("pos", "w0")).drop("w0")
     keyed = []
     for i, mask in enumerate(masks):
         fits = F.size("h") - F.col("pos") >= len(mask)
-        if whole and len(mask) < SPAN:
-            fits = F.size("h") == len(mask)
+        if whole and i >= len(MASKS):
+            fits = (F.size("h") == len(mask)) & (F.col("pos") == 0)
         kept = [F.get("h", F.col("pos") + k) for k, bit in enumerate(mask) if bit == "1"]
         keyed += [F.when(fits, F.xxhash64(F.lit(i), *kept)), F.lit(len(mask))]
     return placed.select("*", F.stack(F.lit(len(masks)), *keyed).alias("seed", "span")).where("seed is not null")
@@ -89,15 +100,15 @@ def find_overlaps(
     class and named by their smallest id. Of several overlaps of a pair the one with most
     equal words is returned, then the earliest.
 
-    Null, empty and wordless texts never match, on either side, nor do items under
-    `MIN_ITEM` words; items shorter than the mask match as a whole. Repeated rows and
+    Null, empty and wordless texts never match, on either side; items up to `MIN_OVERLAP`
+    words match as a whole, those under 5 words by exactly their words. Repeated rows and
     rows that share an id are one document. Null ids are kept as an id of their own.
     Other columns are ignored; an empty table gives an empty result.
     """
     items = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("h"))
-    items = materialise(items.where(F.size("h") >= MIN_ITEM).groupBy("h").agg(F.min("item").alias("item")), "items")
-    lengths = items.select(F.size("h").alias("n")).where(F.col("n") < SPAN).distinct()
-    masks = masks_for([r["n"] for r in lengths.collect()])  # at most SPAN lengths
+    items = materialise(items.where(F.size("h") > 0).groupBy("h").agg(F.min("item").alias("item")), "items")
+    lengths = items.select(F.size("h").alias("n")).where(F.col("n") <= MIN_OVERLAP).distinct()
+    masks = masks_for([r["n"] for r in lengths.collect()])  # at most MIN_OVERLAP lengths
     planted = seeds(items, masks, whole=True).select("seed", "item", F.col("pos").alias("item_at"), F.size("h").alias("size"))
     planted = materialise(planted, "seeds")
     few = planted.count() <= MAX_BROADCAST_SEEDS

@@ -109,3 +109,19 @@ def test_substituted_words_at_every_position_of_items(spark):
     got = decontaminate.find_overlaps(docs, spark.createDataFrame(items, "item_id long, text string").coalesce(2)).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(k, k) for k, _ in rows}
     assert all(r["n_words"] >= 13 and 5 * r["n_equal"] >= 4 * r["n_words"] for r in got)
+
+
+def test_short_items_with_any_allowed_substitutions(spark):
+    rows, items, near = [], [], set()
+    for n in range(1, 14):
+        for count in range(n // 5 + 2):
+            for gone in combinations(range(n), count):
+                k = len(items)
+                item = [f"i{k}w{j}" for j in range(n)]
+                items.append((k, " ".join(item)))
+                rows.append((k, " ".join(["before", *("other" if j in gone else w for j, w in enumerate(item)), "after"])))
+                if count <= n // 5:
+                    near.add((k, k))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    got = decontaminate.find_overlaps(docs, spark.createDataFrame(items, "item_id long, text string").coalesce(2)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == near
