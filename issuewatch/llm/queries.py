@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, html, language, licenses, lines, mixing, quality, simhash, tokens, toxicity
-from .common import read
+from . import decontaminate, html, language, licenses, lines, mixing, periodic, quality, simhash, tokens, toxicity
+from .common import read, words
 from .params import MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED, MIX_WEIGHTS
 from .sql import SQL
 
@@ -71,6 +71,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def looped_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with a tail of every tenth text made periodic, as the id's checksum says:
+    from word a on, the p words there are repeated to the text's end. Null ids: unchanged."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", (h % 10 == 0).alias("loops"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("w", F.when(F.col("loops"), words(F.col("text"))))
+    rows = rows.withColumn("n", F.size("w")).withColumn("loops", F.col("loops") & (F.col("n") > 0))
+    rows = rows.withColumn("a", F.when(F.col("loops"), (F.col("g") % F.col("n")).cast("int")))
+    rows = rows.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    tail = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), int((n - a) div p + 1))), 1, n - a)")
+    looped = F.array_join(F.concat(F.expr("slice(w, 1, a)"), tail), " ")
+    return rows.select("doc_id", F.when(F.col("loops"), looped).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(periodic.periodic_runs(looped_texts(read(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_token_output": op2_token_output,
@@ -82,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 __all__ = ["QUERIES", "SQL"]
