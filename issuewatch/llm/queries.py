@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, html, language, licenses, lines, mixing, periodic, quality, simhash, tokens, toxicity
+from . import decontaminate, html, language, licenses, lines, mixing, periodic, quality, simhash, tokens, toxicity, variants
 from .common import read, words
 from .params import MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED, MIX_WEIGHTS
 from .sql import SQL
@@ -89,6 +89,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digest(periodic.periodic_runs(looped_texts(read(spark, sf_dir, "documents"))))
 
 
+def letter_words(docs: DataFrame) -> DataFrame:
+    """(word): the letter runs of all texts with 5 letters or more; of every 97th (document, run), as
+    their checksum says, one letter is left out."""
+    runs = variants.letter_runs(docs, least=5)
+    h = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    rows = runs.select("run", h.alias("h"), (h % F.length("run")).cast("int").alias("at"))
+    word = F.when(F.col("h") % 97 == 0, F.expr("concat(substr(run, 1, at), substr(run, at + 2))")).otherwise(F.col("run"))
+    return rows.select(word.alias("word")).where(F.length("word") >= 5)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(letter_words(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_token_output": op2_token_output,
@@ -101,5 +115,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 __all__ = ["QUERIES", "SQL"]
