@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, html, language, licenses, lines, mixing, periodic, quality, simhash, tokens, toxicity, variants
+from . import decontaminate, html, identifiers, language, licenses, lines, mixing, periodic, quality, simhash, tokens, toxicity, variants
 from .common import read, words
 from .params import MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED, MIX_WEIGHTS
 from .sql import SQL
@@ -103,6 +103,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(letter_words(read(spark, sf_dir, "documents")))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identifiers.span_digest(identifiers.find_identifiers(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_token_output": op2_token_output,
@@ -116,5 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_personal_data": op13_personal_data,
 }
 __all__ = ["QUERIES", "SQL"]
