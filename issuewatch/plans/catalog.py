@@ -583,6 +583,15 @@ def _event_files(spark, root):
     return out, e.schema
 
 
+def _crawl_files(spark, root):
+    """events as crawl files: file k of 12 holds every 12th post of all days, so that each
+    file has posts of every snapshot, as crawls that look back do."""
+    e = read_table(spark, root, "events")
+    out = scratch_path(spark, "crawls-landing")
+    e.withColumn("_crawl", F.pmod(F.xxhash64("event_id"), F.lit(12))).repartition("_crawl").write.partitionBy("_crawl").parquet(out)
+    return out, e.schema
+
+
 @query("stream_hour_issue")
 def q_stream_hour_issue(spark, root):
     """R1 + R5: streaming hour sums over several micro-batches equal the batch sums, open
@@ -595,13 +604,22 @@ def q_stream_hour_issue(spark, root):
 MAX_FILES = 16  # landing files per micro-batch in the stream queries
 
 
+def _gate(spark, root, **options):
+    """Crawl files, several to a trigger, through the gate stream; every trigger has posts of all snapshots."""
+    src, schema = _crawl_files(spark, root)
+    posts = fx.posts_from_events(sm.file_stream(spark, src, schema, GATE_FILES), keep=("src_file_id",))
+    raw, processed = scratch_path(spark, "raw"), scratch_path(spark, "processed")
+    sm.snapshot_gate_stream(spark, posts, raw, processed, order=("created_at", "event_id"), **options)
+    return raw, processed
+
+
+GATE_FILES = 4  # crawl files per micro-batch of the gate
+
+
 @query("stream_dedupe")
 def q_stream_dedupe(spark, root):
-    """The posts that the gate stream keeps, one per (snapshot, source, url)."""
-    src, schema = _event_files(spark, root)
-    posts = fx.posts_from_events(sm.file_stream(spark, src, schema), keep=("src_file_id",))
-    raw = scratch_path(spark, "raw")
-    sm.snapshot_gate_stream(spark, posts, raw, scratch_path(spark, "processed"))
+    """The posts that the gate stream keeps over many triggers, one per (snapshot, source, url)."""
+    raw, _ = _gate(spark, root)
     kept = spark.read.parquet(raw)
     return kept.groupBy(F.col("file_create_time").alias("snapshot"), "data_source", "url").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -609,9 +627,7 @@ def q_stream_dedupe(spark, root):
 @query("stream_snapshot_gate")
 def q_stream_snapshot_gate(spark, root):
     """R3 + S6 + S11 + R6: complete snapshots recorded once by the gate stream."""
-    src, schema = _event_files(spark, root)
-    posts = fx.posts_from_events(sm.file_stream(spark, src, schema), keep=("src_file_id",))
-    processed = sm.snapshot_gate_stream(spark, posts, scratch_path(spark, "raw"), scratch_path(spark, "processed"))
+    _, processed = _gate(spark, root)
     return spark.read.parquet(processed).select(F.col("file_create_time").alias("snapshot"), F.col("n_sources").cast("bigint").alias("n_sources"))
 
 
@@ -628,7 +644,7 @@ def q_stream_stages(spark, root):
     table = scratch_path(spark, "stage")
     for _ in range(2):
         posts = fx.posts_from_events(sm.file_stream(spark, src, schema), keep=("src_file_id",))
-        sm.replayable_stage_stream(spark, posts, _stage, table)
+        sm.replayable_stage_stream(spark, posts, _stage, table, checkpoint=scratch_path(spark, "cp-stage"))
     return round_doubles(spark.read.parquet(table).drop("src_file_id"))
 
 
@@ -639,7 +655,7 @@ def q_stream_normalise(spark, root):
     raw = fx.site_posts(spark, root)
     raw.repartition(MAX_FILES).write.parquet(src)
     for _ in range(2):
-        sm.replayable_stage_stream(spark, sm.file_stream(spark, src, raw.schema, MAX_FILES // 4), _normalise, table)
+        sm.replayable_stage_stream(spark, sm.file_stream(spark, src, raw.schema, MAX_FILES // 4), _normalise, table, checkpoint=scratch_path(spark, "cp-stage"))
     return _formatted(spark.read.parquet(table))
 
 

@@ -186,6 +186,32 @@ def with_snapshot_partitions(df: DataFrame, snapshot: Column) -> DataFrame:
     return df.withColumns({date: F.to_date(snapshot), hour: F.hour(snapshot)})
 
 
+def _path(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of a few paths that exist, on whatever store they are."""
+    return [p for p in paths if (lambda path, fs: fs.exists(path))(*_path(spark, p))]
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a name that does not exist yet."""
+    old, fs = _path(spark, source)
+    new, _ = _path(spark, target)
+    fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(old, new):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """The numbers N of the folders `<root>/version=N`."""
+    path, fs = _path(spark, root)
+    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+
 # Fixed value: the columns of the flat post/comment file, in their order.
 POST_COMMENT_COLUMNS = ("content", "created_at", "viewed", "liked", "post_type", "num_of_comments", "seconds_per_comment")
 

@@ -5,8 +5,13 @@
   partial sums up: every row counts, however late, and open hours are there too; an
   hour is `closed` once the newest post is past its end and the allowed delay.
 * `snapshot_gate_stream` (R3, S11, R6): posts once per (snapshot, source, url), written
-  under their snapshot, then the snapshots that became complete (>= 4 sources) in this
-  batch are recorded, once.
+  under their snapshot; the snapshots that became complete (>= 4 sources) in a batch are
+  recorded once, and `run_pending` starts a job once for each. A batch is compared with the
+  stored posts of its own snapshots, so a post is never too late and no state is held
+  beside the table.
+* `committed_stage_stream` (R2, R4): a stage whose batches appear whole or not at all, so
+  that its folder can be the source of the next stage; `publish_model` / `latest_model`
+  give a stage its versioned model table.
 * `replayable_stage_stream` (R2, R4): stateless per-row stages written idempotently;
   running it again over the same files leaves the table unchanged.
 * `compact_messages_stream` (S6, R4): messages to JSON lines per snapshot and source,
@@ -14,20 +19,22 @@
 
 Every micro-batch writes a folder of its own number and a replay overwrites just that
 (R4); no batch touches the rows of another. All streams use `trigger(availableNow=True)`
-in tests (drain what is there, stop), and a checkpoint folder under the session's
-`spark.checkpoint.dir`.
+in tests (drain what is there, stop). The checkpoint of a stream lies beside its output
+(`<output>-checkpoint`) unless one is given, so a second call goes on where the first
+one stopped.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scoring import issue_score
-from ..session import scratch_path
+from ..sources import files
 
 WATERMARK_DELAY = "1 hour"
 
@@ -40,6 +47,10 @@ def _run(writer, available_now: bool = True):
     return q
 
 
+def _checkpoint(out: str, given: str | None) -> str:
+    return given or f"{out.rstrip('/')}-checkpoint"
+
+
 def batch_folder_sink(out: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: batch N -> `<out>/batch_id=N`, overwritten on replay."""
 
@@ -69,8 +80,7 @@ def hourly_issue_stream(
         part = df.groupBy("hour", "current_keyword").agg(*sums, F.max("created_at").alias("newest"))
         batch_folder_sink(out)(part, batch_id)
 
-    cp = checkpoint or scratch_path(spark, "cp-hourly")
-    _run(rows.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
+    _run(rows.writeStream.option("checkpointLocation", _checkpoint(out, checkpoint)).foreachBatch(on_batch))
     return out
 
 
@@ -89,47 +99,148 @@ def read_hourly_issue(spark: SparkSession, out: str, delay: str = WATERMARK_DELA
     )
 
 
+SNAPSHOT_KEYS = ("file_create_time", "data_source", "url")
+
+
 def snapshot_gate_stream(
     spark: SparkSession,
     posts: DataFrame,
     raw_table: str,
     processed_table: str,
     required: int = 4,
-    delay: str = WATERMARK_DELAY,
+    order: tuple[str, ...] = ("created_at",),
     checkpoint: str | None = None,
-    on_complete: Callable[[DataFrame], None] | None = None,
+    on_complete: Callable[[dt.datetime], None] | None = None,
 ) -> str:
-    """R3 + S11 + R6: append posts, then record newly complete snapshots once, and hand
-    them (file_create_time, n_sources) to `on_complete`. A url that one source delivers
-    twice for a snapshot within the watermark is one post."""
-    keys = ["file_create_time", "data_source", "url"]
-    deduped = posts.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(keys)
-    schema = "file_create_time timestamp, n_sources bigint, batch_id bigint"
-    spark.createDataFrame([], schema).write.mode("append").parquet(f"{processed_table}/batch=-1")
+    """R3 + S11 + R6: append posts to `raw_table`, each (snapshot, source, url) once over all
+    batches, then record newly complete snapshots once in `processed_table` and start
+    `on_complete` once for each (see `run_pending`).
+
+    The stored posts are the state: a batch is anti-joined with those of its own snapshots
+    only, read from their folders, so a post counts however old it is (a crawl looks back
+    two days) and what must be read does not grow with the history. Of one batch's equal
+    keys the post with the largest `order` values stays. A replayed batch leaves its own
+    rows out of the comparison and overwrites them. Rows with a null key column are kept
+    apart by the other two."""
+    keys = list(SNAPSHOT_KEYS)
+    spark.createDataFrame([], PROCESSED).write.mode("append").parquet(f"{processed_table}/batch=-1")
+    if on_complete is not None:  # what an earlier run recorded but did not finish
+        run_pending(spark, processed_table, on_complete)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()
+        df = df.withColumn("_tie", F.xxhash64(*df.columns)).persist()
         try:
-            batch = df.select(*keys, "event_id", F.to_date("file_create_time").alias("snapshot_date"), F.lit(batch_id).alias("batch"))
-            write = batch.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-            write.partitionBy("snapshot_date", "batch").parquet(raw_table)
-            touched = df.select("file_create_time").distinct()
-            days = [r[0] for r in df.select(F.to_date("file_create_time").alias("d")).distinct().collect()]
-            raw = spark.read.parquet(raw_table).where(F.col("snapshot_date").isin(days))  # a batch's few days: prunes folders
-            counts = raw.join(touched, "file_create_time", "left_semi").groupBy("file_create_time").agg(F.count_distinct("data_source").alias("n_sources"))
-            done = spark.read.parquet(processed_table).where(F.col("batch") != batch_id).select("file_create_time")
-            fresh = counts.filter(F.col("n_sources") >= required).join(done, "file_create_time", "left_anti")
-            fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{processed_table}/batch={batch_id}")
+            hours = df.select(F.date_trunc("hour", "file_create_time").alias("h")).distinct()
+            touched = [r[0] for r in hours.collect()]  # the snapshot hours that a batch's files hold
+            folders = [f"{raw_table}/{snapshot_folder(t)}" for t in touched]
+            here = files.existing(spark, folders)
+            batch = files.dedupe_by_url(df, keys[:2], [*order, "_tie"]).drop("_tie")
+            held = None
+            if here:
+                stored = spark.read.option("basePath", raw_table).schema(raw_schema(df)).parquet(*here).where(F.col("batch") != batch_id)
+                held = stored.select(*keys)
+                same = [F.col(f"b.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+                batch = batch.alias("b").join(held.alias("h"), same, "left_anti")
+            fresh = batch.withColumns(snapshot_partition("file_create_time")).withColumn("batch", F.lit(batch_id))
+            write = fresh.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+            write.partitionBy("snapshot_date", "snapshot_hour", "batch").parquet(raw_table)
+            here = files.existing(spark, folders)
+            if not here:
+                return
+            stored = spark.read.option("basePath", raw_table).schema(raw_schema(df)).parquet(*here)
+            counts = stored.groupBy("file_create_time").agg(F.count_distinct("data_source").alias("n_sources"))
+            done = spark.read.schema(f"{PROCESSED}, batch int").parquet(processed_table).where(F.col("batch") != batch_id).select("file_create_time")
+            fresh = counts.where(F.col("n_sources") >= required).join(done, "file_create_time", "left_anti")
+            fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint")).coalesce(1).write.mode("overwrite").parquet(f"{processed_table}/batch={batch_id}")
         finally:
             df.unpersist()
         if on_complete is not None:
-            on_complete(spark.read.parquet(f"{processed_table}/batch={batch_id}").select("file_create_time", "n_sources"))
+            run_pending(spark, processed_table, on_complete)
 
-    cp = checkpoint or scratch_path(spark, "cp-gate")
-    _run(deduped.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
+    _run(posts.writeStream.option("checkpointLocation", _checkpoint(processed_table, checkpoint)).foreachBatch(on_batch))
     return processed_table
 
 
+PROCESSED = "file_create_time timestamp, n_sources bigint, batch_id bigint"
+
+
+def snapshot_partition(time_col: str) -> dict[str, Column]:
+    """The folder columns of a post's snapshot."""
+    return {"snapshot_date": F.to_date(time_col), "snapshot_hour": F.hour(time_col)}
+
+
+def snapshot_folder(hour: dt.datetime | None) -> str:
+    if hour is None:
+        return "snapshot_date=__HIVE_DEFAULT_PARTITION__/snapshot_hour=__HIVE_DEFAULT_PARTITION__"
+    return f"snapshot_date={hour:%Y-%m-%d}/snapshot_hour={hour.hour}"
+
+
+def raw_schema(posts: DataFrame) -> T.StructType:
+    """The schema of the gate's table of these posts, so that reading it opens no file for that."""
+    fields = [f for f in posts.schema.fields if f.name not in ("_tie",)]
+    return T.StructType([*fields, *T._parse_datatype_string("snapshot_date date, snapshot_hour int, batch int").fields])
+
+
+def run_pending(spark: SparkSession, processed_table: str, job: Callable[[dt.datetime], None]) -> list[dt.datetime]:
+    """Start `job` with each recorded snapshot that has no commit marker, oldest first, and
+    set the marker once it returns. A job that is stopped half way is started again by the
+    next call, so it must overwrite what it wrote; a finished one is never started again."""
+    recorded = spark.read.schema(f"{PROCESSED}, batch int").parquet(processed_table).select("file_create_time").where("file_create_time is not null").distinct()
+    marks = f"{processed_table.rstrip('/')}-done"
+    if files.existing(spark, [marks]):
+        recorded = recorded.join(spark.read.schema("file_create_time timestamp").parquet(marks), "file_create_time", "left_anti")
+    pending = sorted(r[0] for r in recorded.collect())  # the snapshots since the last call
+    for t in pending:
+        job(t)
+        spark.createDataFrame([(t,)], "file_create_time timestamp").coalesce(1).write.mode("overwrite").parquet(f"{marks}/snapshot={t:%Y-%m-%dT%H-%M-%S}")
+    return pending
+
+
+def committed_stage_stream(
+    spark: SparkSession, rows: DataFrame, stage: Callable[[DataFrame], DataFrame], table: str, checkpoint: str | None = None
+) -> str:
+    """R2 + R4: a stage whose output folder is the next stage's source. A batch is written
+    aside and then renamed to `<table>/batch_id=N`, which commits it; a batch that has been
+    committed is not written again when it is replayed. So a reader of the folder sees
+    whole batches only, each file once and for ever, however often the stage was stopped.
+    (The rename has to be atomic, as on HDFS; on other stores use a table format.)"""
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        final = f"{table}/batch_id={batch_id}"
+        if files.existing(spark, [final]):
+            return
+        aside = f"{table}/_staging/batch_id={batch_id}"
+        stage(df).write.mode("overwrite").parquet(aside)
+        files.rename(spark, aside, final)
+
+    _run(rows.writeStream.option("checkpointLocation", _checkpoint(table, checkpoint)).foreachBatch(on_batch))
+    return table
+
+
+def stage_files(spark: SparkSession, table: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """The committed batches of a stage as the next stage's source."""
+    r = spark.readStream.schema(schema)
+    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(f"{table}/batch_id=*")
+
+
+def publish_model(model: DataFrame, root: str) -> int:
+    """Append a model table as the next version of `root`; it appears as a whole."""
+    spark = model.sparkSession
+    version = 1 + max(files.versions(spark, root), default=0)
+    aside = f"{root}/_staging/version={version}"
+    model.write.mode("overwrite").parquet(aside)
+    files.rename(spark, aside, f"{root}/version={version}")
+    return version
+
+
+def latest_model(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame, int]:
+    """The newest version of a model table, looked up anew by each caller (once a batch)."""
+    found = files.versions(spark, root)
+    if not found:
+        raise ValueError(f"no model has been published in {root}")
+    return spark.read.schema(schema).parquet(f"{root}/version={max(found)}"), max(found)
+
+
 def replayable_stage_stream(
     spark: SparkSession,
     posts: DataFrame,
@@ -152,8 +263,7 @@ def replayable_stage_stream(
         finally:
             df.unpersist()
 
-    cp = checkpoint or scratch_path(spark, "cp-stage")
-    _run(posts.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
+    _run(posts.writeStream.option("checkpointLocation", _checkpoint(table, checkpoint)).foreachBatch(on_batch))
     return table
 
 
@@ -205,8 +315,7 @@ def compact_messages_stream(
         finally:
             df.unpersist()
 
-    cp = checkpoint or scratch_path(spark, "cp-compact")
-    _run(posts.writeStream.option("checkpointLocation", cp).foreachBatch(on_batch))
+    _run(posts.writeStream.option("checkpointLocation", _checkpoint(out, checkpoint)).foreachBatch(on_batch))
     return out
 
 
