@@ -71,24 +71,34 @@ def q_series_per_keyword(spark, root):
     return round_doubles(pts.withColumn("n_points", F.col("n_points").cast("bigint")))
 
 
-def _similarity(spark, root, exact=False):
-    posts = fx.kw_posts(spark, root)
-    snap = fx.snapshot_time(posts)
-    cur = issues.current_issue(posts, fx.current_batch(posts, snap), snap)
+def _curves(spark, root):
+    cur = _current_issue(spark, root)
     past = fx.past_issue(spark, root)
     cp = similarity.series_points(cur, "current_keyword", "created_at", "current_issueization")
     pp = similarity.series_points(past, "past_issue_name", "created_at", "past_issueization")
-    return cur, similarity.series_similarity(cp, pp, exact=exact)
+    return cur, cp, pp
 
 
 @query("series_similarity")
 def q_series_similarity(spark, root):
-    return _similarity(spark, root)[1]
+    _, cp, pp = _curves(spark, root)
+    return similarity.series_similarity(cp, pp)
 
 
 @query("series_similarity_exact")
 def q_series_similarity_exact(spark, root):
-    return _similarity(spark, root, exact=True)[1]
+    """U2 with the exact distance, which is returned too (similarities of long curves are tiny)."""
+    _, cp, pp = _curves(spark, root)
+    return round_doubles(similarity.series_similarity(cp, pp, exact=True, with_distance=True))
+
+
+@query("top_alerts_exact")
+def q_top_alerts_exact(spark, root):
+    """J5 + T2: the eight highest alerts by exact distances, found by bounds without the pair table."""
+    cur, cp, pp = _curves(spark, root)
+    found = similarity.top_alerts_bounded(cp, pp, issues.total_frequency(cur), 8, exact=True).alerts
+    distance = -F.log("similarity_degree") * similarity.SIMILARITY_SCALE
+    return round_doubles(found.select("current_keyword", "past_issue_name", "total_frequency", distance.alias("dtw_distance")))
 
 
 @query("issue_graph")
@@ -102,10 +112,8 @@ def q_issue_graph(spark, root):
 
 @query("top_alert")
 def q_top_alert(spark, root):
-    cur, sim = _similarity(spark, root)
-    freq = issues.total_frequency(cur)
-    top = alerts.top_alerts(alerts.alert_table(freq, sim), 1)
-    return alerts.alert_message(top)
+    cur, cp, pp = _curves(spark, root)
+    return alerts.alert_message(similarity.top_alerts_bounded(cp, pp, issues.total_frequency(cur), 1).alerts)
 
 
 FLAGSHIP = "top_alert"

@@ -153,6 +153,51 @@ SELECT created_at, past_issue_name, round(past_issueization, 6) AS past_issueiza
        round(sentiment, 6) AS sentiment
 FROM p JOIN c USING (created_at)"""
 
+# Exact warp distances of all pairs, diagonal after diagonal: `d1` holds the diagonal
+# i + j = k - 1 (by i), `d0` the one before it.
+DTW = """
+cs AS (SELECT current_keyword, min(created_at) AS t0, avg(current_issueization) FILTER (WHERE current_issueization != 0) AS mu,
+         stddev_pop(current_issueization) FILTER (WHERE current_issueization != 0) AS sd FROM current_issue GROUP BY current_keyword),
+cp AS (SELECT current_keyword, list(CAST(date_diff('hour', t0, created_at) AS DOUBLE) ORDER BY created_at) AS x,
+         list(CASE WHEN sd > 0 THEN (current_issueization - mu) / sd ELSE 0.0 END ORDER BY created_at) AS z
+       FROM current_issue JOIN cs USING (current_keyword) WHERE current_issueization != 0 GROUP BY current_keyword),
+ps AS (SELECT past_issue_name, min(created_at) AS t0, avg(past_issueization) FILTER (WHERE past_issueization != 0) AS mu,
+         stddev_pop(past_issueization) FILTER (WHERE past_issueization != 0) AS sd FROM past_issue GROUP BY past_issue_name),
+pp AS (SELECT past_issue_name, list(CAST(date_diff('hour', t0, created_at) AS DOUBLE) ORDER BY created_at) AS px,
+         list(CASE WHEN sd > 0 THEN (past_issueization - mu) / sd ELSE 0.0 END ORDER BY created_at) AS pz
+       FROM past_issue JOIN ps USING (past_issue_name) WHERE past_issueization != 0 GROUP BY past_issue_name),
+dtw_pairs AS MATERIALIZED (SELECT current_keyword, past_issue_name, x, z, px, pz, len(x) AS n, len(px) AS m FROM cp, pp),
+walk AS (
+  SELECT current_keyword, past_issue_name, 2 AS k,
+         [sqrt((x[1] - px[1]) ** 2 + (z[1] - pz[1]) ** 2)] || list_transform(range(1, n), lambda i: CAST('inf' AS DOUBLE)) AS d1,
+         list_transform(range(0, n), lambda i: CAST('inf' AS DOUBLE)) AS d0
+  FROM dtw_pairs
+  UNION ALL
+  SELECT p.current_keyword, p.past_issue_name, w.k + 1,
+         list_transform(range(1, p.n + 1), lambda i: CASE WHEN w.k + 1 - i BETWEEN 1 AND p.m THEN
+             least(w.d1[i], CASE WHEN i > 1 THEN least(w.d1[i - 1], w.d0[i - 1]) ELSE CAST('inf' AS DOUBLE) END)
+             + sqrt((p.x[i] - p.px[w.k + 1 - i]) ** 2 + (p.z[i] - p.pz[w.k + 1 - i]) ** 2)
+           ELSE CAST('inf' AS DOUBLE) END),
+         w.d1
+  FROM walk w JOIN dtw_pairs p ON p.current_keyword = w.current_keyword AND p.past_issue_name = w.past_issue_name WHERE w.k < p.n + p.m
+),
+dtw AS (SELECT current_keyword, past_issue_name, w.d1[p.n] AS d FROM walk w JOIN dtw_pairs p USING (current_keyword, past_issue_name) WHERE w.k = p.n + p.m),
+sim AS (
+  SELECT k.current_keyword, i.past_issue_name, d, coalesce(exp(-d / 50), 0) AS s
+  FROM (SELECT DISTINCT current_keyword FROM current_issue) k CROSS JOIN (SELECT DISTINCT past_issue_name FROM past_issue) i
+  LEFT JOIN dtw USING (current_keyword, past_issue_name)
+)"""
+
+_SIM = with_(*ISSUE_CTES, PAST_ISSUE, DTW).replace("WITH", "WITH RECURSIVE", 1)
+
+SQL["series_similarity_exact"] = _SIM + """
+SELECT current_keyword, past_issue_name, round(s, 6) AS similarity_degree, round(d, 6) AS dtw_distance FROM sim"""
+
+SQL["top_alerts_exact"] = _SIM + """,
+f AS (SELECT current_keyword, ln(sum(current_issueization) + 1) AS tf FROM current_issue GROUP BY current_keyword)
+SELECT current_keyword, past_issue_name, round(tf, 6) AS total_frequency, round(-ln(s) * 50, 6) AS dtw_distance
+FROM f JOIN sim USING (current_keyword) ORDER BY s * tf DESC, current_keyword, past_issue_name LIMIT 8"""
+
 # --- text cleaning in DuckDB SQL ------------------------------------------------------
 
 # The cleaning patterns and phrases, written out here a second time so that a

@@ -2,13 +2,17 @@
 
 import datetime as dt
 import json
+import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF_SMALL
-from issuewatch.operators import issues, similarity
+from issuewatch.functions import dtw
+from issuewatch.operators import alerts, issues, similarity, views
 from issuewatch.plans import fixtures as fx
 from issuewatch.plans import pipeline
 from issuewatch.session import ensure_checkpoint_dir, scratch_path
@@ -223,6 +227,68 @@ def test_similar_pairs_above_a_threshold(spark):
     assert len(set(every.values())) > 5 and min(every.values()) > 0
 
 
+def test_bounded_top_alerts_equal_all_pairs(spark):
+    """Curves in groups of like shape, of very different frequency; empty and one-point ones."""
+    draw = random.Random(2)
+    rows = []
+    for c in range(60):
+        hours = sorted(draw.sample(range(400), draw.randrange(2, 30) if c > 3 else c % 2))
+        for h in hours:
+            rows.append((f"k{c:02}", h + 300 * (c % 5), float(draw.randrange(1, 50)) * 10 ** (c % 4)))
+    points = [(k, float(sum(v for x, _, v in rows if x == k))) for k in sorted({f"k{c:02}" for c in range(60)})]
+    t0 = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    df = spark.createDataFrame(rows, "k string, h int, value double").select("k", F.timestamp_add("HOUR", F.col("h"), t0).alias("t"), "value")
+    cur = similarity.series_points(df, "k", "t", "value", origin=t0)
+    empty = spark.createDataFrame([(k, 0, [], []) for k, n in points if not n], cur.schema)
+    cur = cur.unionByName(empty).withColumnRenamed("k", "current_keyword")
+    freq = spark.createDataFrame([(k, math.log1p(n)) for k, n in points], "current_keyword string, total_frequency double")
+    past = cur.where("current_keyword < 'k12'").withColumnRenamed("current_keyword", "past_issue_name")
+    for exact, k in ((True, 1), (True, 25), (False, 3), (True, 1000)):
+        every = similarity.series_similarity(cur, past, exact=exact)
+        want = alerts.top_alerts(alerts.alert_table(freq, every), k).collect()
+        got = similarity.top_alerts_bounded(cur, past, freq, k, exact=exact, first_pairs=24)
+        assert [(r.current_keyword, r.past_issue_name) for r in got.alerts.collect()] == [(r.current_keyword, r.past_issue_name) for r in want]
+        assert got.all_pairs == 720 and (k == 1000 or got.kernel_pairs < 400)
+    none = similarity.top_alerts_bounded(cur, past.limit(0), freq, 2).alerts.collect()
+    assert [r.alert_value for r in none] == [None, None]
+
+
+def test_envelope_bound_is_below_the_distance(spark):
+    draw = random.Random(8)
+    rows = [(f"s{c}", sorted(draw.sample(range(200), draw.randrange(1, 40)))) for c in range(30)]
+    points = spark.createDataFrame([(k, t, [draw.gauss(0, 1) for _ in t]) for k, t in rows], "k string, idx array<int>, z array<double>")
+    got = similarity.with_envelope(points).collect()
+    tight = 0
+    for a in got:
+        for b in got:
+            low = similarity.envelope_bound(*(np.array(x.boxes).reshape(-1, 5) for x in (a, b)))
+            d = dtw.series_distance(a.idx, a.z, b.idx, b.z, exact=True)
+            assert low <= d + 1e-9
+            tight += low > d / 2
+    assert tight > 300
+
+
+def test_issue_graph_of_ragged_curves(spark):
+    """Gaps, curves of different hours, repeated hours and rows off the full hour: as the plain join."""
+    draw = random.Random(6)
+    hour = lambda h: dt.datetime(2024, 3, 1) + dt.timedelta(hours=h)
+    past = [(f"p{i}", hour(draw.randrange(40) + 7 * i) + dt.timedelta(minutes=30 * (draw.random() < 0.1)), float(j)) for i in range(3) for j in range(30)]
+    cur = [(hour(draw.randrange(60)), f"c{i}", float(j)) for i in range(4) for j in range(40)] + [(hour(0), "c0", -1.0)]
+    p = spark.createDataFrame(past, "past_issue_name string, created_at timestamp, past_issueization double")
+    c = spark.createDataFrame(cur, "created_at timestamp, current_keyword string, current_issueization double")
+    now = F.lit("2024-05-01 03:10:00").cast("timestamp")
+    for origin in (None, "p1"):
+        got = views.issue_graph(p, c, now, origin)
+        anchor = dt.datetime(2024, 3, 1, 3)
+        first = {n: min(t for m, t, _ in past if m == (origin or n)) for n in ("p0", "p1", "p2")}
+        start = min(t for t, _, _ in cur)
+        want = [(t - first[n] + anchor, n, x, k, y) for n, t, x in past for u, k, y in cur if t - first[n] == u - start]
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want) and want
+        assert got.columns == ["created_at", "past_issue_name", "past_issueization", "current_keyword", "current_issueization"]
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
+    assert joins and not any("created_at" in x for x in joins)
+
+
 def test_a_cluster_needs_a_shared_folder():
     class Conf:
         def get(self, key, default=None):
