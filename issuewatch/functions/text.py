@@ -187,9 +187,9 @@ def strip_view_prefix(c) -> Column:
 
 
 def clien_liked(c) -> Column:
-    """F13 (clien): the crawled like text ends in one extra character, `12명` -> 12; an
+    """F13 (clien): the crawled like text ends in one extra character, `1,234명` -> 1234; an
     empty text is 0."""
-    x = F.trim(_c(c))
+    x = F.trim(F.replace(_c(c), F.lit(","), F.lit("")))
     digits = F.regexp_replace(x, r"[^0-9]$", "")
     return F.when(x == "", F.lit(0)).otherwise(digits.try_cast("bigint")).cast("bigint")
 

@@ -421,9 +421,9 @@ def q_tolerant_json(spark, root):
 
 @query("tolerant_json_quarantine")
 def q_tolerant_json_quarantine(spark, root):
-    """The broken lines of the same files, by their text."""
+    """The broken lines of the same files, by their text, or by their bytes where they are no UTF-8."""
     _, bad = _tolerant(spark, root)
-    return bad.select(F.col("_corrupt_record").alias("line"))
+    return bad.select(F.when(F.is_valid_utf8("_corrupt_record"), F.col("_corrupt_record")).otherwise(F.hex("raw")).alias("line"))
 
 
 def _tolerant(spark, root):
@@ -432,7 +432,9 @@ def _tolerant(spark, root):
     c = read_table(spark, root, "conversations")
     j = F.concat(F.lit('{"conv_id":'), F.col("conv_id").cast("string"), F.lit(',"turn":'), F.col("turn").cast("string"), F.lit(',"role":"'), F.col("role"), F.lit('","n":'), F.length("text").cast("string"), F.lit("}"))
     whole = F.to_json(F.struct("conv_id", "turn", "role", "text"))
-    line = F.when(F.col("turn") % 9 == 4, F.expr("substring(j, 1, length(j) - 3)")).when(F.col("turn") % 11 == 7, F.lit("{}")).otherwise(F.col("whole"))
+    cut = F.expr("substring(j, 1, length(j) - 3)")
+    bytes_ = F.concat(F.expr("cast(substring(j, 1, length(j) - 1) as binary)"), F.lit(bytearray(b',"x":"\xff\xfe"}'))).cast("string")
+    line = F.when(F.col("turn") % 9 == 4, cut).when(F.col("turn") % 11 == 7, F.lit("{}")).when(F.col("turn") % 13 == 6, bytes_).otherwise(F.col("whole"))
     out = scratch_path(spark, "tolerant-json")
     c.select(j.alias("j"), whole.alias("whole"), "turn").select(line.alias("value")).write.mode("overwrite").text(out)
     return fl.read_jsonl_tolerant(spark, out, T._parse_datatype_string(CONV_SCHEMA))
@@ -667,6 +669,113 @@ def q_stream_normalise(spark, root):
     return _formatted(spark.read.parquet(table))
 
 
+NB_MODEL = "token string, weight double"
+
+
+def publish_naive_bayes(docs, labels, root):
+    """The lexicon as a model table: one row a token, the prior in the row without one."""
+    weights, prior = st.fit_naive_bayes(docs, "doc_id", "text", labels, "toxic")
+    spark = docs.sparkSession
+    sm.publish_model(weights.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("token"), prior.alias("weight"))), root)
+
+
+def sentiment_stage(models):
+    """R2: a batch of documents with the score of the newest model, whose version it carries."""
+
+    def stage(df):
+        model, version = sm.latest_model(df.sparkSession, models, NB_MODEL)
+        prior = model.where("token is null").select("weight").scalar()
+        scored = st.score_naive_bayes(df, "doc_id", "text", model.where("token is not null"), prior)
+        rows = df.join(scored, "doc_id")
+        return rows.withColumn("sentiment", F.lit(1.0) - F.col("p_clean")).withColumn("model_version", F.lit(version))
+
+    return stage
+
+
+def keyword_stage(df):
+    """R2: a batch of scored documents with their keywords, in rank order."""
+    found = kw.extract_keywords(df, "doc_id", "text")
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct("rank", "keyword"))), lambda x: x["keyword"])  # at most five
+    return df.join(found.groupBy("doc_id").agg(ranked.alias("keywords")), "doc_id", "left")
+
+
+def _staged(spark, root, chain):
+    """Documents in landing files through the first stages of a chain, several files a trigger;
+    a stage's folder is the source of the next one."""
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    landing, models = scratch_path(spark, "docs-landing"), scratch_path(spark, "models")
+    docs.repartition(MAX_FILES).write.parquet(landing)
+    publish_naive_bayes(docs, read_table(spark, root, "labels").select("doc_id", "toxic"), models)
+    source = sm.file_stream(spark, landing, docs.schema, MAX_FILES // 4).drop("src_file_id")
+    for stage in (sentiment_stage(models), keyword_stage)[:chain]:
+        out = scratch_path(spark, "stage")
+        sm.committed_stage_stream(spark, source, stage, out)
+        done = spark.read.parquet(out).drop("batch_id")
+        source = sm.stage_files(spark, out, done.schema, 2)
+    return done
+
+
+@query("stream_sentiment")
+def q_stream_sentiment(spark, root):
+    """R2: scoring as a streamed stage with a versioned model, equal to the batch scores."""
+    return round_doubles(_staged(spark, root, 1).select("doc_id", "p_clean", "sentiment"))
+
+
+@query("stream_keywords")
+def q_stream_keywords(spark, root):
+    """R2: keywords as the stage behind scoring, read from that stage's folder."""
+    each = _staged(spark, root, 2).select("doc_id", F.posexplode("keywords").alias("rank", "keyword"))
+    return each.select("doc_id", (F.col("rank") + 1).alias("rank"), "keyword")
+
+
+@query("stream_alert")
+def q_stream_alert(spark, root):
+    """R1 + R3: crawls arrive one after the other; the gate starts the whole job for the newest
+    snapshot once its four sources are there, on what it has stored; returns the written
+    alert. The last crawls are those of the newest snapshot that all sources deliver."""
+    from . import pipeline
+
+    e = read_table(spark, root, "events")
+    hour = F.date_trunc("hour", "ts")
+    sources = e.groupBy(hour.alias("h")).agg(F.count_distinct(F.col("event_id") % 4).alias("n")).where("n = 4")
+    newest = sources.agg(F.max("h")).first()[0]
+    e = e.where(hour <= F.lit(newest))
+    landing, raw, done, out = (scratch_path(spark, n) for n in ("crawls", "raw", "processed", "warehouse"))
+    past = fx.past_issue_between(fx.posts_from_events(e), *issues.window_bounds(F.lit(newest).cast("timestamp")))
+
+    def job(t):
+        if t < newest:
+            return
+        snap = F.lit(t).cast("timestamp")
+        posts = spark.read.parquet(raw).drop("snapshot_date", "batch")
+        batch = fx.current_batch(posts, snap)
+        history = posts.join(batch.select("event_id"), "event_id", "left_anti")
+        pipeline.run_snapshot(spark, batch, history, past, snap, out, exact=True)
+
+    last, late = hour == F.lit(newest), F.col("event_id") % 4 >= 2
+    for k, crawl in enumerate((e.where(~last), e.where(last & ~late), e.where(last & late))):
+        crawl.coalesce(1).write.parquet(f"{landing}/crawl={k}")
+        source = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/crawl=*")
+        sm.snapshot_gate_stream(spark, fx.posts_from_events(source), raw, done, order=("created_at", "event_id"), on_complete=job, newest_only=True)
+    return round_doubles(spark.read.parquet(f"{out}/alerts").select("current_keyword", "past_issue_name", "alert_value"))
+
+
+@query("raw_snapshot_pipeline")
+def q_raw_snapshot_pipeline(spark, root):
+    """The whole job from raw posts on disk: read, format with quarantine, score, extract
+    keywords, append, aggregate, compare, alert; returns the raw_data rows it appended."""
+    from . import pipeline
+
+    key = "2030-01-01T00-00-00"
+    posts = fx.site_posts(spark, root).withColumn("url", F.concat(F.lit("d/"), F.col("doc_id").cast("string")))
+    raw = scratch_path(spark, "raw-files")
+    fl.write_posts_jsonl(posts.drop("doc_id").withColumns({"author": F.lit("a"), "snapshot_key": F.lit(key)}), raw)
+    score = lambda docs, key, text: docs.select(key, F.lit(0.25).alias("p_clean"))
+    paths = pipeline.run_raw_snapshot(spark, raw, key, fx.past_issue(spark, root), scratch_path(spark, "warehouse"), score, "m", graph_issue="error")
+    rows = spark.read.parquet(paths["raw_data"])
+    return rows.select("url", "data_source", "title", "content", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"), "viewed", "liked", "num_of_comments", "model")
+
+
 def _compacted(spark, root):
     """Messages in many small files, each 17th cut short, drained in several triggers."""
     from pyspark.sql import types as T

@@ -202,6 +202,8 @@ def site_posts(spark: SparkSession, root: str) -> DataFrame:
     title = F.concat(F.lit("제목 "), k.cast("string"))
     created = F.coalesce(*[F.when(src == s, F.date_format("created_at", layout)) for s, layout in SITE_LAYOUTS.items()])
     liked = F.col("liked").cast("string")
+    thousands = F.concat(F.lit("1,"), F.lpad(liked, 3, "0"), F.lit("명"))
+    clien = F.when(k % 5 == 2, thousands).when(F.col("liked") == 0, F.lit("")).otherwise(F.concat(liked, F.lit("명")))
     return rt.select(
         "doc_id",
         F.when(k % 23 == 0, F.lit("reddit")).otherwise(src).alias("data_source"),
@@ -209,7 +211,7 @@ def site_posts(spark: SparkSession, root: str) -> DataFrame:
         "content",
         F.when(k % 29 == 0, F.lit("garbage")).otherwise(created).alias("created_at"),
         F.when(k % 31 == 0, F.lit("many")).when(src == "naver", F.concat(F.lit("조회 "), n)).otherwise(n).alias("viewed"),
-        F.when(src == "naver", F.concat(liked, F.lit(".5천"))).when(src == "clien", F.when(F.col("liked") == 0, F.lit("")).otherwise(F.concat(liked, F.lit("명")))).otherwise(liked).alias("liked"),
+        F.when(src == "naver", F.concat(liked, F.lit(".5천"))).when(src == "clien", clien).otherwise(liked).alias("liked"),
         F.when(src.isin("dc", "naver"), (k % 11).cast("string")).alias("num_of_comments"),
         F.col("comments_json").alias("comments"),
     )

@@ -556,7 +556,7 @@ SQL["keywords_json_roundtrip"] = with_(KW_POSTS) + """
 SELECT event_id, CAST(to_json(keywords) AS VARCHAR) AS keywords_json, keywords FROM kw_posts"""
 
 SQL["tolerant_json"] = """
-SELECT conv_id, turn, role, text FROM conversations WHERE NOT (turn % 9 = 4) AND NOT (turn % 11 = 7)"""
+SELECT conv_id, turn, role, text FROM conversations WHERE NOT (turn % 9 = 4) AND NOT (turn % 11 = 7) AND NOT (turn % 13 = 6)"""
 
 SQL["snapshot_read"] = with_(KW_POSTS) + """
 SELECT strftime(file_create_time, '%Y-%m-%dT%H-%M-%S') AS snapshot_key, data_source, url,
@@ -667,15 +667,33 @@ def _hashed(src: str, key: str, text: str) -> str:
   GROUP BY {key})"""
 
 
+# The words' vectors are held once a word, not once a (document, word), and the state of the
+# selection is two numbers a candidate; the cosine of two vectors is taken where it is needed.
 _DOC_KW = f"""
-w AS (SELECT DISTINCT doc_id AS doc, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{2,}}')) AS item FROM documents),
+w AS MATERIALIZED (SELECT DISTINCT doc_id AS doc, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{2,}}')) AS item FROM documents),
 vocab AS (SELECT DISTINCT item FROM w),
-wv AS MATERIALIZED {_hashed('vocab', 'item', 'item')},
+wv AS MATERIALIZED (SELECT item, CAST(vec AS DOUBLE[64]) AS v, sqrt(list_dot_product(vec, vec)) AS n FROM {_hashed('vocab', 'item', 'item')}),
 ld AS (SELECT doc_id AS doc, lower(text) AS t FROM documents),
-dv AS MATERIALIZED {_hashed('ld', 'doc', 't')},
-c AS MATERIALIZED (SELECT w.doc, w.item, wv.vec AS v, {_cos('wv.vec', 'dv.vec')} AS sd FROM w JOIN wv USING (item) JOIN dv USING (doc))"""
+dv AS MATERIALIZED (SELECT doc, CAST(vec AS DOUBLE[64]) AS v, sqrt(list_dot_product(vec, vec)) AS n FROM {_hashed('ld', 'doc', 't')}),
+s1 AS MATERIALIZED (SELECT w.doc, w.item, array_inner_product(wv.v, dv.v) / (wv.n * dv.n) AS sd, CAST(NULL AS DOUBLE) AS m
+  FROM w JOIN wv USING (item) JOIN dv USING (doc))"""
 
-SQL["document_keywords"] = "SELECT doc AS doc_id, CAST(rank AS INTEGER) AS rank, item AS keyword FROM (" + mmr_sql(_DOC_KW) + ")"
+
+def _keyword_steps(top_n: int = 5, d: float = 0.2) -> str:
+    parts, picks = [], []
+    for k in range(1, top_n + 1):
+        score = "sd" if k == 1 else f"({1.0 - d!r} * sd - {d!r} * m)"
+        parts.append(f"p{k} AS MATERIALIZED (SELECT doc, item AS pick FROM s{k} QUALIFY row_number() OVER (PARTITION BY doc ORDER BY {score} DESC, item) = 1)")
+        picks.append(f"SELECT doc AS doc_id, CAST({k} AS INTEGER) AS rank, pick AS keyword FROM p{k}")
+        if k < top_n:
+            parts.append(
+                f"s{k + 1} AS MATERIALIZED (SELECT s.doc, s.item, s.sd, greatest(coalesce(s.m, -2.0), array_inner_product(a.v, b.v) / (a.n * b.n)) AS m "
+                f"FROM s{k} s JOIN p{k} p ON p.doc = s.doc AND p.pick <> s.item JOIN wv a ON a.item = s.item JOIN wv b ON b.item = p.pick)"
+            )
+    return ",\n".join(parts) + "\n" + "\nUNION ALL\n".join(picks)
+
+
+SQL["document_keywords"] = "WITH" + _DOC_KW + ",\n" + _keyword_steps()
 
 # --- sentiment (naive-Bayes lexicon) -----------------------------------------------------
 
@@ -739,9 +757,10 @@ SELECT CAST(file_create_time AS DATE) AS snapshot_date, CAST(hour(file_create_ti
 FROM kw_posts GROUP BY ALL"""
 
 SQL["tolerant_json_quarantine"] = """
-SELECT substr(j, 1, length(j) - 3) AS line
+SELECT CASE WHEN turn % 9 = 4 THEN substr(j, 1, length(j) - 3)
+            ELSE hex(encode(substr(j, 1, length(j) - 1) || ',"x":"')) || 'FFFE' || hex(encode('"}')) END AS line
 FROM (SELECT '{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":"' || role || '","n":' || length(text) || '}' AS j, turn FROM conversations)
-WHERE turn % 9 = 4"""
+WHERE turn % 9 = 4 OR (turn % 13 = 6 AND turn % 11 <> 7)"""
 
 SITE_POSTS = RAW_THREADS + """,
 site_posts AS (
@@ -756,7 +775,7 @@ SQL["normalise_posts"] = with_(SITE_POSTS) + f"""
 SELECT doc_id, data_source, CASE src WHEN 'bobae' THEN title || ' ' ELSE title END AS title,
        CASE WHEN src = 'dc' THEN {s_chain('content', 'dc')} ELSE {s_chain('content', 'naver')} END AS content,
        strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, viewed,
-       CASE WHEN src = 'naver' THEN CAST(trunc((liked + 0.5) * 1000) AS BIGINT) ELSE liked END AS liked,
+       CASE WHEN src = 'naver' THEN CAST(trunc((liked + 0.5) * 1000) AS BIGINT) WHEN src = 'clien' AND doc_id % 5 = 2 THEN 1000 + liked ELSE liked END AS liked,
        CASE WHEN src IN ('dc', 'naver') THEN doc_id % 11 ELSE n END AS num_of_comments,
        CASE WHEN k_last IS NOT NULL THEN created_at + to_minutes(k_last * 97) END AS last_comment_at
 FROM site_posts WHERE doc_id % 23 <> 0 AND doc_id % 29 <> 0 AND doc_id % 31 <> 0"""
@@ -770,3 +789,23 @@ SELECT doc_id, data_source, CASE WHEN doc_id % 29 = 0 THEN 'garbage' ELSE create
 FROM site_posts WHERE doc_id % 23 = 0 OR doc_id % 29 = 0 OR doc_id % 31 = 0"""
 
 SQL["issue_pipeline"] = SQL["dense_keyword_issue"]
+
+SQL["stream_sentiment"] = SQL["sentiment_score"]
+
+SQL["stream_keywords"] = SQL["document_keywords"]
+
+SQL["raw_snapshot_pipeline"] = f"""
+SELECT 'd/' || doc_id AS url, data_source, title, content, created_at, viewed, liked, num_of_comments, 'm' AS model
+FROM ({SQL["normalise_posts"]})"""
+
+# the posts up to the newest snapshot of all sources, and of them those that the gate keeps: of
+# one snapshot, source and url the newest
+_GATED = KW_POSTS.replace("kw_posts AS (", "every_post AS (", 1) + """,
+arrived AS (SELECT * FROM every_post WHERE file_create_time <= (
+  SELECT max(file_create_time) FROM (SELECT file_create_time FROM every_post GROUP BY file_create_time HAVING count(DISTINCT data_source) = 4))),
+kw_posts AS (SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY file_create_time, data_source, url ORDER BY created_at DESC, event_id DESC) = 1)"""
+
+SQL["stream_alert"] = _SIM.replace(KW_POSTS, _GATED, 1).replace(PAST_ISSUE, PAST_ISSUE.replace("FROM kw_posts", "FROM arrived")) + """,
+f AS (SELECT current_keyword, ln(sum(current_issueization) + 1) AS tf FROM current_issue GROUP BY current_keyword)
+SELECT current_keyword, past_issue_name, round(s * tf, 6) AS alert_value
+FROM f JOIN sim USING (current_keyword) ORDER BY s * tf DESC, current_keyword, past_issue_name LIMIT 1"""

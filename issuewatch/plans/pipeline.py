@@ -30,10 +30,13 @@ def run_snapshot(
     out_root: str,
     model: str | None = None,
     graph_issue: str | None = None,
+    exact: bool = False,
 ) -> dict[str, str]:
     """Run one snapshot. `batch`: current posts (keywords array, sums columns, url ...);
     `history`: earlier raw_data rows, or None to read the raw_data table itself, which
     then holds the batch too. `graph_issue`: the one past issue that the graph view shows.
+    `exact`: exact warp distances. The view of raw_data grows by the snapshot's rows, as the
+    table does; where `history` comes from elsewhere it is written anew.
     Returns the written table paths."""
     out = out_root.rstrip("/")
     paths = {n: f"{out}/{n}" for n in TABLES}
@@ -47,12 +50,15 @@ def run_snapshot(
     cur = spark.read.parquet(paths["current_issue"])
     issues.total_frequency(cur).write.mode("overwrite").parquet(paths["current_issue_frequency"])
     issues.keyword_frequency(cur).write.mode("overwrite").parquet(paths["keyword_frequency"])
-    normalise.raw_data_view(hist).write.mode("overwrite").parquet(paths["raw_data_view"])
+    if history is None:
+        files.write_table(files.with_snapshot_partitions(normalise.raw_data_view(batch), snapshot), paths["raw_data_view"])
+    else:
+        normalise.raw_data_view(hist).write.mode("overwrite").parquet(paths["raw_data_view"])
     shown = past_issue if graph_issue is None else past_issue.where(F.col("past_issue_name") == graph_issue)
     views.issue_graph(shown, cur, snapshot).write.mode("overwrite").parquet(paths["issue_graph"])
     cp = similarity.series_points(cur, "current_keyword", "created_at", "current_issueization")
     pp = similarity.series_points(past_issue, "past_issue_name", "created_at", "past_issueization")
-    similarity.series_similarity(cp, pp).write.mode("overwrite").parquet(paths["similarity"])
+    similarity.series_similarity(cp, pp, exact=exact).write.mode("overwrite").parquet(paths["similarity"])
     sim = spark.read.parquet(paths["similarity"])
     top = alerts.alert_message(alerts.top_alerts(alerts.alert_table(spark.read.parquet(paths["current_issue_frequency"]), sim), 1), model)
     top.write.mode("overwrite").parquet(paths["alerts"])
@@ -81,9 +87,10 @@ def run_raw_snapshot(
     normalise with quarantine, score, extract keywords, then `run_snapshot` on top of the
     raw_data table. The prepared batch is written once and read by every later step."""
     snapshot = F.try_to_timestamp(F.lit(snapshot_key), F.lit("yyyy-MM-dd'T'HH-mm-ss"))
-    raw = files.read_snapshot(spark, raw_root, snapshot_key).withColumn("model", F.lit(model))
-    batch, quarantine = prepare_posts(raw, snapshot, scorer)
+    raw, broken = files.read_snapshot_lines(spark, raw_root, snapshot_key)
+    batch, quarantine = prepare_posts(raw.withColumn("model", F.lit(model)), snapshot, scorer)
     out = out_root.rstrip("/")
+    broken.write.mode("overwrite").parquet(f"{out}/broken_lines/snapshot_key={snapshot_key}")
     quarantine.write.mode("overwrite").parquet(f"{out}/quarantine/snapshot_key={snapshot_key}")
     batch.write.mode("overwrite").parquet(f"{out}/batch/snapshot_key={snapshot_key}")
     batch = spark.read.parquet(f"{out}/batch/snapshot_key={snapshot_key}")

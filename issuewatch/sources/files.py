@@ -60,11 +60,13 @@ def parse_file_meta(path: Column) -> dict[str, Column]:
     }
 
 
-def read_jsonl_tolerant(spark: SparkSession, paths, schema: T.StructType = RAW_POST) -> tuple[DataFrame, DataFrame]:
+def read_jsonl_tolerant(spark: SparkSession, paths, schema: T.StructType = RAW_POST, base: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S3: read JSON lines; broken lines go to a quarantine DataFrame instead of failing
-    the job. Returns (good rows with file metadata, quarantine rows by their text). Columns
-    of the folder names (`key=value`) override those of the records."""
-    lines = spark.read.text(paths)
+    the job. Returns (good rows with file metadata, quarantine rows by their text and their
+    bytes). A line whose bytes are no UTF-8 is broken too: the reader keeps its bytes, and
+    decoding it would put replacement characters in their place. Columns of the folder
+    names (`key=value`, below `base` if given) override those of the records."""
+    lines = (spark.read.option("basePath", base) if base else spark.read).text(paths)
     folders = [c for c in lines.columns if c != "value"]
     kinds = {f.name: f.dataType for f in schema.fields if f.name != "_corrupt_record"}
     fields = [T.StructField(n, t) for n, t in kinds.items() if n not in folders]
@@ -72,10 +74,10 @@ def read_jsonl_tolerant(spark: SparkSession, paths, schema: T.StructType = RAW_P
     parsed = F.from_json("value", record, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     meta = [F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.file_modification_time").alias("file_mtime")]
     df = lines.where(F.trim("value") != "").select("*", *meta).withColumn("m", parsed)
-    broken = F.col("m").isNull() | F.col("m._corrupt_record").isNotNull()
+    broken = F.col("m").isNull() | F.col("m._corrupt_record").isNotNull() | ~F.is_valid_utf8("value")
     columns = [F.col(n).cast(t).alias(n) if n in folders else F.col(f"m.{n}") for n, t in kinds.items()]
     good = df.where(~broken).select(*columns, "src_file", "file_mtime")
-    bad = df.where(broken).select("src_file", F.col("value").alias("_corrupt_record"))
+    bad = df.where(broken).select("src_file", F.col("value").alias("_corrupt_record"), F.col("value").cast("binary").alias("raw"))
     return good, bad
 
 
@@ -121,24 +123,31 @@ def snapshot_listing(spark: SparkSession, root: str, snapshot: str | None = None
     )
 
 
-def read_snapshot(spark: SparkSession, root: str, snapshot: str | None = None, k: int | None = None) -> DataFrame:
-    """Read one snapshot of a stage folder laid out as
+def read_snapshot_lines(spark: SparkSession, root: str, snapshot: str | None = None, k: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """S1 + S3: (posts, broken lines) of one snapshot of a stage folder laid out as
     `<root>/snapshot_key=<time>/data_source=<src>/part-*.json` (as `write_posts_jsonl`
-    writes it). Takes the newest snapshot when none is given and all its sources, or with
-    `k` only the k most recently written ones (S2). Drops failed rows (P4) and
-    `modified_at` (P3), and dedupes by url within each source file set (A6). Broken lines
-    are left out; `read_jsonl_tolerant` gives them (S3)."""
+    writes it). Takes the newest snapshot when none is given, and all its sources, or with
+    `k` only the k most recently written ones (S2). A named snapshot's folder alone is
+    listed and read. Drops failed rows (P4) and `modified_at` (P3), and dedupes by url
+    within each source file set (A6)."""
     schema = T.StructType(RAW_POST.fields + [T.StructField("snapshot_key", T.StringType()), T.StructField("data_source", T.StringType())])
-    good, _ = read_jsonl_tolerant(spark, root.rstrip("/"), schema)
-    listing = snapshot_listing(spark, root, snapshot)
-    key = listing.select(F.max("snapshot_key")).scalar() if snapshot is None else F.lit(snapshot)
-    rows = drop_failed_posts(good.filter(F.col("snapshot_key") == key)).drop("modified_at", "src_file", "file_mtime")
+    root = root.rstrip("/")
+    if snapshot is None:
+        snapshot = snapshot_listing(spark, root).select(F.max("snapshot_key")).first()[0]  # one name
+    good, bad = read_jsonl_tolerant(spark, f"{root}/snapshot_key={snapshot}", schema, base=root)
+    rows = drop_failed_posts(good).drop("modified_at", "src_file", "file_mtime")
     if k is not None:
-        per_source = listing.filter(F.col("snapshot_key") == key).groupBy("snapshot_key", "data_source").agg(F.max("file_mtime").alias("file_mtime"))
+        listing = snapshot_listing(spark, root, snapshot)
+        per_source = listing.groupBy("snapshot_key", "data_source").agg(F.max("file_mtime").alias("file_mtime"))
         w = Window.partitionBy("snapshot_key").orderBy(F.desc("file_mtime"), F.asc("data_source"))
         chosen = per_source.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).select("snapshot_key", "data_source")
         rows = rows.join(chosen, ["snapshot_key", "data_source"], "left_semi")
-    return dedupe_by_url(rows, ["snapshot_key", "data_source"], ["created_at", "viewed", "title", "content"])
+    return dedupe_by_url(rows, ["snapshot_key", "data_source"], ["created_at", "viewed", "title", "content"]), bad
+
+
+def read_snapshot(spark: SparkSession, root: str, snapshot: str | None = None, k: int | None = None) -> DataFrame:
+    """The posts of `read_snapshot_lines`."""
+    return read_snapshot_lines(spark, root, snapshot, k)[0]
 
 
 def union_sources(parts: list[DataFrame]) -> DataFrame:

@@ -111,13 +111,14 @@ def snapshot_gate_stream(
     order: tuple[str, ...] = ("created_at",),
     checkpoint: str | None = None,
     on_complete: Callable[[dt.datetime], None] | None = None,
+    newest_only: bool = False,
 ) -> str:
     """R3 + S11 + R6: append posts to `raw_table`, each (snapshot, source, url) once over all
     batches, then record newly complete snapshots once in `processed_table` and start
-    `on_complete` once for each (see `run_pending`).
+    `on_complete` once for each, or with `newest_only` for the newest one (see `run_pending`).
 
-    The stored posts are the state: a batch is anti-joined with those of its own snapshots
-    only, read from their folders, so a post counts however old it is (a crawl looks back
+    The stored posts are the state: a batch is anti-joined with those of its own snapshots'
+    days only, read from their folders, so a post counts however old it is (a crawl looks back
     two days) and what must be read does not grow with the history. Of one batch's equal
     keys the post with the largest `order` values stays. A replayed batch leaves its own
     rows out of the comparison and overwrites them. Rows with a null key column are kept
@@ -125,14 +126,13 @@ def snapshot_gate_stream(
     keys = list(SNAPSHOT_KEYS)
     spark.createDataFrame([], PROCESSED).write.mode("append").parquet(f"{processed_table}/batch=-1")
     if on_complete is not None:  # what an earlier run recorded but did not finish
-        run_pending(spark, processed_table, on_complete)
+        run_pending(spark, processed_table, on_complete, newest_only)
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         df = df.withColumn("_tie", F.xxhash64(*df.columns)).persist()
         try:
-            hours = df.select(F.date_trunc("hour", "file_create_time").alias("h")).distinct()
-            touched = [r[0] for r in hours.collect()]  # the snapshot hours that a batch's files hold
-            folders = [f"{raw_table}/{snapshot_folder(t)}" for t in touched]
+            days = df.select(F.to_date("file_create_time").alias("day")).distinct()
+            folders = [f"{raw_table}/{snapshot_folder(r['day'])}" for r in days.collect()]  # the days of a batch's snapshots
             here = files.existing(spark, folders)
             batch = files.dedupe_by_url(df, keys[:2], [*order, "_tie"]).drop("_tie")
             held = None
@@ -141,9 +141,9 @@ def snapshot_gate_stream(
                 held = stored.select(*keys)
                 same = [F.col(f"b.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
                 batch = batch.alias("b").join(held.alias("h"), same, "left_anti")
-            fresh = batch.withColumns(snapshot_partition("file_create_time")).withColumn("batch", F.lit(batch_id))
+            fresh = batch.withColumns({"snapshot_date": F.to_date("file_create_time"), "batch": F.lit(batch_id)})
             write = fresh.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-            write.partitionBy("snapshot_date", "snapshot_hour", "batch").parquet(raw_table)
+            write.partitionBy("snapshot_date", "batch").parquet(raw_table)
             here = files.existing(spark, folders)
             if not here:
                 return
@@ -155,7 +155,7 @@ def snapshot_gate_stream(
         finally:
             df.unpersist()
         if on_complete is not None:
-            run_pending(spark, processed_table, on_complete)
+            run_pending(spark, processed_table, on_complete, newest_only)
 
     _run(posts.writeStream.option("checkpointLocation", _checkpoint(processed_table, checkpoint)).foreachBatch(on_batch))
     return processed_table
@@ -164,36 +164,33 @@ def snapshot_gate_stream(
 PROCESSED = "file_create_time timestamp, n_sources bigint, batch_id bigint"
 
 
-def snapshot_partition(time_col: str) -> dict[str, Column]:
-    """The folder columns of a post's snapshot."""
-    return {"snapshot_date": F.to_date(time_col), "snapshot_hour": F.hour(time_col)}
-
-
-def snapshot_folder(hour: dt.datetime | None) -> str:
-    if hour is None:
-        return "snapshot_date=__HIVE_DEFAULT_PARTITION__/snapshot_hour=__HIVE_DEFAULT_PARTITION__"
-    return f"snapshot_date={hour:%Y-%m-%d}/snapshot_hour={hour.hour}"
+def snapshot_folder(day: dt.date | None) -> str:
+    return f"snapshot_date={day or '__HIVE_DEFAULT_PARTITION__'}"
 
 
 def raw_schema(posts: DataFrame) -> T.StructType:
     """The schema of the gate's table of these posts, so that reading it opens no file for that."""
     fields = [f for f in posts.schema.fields if f.name not in ("_tie",)]
-    return T.StructType([*fields, *T._parse_datatype_string("snapshot_date date, snapshot_hour int, batch int").fields])
+    return T.StructType([*fields, *T._parse_datatype_string("snapshot_date date, batch int").fields])
 
 
-def run_pending(spark: SparkSession, processed_table: str, job: Callable[[dt.datetime], None]) -> list[dt.datetime]:
+def run_pending(spark: SparkSession, processed_table: str, job: Callable[[dt.datetime], None], newest_only: bool = False) -> list[dt.datetime]:
     """Start `job` with each recorded snapshot that has no commit marker, oldest first, and
     set the marker once it returns. A job that is stopped half way is started again by the
-    next call, so it must overwrite what it wrote; a finished one is never started again."""
+    next call, so it must overwrite what it wrote; a finished one is never started again.
+    With `newest_only` the job is started for the newest of them alone, which stands for the
+    others too. Returns the snapshots that the job was started with."""
     recorded = spark.read.schema(f"{PROCESSED}, batch int").parquet(processed_table).select("file_create_time").where("file_create_time is not null").distinct()
     marks = f"{processed_table.rstrip('/')}-done"
     if files.existing(spark, [marks]):
         recorded = recorded.join(spark.read.schema("file_create_time timestamp").parquet(marks), "file_create_time", "left_anti")
     pending = sorted(r[0] for r in recorded.collect())  # the snapshots since the last call
-    for t in pending:
-        job(t)
-        spark.createDataFrame([(t,)], "file_create_time timestamp").coalesce(1).write.mode("overwrite").parquet(f"{marks}/snapshot={t:%Y-%m-%dT%H-%M-%S}")
-    return pending
+    groups = [pending] if newest_only and pending else [[t] for t in pending]
+    for group in groups:
+        job(group[-1])
+        rows = spark.createDataFrame([(t,) for t in group], "file_create_time timestamp")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{marks}/snapshot={group[-1]:%Y-%m-%dT%H-%M-%S}")
+    return [group[-1] for group in groups]
 
 
 def committed_stage_stream(
