@@ -22,6 +22,8 @@ COMMENT = T.StructType(
         T.StructField("created_at", T.StringType()),
         T.StructField("num_of_comments", T.StringType()),
         T.StructField("children", T.ArrayType(REPLY)),
+        T.StructField("liked", T.StringType()),  # clien
+        T.StructField("modified_at", T.StringType()),  # clien
     ]
 )
 COMMENTS = T.ArrayType(COMMENT)
@@ -42,6 +44,8 @@ def normalise_comments(raw_json: Column) -> Column:
             w["comment"]["created_at"].alias("created_at"),
             F.size(F.coalesce(w["children"], F.array())).cast("string").alias("num_of_comments"),
             F.coalesce(w["children"], F.array().cast(T.ArrayType(REPLY))).alias("children"),
+            F.lit(None).cast("string").alias("liked"),
+            F.lit(None).cast("string").alias("modified_at"),
         ),
     )
     parsed = F.when(wrapped, from_wrapped).otherwise(F.from_json(raw_json, COMMENTS))

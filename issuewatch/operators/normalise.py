@@ -45,8 +45,8 @@ def normalise_posts(raw: DataFrame, snapshot: Column, source_col: str = "data_so
     `raw` has the text columns of `files.RAW_POST` and `source_col`; other columns pass
     through. Per source: content cleaned (2.8.1 chains), titles of bobae and clien
     cleaned, created_at parsed (DT1-DT4), counts as integers (dc: as they are; naver: unit
-    numbers under a view label; bobae and clien: viewed and liked as they are, an empty
-    clien `liked` is 0, comments counted), comments in one shape with their times
+    numbers under a view label; bobae and clien: viewed and liked without commas, an empty
+    text of clien is 0, comments counted), comments in one shape with their times
     rewritten. A row goes to the quarantine with its raw values and a `reason`: unknown
     source, failed date, or failed number. One scan, no shuffle."""
     src = F.col(source_col)
@@ -54,7 +54,8 @@ def normalise_posts(raw: DataFrame, snapshot: Column, source_col: str = "data_so
     count = {
         c: F.when(src == "naver", korean_number(text.strip_view_prefix(c)))
         .when((src == "clien") & (F.lit(c) == "liked"), text.clien_liked(c))
-        .otherwise(F.trim(c).try_cast("bigint"))
+        .when((src == "clien") & (F.trim(c) == ""), F.lit(0).cast("bigint"))
+        .otherwise(F.replace(F.trim(c), F.lit(","), F.lit("")).try_cast("bigint"))
         for c in ("viewed", "liked", "num_of_comments")
     }
     own = src.isin(*DC_SOURCES) | (src == "naver")

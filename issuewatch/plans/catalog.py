@@ -503,6 +503,7 @@ def q_raw_data_two_snapshots(spark, root):
 # --- page extraction ------------------------------------------------------------------
 
 from ..operators import pages as pg  # noqa: E402
+from ..operators import selectors  # noqa: E402
 
 
 @query("page_posts")
@@ -511,6 +512,21 @@ def q_page_posts(spark, root):
     return p.select("page_id", "data_source", "title", "content", "author", "ok")
 
 
+@query("site_page_posts")
+def q_site_page_posts(spark, root):
+    """H1 by the four sites' selectors: the fields of the post."""
+    p = selectors.select_posts(fx.site_pages(spark, root))
+    return p.select("doc_id", "data_source", *[f"post.{f}" for f in selectors.POST_FIELDS], F.size("post.comments").alias("n_rows"))
+
+
+@query("site_page_comments")
+def q_site_page_comments(spark, root):
+    """H1 + H3 + P8 + W1 inside a page: the comments in order, each with its answers."""
+    p = selectors.select_posts(fx.site_pages(spark, root)).select("doc_id", F.posexplode("post.comments").alias("pos", "c"))
+    answers = F.array_join(F.transform("c.children", lambda r: F.concat_ws("/", r["author"], r["created_at"], r["content"])), "|")
+    return p.select("doc_id", "pos", *[f"c.{f}" for f in ("author", "content", "created_at", "modified_at", "liked", "num_of_comments")], answers.alias("answers"))
+
+
 @query("page_links")
 def q_page_links(spark, root):
     return pg.extract_links(fx.raw_pages(spark, root))

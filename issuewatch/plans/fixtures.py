@@ -193,6 +193,107 @@ def raw_threads(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def site_pages(spark: SparkSession, root: str) -> DataFrame:
+    """documents -> one page each in the markup of its site: the first line is the post, line k
+    behind it a comment by `a<k>`; every third comment answers the one before it (clien has
+    no answers, and blocks every fifth comment); dc shows comments under 20 characters as
+    deleted ones."""
+    d = read_table(spark, root, "documents").where("text is not null")
+    src, k = source_by("doc_id"), F.col("doc_id")
+    base = F.timestamp_add("HOUR", k, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    lines = F.split("text", "\n", -1)
+
+    def esc(x):
+        for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            x = F.replace(x, F.lit(a), F.lit(b))
+        return x
+
+    def tag(name, inner, cls=None):
+        head = f'<{name} class="{cls}">' if cls else f"<{name}>"
+        return F.concat(F.lit(head), *(inner if isinstance(inner, tuple) else (inner,)), F.lit(f"</{name}>"))
+
+    def parts(i, site):
+        t = F.date_format(F.timestamp_add("MINUTE", i * COMMENT_STEP_MINUTES, base), SITE_LAYOUTS[site])
+        return F.concat(F.lit("a"), i.cast("string")), esc(F.get(lines, i)), t
+
+    n = F.size(lines) - 1
+    numbers = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    first = F.filter(numbers, lambda i: i % 3 != 0)
+
+    def answered(i):
+        return (i % 3 == 2) & (i < n)
+
+    def dc_body(i):
+        a, text, t = parts(i, "dc")
+        return tag("span", tag("em", a), "nickname"), tag("p", text), t
+
+    def dc(i, count):
+        a, text, t = dc_body(i)
+        whole = F.concat(F.lit('<div data-rcnt="'), count, F.lit('">'), tag("div", a, "cmt_nickbox"), tag("div", text, "cmt_txtbox"), tag("div", tag("span", t, "date_time"), "fr"), F.lit("</div>"))
+        gone = F.concat(F.lit('<div data-rcnt="'), count, F.lit('"><p>deleted</p></div>'))
+        return tag("li", F.when(F.length(F.get(lines, i)) < DELETED_BELOW_CHARS, gone).otherwise(whole), "ub-content")
+
+    def dc_row(i):
+        return F.concat(dc(i, answered(i).cast("int").cast("string")), F.when(answered(i), tag("li", tag("ul", dc(i + 1, F.lit("0"))))).otherwise(""))
+
+    def naver_row(i):
+        a, text, t = parts(i, "naver")
+        cls = F.when(i % 3 == 0, "CommentItem CommentItem--reply").otherwise("CommentItem")
+        box = tag("div", (tag("a", a, "comment_nickname"), tag("span", text, "comment_text_view"), tag("span", t, "comment_info_date")), "comment_box")
+        return F.concat(F.lit('<li class="'), cls, F.lit('">'), box, F.lit("</li>"))
+
+    def bobae_dl(i, more):
+        a, text, t = parts(i, "bobae")
+        return tag("dl", (tag("dt", (tag("span", a, "cmt_nickname"), tag("span", t, "date"))), tag("dd", (tag("p", text), F.lit("<br>"), more))))
+
+    def bobae_row(i):
+        return bobae_dl(i, F.when(answered(i), tag("div", bobae_dl(i + 1, F.lit("")), "replyList")).otherwise(""))
+
+    def clien_row(i):
+        a, text, t = parts(i, "clien")
+        cls = F.when(i % 5 == 0, "comment_row blocked").otherwise("comment_row")
+        liked = F.concat(F.lit("1,"), F.lpad((i % 100).cast("string"), 3, "0"))
+        stamp = F.concat(t, F.when(i % 2 == 0, F.concat(F.lit(" / 수정일: "), t)).otherwise(""))
+        return F.concat(F.lit('<div class="'), cls, F.lit('">'), tag("span", a, "nickname"), tag("span", liked, "comment_symph"), tag("div", text, "comment_content"), tag("span", stamp, "timestamp"), F.lit("</div>"))
+
+    def rows(of, make):
+        return F.array_join(F.transform(of, make), "")
+
+    title, body, author = F.concat(F.lit("제목 &amp; "), k.cast("string")), esc(F.get(lines, F.lit(0))), F.concat(F.lit("u"), k.cast("string"))
+    time = F.coalesce(*[F.when(src == s, F.date_format(base, x)) for s, x in SITE_LAYOUTS.items()])
+    viewed, liked = (F.col("n_chars") % 1000).cast("string"), (k % 17).cast("string")
+    lab = lambda name, v: F.concat(F.lit(f"{name} "), v)
+    counts = (tag("span", lab("조회", viewed)), tag("span", lab("추천", liked)), tag("span", tag("a", lab("댓글", n.cast("string")))))
+    head = (tag("h3", (tag("span", F.lit("[잡담]")), tag("span", title))), tag("div", (tag("div", (tag("span", tag("em", author)), tag("span", F.lit("(1.2)")), tag("span", time))), tag("div", counts))))
+    dc_page = F.concat(tag("article", F.lit("notice")), tag("article", (tag("header", tag("div", head)), tag("div", body, "write_div"), tag("ul", rows(first, dc_row), "cmt_list"))))
+    naver_page = tag(
+        "div",
+        (
+            tag("div", tag("div", tag("h3", title)), "article_header"),
+            tag("div", (tag("div", tag("b", author, "nickname"), "profile_info"), tag("div", (tag("span", time, "date"), tag("span", lab("조회", viewed), "count")), "article_info"), tag("div", body, "article_viewer")), "article_container"),
+            tag("div", (tag("strong", n.cast("string"), "num"), tag("div", tag("em", liked, "u_cnt _count"), "like_article")), "ArticleTool"),
+            tag("ul", rows(numbers, naver_row), "comment_list"),
+        ),
+        "ArticleContentBox",
+    )
+    util = tag("div", (tag("time", time), tag("span", lab("추천", liked), "data3"), tag("span", lab("조회", viewed), "data4")), "util")
+    bobae_page = F.concat(
+        tag("header", (tag("div", title, "title"), util, tag("div", tag("div", tag("span", author), "info"), "util2")), "article-tit"),
+        tag("div", body, "article-body"),
+        tag("div", tag("div", rows(first, bobae_row), "cmtList"), "commentListArea"),
+    )
+    clien_page = F.concat(
+        tag("h3", title, "post_subject"),
+        tag("div", (tag("span", author, "nickname"), tag("span", viewed, "view_count"), tag("a", F.concat(liked, F.lit("명")), "symph_count")), "post_info"),
+        tag("div", tag("span", F.concat(time, F.lit(" 수정일 : "), time)), "post_author"),
+        tag("div", body, "post_content"),
+        rows(numbers, clien_row),
+    )
+    page = F.coalesce(*[F.when(src == s, p) for s, p in (("dc", dc_page), ("naver", naver_page), ("bobae", bobae_page), ("clien", clien_page))])
+    skin = F.concat(F.lit("<!DOCTYPE html><html><head><script>var x = '<div class=write_div>';</script></head><body><nav><a href=/x>menu</a></nav>"), page, F.lit("</body></html>"))
+    return d.select("doc_id", src.alias("data_source"), skin.alias("html"))
+
+
 def site_posts(spark: SparkSession, root: str) -> DataFrame:
     """documents -> posts as the crawlers deliver them (all text), with some that the
     formatter must refuse: every 23rd document comes from a source it does not know, every

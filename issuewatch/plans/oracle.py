@@ -608,6 +608,41 @@ FROM (
   FROM conversations)
 WHERE contains(class, 'ub-content us-post') AND NOT contains(class, 'blocked')"""
 
+_SPACES = "trim(regexp_replace({}, '[\\x20\\x09-\\x0d]+', ' ', 'g'))"
+
+
+def _site_time(t: str) -> str:
+    layouts = {"dc": "%Y.%m.%d %H:%M:%S", "naver": "%Y.%m.%d. %H:%M", "bobae": "%y.%m.%d %H:%M", "clien": "%Y-%m-%d %H:%M:%S"}
+    return "CASE src " + " ".join(f"WHEN '{s}' THEN strftime({t}, '{x}')" for s, x in layouts.items()) + " END"
+
+
+_SITE_PAGES = """
+pg AS (SELECT doc_id, ['dc','naver','bobae','clien'][CAST(doc_id % 4 AS INTEGER) + 1] AS src, string_split(text, chr(10)) AS ls,
+         TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id AS INTEGER)) AS base, n_chars FROM documents WHERE text IS NOT NULL)"""
+
+_PAGE_LINES = _SITE_PAGES + f""",
+cm AS (SELECT doc_id, src, k, 'a' || k AS author, {_SPACES.format('ls[k + 1]')} AS content, {_site_time('base + to_minutes(k * 97)')} AS wrote,
+         src = 'dc' AND length(ls[k + 1]) < 20 AS gone, len(ls) - 1 AS n
+       FROM (SELECT *, unnest(range(1, len(ls))) AS k FROM pg)),
+shown AS (SELECT doc_id, src, k, n, CASE WHEN gone THEN ' ' ELSE author END AS author, CASE WHEN gone THEN '해당 댓글은 삭제되었습니다.' ELSE content END AS content,
+            CASE WHEN gone THEN ' ' ELSE wrote END AS wrote FROM cm),
+top AS (SELECT * FROM shown WHERE CASE WHEN src = 'clien' THEN k % 5 <> 0 ELSE k % 3 <> 0 END)"""
+
+SQL["site_page_comments"] = with_(_PAGE_LINES) + """
+SELECT t.doc_id, CAST(row_number() OVER (PARTITION BY t.doc_id ORDER BY t.k) - 1 AS INTEGER) AS pos, t.author, t.content, t.wrote AS created_at,
+       CASE WHEN t.src = 'clien' THEN t.wrote END AS modified_at, CASE WHEN t.src = 'clien' THEN '1' || lpad(CAST(t.k % 100 AS VARCHAR), 3, '0') END AS liked,
+       CASE WHEN r.k IS NULL THEN '0' ELSE '1' END AS num_of_comments, coalesce(r.author || '/' || r.wrote || '/' || r.content, '') AS answers
+FROM top t LEFT JOIN shown r ON t.src <> 'clien' AND t.k % 3 = 2 AND r.doc_id = t.doc_id AND r.k = t.k + 1"""
+
+SQL["site_page_posts"] = with_(_PAGE_LINES) + f""",
+per AS (SELECT doc_id, count(*) AS c FROM top GROUP BY doc_id)
+SELECT doc_id, src AS data_source, '제목 & ' || doc_id AS title, {_SPACES.format('ls[1]')} AS content, 'u' || doc_id AS author, {_site_time('base')} AS created_at,
+       CASE WHEN src = 'clien' THEN {_site_time('base')} END AS modified_at,
+       CASE WHEN src = 'naver' THEN '조회 ' ELSE '' END || (n_chars % 1000) AS viewed,
+       (doc_id % 17) || CASE WHEN src = 'clien' THEN '명' ELSE '' END AS liked,
+       CASE WHEN src IN ('dc', 'naver') THEN CAST(len(ls) - 1 AS VARCHAR) END AS num_of_comments, CAST(coalesce(c, 0) AS INTEGER) AS n_rows
+FROM pg LEFT JOIN per USING (doc_id)"""
+
 # --- keywords (MMR unrolled in SQL) -------------------------------------------------------
 
 
