@@ -142,6 +142,33 @@ def assemble_threads(items: DataFrame, key: str = "post", pos: str = "pos", is_r
     return t.withColumnRenamed("flag_pos", "thread_pos").withColumn("is_parent", F.col("thread_pos") == F.col(pos))
 
 
+#: Replies that one row of `nested_threads` holds at most.
+THREAD_CHUNK = 1000
+
+
+def nested_threads(items: DataFrame, key: str = "post", pos: str = "pos", is_reply: str = "is_reply", chunk: int = THREAD_CHUNK) -> DataFrame:
+    """(key, thread_pos, chunk_no, n_chunks, parent, children): the threads with their replies
+    nested, in list order. `parent` and `children` hold all columns but the key and the flag.
+
+    A thread is a parent and the replies behind it, so a reply's place in it is its distance
+    from the parent, and no ranking is needed. Up to `chunk` places are one row; a longer
+    thread has several, numbered from 0, each with its parent, so that no task gathers a
+    whole hot thread. A thread without replies has one row with no children. Positions may
+    have gaps; chunks that they leave empty have no row."""
+    t = assemble_threads(items, key, pos, is_reply)
+    rest = [c for c in items.columns if c not in (key, is_reply)]
+    threads = t.select(key, "thread_pos", F.floor((F.col(pos) - F.col("thread_pos") - 1) / chunk).alias("chunk_no"), F.col("is_parent").alias("_top"), F.struct(*rest).alias("_item"))
+    replies = threads.where(~F.col("_top")).groupBy(key, "thread_pos", "chunk_no").agg(F.collect_list(F.struct(F.col("_item")[pos].alias("_at"), "_item")).alias("_all"))  # at most `chunk`
+    replies = replies.select(key, "thread_pos", "chunk_no", F.transform(F.array_sort("_all"), lambda x: x["_item"]).alias("children"))
+    sizes = replies.groupBy(key, "thread_pos").agg(F.count("*").alias("n_chunks"))
+    parents = threads.where("_top").select(key, "thread_pos", F.col("_item").alias("parent")).join(sizes, [key, "thread_pos"], "left")
+    both = parents.join(replies, [key, "thread_pos"], "left")
+    none = F.array().cast(replies.schema["children"].dataType)
+    return both.select(
+        key, "thread_pos", F.coalesce("chunk_no", F.lit(0)).cast("long").alias("chunk_no"), F.coalesce("n_chunks", F.lit(1)).cast("long").alias("n_chunks"), "parent", F.coalesce("children", none).alias("children")
+    )
+
+
 def thread_reply_counts(threads: DataFrame, key: str = "post", pos: str = "pos") -> DataFrame:
     """A10: replies per parent (partial aggregation, so a hot thread is pre-summed)."""
     parents = threads.filter("is_parent").select(key, F.col(pos).alias("thread_pos"), *[c for c in threads.columns if c not in (key, pos, "thread_pos", "is_parent", "is_reply")])

@@ -232,6 +232,14 @@ def q_comment_threads(spark, root):
     return r.select(F.col("post").alias("conv_id"), "thread_pos", "role", F.col("reply_count").cast("bigint").alias("reply_count"))
 
 
+@query("nested_threads")
+def q_nested_threads(spark, root):
+    """Each thread's replies nested in order, here at most two to a row."""
+    t = cm.nested_threads(fx.thread_items(spark, root), chunk=2)
+    children = F.transform("children", lambda c: F.concat_ws(":", c["pos"], c["role"], F.length(c["text"])))
+    return t.select(F.col("post").alias("conv_id"), "thread_pos", "chunk_no", "n_chunks", "parent.role", children.alias("children"))
+
+
 @query("threads_by_count")
 def q_threads_by_count(spark, root):
     it = fx.thread_items(spark, root).withColumn("num_of_comments", F.when(F.col("role") == "user", F.length("text") % 3).otherwise(0))

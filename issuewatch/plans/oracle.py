@@ -398,6 +398,14 @@ SELECT p.conv_id, p.turn AS thread_pos, p.role,
        (SELECT count(*) FROM it r WHERE r.conv_id = p.conv_id AND r.thread_pos = p.turn AND r.turn <> p.turn) AS reply_count
 FROM it p WHERE p.thread_pos = p.turn"""
 
+SQL["nested_threads"] = """
+WITH t AS (SELECT *, coalesce(max(CASE WHEN role <> 'assistant' THEN turn END) OVER w, min(turn) OVER (PARTITION BY conv_id)) AS thread_pos
+           FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+r AS (SELECT conv_id, thread_pos, (turn - thread_pos - 1) // 2 AS chunk_no, list(turn || ':' || role || ':' || length(text) ORDER BY turn) AS children
+      FROM t WHERE turn <> thread_pos GROUP BY ALL)
+SELECT p.conv_id, p.turn AS thread_pos, coalesce(chunk_no, 0) AS chunk_no, greatest(count(chunk_no) OVER (PARTITION BY p.conv_id, p.turn), 1) AS n_chunks, p.role, coalesce(children, []) AS children
+FROM t p LEFT JOIN r ON r.conv_id = p.conv_id AND r.thread_pos = p.turn WHERE p.turn = p.thread_pos"""
+
 SQL["threads_by_count"] = """
 WITH it AS (
   SELECT conv_id, turn, role, text,

@@ -191,3 +191,22 @@ def test_mmr_salts_follow_the_candidates(spark):
     plain = keywords.mmr(e, dv, "doc", "vec_id", "embedding").collect()
     salted = keywords.mmr(e, dv, "doc", "vec_id", "embedding", bucket_rows=3).collect()
     assert sorted(map(tuple, plain)) == sorted(map(tuple, salted))
+
+
+def test_hot_thread_is_nested_in_chunks(spark):
+    """A thread of 100,000 replies, small ones, gaps, a post that begins with a reply."""
+    from issuewatch.operators import comments as cm
+
+    hot = spark.range(100_001).selectExpr("'hot' AS post", "id AS pos", "id > 0 AS is_reply", "concat('t', id) AS text")
+    rows = [("a", 0, False, "p"), ("a", 5, True, "r"), ("a", 7, True, "s"), ("a", 9, False, "q"), ("b", 3, True, "x"), ("b", 4, True, "y"), ("c", 0, False, None)]
+    items = hot.unionByName(spark.createDataFrame(rows, "post string, pos long, is_reply boolean, text string")).repartition(8)
+    got = {(r.post, r.thread_pos, r.chunk_no): r for r in cm.nested_threads(items, chunk=1000).collect()}
+    assert len(got) == 104
+    chunks = [got["hot", 0, k] for k in range(100)]
+    assert all(len(c.children) == 1000 and c.n_chunks == 100 and c.parent.text == "t0" for c in chunks)
+    assert [x.pos for c in chunks for x in c.children] == list(range(1, 100_001))
+    assert [(x.pos, x.text) for x in got["a", 0, 0].children] == [(5, "r"), (7, "s")] and got["a", 9, 0].children == []
+    assert [x.text for x in got["b", 3, 0].children] == ["y"] and got["b", 3, 0].parent.text == "x"
+    assert got["c", 0, 0].parent.text is None
+    few = cm.nested_threads(items.where("post = 'a'"), chunk=2).collect()
+    assert sorted((r.thread_pos, r.chunk_no, [x.pos for x in r.children]) for r in few) == [(0, 2, [5]), (0, 3, [7]), (9, 0, [])]
