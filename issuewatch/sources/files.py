@@ -214,11 +214,24 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
+def versions(spark: SparkSession, root: str, prefix: str = "version=") -> list[int]:
     """The numbers N of the folders `<root>/version=N`."""
     path, fs = _path(spark, root)
     names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
-    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern with `*` matches, in order."""
+    path, fs = _path(spark, pattern)
+    return sorted(f.getPath().toString() for f in fs.globStatus(path) or [])
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that nothing names any more."""
+    for p in paths:
+        path, fs = _path(spark, p)
+        fs.delete(path, True)
 
 
 # Fixed value: the columns of the flat post/comment file, in their order.

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,9 +70,11 @@ def hourly_issue_stream(
     to_posts: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str | None = None,
+    compact_every: int = 8,
 ) -> str:
     """R1 + R5: partial keyword sums per hour from a streaming events DataFrame. No state is
-    kept between batches, so nothing is too late to be counted."""
+    kept between batches, so nothing is too late to be counted. Each `compact_every`
+    batches the partial sums before the newest are merged (`compact_hourly`)."""
     ex = to_posts(events).select(F.explode("keywords").alias("current_keyword"), "created_at", *HOUR_SUMS)
     rows = ex.withColumn("hour", F.date_trunc("hour", "created_at"))
 
@@ -79,14 +82,66 @@ def hourly_issue_stream(
         sums = [F.sum(c).alias(c) for c in HOUR_SUMS]
         part = df.groupBy("hour", "current_keyword").agg(*sums, F.max("created_at").alias("newest"))
         batch_folder_sink(out)(part, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            compact_hourly(spark, out)
 
     _run(rows.writeStream.option("checkpointLocation", _checkpoint(out, checkpoint)).foreachBatch(on_batch))
     return out
 
 
+MANIFEST = "path string, through bigint"
+
+
+def _live_parts(spark: SparkSession, out: str) -> tuple[list[str], int, list[int]]:
+    """The merged segments that the newest manifest names, the last batch in them, and the
+    batches behind it."""
+    root = f"{out.rstrip('/')}-manifest"
+    rows = latest_model(spark, root, MANIFEST)[0].collect() if files.versions(spark, root) else []  # a few segments
+    through = max((r["through"] for r in rows), default=-1)
+    return [r["path"] for r in rows], through, [n for n in files.versions(spark, out, "batch_id=") if n > through]
+
+
+#: Merged segments beside each other; one more, and all become one.
+SEGMENTS = 8
+
+
+def compact_hourly(spark: SparkSession, out: str, most: int = SEGMENTS) -> None:
+    """Merge the batches since the last call into a segment, and the segments into one when
+    there are too many, then publish the manifest that names the live ones. The newest
+    batch is left out, as it may be replayed. A reader takes one manifest, so it sees each
+    batch once, merged or not; a stop between write and manifest leaves an unnamed folder.
+    What the manifest before last no longer needed is deleted."""
+    segments, through, batches = _live_parts(spark, out)
+    done = batches[:-1]
+    if not done:
+        return
+    base = out.rstrip("/")
+    merge = segments if len(segments) >= most else []
+    kept = [p for p in segments if p not in merge]
+    parts = spark.read.schema(PARTIAL_SUMS).parquet(*merge, *[f"{base}/batch_id={n}" for n in done])
+    sums = [F.sum(c).cast(dict(PARTIAL_TYPES)[c]).alias(c) for c in HOUR_SUMS]
+    path = f"{base}-segments/{done[0] if not merge else 0}-{done[-1]}"
+    parts.groupBy("hour", "current_keyword").agg(*sums, F.max("newest").alias("newest")).write.mode("overwrite").parquet(path)
+    publish_model(spark.createDataFrame([(p, done[-1]) for p in [*kept, path]], MANIFEST).coalesce(1), f"{base}-manifest")
+    # readers that took the manifest before this one may still need what it names
+    old = [f"{base}/batch_id={n}" for n in files.versions(spark, out, "batch_id=") if n <= through]
+    before = files.versions(spark, f"{base}-manifest")[:-1]
+    named = {*kept, path, *segments}
+    if len(before) > 1:
+        older = spark.read.schema(MANIFEST).parquet(f"{base}-manifest/version={before[-2]}").collect()
+        old += [r["path"] for r in older if r["path"] not in named]
+    files.remove(spark, old)
+
+
+PARTIAL_TYPES = (("num_of_comments", "bigint"), ("viewed", "bigint"), ("liked", "bigint"), ("sentiment", "double"))
+PARTIAL_SUMS = "hour timestamp, current_keyword string, " + ", ".join(f"{c} {t}" for c, t in PARTIAL_TYPES) + ", newest timestamp"
+
+
 def read_hourly_issue(spark: SparkSession, out: str, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """The hourly issue table over all batches so far: one row per (hour, keyword)."""
-    parts = spark.read.parquet(out)
+    """The hourly issue table over all batches so far: one row per (hour, keyword). Reads the
+    merged segments and the batches since, so the number of files stays bounded."""
+    segments, _, batches = _live_parts(spark, out)
+    parts = spark.read.schema(PARTIAL_SUMS).parquet(*segments, *[f"{out.rstrip('/')}/batch_id={n}" for n in batches])
     sums = [F.sum(c).cast("double" if c == "sentiment" else "bigint").alias(c) for c in HOUR_SUMS]
     total = parts.groupBy("hour", "current_keyword").agg(*sums)
     newest = parts.select(F.max("newest")).scalar()
@@ -316,8 +371,65 @@ def compact_messages_stream(
     return out
 
 
-def compact_closed(spark: SparkSession, out: str, snapshot: str, target: str) -> None:
-    """The batches of one closed snapshot gathered into `target` (one file per source and
-    about 128 MB), replacing what an earlier call wrote there."""
-    rows = spark.read.text(f"{out.rstrip('/')}/snapshot_key={snapshot}")
-    rows.select("data_source", "value").hint("rebalance", "data_source").write.mode("overwrite").partitionBy("data_source").text(f"{target}/snapshot_key={snapshot}")
+CLOSED = "snapshot_key string, path string, batches array<int>"
+
+
+def _closed(spark: SparkSession, out: str) -> list:
+    root = f"{out.rstrip('/')}-closed-manifest"
+    return latest_model(spark, root, CLOSED)[0].collect() if files.versions(spark, root) else []  # a row a closed snapshot
+
+
+def _batches_of(spark: SparkSession, out: str, snapshot: str) -> dict[int, list[str]]:
+    """The folders of one snapshot's batches."""
+    found: dict[int, list[str]] = {}
+    for path in files.folders(spark, f"{out.rstrip('/')}/snapshot_key={snapshot}/data_source=*/batch=*"):
+        found.setdefault(int(path.rsplit("=", 1)[1]), []).append(path)
+    return found
+
+
+def compact_closed(spark: SparkSession, out: str, snapshot: str) -> str | None:
+    """Gather a complete snapshot's batches into one folder a source (files of about 128 MB)
+    and publish the manifest that names it; the gate calls this once a snapshot (`run_pending`).
+
+    Readers go by the manifest (`read_messages`), so they see the batches or the gathered
+    form, never both. Batches that arrive after that are read beside it, and gathered by a
+    further call. The folders that an earlier call has gathered are deleted by the next
+    one, when no reader uses the manifest before it any more. A repeated call over the
+    same batches changes nothing."""
+    closed = {r["snapshot_key"]: r for r in _closed(spark, out)}
+    mine = closed.get(snapshot)
+    batches = _batches_of(spark, out, snapshot)
+    done = set(mine["batches"]) if mine else set()
+    fresh = sorted(set(batches) - done)
+    if not fresh:
+        return mine["path"] if mine else None
+    base = out.rstrip("/")
+    path = f"{base}-closed/snapshot_key={snapshot}/through={fresh[-1]}"
+    rows = spark.read.option("basePath", base).text([p for n in fresh for p in batches[n]]).select("data_source", "value")
+    if mine:
+        rows = rows.unionByName(spark.read.text(mine["path"]).select("data_source", "value"))
+    rows.hint("rebalance", "data_source").write.mode("overwrite").partitionBy("data_source").text(path)
+    gathered = {r["snapshot_key"]: (r["snapshot_key"], r["path"], r["batches"]) for r in closed.values()} | {snapshot: (snapshot, path, sorted(done | set(fresh)))}
+    publish_model(spark.createDataFrame(list(gathered.values()), CLOSED).coalesce(1), f"{base}-closed-manifest")
+    old = [p for key, r in closed.items() for n, ps in _batches_of(spark, out, key).items() if n in r["batches"] for p in ps]
+    files.remove(spark, old)
+    return path
+
+
+def read_messages(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """The messages of all snapshots: gathered ones by the manifest, the others by their batches."""
+    base = out.rstrip("/")
+    closed = _closed(spark, out)
+    gone = {(r["snapshot_key"], n) for r in closed for n in r["batches"]}
+    every = files.folders(spark, f"{base}/snapshot_key=*/data_source=*/batch=*")
+    parts = [(p.rsplit("/", 3), p) for p in every]
+    open_ = [p for (_, key, _, batch), p in parts if (unquote(key.removeprefix("snapshot_key=")), int(batch.removeprefix("batch="))) not in gone]
+    names = [f.name for f in schema.fields]
+    body = T.StructType([f for f in schema.fields if f.name not in ("snapshot_key", "data_source")])
+    out_df = None
+    if open_:
+        out_df = spark.read.option("basePath", base).schema(schema).json(open_).select(*names)
+    if closed:
+        held = spark.read.option("basePath", f"{base}-closed").schema(T.StructType([*body.fields, *[f for f in schema.fields if f.name not in body.names]])).json([r["path"] for r in closed]).select(*names)
+        out_df = held if out_df is None else out_df.unionByName(held)
+    return spark.createDataFrame([], schema) if out_df is None else out_df

@@ -82,8 +82,58 @@ def test_compaction_over_several_batches_and_replay(spark):
     back = spark.read.schema(schema).json(out)
     assert sorted(r["url"] for r in back.collect()) == sorted(f"u{b}{i}" for b in range(2) for i in range(10))
     assert spark.read.text(f"{out}-quarantine").count() == 6
-    streams.compact_closed(spark, out, "s", f"{out}-closed")
-    assert spark.read.text(f"{out}-closed").count() == 20
+
+
+def test_closed_snapshots_are_gathered_once(spark):
+    """Gathered, replayed, late batches, gathered again: each message is read once at each step."""
+    msgs, out, cp = (scratch_path(spark, n) for n in ("msgs-test", "out-test", "cp-test"))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "snapshot_key", "data_source")])
+    want = []
+
+    def arrive(k):
+        rows = [{"url": f"u{k}{i}", "snapshot_key": key, "data_source": src} for i, (key, src) in enumerate([("s1", "dc"), ("s1", "naver"), ("s2", "dc")])]
+        want.extend((r["url"], r["snapshot_key"], r["data_source"]) for r in rows)
+        spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1).write.mode("append").text(msgs)
+        streams.compact_messages_stream(spark, msgs, schema, out, checkpoint=cp)
+
+    def read():
+        return sorted(tuple(r) for r in streams.read_messages(spark, out, schema).collect())
+
+    assert read() == []
+    for k in range(3):
+        arrive(k)
+    assert read() == sorted(want)
+    first = streams.compact_closed(spark, out, "s1")
+    assert read() == sorted(want) and streams.compact_closed(spark, out, "s1") == first
+    arrive(3)
+    assert read() == sorted(want)
+    assert streams.compact_closed(spark, out, "s1") != first and read() == sorted(want)
+    streams.compact_closed(spark, out, "s2")
+    assert read() == sorted(want) and streams.compact_closed(spark, out, "none") is None
+    assert len(files.folders(spark, f"{out}/snapshot_key=s1/data_source=*/batch=*")) == 0  # gathered before, no longer named
+
+
+def test_hourly_sums_over_many_compactions(spark):
+    """Thirty batches, merged each two: the sums stay, and few folders are live."""
+    land, out = scratch_path(spark, "land-test"), scratch_path(spark, "hourly-test")
+    rows = [(k, NOON + dt.timedelta(minutes=17 * (k * 7 % 300)), ["a", "b"][: 1 + k % 2], k, 1, 2, 0.5) for k in range(300)]
+    schema = "event_id long, created_at timestamp, keywords array<string>, viewed long, liked long, num_of_comments long, sentiment double"
+    for k in range(30):
+        spark.createDataFrame(rows[10 * k : 10 * k + 10], schema).coalesce(1).write.parquet(f"{land}/f={k:02}")
+    for every in (2,):
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{land}/*")
+        streams.hourly_issue_stream(spark, source, lambda df: df, f"{out}{every}", compact_every=every)
+        got = {(r.created_at, r.current_keyword): (r.viewed, r.liked, round(r.sentiment, 6)) for r in streams.read_hourly_issue(spark, f"{out}{every}").collect()}
+        want = {}
+        for _, t, words, v, li, _, se in rows:
+            for w in words:
+                at = (t.replace(minute=0), w)
+                a, b, c = want.get(at, (0, 0, 0.0))
+                want[at] = (a + v, b + li, c + se)
+        assert got == want
+        segments, through, batches = streams._live_parts(spark, f"{out}{every}")
+        assert len(segments) <= streams.SEGMENTS and len(batches) <= every + 1 and through >= 25
+        assert len(files.versions(spark, f"{out}{every}", "batch_id=")) <= 2 * every + 2
 
 
 def test_gate_calls_once_per_complete_snapshot(spark):
