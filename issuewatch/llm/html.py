@@ -4,7 +4,9 @@ Every page's containers are scored by the share of the page's text that they hol
 and other side matter left out; the deepest container with most of it gets the page's
 vote, under its generalised path of tags and classes. Spark adds the votes up per host,
 and each page is extracted again from the containers on its host's winning paths, so
-that a short or odd page follows the layout that its host's pages agree on.
+that a short or odd page follows the layout that its host's pages agree on. What belongs
+to the article but stands beside the winning container, such as a heading or a lead
+above it, is taken from the containers around it (`beside`).
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,8 @@ SIDE_WORDS = frozenset(
 )
 #: Opening one of these closes an open element of the second kind.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: Elements that hold text of their own, other than boxes that hold such elements.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure figcaption address hr details summary center hgroup".split())
 #: A container that holds this share of the page's text, in percent, is the page's choice.
 COVER = 75
 #: An article or main element of at least this share is preferred.
@@ -60,13 +65,21 @@ _NUMBERS = re.compile(r"[0-9a-f]{8,}|\d+")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def path_key(steps: list[str], key: int = 0) -> int:
+    """The hash of a path, from the hash of its beginning."""
+    for step in steps:
+        key = xxhash.xxh64_intdigest(step.encode("utf-8", "surrogatepass"), key)
+    return key
+
+
 @dataclass
 class Page:
     """A page as parallel arrays of its elements, and its text pieces in page order."""
 
     tag: list[str] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)
-    path: list[str] = field(default_factory=list)
+    step: list[str] = field(default_factory=list)  # tag and generalised classes
+    key: list[int] = field(default_factory=list)  # hash of the path, the steps from the root on
     side: list[bool] = field(default_factory=list)  # by its tag or names
     by_name: list[bool] = field(default_factory=list)
     pieces: list[tuple[int, int, str]] = field(default_factory=list)  # (element, block, text)
@@ -76,14 +89,19 @@ class Page:
         words = {w.lower() for k in ("class", "id", "role") for w in _NAME_PARTS.findall(names.get(k, ""))}
         marked = bool(words & SIDE_WORDS) or names.get("aria-hidden") == "true"
         inside = tag == "header" and not any(self.tag[e] in ("article", "main") for e in self.up(parent))
-        first = _NUMBERS.sub("#", " ".join(sorted(names.get("class", "").split())))
+        first = _NUMBERS.sub("#", " ".join(sorted(names.get("class", "").split()))).replace("/", "#")
         self.tag.append(tag)
         self.parent.append(parent)
-        self.path.append((self.path[parent] if parent >= 0 else "") + "/" + tag + ("." + first if first else ""))
+        self.step.append(tag + ("." + first if first else ""))
+        self.key.append(path_key(self.step[-1:], self.key[parent] if parent >= 0 else 0))
         self.side.append(tag in SIDE_TAGS or inside)
         self.by_name.append(marked and tag not in ("html", "body"))
         return len(self.tag) - 1
 
+    def path(self, element: int) -> str:
+        """The path as text; only built for chosen elements, as it grows with the depth."""
+        return "/".join(self.step[e] for e in [*self.up(element)][::-1])
+
     def up(self, element: int) -> Iterator[int]:
         while element >= 0:
             yield element
@@ -174,40 +192,95 @@ def side_matter(page: Page) -> list[bool]:
     return out
 
 
-def vote(page: Page) -> str | None:
-    """The path of the page's main container; None for a page without main text."""
-    side = side_matter(page)
+def weights(page: Page, side: list[bool]) -> tuple[list[int], list[int]]:
+    """For each element the characters of text below it, and those of them in links, without side matter."""
     size, links = [0] * len(page.tag), [0] * len(page.tag)
+    linked: list[bool] = []
+    for e, tag in enumerate(page.tag):
+        linked.append(tag == "a" or (page.parent[e] >= 0 and linked[page.parent[e]]))
     for element, _, text in page.pieces:
         if not side[element]:
             n = len(text.strip())
             size[element] += n
-            links[element] += n * any(page.tag[e] == "a" for e in page.up(element))
+            links[element] += n * linked[element]
     for e in range(len(page.tag) - 1, 0, -1):
         size[page.parent[e]] += size[e]
         links[page.parent[e]] += links[e]
-    score = [s - x for s, x in zip(size, links, strict=True)]
+    return size, links
+
+
+def vote(page: Page) -> str | None:
+    """The path of the page's main container; None for a page without main text."""
+    side = side_matter(page)
+    score = [s - x for s, x in zip(*weights(page, side), strict=True)]
     if score[0] <= 0:
         return None
     boxes = [e for e in range(1, len(page.tag)) if not side[e] and page.tag[e] not in INLINE and page.tag[e] not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li")]
     named = [e for e in boxes if page.tag[e] in ("article", "main") and 100 * score[e] >= ARTICLE_COVER * score[0]]
     if named:
         most = max(score[e] for e in named)
-        return page.path[max(e for e in named if 100 * score[e] >= NARROW * most)]
+        return page.path(max(e for e in named if 100 * score[e] >= NARROW * most))
     wide = [e for e in boxes if 100 * score[e] >= COVER * score[0]]
-    return page.path[wide[-1]] if wide else page.path[0]
+    return page.path(wide[-1] if wide else 0)
+
+
+def beside(page: Page, side: list[bool], chosen: list[int]) -> tuple[set[int], set[int]]:
+    """The elements around, and those beside the chosen containers that belong to the article.
+
+    Going up from a container to the body, an element beside it belongs to the article if it
+    is no side matter, its text is not mostly links, and it holds text of its own (a heading,
+    a paragraph, a list), or a heading of first rank, or stands in an article or main
+    element. Other boxes are left out: nothing tells them from unmarked side matter. The
+    elements passed on the way up count for the text that stands in them directly."""
+    children: dict[int, list[int]] = {}
+    around, tops = set(), set(chosen)
+    for e in chosen:
+        up = page.parent[e]
+        while up > 0 and page.tag[up] != "html" and up not in around:
+            around.add(up)
+            up = page.parent[up]
+    if not around:
+        return around, set()
+    size, links = weights(page, side)
+    headed = [False] * len(page.tag)
+    for e in range(len(page.tag) - 1, 0, -1):
+        headed[e] |= page.tag[e] == "h1" and not side[e]
+        headed[page.parent[e]] |= headed[e]
+        if page.parent[e] in around and e not in around and e not in tops:
+            children.setdefault(page.parent[e], []).append(e)
+    found = set()
+    for up, some in children.items():
+        wide = page.tag[up] in ("article", "main")
+        for e in some:
+            fits = wide or headed[e] or page.tag[e] in TEXT_TAGS or page.tag[e] in INLINE
+            if fits and not side[e] and 2 * links[e] <= size[e]:
+                found.add(e)
+    return around, found
 
 
 def extract(page: Page, paths: list[str]) -> str:
     """The text of the containers on the first of `paths` that the page has, else of its own
-    main container; one line a block."""
+    main container, with what stands beside them; one line a block."""
     side = side_matter(page)
-    chosen = next((p for p in paths if any(q == p and not s for q, s in zip(page.path, side, strict=True))), None) or vote(page)
+    here = {k for k, s in zip(page.key, side, strict=True) if not s}
+    keys = (path_key(p.split("/")) for p in paths)
+    chosen = next((k for k in keys if k in here), None)
     if chosen is None:
-        return ""
-    inside = []
+        own = vote(page)
+        if own is None:
+            return ""
+        chosen = path_key(own.split("/"))
+    inside: list[bool] = []
+    tops = []
     for e in range(len(page.tag)):
-        inside.append(not side[e] and (page.path[e] == chosen or (page.parent[e] >= 0 and inside[page.parent[e]])))
+        within = page.parent[e] >= 0 and inside[page.parent[e]]
+        inside.append(not side[e] and (page.key[e] == chosen or within))
+        if inside[e] and not within:
+            tops.append(e)
+    around, more = beside(page, side, tops)
+    for e in range(len(page.tag)):  # parents come first
+        up = page.parent[e]
+        inside[e] = inside[e] or e in around or e in more or (not side[e] and up >= 0 and inside[up] and up not in around)
     blocks: dict[int, list[str]] = {}
     for element, block, text in page.pieces:
         if inside[element]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +14,10 @@ from .common import read, words
 from .params import MIX_BUDGET_PERCENT, MIX_MAX_EPOCHS, MIX_SEED, MIX_WEIGHTS
 from .sql import SQL
 
-#: Folder of the public vocabulary files.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    return f"{TOKENIZERS}/{name}"
+    """The path of a public vocabulary file."""
+    return public_tokenizers.path(name)
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,12 @@ CASES = [
     ("<div class='layout has-sidebar'><article><p>inside the frame</p></article></div><form><label>q</label></form>", "inside the frame"),
     ("<body><p>cut off <b", "cut off"),
     ("</div></p><p>stray</p></b>", "stray"),
+    # heading, lead and second part beside the body's container
+    ("<div class=post><h1>Head</h1><p>The lead.</p><div class=body><p>" + "long text " * 30 + "</p></div></div>", "Head\nThe lead.\n" + ("long text " * 30).strip()),
+    ("<main><div class=lead>A lead of some words.</div><article><p>" + "long text " * 9 + "</p></article></main>", "A lead of some words.\n" + ("long text " * 9).strip()),
+    ("<body><h1>Head</h1>direct <i>words</i><div class=body><p>" + "long text " * 30 + "</p></div><ul><li><a href=x>more</a></ul></body>", "Head\ndirect words\n" + ("long text " * 30).strip()),
+    ("<div class=page><div class=t><h1>Head</h1></div><div class=body><p>" + "long text " * 30 + "</p></div><div class=box>unmarked</div></div>", "Head\n" + ("long text " * 30).strip()),
+    ("<body><div class=body><p>" + "long text " * 30 + "</p></div><div class=sidebar><h2>side</h2></div><p class=ad>buy</p></body>", ("long text " * 30).strip()),
 ]
 
 
@@ -51,3 +57,11 @@ def test_long_page_and_quotes():
     source = "<article>" + "<p>para > one \"x\"</p>" * 20_000 + "<a title='a>b'>link</a></article>"
     text = html.extract(html.parse(source), [])
     assert text.count("\n") == 20_000 and text.endswith("link")
+
+
+def test_very_deep_pages():
+    """Memory and time in proportion to the depth: paths are hashes, built as text for one element only."""
+    text = html.extract(html.parse("<div class=a>" * 200_000 + "deep"), [])
+    assert text == "deep"
+    source = "<article><p>x" + "<span>" * 100_000 + "y"
+    assert html.extract(html.parse(source), ["#root/article"]) == "xy"
