@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 WORD = r"[\p{L}\p{M}\p{N}]+"
-#: 1: the position counts, 0: any word may stand there.
-MASKS = ("11101001101", "11010110011", "10110011101")
+#: 1: the position counts, 0: any word may stand there. With the four of them each stretch of 13
+#: words agrees on some window whichever two of its words are changed.
+MASKS = ("11101001101", "11010110011", "10110011101", "11111101")
 #: An overlap has this many words, or the whole item if that is shorter.
 MIN_OVERLAP = 13
-#: Benchmark seeds up to this count are broadcast, at about 40 bytes each; more are joined by
-#: a shuffle.
+#: Benchmark seeds up to this count are broadcast, at about 40 bytes each; more are joined by a
+#: shuffle of the documents' (id, position, seed) alone, and the words of documents with a
+#: hit are read a second time.
 MAX_BROADCAST_SEEDS = 2_000_000
 
 
@@ -90,6 +92,19 @@ def best_stretch(equal: Column, need: Column) -> Column:
     return F.aggregate(equal, zero, step, lambda acc: F.struct(acc["best"].alias("best"), acc["lo"].alias("lo"), acc["hi"].alias("hi")))
 
 
+def narrow_hits(rows: DataFrame, planted: DataFrame, masks: list[str]) -> DataFrame:
+    """The windows of `rows` (id, h) that share a seed with `planted`, each with its words. Only
+    (id, digest of the words, position, seed) is shuffled to the seeds."""
+    marked = rows.withColumn("g", F.xxhash64("h"))
+    windows = seeds(marked, masks, whole=False).select("id", "g", "pos", "seed")
+    hits = materialise(windows.join(planted, "seed").select("id", "g", "pos", "item", "item_at", "size").distinct(), "hits")
+    held = hits.select(F.col("id").alias("__id"), F.col("g").alias("__g")).distinct()
+    held = F.broadcast(held) if held.count() <= MAX_BROADCAST_SEEDS else held
+    words = marked.join(held, F.col("id").eqNullSafe(F.col("__id")) & (F.col("g") == F.col("__g")), "left_semi")
+    words = words.select(F.col("id").alias("__id"), F.col("g").alias("__g"), "h").distinct()
+    return hits.join(words, F.col("id").eqNullSafe(F.col("__id")) & (F.col("g") == F.col("__g"))).drop("__id", "__g", "g")
+
+
 def find_overlaps(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
@@ -112,10 +127,12 @@ def find_overlaps(
     planted = seeds(items, masks, whole=True).select("seed", "item", F.col("pos").alias("item_at"), F.size("h").alias("size"))
     planted = materialise(planted, "seeds")
     few = planted.count() <= MAX_BROADCAST_SEEDS
-    known = planted.select("seed").distinct()
-    windows = seeds(docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("h")), masks, whole=False)
-    near = windows.join(F.broadcast(known) if few else known, "seed", "left_semi")
-    hits = near.join(F.broadcast(planted) if few else planted, "seed")
+    rows = docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("h"))
+    if few:
+        near = seeds(rows, masks, whole=False).join(F.broadcast(planted.select("seed").distinct()), "seed", "left_semi")
+        hits = near.join(F.broadcast(planted), "seed")
+    else:
+        hits = narrow_hits(rows, planted, masks)
     # the document's words beside the item's, from the first to the last that both have
     cut, doc_cut = F.greatest(F.lit(0), F.col("item_at") - F.col("pos")), F.greatest(F.lit(0), F.col("pos") - F.col("item_at"))
     length = F.least(F.size("h") - doc_cut, F.col("size") - cut)

@@ -125,3 +125,32 @@ def test_short_items_with_any_allowed_substitutions(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     got = decontaminate.find_overlaps(docs, spark.createDataFrame(items, "item_id long, text string").coalesce(2)).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == near
+
+
+def recall(n, changes):
+    """The share of the ways to change so many of `n` words that leave some window's seed as it was."""
+    windows = [frozenset(at + k for k, bit in enumerate(m) if bit == "1") for m in decontaminate.MASKS for at in range(n - len(m) + 1)]
+    ways = list(combinations(range(n), changes))
+    return sum(any(w.isdisjoint(way) for w in windows) for way in ways) / len(ways)
+
+
+def test_recall_of_the_fixed_masks():
+    assert recall(13, 2) == 1
+    assert all(recall(n, n // 5) >= 0.9 for n in range(13, 25))
+
+
+def test_both_joins_find_the_same(spark, docs, monkeypatch):
+    """The join without broadcast: substituted words, rows that share an id, null ids, short items."""
+    draw = random.Random(5)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate([3, 8, 13, 20, 40])] + [(9, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"), (10, None)]
+    rows = []
+    for k, text in items[:5]:
+        for d in (1, 1, 2, None):
+            w = [x if draw.random() > 0.1 else "other" for x in text.split()]
+            rows.append((d, " ".join(["z"] * draw.randrange(4) + w + ["y"])))
+    texts = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted((tuple(r) for r in decontaminate.find_overlaps(texts, benchmark).collect()), key=repr)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_SEEDS", 0)
+    got = decontaminate.find_overlaps(texts, benchmark)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want and len(want) > 5
