@@ -40,20 +40,40 @@ def keyword_hour_sums(
     """A1 (+P6, P11): sums per (snapshot hour, keyword) inside [start, end]. A snapshot at
     11:07 counts for the hour 11:00, so it meets the hour grid. A history partitioned by
     `date_col` is pruned to the window's dates."""
-    h = history
-    for bound, keep in ((start, lambda c, x: c >= x), (end, lambda c, x: c <= x)):
-        if bound is not None:
-            h = h.filter(keep(F.col(time_col), bound))
-            if date_col in history.columns:  # the table's partition column: prunes folders
-                h = h.filter(keep(F.col(date_col), F.to_date(bound)))
+    h = _inside(history, start, end, time_col, date_col)
     hour = F.date_trunc("hour", time_col).alias("created_at")
     ex = h.select(F.explode("keywords").alias("current_keyword"), hour, *SUM_COLS)
-    return ex.groupBy("created_at", "current_keyword").agg(
-        F.sum("num_of_comments").cast("bigint").alias("num_of_comments"),
-        F.sum("viewed").cast("bigint").alias("viewed"),
-        F.sum("liked").cast("bigint").alias("liked"),
-        F.sum("sentiment").cast("double").alias("sentiment"),
-    )
+    return _sums(ex.groupBy("created_at", "current_keyword"))
+
+
+def _inside(rows: DataFrame, start: Column | None, end: Column | None, time_col: str, date_col: str) -> DataFrame:
+    """The rows with a time in [start, end]; a table partitioned by `date_col` is pruned to
+    the window's dates."""
+    for bound, keep in ((start, lambda c, x: c >= x), (end, lambda c, x: c <= x)):
+        if bound is not None:
+            rows = rows.filter(keep(F.col(time_col), bound))
+            if date_col in rows.columns:  # the table's partition column: prunes folders
+                rows = rows.filter(keep(F.col(date_col), F.to_date(bound)))
+    return rows
+
+
+def snapshot_sums(posts: DataFrame, time_col: str = "file_create_time") -> DataFrame:
+    """A1, the part of a snapshot: sums per (snapshot time, keyword) of its posts, one row
+    each whatever the number of posts. Rows of the table that `window_sums` adds up."""
+    ex = posts.select(F.explode("keywords").alias("current_keyword"), F.col(time_col).alias("snapshot"), *SUM_COLS)
+    return _sums(ex.groupBy("snapshot", "current_keyword"))
+
+
+def window_sums(sums: DataFrame, start: Column | None = None, end: Column | None = None, date_col: str = "snapshot_date") -> DataFrame:
+    """A1 + P6 from stored `snapshot_sums`: equal to `keyword_hour_sums` of the posts behind
+    them, without reading a post. Snapshots of one hour are added up."""
+    s = _inside(sums, start, end, "snapshot", date_col)
+    return _sums(s.groupBy(F.date_trunc("hour", "snapshot").alias("created_at"), "current_keyword"))
+
+
+def _sums(groups) -> DataFrame:
+    counts = [F.sum(c).cast("bigint").alias(c) for c in SUM_COLS[:3]]
+    return groups.agg(*counts, F.sum("sentiment").cast("double").alias("sentiment"))
 
 
 def join_active_keywords(facts: DataFrame, keywords: DataFrame, key: str = "current_keyword") -> DataFrame:
@@ -85,10 +105,19 @@ def densify(grid: DataFrame, facts: DataFrame, keys=("created_at", "current_keyw
 
 def current_issue(history: DataFrame, batch: DataFrame, snapshot: Column, days: int = WINDOW_DAYS) -> DataFrame:
     """The dense keyword x hour fact table `current_issue` for one snapshot."""
+    return _dense(keyword_hour_sums(history, *window_bounds(snapshot, days)), batch, snapshot, days)
+
+
+def current_issue_from_sums(sums: DataFrame, batch: DataFrame, snapshot: Column, days: int = WINDOW_DAYS) -> DataFrame:
+    """`current_issue` from stored `snapshot_sums`, the batch's own among them: a run reads
+    the window's (snapshot, keyword) rows and its own batch, never an earlier post."""
+    return _dense(window_sums(sums, *window_bounds(snapshot, days)), batch, snapshot, days)
+
+
+def _dense(facts: DataFrame, batch: DataFrame, snapshot: Column, days: int) -> DataFrame:
     start, end = window_bounds(snapshot, days)
     kw = distinct_keywords(batch)
-    facts = join_active_keywords(keyword_hour_sums(history, start, end), kw)
-    return densify(hour_grid(kw, start, end), facts)
+    return densify(hour_grid(kw, start, end), join_active_keywords(facts, kw))
 
 
 def keyword_hour_issue(history: DataFrame) -> DataFrame:

@@ -49,6 +49,23 @@ def q_dense_keyword_issue_offhour(spark, root):
     return round_doubles(issues.current_issue(posts, fx.current_batch(posts, snap), snap))
 
 
+@query("dense_keyword_issue_from_sums")
+def q_dense_keyword_issue_from_sums(spark, root):
+    """A1 + P6 from the stored sums: the earlier snapshots' sums are written once, the newest
+    batch's are appended (twice, as after a replay), and the window adds up the table."""
+    from . import pipeline
+
+    posts = fx.kw_posts(spark, root)
+    snap = fx.snapshot_time(posts)
+    batch = fx.current_batch(posts, snap)
+    raw, sums = scratch_path(spark, "raw-data"), scratch_path(spark, "snapshot-sums")
+    earlier = posts.join(batch.select("event_id"), "event_id", "left_anti")
+    earlier.write.parquet(raw)
+    for _ in range(3):  # the first call writes the sums of the earlier snapshots
+        table = pipeline.append_sums(spark, batch, snap, raw, sums)
+    return round_doubles(issues.current_issue_from_sums(table, batch, snap))
+
+
 @query("keyword_frequency")
 def q_keyword_frequency(spark, root):
     return round_doubles(issues.keyword_frequency(_current_issue(spark, root)))

@@ -832,6 +832,7 @@ SELECT doc_id, data_source, CASE WHEN doc_id % 29 = 0 THEN 'garbage' ELSE create
 FROM site_posts WHERE doc_id % 23 = 0 OR doc_id % 29 = 0 OR doc_id % 31 = 0"""
 
 SQL["issue_pipeline"] = SQL["dense_keyword_issue"]
+SQL["dense_keyword_issue_from_sums"] = SQL["dense_keyword_issue"]
 
 SQL["stream_sentiment"] = SQL["sentiment_score"]
 

@@ -18,7 +18,23 @@ from ..operators.keywords import extract_keywords, hashed_counts, letter_words
 from ..sources import files
 
 
-TABLES = ("raw_data", "raw_data_view", "current_issue", "current_issue_frequency", "keyword_frequency", "issue_graph", "similarity", "alerts")
+TABLES = ("raw_data", "snapshot_sums", "raw_data_view", "current_issue", "current_issue_frequency", "keyword_frequency", "issue_graph", "similarity", "alerts")
+
+
+def append_sums(spark: SparkSession, batch: DataFrame, snapshot: Column, raw_data: str, path: str) -> DataFrame:
+    """Append the batch's keyword sums to the table at `path` and return the table. A
+    warehouse without it gets the sums of its whole raw_data table, once: they are written
+    beside it and renamed, so a half-written table is never taken for a whole one."""
+    if files.existing(spark, [path]):
+        files.write_table(files.with_snapshot_partitions(issues.snapshot_sums(batch), snapshot), path)
+    else:
+        aside = f"{path}_new"
+        sums = issues.snapshot_sums(spark.read.parquet(raw_data))
+        files.with_snapshot_partitions(sums, F.col("snapshot")).hint("rebalance", *files.SNAPSHOT_PARTITIONS).write.mode("overwrite").partitionBy(
+            *files.SNAPSHOT_PARTITIONS
+        ).parquet(aside)
+        files.rename(spark, aside, path)
+    return spark.read.parquet(path)
 
 
 def run_snapshot(
@@ -33,8 +49,8 @@ def run_snapshot(
     exact: bool = False,
 ) -> dict[str, str]:
     """Run one snapshot. `batch`: current posts (keywords array, sums columns, url ...);
-    `history`: earlier raw_data rows, or None to read the raw_data table itself, which
-    then holds the batch too. `graph_issue`: the one past issue that the graph view shows.
+    `history`: earlier raw_data rows, or None to go by the warehouse's own tables: the
+    window is then added up from the `snapshot_sums` table, which the run extends by its batch. `graph_issue`: the one past issue that the graph view shows.
     `exact`: exact warp distances. The view of raw_data grows by the snapshot's rows, as the
     table does; where `history` comes from elsewhere it is written anew.
     Returns the written table paths."""
@@ -42,10 +58,10 @@ def run_snapshot(
     paths = {n: f"{out}/{n}" for n in TABLES}
     files.write_table(files.with_snapshot_partitions(batch, snapshot), paths["raw_data"])
     if history is None:
-        hist = spark.read.parquet(paths["raw_data"])
+        cur = issues.current_issue_from_sums(append_sums(spark, batch, snapshot, paths["raw_data"], paths["snapshot_sums"]), batch, snapshot)
     else:  # the reference's later reads see the appended batch
         hist = history.unionByName(batch, allowMissingColumns=True)
-    cur = issues.current_issue(hist, batch, snapshot)
+        cur = issues.current_issue(hist, batch, snapshot)
     cur.sortWithinPartitions("current_keyword", "created_at").write.mode("overwrite").parquet(paths["current_issue"])
     cur = spark.read.parquet(paths["current_issue"])
     issues.total_frequency(cur).write.mode("overwrite").parquet(paths["current_issue_frequency"])

@@ -68,6 +68,30 @@ def test_history_scan_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
 
 
+def test_window_from_stored_sums(spark):
+    """Hour by hour the stored sums give what the posts give; a replayed hour counts once,
+    a snapshot after the window's end not at all, and only the window's folders are read."""
+    start = dt.datetime(2024, 1, 5, 9, 7)
+    rows = [
+        (start + dt.timedelta(hours=h), ["a", "b"] if i % 2 else (["a"] if i else None), i, 2 * i, None if i == 3 else 1, 0.5)
+        for h in (0, 1, 2, 30, 100)
+        for i in range(5)
+    ]
+    posts = spark.createDataFrame(rows, "file_create_time timestamp, keywords array<string>, viewed long, liked long, num_of_comments long, sentiment double")
+    raw, path = scratch_path(spark, "raw-test"), scratch_path(spark, "sums-test")
+    files.write_table(files.with_snapshot_partitions(posts.where(F.col("file_create_time") == F.lit(start)), F.col("file_create_time")), raw)
+    for h in (0, 1, 2, 30, 30, 100):
+        at = F.lit(start + dt.timedelta(hours=h))
+        table = pipeline.append_sums(spark, posts.where(F.col("file_create_time") == at), at, raw, path)
+    assert table.count() == 10
+    batch, snap = posts.where(F.col("file_create_time") == F.lit(rows[15][0])), F.lit(rows[15][0])
+    for days in (0, 1, 3):
+        got = issues.current_issue_from_sums(table, batch, snap, days)
+        assert sorted(got.collect()) == sorted(issues.current_issue(posts, batch, snap, days).collect())
+    plan = issues.window_sums(table, *issues.window_bounds(snap, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+
+
 def test_compaction_over_several_batches_and_replay(spark):
     """Two triggers feed the same folders; broken messages are kept apart; a replay of the
     whole stream with the same checkpoint adds nothing."""
