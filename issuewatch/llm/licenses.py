@@ -1,10 +1,12 @@
 """License scans by conditional compression.
 
-A text is cut into small overlapping blocks around its license words. A block that has
-enough words of a template to quote it is compressed alone and with the template as a raw
-zstandard dictionary, by the same parameters; the templates are ranked by that reduction,
-and each is confirmed by its exact wording differences: a word alignment that gives the
-words the block lacks and those it adds.
+License words preselect small overlapping parts of a text; the stretches in them that have
+enough words of a template are the candidate blocks. A block's words are compressed alone
+and with each such template as a raw zstandard dictionary, by the same parameters. Of
+templates whose blocks overlap the one with the largest size reduction wins, and it is
+confirmed by its exact wording differences: a word alignment that gives the words the
+block lacks and those it adds. So of texts that differ in a few words (a version, a name)
+compression decides which one is quoted.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from difflib import SequenceMatcher
+from difflib import Match, SequenceMatcher
 from itertools import accumulate
 
 import pyarrow as pa
@@ -118,10 +120,9 @@ class Scanner:
     def __post_init__(self) -> None:
         fixed = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK_BYTES)
         self.plain = zstandard.ZstdCompressor(compression_params=fixed)
-        lower = [t.lower().encode() for _, t in self.templates]
-        dictionaries = [zstandard.ZstdCompressionDict(t, dict_type=zstandard.DICT_TYPE_RAWCONTENT) for t in lower]
-        self.primed = [zstandard.ZstdCompressor(compression_params=fixed, dict_data=d) for d in dictionaries]
         self.words = [[w.lower() for w in WORDS.findall(t)] for _, t in self.templates]
+        dictionaries = [zstandard.ZstdCompressionDict(joined(w), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for w in self.words]
+        self.primed = [zstandard.ZstdCompressor(compression_params=fixed, dict_data=d) for d in dictionaries]
         self.counts = [Counter(w) for w in self.words]
         self.longest = max((reach(len(w)) for w in self.words), default=0)
 
@@ -129,8 +130,8 @@ class Scanner:
         """(license, template, start, end, reduction, similarity, missing, added) of a whole text."""
         spots = [(m.group().lower(), m.start(), m.end()) for m in WORDS.finditer(text)]
         found = [f for a, b in blocks(text, spots, self.longest) for f in self.scan_block(text, spots[a:b])]
-        # of overlapping finds the one that explains more words, then the more exact one
-        found.sort(key=lambda f: (-round(f[5] * len(self.words[f[1]])), -f[5], -f[4], f[1], f[2]))
+        # of overlapping finds the one whose template saves most
+        found.sort(key=lambda f: (-f[4], f[1], f[2], f[3]))
         starts: list[int] = []
         taken: list = []
         for f in found:
@@ -148,15 +149,22 @@ class Scanner:
         likely = [i for i, c in enumerate(self.counts) if sum(min(n, there[w]) for w, n in c.items()) >= CONFIRM * len(self.words[i])]
         if not likely:
             return []
-        raw = text[spots[0][1] : spots[-1][2]].lower().encode("utf-8", "surrogatepass")
-        alone = len(self.plain.compress(raw))
         found = []
         for i in likely:
-            some = quotes(self.words[i], words)
-            reduction = alone - len(self.primed[i].compress(raw)) if some else 0
-            found += [(self.templates[i][0], i, spots[at][1], spots[to - 1][2], reduction, share, missing, added) for at, to, share, missing, added in some]
+            for at, to, share, missing, added in quotes(self.words[i], words):
+                reduction = self.reduction(i, words[at:to])
+                found.append((self.templates[i][0], i, spots[at][1], spots[to - 1][2], reduction, share, missing, added))
         return found
 
+    def reduction(self, template: int, block: list[str]) -> int:
+        """Bytes that the template, as a dictionary, saves on a block's words."""
+        raw = joined(block)
+        return len(self.plain.compress(raw)) - len(self.primed[template].compress(raw))
+
+
+def joined(words: list[str]) -> bytes:
+    return " ".join(words).encode("utf-8", "surrogatepass")
+
 
 def reach(n: int) -> int:
     """Words that a quote of a template of `n` words may have."""
@@ -190,11 +198,13 @@ def quotes(template: list[str], words: list[str]) -> list[tuple[int, int, float,
         # the second: too few words of the template, in any order
         if at < free or known[min(len(words), at + reach(n))] - known[at] < CONFIRM * n:
             continue
-        part = words[at : at + reach(n)]
-        same = [m for m in SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks() if m.size]
-        share = sum(m.size for m in same) / n
+        part, same, share = aligned(template, words, at)
         if share < CONFIRM:
             continue
+        if same[0].b:  # a stretch from the first matching word on may hold more of the end
+            again = aligned(template, words, at + same[0].b)
+            if again[2] > share:
+                at, (part, same, share) = at + same[0].b, again
         first, last = same[0].b, same[-1].b + same[-1].size
         matched_a = {m.a + k for m in same for k in range(m.size)}
         matched_b = {m.b + k for m in same for k in range(m.size)}
@@ -205,15 +215,23 @@ def quotes(template: list[str], words: list[str]) -> list[tuple[int, int, float,
     return out
 
 
+def aligned(template: list[str], words: list[str], at: int) -> tuple[list[str], list[Match], float]:
+    """(the stretch from `at`, its runs of the template's words, their share of the template)."""
+    part = words[at : at + reach(len(template))]
+    same = [m for m in SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks() if m.size]
+    return part, same, sum(m.size for m in same) / len(template)
+
+
 def scan_licenses(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES
 ) -> DataFrame:
     """One row per license found in a document.
 
     Columns: `id_col`, license, template (its number), start and end (characters of the
-    text), reduction (bytes that the template saves on the block), similarity (share of
+    text), reduction (bytes that the template saves on the words found), similarity (share of
     the template's words that are there in order), missing and added (the exact wording
-    differences). Finds of one document do not overlap.
+    differences). Finds of one document do not overlap: the larger reduction wins, of equal
+    ones the earlier template.
 
     Null, empty and unlicensed texts have no row. Repeated rows each give their rows; null
     ids are kept; other columns are ignored; an empty table gives an empty result.

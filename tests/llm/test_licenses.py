@@ -1,4 +1,5 @@
 import random
+from difflib import SequenceMatcher
 
 from issuewatch.llm import licenses
 from issuewatch.llm.queries import QUERIES
@@ -59,3 +60,56 @@ def test_short_notices_in_long_texts_of_license_words():
                 before = " ".join([*words[:at], ""])
                 found = scanner.scan(f"{before}{notice} {' '.join(words[at:])}")
                 assert [(f[2], f[3], f[6]) for f in found] == [(len(before), len(before) + len(notice) - 1, [])]
+
+
+def test_compression_decides_between_texts_that_differ_in_a_few_words(monkeypatch):
+    """Every template, alone and beside its nearest relatives, is known as itself, though the
+    others' words agree with it well enough to be confirmed; another ranking gives others."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    pad = "some words of code "
+    for i, (name, template) in enumerate(licenses.TEMPLATES):
+        if scanner.words[i] in scanner.words[:i]:
+            continue
+        found = scanner.scan(f"{pad}{template} {pad}")
+        assert [(f[0], f[1], f[6], f[7]) for f in found] == [(name, i, [], [])]
+    relatives = [t for n, t in licenses.TEMPLATES if n in ("GPL-3.0", "GPL-2.0", "LGPL-2.1", "AGPL-3.0") and t.startswith("This ")]
+    together = scanner.scan(f" {pad}".join(relatives))
+    assert [licenses.TEMPLATES[f[1]][1] for f in together] == relatives
+    monkeypatch.setattr(licenses.Scanner, "reduction", lambda self, i, block: 0)
+    other = scanner.scan(f" {pad}".join(relatives))
+    assert [licenses.TEMPLATES[f[1]][1] for f in other] != relatives
+
+
+def test_scan_matches_all_alignments():
+    """Texts with planted and changed notices: every license word's surroundings, aligned
+    with every template at every word, gives the same licenses."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    draw = random.Random(5)
+    for _ in range(12):
+        words = draw.choices(["license", "of", "the", "work", "under", "code", "public", "version"], k=60)
+        names = set()
+        for name, template in draw.sample([t for t in licenses.TEMPLATES if len(t[1]) > 100], 2):
+            quoted = template.split()
+            for _ in range(len(quoted) // 30):
+                quoted[draw.randrange(1, len(quoted) - 1)] = "zebra"
+            words[draw.randrange(10, 50):0] = ["unrelated"] * 40 + quoted + ["unrelated"] * 40
+            names.add(name)
+        text = " ".join(words)
+        assert best_of_all(scanner, text) <= {f[0] for f in scanner.scan(text)}
+
+
+def best_of_all(scanner, text):
+    """The licenses whose template has, at some word, more words in order than any other."""
+    words = [m.group().lower() for m in licenses.WORDS.finditer(text)]
+    best = {}
+    for i, template in enumerate(scanner.words):
+        for at in range(len(words)):
+            part = words[at : at + licenses.reach(len(template))]
+            if len(set(template) & set(part)) < 0.5 * len(set(template)):
+                continue
+            same = [m for m in SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks() if m.size]
+            n = sum(m.size for m in same)
+            if n >= licenses.CONFIRM * len(template):
+                for k in range(at + same[0].b, at + same[-1].b + same[-1].size):
+                    best[k] = max(best.get(k, (0, 0.0, "")), (n, n / len(template), scanner.templates[i][0]))
+    return {v[2] for v in best.values()}
