@@ -4,13 +4,14 @@ A text becomes lower-case letters with every other run as one blank; its n-grams
 `MAX_N` characters are hashed into `BUCKETS` buckets. Training counts n-grams per
 language in Spark. The log-probability matrix (languages x buckets, floats) is the only
 thing that is broadcast; its size is bounded by `BUCKETS` and `MAX_LANGUAGES`. Scoring
-gathers matrix rows for a batch of texts in numpy.
+takes the texts of a batch together: their sparse (bucket, count) pairs gather rows of the
+matrix, which are weighted by the counts and added up per text.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,8 @@ TRAIN_DOCS = 4000
 UNKNOWN = "und"
 #: Characters scored at a time; bounds a task's memory on very long texts.
 CHUNK = 1 << 18
+#: Numbers of the matrix gathered at a time (rows by languages); bounds a task's memory.
+GATHER = 1 << 21
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint64)
 
@@ -63,14 +66,49 @@ class LanguageModel:
     prior: np.ndarray  # log, (languages,)
     log_prob: np.ndarray  # (languages, BUCKETS), float64
 
-    def posterior(self, text: str) -> np.ndarray:
-        total = self.prior.copy()
-        counts = np.zeros(BUCKETS)
-        for buckets in ngram_buckets(text):
-            counts += np.bincount(buckets, minlength=BUCKETS)
-        total += self.log_prob @ counts
-        total = np.exp(total - total.max())
-        return total / total.sum()
+    def posteriors(self, texts: Iterable[str | None]) -> np.ndarray:
+        """(texts, languages): the posterior of every text; zeros for a null text."""
+        rows = np.ascontiguousarray(self.log_prob.T)
+        most = max(1, GATHER // max(1, len(self.languages)))
+        totals: list[np.ndarray] = []
+        waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def gather() -> None:
+            starts = np.cumsum([0, *(len(p[1]) for p in waiting[:-1])])
+            part = rows[np.concatenate([p[1] for p in waiting])]
+            part *= np.concatenate([p[2] for p in waiting])[:, None]
+            for (k, _, _), one in zip(waiting, np.add.reduceat(part, starts), strict=True):
+                totals[k] += one
+            waiting.clear()
+
+        for k, text in enumerate(texts):
+            totals.append(np.full(len(self.languages), -np.inf) if text is None else self.prior.copy())
+            for bucket, count in sparse_counts(text) if text is not None else ():
+                waiting.append((k, bucket, count))
+                size += len(bucket)
+                if size >= most:
+                    gather()
+                    size = 0
+        if waiting:
+            gather()
+        total = np.array(totals).reshape(len(totals), len(self.languages))
+        known = np.isfinite(total[:, :1])
+        best = np.where(known, total.max(axis=1, initial=-np.inf, keepdims=True), 0)
+        share = np.exp(total - best)
+        return share / np.where(known, share.sum(axis=1, keepdims=True), 1)
+
+
+def sparse_counts(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, counts) of a text's n-grams, per `CHUNK` characters."""
+    pieces: list[np.ndarray] = []
+    for piece in ngram_buckets(text):
+        pieces.append(piece)
+        if len(pieces) == MAX_N:
+            count = np.bincount(np.concatenate(pieces), minlength=BUCKETS)
+            bucket = np.flatnonzero(count)
+            yield bucket, count[bucket].astype(np.float64)
+            pieces.clear()
 
 
 def count_ngrams(rows: DataFrame) -> DataFrame:
@@ -140,17 +178,11 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = LanguageModel(*shared.value)
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column("text"):
-                text = text.as_py()
-                if text is None or not known.languages:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                posterior = known.posterior(text)
-                best = int(posterior.argmax())
-                langs.append(known.languages[best])
-                scores.append(float(posterior[best]))
+            scores, langs = [0.0] * len(batch), [UNKNOWN] * len(batch)
+            if known.languages:
+                posterior = known.posteriors(t.as_py() for t in batch.column("text"))
+                scores = posterior.max(axis=1)
+                langs = [known.languages[k] if s else UNKNOWN for k, s in zip(posterior.argmax(axis=1), scores, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"])
 
     kind = rows.schema["id"].dataType.simpleString()
@@ -183,13 +215,13 @@ def keep_known(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = LanguageModel(*shared.value)
         for batch in batches:
-            keep, langs = [], []
-            for text in batch.column(text_col):
-                text = text.as_py()
-                posterior = known.posterior(text) if text and known.languages and has_letters(text) else np.zeros(1)
-                best = int(posterior.argmax())
-                keep.append(bool(posterior[best] >= min_score and known.languages))
-                langs.append(known.languages[best] if known.languages else UNKNOWN)
+            keep, langs = [False] * len(batch), [UNKNOWN] * len(batch)
+            if known.languages:
+                texts = (t.as_py() for t in batch.column(text_col))
+                posterior = known.posteriors(t if t and has_letters(t) else None for t in texts)
+                score = posterior.max(axis=1)
+                keep = (score > 0) & (score >= min_score)
+                langs = [known.languages[k] for k in posterior.argmax(axis=1)]
             columns = [pa.array(langs, pa.string()) if n == lang_col else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
