@@ -6,6 +6,12 @@ histogram whose bins keep the leading `SUB_BITS` bits of a value (relative error
 2**-SUB_BITS). Sketches merge by adding counts, so a small group borrows the sketch of
 its language, or of everything. All of it is integer arithmetic: equal results on any
 partitioning.
+
+A fence lies some spreads outside the quartiles, and the spread too is learnt. Every text
+has a word length, so there it is the interquartile range. Most texts have no symbols or
+repeats, so there it is the lower quartile of those that have some (the upper ones may be
+noise), less where these are few. A group's spread is drawn towards its language's, the
+more the smaller the group is.
 """
 
 from __future__ import annotations
@@ -22,17 +28,20 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 SUB_BITS = 6
-#: Documents that a group needs for thresholds of its own.
+#: Documents that a group needs for quartiles of its own.
 MIN_GROUP = 100
-#: Fences lie this many interquartile ranges outside the quartiles.
-REACH = 3
-#: Ratios of a text, scaled to integers: (name, numerator, denominator, scale, least
-#: interquartile range, whether small values fail too).
+#: Documents that a language's spread weighs as much as, beside the group's own.
+PRIOR = 50
+#: Under one text in `RARE` with a ratio above 0, the lower quartile of these shrinks in
+#: proportion.
+RARE = 50
+#: Ratios of a text, scaled to integers: (name, numerator, denominator, scale, spreads
+#: from a quartile to its fence, whether small values fail too).
 RATIOS = (
-    ("word_length", "word_chars", "n_words", 1000, 500, True),
-    ("symbols", "n_symbols", "word_chars", 10_000, 100, False),
-    ("dup_lines", "n_dup_lines", "n_lines", 10_000, 2000, False),
-    ("repeats", "n_repeat_words", "n_words", 10_000, 800, False),
+    ("word_length", "word_chars", "n_words", 1000, 4, True),
+    ("symbols", "n_symbols", "word_chars", 10_000, 3, False),
+    ("dup_lines", "n_dup_lines", "n_lines", 10_000, 3, False),
+    ("repeats", "n_repeat_words", "n_words", 10_000, 3, False),
 )
 
 
@@ -102,14 +111,22 @@ def sketches(ratios: DataFrame) -> DataFrame:
 
 
 def quartiles(bins: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, ratio, size, q1, q3) of the sketch rows of each group."""
+    """(keys, ratio, size, q1, q3, spread) of the sketch rows of each group."""
     merged = bins.groupBy(*keys, "ratio", "bin").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "ratio")
     merged = merged.withColumn("size", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bin")))
+    merged = merged.withColumn("zeros", F.sum(F.expr("if(bin = 0, n, 0L)")).over(group))
     found = merged.groupBy(*keys, "ratio").agg(
-        F.max("size").alias("size"), F.expr("min(case when 4 * upto >= size then bin end)").alias("b1"), F.expr("min(case when 4 * upto >= 3 * size then bin end)").alias("b3")
+        F.max("size").alias("size"),
+        F.max("zeros").alias("zeros"),
+        F.expr("min(case when 4 * upto >= size then bin end)").alias("b1"),
+        F.expr("min(case when 4 * upto >= 3 * size then bin end)").alias("b3"),
+        F.expr("coalesce(min(case when bin > 0 and 4 * (upto - zeros) >= size - zeros then bin end), 0L)").alias("some"),
     )
-    return found.select(*keys, "ratio", "size", F.expr(floor_of("b1")).alias("q1"), F.expr(floor_of("b3")).alias("q3"))
+    found = found.select(*keys, "ratio", "size", "zeros", *[F.expr(floor_of(b)).alias(q) for b, q in (("b1", "q1"), ("b3", "q3"), ("some", "usual"))])
+    two_sided = F.col("ratio").isin([k for k, r in enumerate(RATIOS) if r[5]])
+    spread = F.when(two_sided, F.col("q3") - F.col("q1")).otherwise(F.expr(f"usual * least(size, {RARE} * (size - zeros)) div size"))
+    return found.select(*keys, "ratio", "size", "q1", "q3", spread.alias("spread"))
 
 
 def fences(bins: DataFrame) -> DataFrame:
@@ -117,15 +134,18 @@ def fences(bins: DataFrame) -> DataFrame:
 
     def widest(keys: list[str], tag: str) -> DataFrame:
         q = quartiles(bins, keys)
-        return q.select(*[F.col(k).alias(f"{tag}_{k}") for k in keys], F.col("ratio").alias(f"{tag}_ratio"), *[F.col(c).alias(f"{tag}_{c}") for c in ("size", "q1", "q3")])
+        return q.select(*[F.col(k).alias(f"{tag}_{k}") for k in keys], F.col("ratio").alias(f"{tag}_ratio"), *[F.col(c).alias(f"{tag}_{c}") for c in ("size", "q1", "q3", "spread")])
 
     own, lang, every = widest(["lang", "source"], "a"), widest(["lang"], "b"), widest([], "c")
     found = own.join(lang, F.col("a_lang").eqNullSafe(F.col("b_lang")) & (F.col("a_ratio") == F.col("b_ratio"))).join(every, F.col("a_ratio") == F.col("c_ratio"))
     pick = lambda q: F.when(F.col("a_size") >= MIN_GROUP, F.col(f"a_{q}")).when(F.col("b_size") >= MIN_GROUP, F.col(f"b_{q}")).otherwise(F.col(f"c_{q}"))
-    found = found.select(F.col("a_lang").alias("f_lang"), F.col("a_source").alias("f_source"), F.col("a_ratio").alias("ratio"), pick("q1").alias("q1"), pick("q3").alias("q3"))
+    found = found.withColumn("typical", F.when(F.col("b_size") >= MIN_GROUP, F.col("b_spread")).otherwise(F.col("c_spread")))
+    found = found.withColumn("drawn", F.expr(f"(a_size * a_spread + {PRIOR} * typical) div (a_size + {PRIOR})"))
+    found = found.select(F.col("a_lang").alias("f_lang"), F.col("a_source").alias("f_source"), F.col("a_ratio").alias("ratio"), pick("q1").alias("q1"), pick("q3").alias("q3"), "drawn", "typical", "c_spread")
     out = []
-    for k, (name, _, _, _, least, both) in enumerate(RATIOS):
-        spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(least)) * REACH
+    for k, (name, _, _, _, reach, both) in enumerate(RATIOS):
+        # a group or language of copies has no range of its own
+        spread = reach * (F.greatest("drawn", "typical", "c_spread") if both else F.col("drawn"))
         out.append(F.max(F.when(F.col("ratio") == k, F.col("q3") + spread)).alias(f"hi_{name}"))
         if both:
             out.append(F.max(F.when(F.col("ratio") == k, F.col("q1") - spread)).alias(f"lo_{name}"))
@@ -138,8 +158,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     `base_failed`: under `MIN_WORDS` words, or over `MAX_REPEAT_PERCENT` percent of them in
     repeated windows. `kept`: passes the base rules, and no ratio lies outside the fences
     of the document's language and source, which are learnt from the documents that pass
-    the base rules. The fences are `REACH` interquartile ranges wide, so a group in which
-    many documents look alike loses none of them.
+    the base rules. The fences lie outside the quartiles, so a group in which many
+    documents look alike loses none of them.
 
     Null and empty texts have no words and fail. A null language or source is a group of
     its own. Repeated rows each give a row; an empty table gives an empty result; other

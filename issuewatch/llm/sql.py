@@ -51,22 +51,25 @@ SELECT doc_id, domain, lang, source, n_tokens, CAST(epochs + CASE WHEN upto <= r
 """
 
 _RATIOS = (
-    ("word_length", "word_chars", "n_words", 1000, 500),
-    ("symbols", "n_symbols", "word_chars", 10000, 100),
-    ("dup_lines", "n_dup_lines", "n_lines", 10000, 2000),
-    ("repeats", "n_repeat_words", "n_words", 10000, 800),
+    ("word_length", "word_chars", "n_words", 1000),
+    ("symbols", "n_symbols", "word_chars", 10000),
+    ("dup_lines", "n_dup_lines", "n_lines", 10000),
+    ("repeats", "n_repeat_words", "n_words", 10000),
 )
 _each = " UNION ALL ".join(
     f"SELECT lang, source, {k} AS ratio, CASE WHEN {d} = 0 THEN 0 ELSE {scale} * {n} // {d} END AS v FROM judged WHERE NOT base_failed"
-    for k, (_, n, d, scale, _) in enumerate(_RATIOS)
+    for k, (_, n, d, scale) in enumerate(_RATIOS)
 )
 
 
 def _quartiles(keys: str) -> str:
-    """The quartiles of the values with all but their leading 7 bits cleared."""
+    """Quartiles and spread of the values with all but their leading 7 bits cleared."""
     by = f"{keys}, ratio" if keys else "ratio"
-    return f"""SELECT {by}, max(size) AS size, min(CASE WHEN 4 * upto >= size THEN v END) AS q1, min(CASE WHEN 4 * upto >= 3 * size THEN v END) AS q3
-  FROM (SELECT *, count(*) OVER (PARTITION BY {by}) AS size, count(*) OVER (PARTITION BY {by} ORDER BY v) AS upto FROM binned) GROUP BY {by}"""
+    return f"""SELECT *, CASE WHEN ratio = 0 THEN q3 - q1 ELSE usual * least(size, 50 * n_some) // size END AS spread
+  FROM (SELECT {by}, max(size) AS size, max(n_some) AS n_some, min(CASE WHEN 4 * upto >= size THEN v END) AS q1,
+      min(CASE WHEN 4 * upto >= 3 * size THEN v END) AS q3, coalesce(min(CASE WHEN v > 0 AND 4 * (upto - size + n_some) >= n_some THEN v END), 0) AS usual
+    FROM (SELECT *, count(*) OVER (PARTITION BY {by}) AS size, count(*) OVER (PARTITION BY {by} ORDER BY v) AS upto,
+        count(*) FILTER (v > 0) OVER (PARTITION BY {by}) AS n_some FROM binned) GROUP BY {by})"""
 
 
 QUALITY = rf"""
@@ -91,14 +94,16 @@ bylang AS ({_quartiles('lang')}),
 everything AS ({_quartiles('')}),
 picked AS (SELECT o.lang, o.source, o.ratio,
     CASE WHEN o.size >= 100 THEN o.q1 WHEN l.size >= 100 THEN l.q1 ELSE e.q1 END AS q1,
-    CASE WHEN o.size >= 100 THEN o.q3 WHEN l.size >= 100 THEN l.q3 ELSE e.q3 END AS q3
+    CASE WHEN o.size >= 100 THEN o.q3 WHEN l.size >= 100 THEN l.q3 ELSE e.q3 END AS q3,
+    o.size, o.spread AS own, CASE WHEN l.size >= 100 THEN l.spread ELSE e.spread END AS typical, e.spread AS overall
   FROM own o JOIN bylang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio JOIN everything e ON o.ratio = e.ratio),
-spread AS (SELECT *, 3 * greatest(q3 - q1, CASE ratio {' '.join(f'WHEN {k} THEN {r[4]}' for k, r in enumerate(_RATIOS))} END) AS s FROM picked),
+drawn AS (SELECT *, (size * own + 50 * typical) // (size + 50) AS d FROM picked),
+spread AS (SELECT *, CASE WHEN ratio = 0 THEN 4 * greatest(d, typical, overall) ELSE 3 * d END AS s FROM drawn),
 fence AS (SELECT lang, source, max(CASE WHEN ratio = 0 THEN q1 - s END) AS lo0,
     {', '.join(f'max(CASE WHEN ratio = {k} THEN q3 + s END) AS hi{k}' for k in range(4))} FROM spread GROUP BY lang, source)
 SELECT j.doc_id, j.n_words, j.word_chars, j.n_symbols, j.n_dup_lines, j.n_repeat_words, j.base_failed,
   coalesce(NOT j.base_failed AND 1000 * word_chars // n_words >= lo0
-    AND {' AND '.join(f'(CASE WHEN {d} = 0 THEN 0 ELSE {scale} * {n} // {d} END) <= hi{k}' for k, (_, n, d, scale, _) in enumerate(_RATIOS))}, false) AS kept
+    AND {' AND '.join(f'(CASE WHEN {d} = 0 THEN 0 ELSE {scale} * {n} // {d} END) <= hi{k}' for k, (_, n, d, scale) in enumerate(_RATIOS))}, false) AS kept
 FROM judged j LEFT JOIN fence f ON j.lang IS NOT DISTINCT FROM f.lang AND j.source IS NOT DISTINCT FROM f.source
 """
 

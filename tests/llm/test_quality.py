@@ -57,3 +57,32 @@ def test_noisy_outlier_fails_and_its_peers_stay(spark):
     docs = spark.createDataFrame(plain + noisy, "doc_id long, text string, lang string, source string")
     got = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
     assert not got.pop(900) and all(got.values())
+
+
+def test_fences_follow_each_source(spark):
+    """What is usual in one source is an outlier in another, for every one-sided ratio."""
+
+    def text(i, n_symbols, n_dup, n_repeat):
+        line = " ".join(f"w{(i * 31 + k * 7) % 997}x" for k in range(120))
+        again = " ".join(f"r{i}q{k}" for k in range(8))
+        lines = [line, "#" * n_symbols, *[f"one{i}"] * (n_dup + 1 if n_dup else 0), *[f"{again} s{j}" for j in range(n_repeat)]]
+        return "\n".join(x for x in lines if x)
+
+    rows = []
+    for source, usual in (("plain", (2, 0, 0)), ("code", (60, 0, 0)), ("lists", (2, 9, 0)), ("forms", (2, 0, 4))):
+        rows += [(len(rows) + i, text(i, *usual), "en", source) for i in range(300)]
+    odd = {"symbols": (60, 0, 0), "dup_lines": (2, 9, 0), "repeats": (2, 0, 4)}
+    rows += [(9000 + k, text(700 + k, *counts), "en", "plain") for k, counts in enumerate(odd.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
+    assert not any(got.pop(9000 + k) for k in range(len(odd)))
+    assert all(got.values())
+
+
+def test_copies_do_not_narrow_the_word_lengths(spark):
+    """A source of one text's copies in a language of its own keeps its few other texts."""
+    rows = [(i, " ".join("w" * (3 + (i + k) % 5) + str(k) for k in range(40 + i % 9)), "en", "s") for i in range(400)]
+    rows += [(1000 + i, " ".join(f"copy{k}" for k in range(40)), "xx", "hot") for i in range(200)]
+    rows += [(2000 + i, rows[i][1], "xx", "hot") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert all(r["kept"] for r in quality.judge(docs).collect())
