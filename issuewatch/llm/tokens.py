@@ -2,11 +2,12 @@
 
 The file format is a Parquet folder `data/` with one row per document in ascending id
 order (part files in name order), and a small Parquet folder `index/` with one row per
-part file. Columns of `data/`: doc_id, part, offset (ids in the part before this
-document), n_tokens, tokens (list of int). Ids sit in dictionary pages, the other
-columns are delta-encoded (writer version 2). Row groups and pages have set sizes and a
-page index, so a reader with a range of ids or offsets decodes only those pages, and a
-reader of the metadata never touches the token pages.
+part file: its name, first position and first and last id. Columns of `data/`: doc_id,
+part, offset (ids in the part before this document), until (offset + n_tokens), n_tokens,
+tokens (list of int). Ids sit in dictionary pages, the other columns are delta-encoded
+(writer version 2). Row groups and pages have set sizes and a page index. A reader with a
+range of positions or document ids opens only the files that the index names and decodes
+only the pages that meet the range; a reader of the metadata never touches token pages.
 """
 
 from __future__ import annotations
@@ -98,7 +99,8 @@ def write_tokens(
 
     `vocabulary` is the path of a tokenizers file; it must be readable on every
     executor. A null text counts as empty and gets the end id alone. Rows sort by id
-    (nulls first), then by text; repeated rows stay. An empty table gives a folder
+    (nulls first); those of one id by text within a part, and by the text's hash from part
+    to part. Repeated rows stay. An empty table gives a folder
     without documents. Other columns are not written. A lost executor costs its tasks:
     files appear only when Spark commits the job.
     """
@@ -118,12 +120,12 @@ def write_tokens(
                 sizes = np.array([len(x) for x in ids], np.int64)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
                 tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-                columns = [some.column("doc_id"), pa.array(np.full(len(ids), part, np.int32)), pa.array(offset + ends[:-1]), pa.array(sizes), tokens]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "offset", "n_tokens", "tokens"])
+                columns = [some.column("doc_id"), pa.array(np.full(len(ids), part, np.int32)), pa.array(offset + ends[:-1]), pa.array(offset + ends[1:]), pa.array(sizes), tokens]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "offset", "until", "n_tokens", "tokens"])
                 offset += int(ends[-1])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"doc_id {kind}, part int, offset long, n_tokens long, tokens array<int>")
+    out = rows.mapInArrow(run, f"doc_id {kind}, part int, offset long, until long, n_tokens long, tokens array<int>")
     out.write.mode("overwrite").options(
         **{
             "compression": "zstd",
@@ -135,12 +137,15 @@ def write_tokens(
         }
     ).parquet(f"{path}/data")
     data = spark.read.parquet(f"{path}/data")
-    totals = data.groupBy("part").agg(F.sum("n_tokens").alias("n"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    data = data.withColumn("file", F.col("_metadata.file_name"))
+    totals = data.groupBy("part").agg(
+        F.sum("n_tokens").alias("n"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.min("file").alias("file")
+    )
     base, index = 0, []  # one row per part file: bounded by `partitions`
     for row in totals.orderBy("part").collect():
-        index.append((row["part"], base, row["n"], row["first_id"], row["last_id"]))
+        index.append((row["part"], base, row["n"], row["first_id"], row["last_id"], row["file"]))
         base += row["n"]
-    schema = f"part int, base long, n long, first_id {kind}, last_id {kind}"
+    schema = f"part int, base long, n long, first_id {kind}, last_id {kind}, file string"
     spark.createDataFrame(index, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
 
 
@@ -152,25 +157,44 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 def read_tokens(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """(doc_id, start, n_tokens, tokens) of the documents that hold a token of [first, last).
 
-    Both limits are positions in the sequence of all ids; None leaves a side open. Parts
-    outside the range drop out by the join with the index, pages by their index.
+    Both limits are positions in the sequence of all ids; None leaves a side open. With a
+    limit, the index chooses the files, and the first and last of them are read from and up
+    to the limit's offset (pushed to the scan). A range without a token gives no row.
     """
-    rows = _with_start(spark, path)
+    if first is None and last is None:
+        return _with_start(spark, path).select("doc_id", "start", "n_tokens", "tokens")
+    parts = spark.read.parquet(f"{path}/index").where(F.col("n") > 0)
     if first is not None:
-        rows = rows.where(F.col("start") + F.col("n_tokens") > first)
+        parts = parts.where(F.col("base") + F.col("n") > first)
     if last is not None:
-        rows = rows.where(F.col("start") < last)
+        parts = parts.where(F.col("base") < last)
+    if first is not None and last is not None and first >= last:
+        parts = parts.where(F.lit(False))
+    chosen = parts.orderBy("part").collect()  # one row per part file at most
+    rows = _with_start(spark, path, [r["file"] for r in chosen])
+    if chosen and first is not None:
+        rows = rows.where((F.col("part") > chosen[0]["part"]) | (F.col("until") > first - chosen[0]["base"]))
+    if chosen and last is not None:
+        rows = rows.where((F.col("part") < chosen[-1]["part"]) | (F.col("offset") < last - chosen[-1]["base"]))
     return rows.select("doc_id", "start", "n_tokens", "tokens")
 
 
 def read_documents(spark: SparkSession, path: str, first_id, last_id) -> DataFrame:
-    """The rows of the ids from `first_id` to `last_id`, both included (pushed to the scan)."""
-    return read_tokens(spark, path).where(F.col("doc_id").between(first_id, last_id))
+    """The rows of the ids from `first_id` to `last_id`, both included: the index chooses the
+    files, the limits are pushed to their scan. A null id lies in no range."""
+    parts = spark.read.parquet(f"{path}/index").where((F.col("last_id") >= F.lit(first_id)) & (F.col("first_id") <= F.lit(last_id)))
+    rows = _with_start(spark, path, [r["file"] for r in parts.select("file").collect()])
+    return rows.where(F.col("doc_id").between(first_id, last_id)).select("doc_id", "start", "n_tokens", "tokens")
 
 
-def _with_start(spark: SparkSession, path: str) -> DataFrame:
+def _with_start(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """The rows of `data/`, or of these of its files, with their `start`."""
     index = spark.read.parquet(f"{path}/index").select("part", "base")
     data = spark.read.parquet(f"{path}/data")
+    if files:
+        data = spark.read.schema(data.schema).parquet(*[f"{path}/data/{f}" for f in files])
+    elif files is not None:
+        data = data.where(F.lit(False))
     return data.join(index, "part").withColumn("start", F.col("base") + F.col("offset"))
 
 

@@ -55,7 +55,36 @@ def test_round_trip_and_selective_reads(spark, docs, tokenizer):
     assert {r["doc_id"] for r in tokens.read_documents(spark, path, 5, 7).collect()} == {5, 6, 7}
 
 
+def test_ranges_open_only_their_files_and_pages(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(0, cast(id % 7 as int)), x -> concat('w', x))) as text")
+    path = scratch(spark, "tokens")
+    tokens.write_tokens(docs, path, vocabulary(), partitions=5)
+    rows = tokens.read_tokens(spark, path).orderBy("start").collect()
+    end = rows[-1]["start"] + rows[-1]["n_tokens"]
+    index = spark.read.parquet(f"{path}/index").orderBy("part").collect()
+    assert len(index) == 5
+    cuts = [r["base"] for r in index]
+    ranges = [(a + d, b + e) for a in cuts for b in [*cuts, end] for d in (-1, 0, 1) for e in (-1, 0, 1) if (a + b + d + e) % 23 == 0]
+    for first, last in [*ranges, (0, 1), (end - 1, end), (end, end + 9), (-9, 0), (7, 7), (9, 3), (None, 40), (40, None), (None, None)]:
+        found = tokens.read_tokens(spark, path, first, last).orderBy("start").collect()
+        low, high = -1 if first is None else first, end if last is None else last
+        assert found == [r for r in rows if low < high and r["start"] + r["n_tokens"] > low and r["start"] < high], (first, last)
+    some = tokens.read_tokens(spark, path, cuts[2] + 50, cuts[2] + 60)
+    assert len({f for f in some.inputFiles() if "/data/" in f}) == 1
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = "".join(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan))
+    assert "GreaterThan(until,50)" in pushed and "LessThan(offset,60)" in pushed
+    one = tokens.read_documents(spark, path, 100, 101)
+    assert [r["doc_id"] for r in one.orderBy("doc_id").collect()] == [100, 101]
+    assert len({f for f in one.inputFiles() if "/data/" in f}) <= 2
+    assert tokens.read_documents(spark, path, 900, 901).count() == 0
+
+
 def test_empty_table(spark, none):
     path = scratch(spark, "tokens")
     tokens.write_tokens(none, path, vocabulary())
     assert tokens.digests(tokens.read_tokens(spark, path)).count() == 0
+    assert tokens.read_tokens(spark, path, 0, 5).count() == 0
+    assert tokens.read_documents(spark, path, 0, 5).count() == 0
