@@ -97,14 +97,17 @@ def prepare_posts(raw: DataFrame, snapshot: Column, scorer, tokenizer=letter_wor
 
 
 def run_raw_snapshot(
-    spark: SparkSession, raw_root: str, snapshot_key: str, past_issue: DataFrame, out_root: str, scorer, model: str = "", graph_issue: str | None = None
+    spark: SparkSession, raw_root: str, snapshot_key: str, past_issue: DataFrame, out_root: str, scorer, model: str | None = None, graph_issue: str | None = None
 ) -> dict[str, str]:
     """The whole job for one snapshot folder of raw posts (`files.write_posts_jsonl`): read,
     normalise with quarantine, score, extract keywords, then `run_snapshot` on top of the
-    raw_data table. The prepared batch is written once and read by every later step."""
+    raw_data table. The prepared batch is written once and read by every later step. Without
+    `model` each post carries the model in its file's name, and the alert names none."""
     snapshot = F.try_to_timestamp(F.lit(snapshot_key), F.lit("yyyy-MM-dd'T'HH-mm-ss"))
-    raw, broken = files.read_snapshot_lines(spark, raw_root, snapshot_key)
-    batch, quarantine = prepare_posts(raw.withColumn("model", F.lit(model)), snapshot, scorer)
+    raw, broken = files.read_snapshot_lines(spark, raw_root, snapshot_key, with_model=model is None)
+    if model is not None:
+        raw = raw.withColumn("model", F.lit(model))
+    batch, quarantine = prepare_posts(raw, snapshot, scorer)
     out = out_root.rstrip("/")
     broken.write.mode("overwrite").parquet(f"{out}/broken_lines/snapshot_key={snapshot_key}")
     quarantine.write.mode("overwrite").parquet(f"{out}/quarantine/snapshot_key={snapshot_key}")

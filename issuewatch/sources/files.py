@@ -123,26 +123,33 @@ def snapshot_listing(spark: SparkSession, root: str, snapshot: str | None = None
     )
 
 
-def read_snapshot_lines(spark: SparkSession, root: str, snapshot: str | None = None, k: int | None = None) -> tuple[DataFrame, DataFrame]:
+def read_snapshot_lines(
+    spark: SparkSession, root: str, snapshot: str | None = None, k: int | None = None, with_model: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """S1 + S3: (posts, broken lines) of one snapshot of a stage folder laid out as
     `<root>/snapshot_key=<time>/data_source=<src>/part-*.json` (as `write_posts_jsonl`
     writes it). Takes the newest snapshot when none is given, and all its sources, or with
     `k` only the k most recently written ones (S2). A named snapshot's folder alone is
     listed and read. Drops failed rows (P4) and `modified_at` (P3), and dedupes by url
-    within each source file set (A6)."""
+    within each source file set (A6). `with_model` stamps each post with the model in its
+    file's name (P10, see `parse_file_meta`); it is empty where the name holds none, and of
+    a url in the files of several models one post is kept, by the same order."""
     schema = T.StructType(RAW_POST.fields + [T.StructField("snapshot_key", T.StringType()), T.StructField("data_source", T.StringType())])
     root = root.rstrip("/")
     if snapshot is None:
         snapshot = snapshot_listing(spark, root).select(F.max("snapshot_key")).first()[0]  # one name
     good, bad = read_jsonl_tolerant(spark, f"{root}/snapshot_key={snapshot}", schema, base=root)
-    rows = drop_failed_posts(good).drop("modified_at", "src_file", "file_mtime")
+    rows = drop_failed_posts(good)
+    if with_model:
+        rows = rows.withColumn("model", parse_file_meta(F.col("src_file"))["model"])
+    rows = rows.drop("modified_at", "src_file", "file_mtime")
     if k is not None:
         listing = snapshot_listing(spark, root, snapshot)
         per_source = listing.groupBy("snapshot_key", "data_source").agg(F.max("file_mtime").alias("file_mtime"))
         w = Window.partitionBy("snapshot_key").orderBy(F.desc("file_mtime"), F.asc("data_source"))
         chosen = per_source.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).select("snapshot_key", "data_source")
         rows = rows.join(chosen, ["snapshot_key", "data_source"], "left_semi")
-    return dedupe_by_url(rows, ["snapshot_key", "data_source"], ["created_at", "viewed", "title", "content"]), bad
+    return dedupe_by_url(rows, ["snapshot_key", "data_source"], ["created_at", "viewed", "title", "content", *(["model"] if with_model else [])]), bad
 
 
 def read_snapshot(spark: SparkSession, root: str, snapshot: str | None = None, k: int | None = None) -> DataFrame:

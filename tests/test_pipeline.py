@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import math
+import pathlib
 import random
 
 import numpy as np
@@ -291,6 +292,32 @@ def test_raw_files_to_alerts_for_two_hours(spark):
     assert spark.read.parquet(paths["alerts"]).count() == 1
 
 
+def test_model_is_stamped_from_the_file_name(spark):
+    """Crawler files of two models a source: each post carries its file's model to raw_data."""
+
+    def scorer(docs, key, text):
+        return docs.select(key, F.lit(0.25).alias("p_clean"))
+
+    key, src = "2030-01-01T10-07-00", scratch_path(spark, "crawled")
+    posts = fx.site_posts(spark, SF_SMALL).withColumn("url", F.concat(F.lit("u"), F.col("doc_id").cast("string"))).limit(60)
+    expected = {}
+    for r in posts.collect():
+        model = "아이오닉6" if r["doc_id"] % 2 else "kona_ev"
+        expected[r["url"]] = model
+        folder = pathlib.Path(src.removeprefix("file:")) / f"snapshot_key={key}" / f"data_source={r['data_source']}"
+        folder.mkdir(parents=True, exist_ok=True)
+        post = {k: v for k, v in r.asDict().items() if k in files.RAW_POST.names}
+        with open(folder / f"{r['data_source']}_{model}_{key}.jsonl", "a", encoding="utf-8") as out:
+            out.write(json.dumps(post, ensure_ascii=False) + "\n")
+    got, broken = files.read_snapshot_lines(spark, src, key, with_model=True)
+    assert broken.count() == 0
+    assert {r["url"]: r["model"] for r in got.select("url", "model").collect()} == expected
+    assert "model" not in files.read_snapshot(spark, src, key).columns
+    batch, _ = pipeline.prepare_posts(got, F.lit("2030-01-01 10:07:00").cast("timestamp"), scorer)
+    stamped = {r["url"]: r["model"] for r in batch.select("url", "model").collect()}
+    assert stamped and all(expected[u] == m for u, m in stamped.items()) and len(set(stamped.values())) == 2
+
+
 def test_similar_pairs_above_a_threshold(spark):
     s = fx.sparse_series(spark, 5, 60)
     pts = similarity.series_points(s, "name", "created_at", "value")
