@@ -210,3 +210,32 @@ def test_hot_thread_is_nested_in_chunks(spark):
     assert got["c", 0, 0].parent.text is None
     few = cm.nested_threads(items.where("post = 'a'"), chunk=2).collect()
     assert sorted((r.thread_pos, r.chunk_no, [x.pos for x in r.children]) for r in few) == [(0, 2, [5]), (0, 3, [7]), (9, 0, [])]
+
+
+def test_hashed_counts_match_their_definition():
+    texts = ["", "a", "ab é", "漢字 \U0001f389\U0010ffff", "lorem " * 50]
+    for dim in (64, 37):
+        want = np.zeros((len(texts), dim))
+        for row, t in enumerate(f" {t} " for t in texts):
+            for a, b, c in zip(map(ord, t), map(ord, t[1:]), map(ord, t[2:])):
+                want[row, (961 * a + 31 * b + c) % dim] += 1 if (a + 7 * b + 13 * c) % 2 == 0 else -1
+        assert (keywords.hashed_counts(texts, dim) == want).all()
+
+
+def test_extract_keywords_takes_the_words_of_a_text_once(spark):
+    docs = spark.createDataFrame([(1, "beta alpha beta gamma"), (2, None), (3, "1 2"), (4, "alpha")], "id long, t string")
+    found = keywords.extract_keywords(docs, "id", "t")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
+    rows = [(r["id"], r["rank"], r["keyword"]) for r in found.collect()]
+    assert sorted(k for i, _, k in rows if i == 1) == ["alpha", "beta", "gamma"]
+    assert [r for r in rows if r[0] != 1] == [(4, 1, "alpha")]
+
+
+def test_a_stage_reads_many_files_in_few_triggers(spark, tmp_path):
+    from issuewatch.plans import catalog
+
+    for n in (3, 20):
+        spark.range(n).repartition(n, "id").write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/{n}")
+        done = spark.read.parquet(f"{tmp_path}/{n}")
+        assert -(-len(done.inputFiles()) // catalog.files_a_trigger(done)) == catalog.STAGE_TRIGGERS
