@@ -91,3 +91,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["current_keyword", "past_issue_name", "alert_value", "AlarmName", "NewStateValue", "NewStateReason", "sentence"]
     assert df.count() >= 0
+
+
+def test_stream_alert_spreads_a_crawl_over_files_and_takes_it_in_one_trigger(spark, tmp_path, monkeypatch):
+    from issuewatch.plans import catalog
+
+    paths = {}
+
+    def scratch(_, name):
+        return paths.setdefault(name, f"{tmp_path}/{name}")
+
+    monkeypatch.setattr(catalog, "scratch_path", scratch)
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(4).write.parquet(f"{tmp_path}/sf/events.parquet")
+    assert catalog.QUERIES["stream_alert"](spark, f"{tmp_path}/sf").count() == 1
+    assert len(spark.read.parquet(f"{paths['crawls']}/crawl=0").inputFiles()) == 4
+    triggers = spark.read.parquet(paths["raw"]).select("batch").distinct().count()
+    assert triggers == 3
