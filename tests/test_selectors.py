@@ -78,3 +78,14 @@ def test_pages_to_formatted_posts(spark):
     assert {s: (r.viewed, r.liked, r.num_of_comments) for s, r in got.items()} == {"dc": (12, 3, 2), "naver": (2394, 1200, 2), "bobae": (99, 7, 1), "clien": (1234, 2001, 1)}
     assert got["clien"].comments[0].liked == "1005" and got["dc"].comments[0].children[0].content == "re"
     assert got["naver"].created_at == "2024-07-05 21:54:00"
+
+
+def test_pages_of_a_batch_are_read_in_slices():
+    import pyarrow as pa
+
+    html = ["x" * n for n in (3, 4, 0, 20, 5, 5, 1)]
+    batch = pa.record_batch([pa.array(html)], ["html"])
+    cut = [[len(x) for x in some.column("html").to_pylist()] for some in selectors.slices(batch, "html", 10)]
+    assert cut == [[3, 4, 0], [20], [5, 5], [1]]
+    assert list(selectors.slices(batch.slice(0, 0), "html", 10)) == []
+    assert [x.num_rows for x in selectors.slices(batch.slice(3), "html", 10)] == [1, 2, 1]
