@@ -16,7 +16,7 @@ from issuewatch.functions import dtw
 from issuewatch.operators import alerts, issues, similarity, views
 from issuewatch.plans import fixtures as fx
 from issuewatch.plans import pipeline
-from issuewatch.session import ensure_checkpoint_dir, scratch_path
+from issuewatch.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir, scratch_path
 from issuewatch.sources import files
 from issuewatch.streaming import streams
 
@@ -406,3 +406,61 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_dense_curves_are_the_grid_with_the_facts(spark):
+    """Facts on the first, a middle and the last hour, missing sums, keywords without any."""
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    rows = [(at(0), "a", 1, 2, 3, 0.5), (at(7), "a", None, 2, None, float("nan")), (at(30), "a", 4, 5, 6, 1.0), (at(3), "b", 1, 1, 1, None), (at(4), "b", 2, 2, 2, 2.0), (at(5), "gone", 1, 1, 1, 1.0)]
+    facts = spark.createDataFrame(rows, "created_at timestamp, current_keyword string, num_of_comments long, viewed long, liked long, sentiment double")
+    keywords = spark.createDataFrame([("a",), ("b",), ("none",), (None,)], "current_keyword string")
+    start, end = F.lit(at(0)), F.lit(at(30) + dt.timedelta(minutes=7))
+    known = issues.join_active_keywords(facts, keywords)
+    got = issues.dense_curves(keywords, known, start, end)
+    want = issues.densify(issues.hour_grid(keywords, start, end), known)
+    assert got.schema.names == want.schema.names and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    key = lambda r: (r["current_keyword"] or "", r["created_at"])
+    found = got.collect()
+    assert sorted(map(tuple, found), key=lambda r: (r[1] or "", r[0])) == sorted(map(tuple, want.collect()), key=lambda r: (r[1] or "", r[0])) and len(found) == 4 * 31
+    runs = [[key(r) for r in part] for part in got.rdd.glom().collect()]
+    assert all(part == sorted(part) for part in runs)
+    # the hours are laid out behind the last exchange: none of them is shuffled or sorted
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    steps = [next((w for w in ("Exchange", "Sort ", "Generate") if w in line), None) for line in plan]
+    assert [s for s in steps if s][:3] == ["Generate", "Generate", "Sort "]
+
+
+def test_issue_graph_of_few_and_many_past_rows_is_the_same(spark, monkeypatch):
+    at = lambda h, m=0: dt.datetime(2024, 1, 1, tzinfo=None) + dt.timedelta(hours=h, minutes=m)
+    past = spark.createDataFrame([(n, at(h, m), float(h)) for n in ("p", "q") for h, m in ((5, 0), (6, 0), (6, 0), (9, 30), (12, 0))], "past_issue_name string, created_at timestamp, past_issueization double")
+    cur = spark.createDataFrame([(k, at(h, m), h) for k in ("a", "b") for h, m in ((40, 0), (41, 0), (41, 0), (44, 30), (60, 0))], "current_keyword string, created_at timestamp, current_issueization int")
+    now = F.lit(at(100))
+    few = views.issue_graph(past, cur, now)
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(views, "MAX_BROADCAST_ROWS", 0)
+    many = views.issue_graph(past, cur, now)
+    assert few.schema.names == many.schema.names
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 24
+    assert "c_cells" not in plan  # the current rows are not packed
+
+
+def test_job_keeps_no_shuffle_files_and_scratch(spark):
+    """A run leaves the shuffle files of none of its steps behind, and the caller's setting."""
+
+    def scorer(docs, key, text):
+        return docs.select(key, F.lit(0.25).alias("p_clean"))
+
+    def shuffles():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {str(x) for x in manager.getAllBlocks().mkString(" ").split() if "shuffle_" in str(x)}
+
+    posts = fx.site_posts(spark, SF_SMALL).withColumn("url", F.concat(F.lit("u"), F.col("doc_id").cast("string"))).where("doc_id < 300").drop("doc_id")
+    key, src, out = "2030-01-01T10-07-00", scratch_path(spark, "raw-files"), scratch_path(spark, "wh-raw")
+    files.write_posts_jsonl(posts.withColumns({"author": F.lit("a"), "snapshot_key": F.lit(key)}), src, compression="gzip")
+    past, before = fx.past_issue(spark, SF_SMALL), spark.conf.get(SHUFFLE_CLEANUP, None)
+    old = shuffles()
+    paths = pipeline.run_raw_snapshot(spark, src, key, past, out, scorer, "m", graph_issue="error")
+    assert shuffles() <= old
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    assert not [f for f in files.folders(spark, ensure_checkpoint_dir(spark) + "/posts-*")]
+    assert spark.read.parquet(paths["raw_data"]).count() + spark.read.parquet(f"{out}/quarantine").count() == posts.count()
